@@ -1,0 +1,3 @@
+"""Streaming twins of batch queries (filled in below)."""
+
+STREAM_QUERIES = {}
