@@ -1,3 +1,126 @@
-"""Streaming twins of batch queries (filled in below)."""
+"""Streaming twins: the batch queries re-run as Structured Streaming jobs.
 
-STREAM_QUERIES = {}
+Each twin lands the events table in time-ordered slices and runs its stream
+after every slice from one checkpoint (stop/resume each time), then reads the
+sink back.  The result must equal the batch query's result; the driver checks
+it against the same SQL oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keyflow.functions.formats import counter_text, fraud_text
+from keyflow.functions.numeric import parity
+from keyflow.operators.windows import event_time, window_count
+from keyflow.session import shared_path
+from keyflow.sources.streams import stream_table
+from keyflow.sources.tables import load
+from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
+                                      q_resumed_events, upsert_batches)
+from keyflow.streaming.stateful import AdjacentPairMatcher, RunningCounter
+
+N_SLICES = 3
+
+
+def _paths(spark: SparkSession, name: str) -> tuple[str, str, str]:
+    base = shared_path(spark, "twins", name, fresh=True)
+    return f"{base}/landing", f"{base}/sink", f"{base}/checkpoint"
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+def q_stream_event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed 5 s event-time counts with a 2 s watermark, update mode, folded per window."""
+    landing, sink, ckpt = _paths(spark, "event_time_counts")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+
+    def start():
+        stream = event_time(stream_table(spark, landing, schema=events.schema), "ts", "2 seconds")
+        counts = window_count(stream, "ts", ["event_type"], "5 seconds")
+        return upsert_batches(counts, sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    out = latest_rows(spark, sink, ["window_start", "event_type"])
+    return _ntz(out, "window_start", "window_end")
+
+
+def _counter_stream(spark: SparkSession, sf_dir: str, name: str, key: str, cols: list[str],
+                    key_expr=None) -> DataFrame:
+    landing, sink, ckpt = _paths(spark, name)
+    events = load(spark, sf_dir, "events").select(*cols)
+
+    def start():
+        stream = stream_table(spark, landing, schema=events.schema)
+        if key_expr is not None:
+            stream = stream.withColumn(key, key_expr)
+        out_cols = [c for c in stream.columns if c != "ts"]
+        out_schema = T.StructType([stream.schema[c] for c in out_cols]
+                                  + [T.StructField("cnt", T.LongType())])
+        counted = stream.groupBy(key).transformWithStateInPandas(
+            statefulProcessor=RunningCounter(["ts", "event_id"], out_cols),
+            outputStructType=out_schema, outputMode="Append", timeMode="None")
+        return resumable_stream(counted, sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    return spark.read.parquet(sink)
+
+
+def q_stream_running_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user running count from keyed value state, one row per event."""
+    return _counter_stream(spark, sf_dir, "running_event_count", "user_id",
+                           ["event_id", "ts", "user_id", "event_type"])
+
+
+def q_stream_parity_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter per parity key with its message, from keyed value state."""
+    out = _counter_stream(spark, sf_dir, "parity_counter", "parity", ["event_id", "ts"],
+                          key_expr=parity("event_id"))
+    return out.withColumn("message", counter_text("parity", "event_id", "cnt"))
+
+
+FRAUD_SCHEMA = T.StructType([
+    T.StructField("card", T.LongType()),
+    T.StructField("first_event_id", T.LongType()), T.StructField("first_ts", T.TimestampType()),
+    T.StructField("first_amount", T.DoubleType()), T.StructField("first_location", T.StringType()),
+    T.StructField("second_event_id", T.LongType()), T.StructField("second_ts", T.TimestampType()),
+    T.StructField("second_amount", T.DoubleType()), T.StructField("second_location", T.StringType()),
+])
+
+
+def q_stream_fraud_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjacent small transactions per card from a last-event value state."""
+    landing, sink, ckpt = _paths(spark, "fraud_pairs")
+    events = load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("card"), F.col("value").alias("amount"),
+        F.col("event_type").alias("location"), "ts", "event_id")
+
+    def start():
+        stream = stream_table(spark, landing, schema=events.schema)
+        pairs = stream.groupBy("card").transformWithStateInPandas(
+            statefulProcessor=AdjacentPairMatcher(), outputStructType=FRAUD_SCHEMA,
+            outputMode="Append", timeMode="None")
+        return resumable_stream(pairs, sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    out = spark.read.schema(FRAUD_SCHEMA).parquet(sink)
+    millis = lambda c: F.unix_millis(F.col(c))
+    out = out.withColumn("alert", fraud_text("card", "first_amount", "first_location",
+                                             millis("first_ts"), "second_amount",
+                                             "second_location", millis("second_ts")))
+    return _ntz(out, "first_ts", "second_ts")
+
+
+STREAM_QUERIES = {
+    "resumed_events": q_resumed_events,
+    "stream_event_time_counts": q_stream_event_time_counts,
+    "stream_running_event_count": q_stream_running_event_count,
+    "stream_parity_counter": q_stream_parity_counter,
+    "stream_fraud_pairs": q_stream_fraud_pairs,
+}
