@@ -52,6 +52,8 @@ def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
                           "c": pd.Series([], dtype="int64")})
     if size_p == 0 or size_q == 0:
         return empty
+    if (idx < 0).any():
+        raise ValueError("co-occurrence: an item is missing from the declared domain")
     lu, li, ln = uid[left], idx[left], n[left]
     ru, ri, rn = uid[right], idx[right], n[right]
     n_users = int(uid.max()) + 1
@@ -101,27 +103,58 @@ def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
                          "c": np.rint(gram[a, b]).astype(np.int64)})
 
 
+def _empty_pairs(df: DataFrame, item: str) -> DataFrame:
+    dtype = df.schema[item].dataType.simpleString()
+    return df.sparkSession.createDataFrame([], f"item_a {dtype}, item_b {dtype}, cnt bigint")
+
+
 def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None,
-                 block_size: int = DEFAULT_BLOCK_SIZE, user_buckets: int | None = None) -> DataFrame:
+                 domain: Sequence | None = None, block_size: int = DEFAULT_BLOCK_SIZE,
+                 user_buckets: int | None = None) -> DataFrame:
     """Totals per unordered item pair: columns ``item_a < item_b``, ``cnt`` (bigint).
 
     Each row is one view; ``weight`` (a count column) lets callers pass views
-    already pre-aggregated upstream.  Pairs of the same item are excluded;
-    pairs that never co-occur are absent.
+    already pre-aggregated upstream.  ``domain`` may list every possible item
+    (e.g. from a dimension table; an item outside it fails the job).  A
+    catalogue of at most ``block_size`` items is one block indexed by a
+    literal lookup; larger ones get hashed blocks and a dictionary table.
+    Pairs of the same item are excluded; pairs that never co-occur are absent.
     """
     spark = df.sparkSession
     views = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
     counts = (df.filter(F.col(item).isNotNull())
                 .groupBy(F.col(user).alias("_u"), F.col(item).alias("_item"))
                 .agg(views.cast("bigint").alias("n")))
+    if domain is None:
+        probe = [r[0] for r in counts.select("_item").distinct().limit(block_size + 1).collect()]
+        if len(probe) <= block_size:
+            domain = probe
+    if user_buckets is None:
+        user_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    if domain is not None and len(domain) <= block_size:
+        # One block: index = position in the sorted catalogue (a literal lookup).
+        domain = sorted(v for v in set(domain) if v is not None)
+        if len(domain) < 2:
+            return _empty_pairs(df, item)
+        catalogue = F.array(*[F.lit(v) for v in domain])
+        x = counts.select("_u", "n", F.lit(0).alias("_p"), F.lit(0).alias("_q"),
+                          F.lit(0).alias("_blk"),
+                          (F.array_position(catalogue, F.col("_item")) - 1).cast("int").alias("_idx"),
+                          F.pmod(F.xxhash64("_u"), F.lit(user_buckets)).cast("int").alias("_ub"))
+        partial = (x.select("_p", "_q", "_ub", "_u", "_blk", "_idx", "n")
+                    .groupBy("_p", "_q", "_ub")
+                    .applyInPandas(_partial_gram, "_p int, _a int, _q int, _b int, c long"))
+        totals = partial.groupBy("_a", "_b").agg(F.sum("c").alias("cnt"))
+        # index order is item order and _partial_gram keeps a < b
+        return totals.select(F.element_at(catalogue, F.col("_a") + 1).alias("item_a"),
+                             F.element_at(catalogue, F.col("_b") + 1).alias("item_b"), "cnt")
+
     n_items = counts.select("_item").distinct().count()
     if n_items < 2:
-        return spark.createDataFrame([], f"item_a {df.schema[item].dataType.simpleString()}, "
-                                         f"item_b {df.schema[item].dataType.simpleString()}, cnt bigint")
+        return _empty_pairs(df, item)
     n_blocks = max(1, math.ceil(n_items / block_size))
-    if user_buckets is None:
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        user_buckets = max(1, parts // (n_blocks * (n_blocks + 1) // 2))
+    user_buckets = max(1, user_buckets // (n_blocks * (n_blocks + 1) // 2))
     # Dictionary: block by hash (balanced), dense index by item order inside the block.
     items = (counts.select("_item").distinct()
              .withColumn("_blk", F.pmod(F.xxhash64("_item"), F.lit(n_blocks)).cast("int")))
@@ -129,12 +162,10 @@ def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None,
         "_idx", (F.dense_rank().over(Window.partitionBy("_blk").orderBy("_item")) - 1).cast("int"))
     x = counts.join(items, "_item")
     x = x.withColumn("_ub", F.pmod(F.xxhash64("_u"), F.lit(user_buckets)).cast("int"))
-    if n_blocks > 1:
-        x = x.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-        x = (x.withColumn("_p", F.least("_blk", "_other"))
-              .withColumn("_q", F.greatest("_blk", "_other")))
-    else:
-        x = x.withColumn("_p", F.col("_blk")).withColumn("_q", F.col("_blk"))
+    # each row joins the groups of its block with every block (block pairs p <= q)
+    x = x.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    x = (x.withColumn("_p", F.least("_blk", "_other"))
+          .withColumn("_q", F.greatest("_blk", "_other")))
     partial = (x.select("_p", "_q", "_ub", "_u", "_blk", "_idx", "n")
                 .groupBy("_p", "_q", "_ub")
                 .applyInPandas(_partial_gram, "_p int, _a int, _q int, _b int, c long"))

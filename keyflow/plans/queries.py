@@ -31,11 +31,11 @@ EVENT_ORDER = ["ts", "event_id"]
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(load(spark, sf_dir, "documents"), "text")
+    return word_count(load(spark, sf_dir, "documents", spread=True), "text")
 
 
 def q_rolling_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = load(spark, sf_dir, "conversations")
+    conv = load(spark, sf_dir, "conversations", spread=True)
     return rolling_word_count(conv, "text", ["conv_id", "turn"])
 
 
@@ -46,7 +46,7 @@ def q_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    docs = load(spark, sf_dir, "documents", spread=True)
     sized = docs.select("doc_id", "text", text_length("text").alias("text_len"))
     return sized.filter(F.col("text_len") >= 30)
 
@@ -121,17 +121,28 @@ def q_traffic_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _brand_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(customer, brand, n): lineitem ⋈ part pre-aggregated per order before joining orders."""
+    """(customer, brand) per order line: lineitem ⋈ part ⋈ orders.
+
+    The co-occurrence counts views per (customer, brand) right after the
+    joins, so only partial aggregates cross the final shuffle; lineitem is
+    shuffled once (by order key), and part goes by broadcast when AQE
+    measures it small.
+    """
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    per_order = li.join(part, "l_partkey").groupBy("l_orderkey", "p_brand").agg(
-        F.count(F.lit(1)).alias("n"))
     orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return per_order.join(orders, "l_orderkey").select("o_custkey", "p_brand", "n")
+    return li.join(part, "l_partkey").join(orders, "l_orderkey").select("o_custkey", "p_brand")
+
+
+def _brands(spark: SparkSession, sf_dir: str, limit: int = 1024) -> list[str] | None:
+    """Brand catalogue from the part dimension (bounded read of one column)."""
+    rows = load(spark, sf_dir, "part").select("p_brand").distinct().limit(limit + 1).collect()
+    return None if len(rows) > limit else [r[0] for r in rows]
 
 
 def q_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence(_brand_views(spark, sf_dir), "o_custkey", "p_brand", weight="n")
+    return cooccurrence(_brand_views(spark, sf_dir), "o_custkey", "p_brand",
+                        domain=_brands(spark, sf_dir))
 
 
 def q_related_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +155,7 @@ def q_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_behavior(behavior_lines(load(spark, sf_dir, "events")), "line",
+    return parse_behavior(behavior_lines(load(spark, sf_dir, "events", spread=True)), "line",
                           keep=("event_id", "variant"))
 
 

@@ -49,9 +49,24 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table with its fixed schema."""
-    return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one table with its fixed schema (``spread``: see :func:`spread_rows`)."""
+    df = spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
+    return spread_rows(df) if spread else df
+
+
+def spread_rows(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows when the scan yields fewer splits than the cluster has cores.
+
+    A small file stored as one row group is read by one task; CPU-heavy
+    per-row work after it (tokenizing, regex parsing) would then run on one
+    core.  On large inputs the scan already has thousands of splits and the
+    frame is returned unchanged - no extra shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def page_log_lines(events: DataFrame) -> DataFrame:
