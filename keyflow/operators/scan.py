@@ -11,9 +11,11 @@ The scans here cut each key's ordered sequence into *chunks*:
    chunk ``(key, bucket)`` holds at most about ``rows_per_chunk`` rows, however
    the rows spread over keys;
 2. the window runs per ``(key, bucket)`` (one shuffle, balanced);
-3. a pre-aggregated summary per ``(key, bucket)`` - at most one row per chunk -
-   gives each chunk the offset of all earlier chunks of its key (prefix sums)
-   or the first row of the following chunk (for ``lead``);
+3. a summary with one row per ``(key, bucket)`` - the chunk's total, or its
+   first row - comes from a column-pruned second read of the input, reduced
+   map-side before its shuffle, and gives each chunk the offset of all
+   earlier chunks of its key (prefix sums) or the first row of the following
+   chunk (for ``lead``);
 4. the summary is joined back on ``(key, bucket)``.  The big side is already
    hash-partitioned on those columns by step 2, so only the summary moves.
 
@@ -52,22 +54,31 @@ def _order_number(df: DataFrame, col: str) -> Column:
     return F.coalesce(num, F.lit(float("-inf")))
 
 
+_GRID = 256   # quantile grid of the first planning pass
+
+
 def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_kf_chunk`` (bucket of the order column) when the input needs more than one chunk.
 
-    Returns the frame and whether chunks were added.  Runs a count and, when
-    chunking, one ``percentile_approx`` aggregate; the boundaries brought to
-    the driver are ``ceil(rows / rows_per_chunk) - 1`` doubles.
+    Returns the frame and whether chunks were added.  One aggregate job
+    returns the row count and a 255-point quantile grid; inputs up to 256
+    chunks use the grid, larger ones run a second pass with
+    ``ceil(rows / rows_per_chunk) - 1`` cut points.  Only these cut points
+    (doubles) reach the driver.
     """
     rows_per_chunk = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
-    n = df.count()
-    n_buckets = math.ceil(n / rows_per_chunk)
+    num = _order_number(df, order_col)
+    grid = [i / _GRID for i in range(1, _GRID)]
+    stats = df.select(F.count(F.lit(1)).alias("n"),
+                      F.percentile_approx(num, grid, 10_000).alias("q")).first()
+    n_buckets = math.ceil(stats["n"] / rows_per_chunk)
     if n_buckets <= 1:
         return df, False
-    num = _order_number(df, order_col)
-    fractions = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 8 * n_buckets)
-    bounds = df.select(F.percentile_approx(num, fractions, accuracy).alias("q")).first()["q"]
+    bounds = stats["q"] or []
+    if n_buckets > _GRID:
+        fractions = [i / n_buckets for i in range(1, n_buckets)]
+        accuracy = max(10_000, 8 * n_buckets)
+        bounds = df.select(F.percentile_approx(num, fractions, accuracy).alias("q")).first()["q"]
     splits = sorted({float(b) for b in bounds if b is not None and math.isfinite(b)})
     if not splits:
         return df.withColumn(CHUNK, F.lit(0)), True
@@ -106,6 +117,10 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = src.select(*base_cols, CHUNK,
                        *[F.sum(mcol[n]).over(w).alias(f"_kf_l_{n}") for n in measures])
+    # Chunk totals: a second, column-pruned read of the input (keys, order
+    # column, measures), aggregated map-side before a shuffle of one row per
+    # chunk.  Cheaper than sharing the wide exchange above, which would need
+    # a sort and a window on the summary side too.
     summary = src.groupBy(*keys, CHUNK).agg(
         *[F.sum(mcol[n]).alias(f"_kf_t_{n}") for n in measures])
     wk = (Window.partitionBy(*keys).orderBy(CHUNK)
@@ -136,6 +151,8 @@ def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     local = src.select(*base_cols, CHUNK, *[F.lead(c).over(w).alias(f"_kf_n_{c}") for c in cols],
                        F.lead(F.lit(True)).over(w).isNotNull().alias("_kf_has"))
+    # First row of each chunk: a column-pruned second read, reduced map-side
+    # by min_by before a shuffle of one row per chunk.
     firsts = src.groupBy(*keys, CHUNK).agg(
         F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(o) for o in order]))
         .alias("_kf_first"))
