@@ -62,6 +62,18 @@ def latest_rows(spark: SparkSession, sink: str, keys: Sequence[str], schema: str
     return rows.join(latest, [*keys, "batch_id"]).drop("batch_id")
 
 
+def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = None,
+               operator_id: int = 0) -> DataFrame:
+    """Inspect a query's keyed state from its checkpoint (the ``statestore`` source).
+
+    ``state_var`` names a ``transformWithState`` variable (e.g. ``"count"``).
+    """
+    reader = spark.read.format("statestore").option("operatorId", str(operator_id))
+    if state_var:
+        reader = reader.option("stateVarName", state_var)
+    return reader.load(checkpoint)
+
+
 def slice_bounds(df: DataFrame, col: str, n_slices: int) -> list:
     """``n_slices - 1`` cut points of ``col`` at approximate quantiles (a bounded list)."""
     if n_slices <= 1:

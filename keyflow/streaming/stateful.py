@@ -185,3 +185,52 @@ class ItemHistory(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RetractChangelog(StatefulProcessor):
+    """Per-record retract changelog of a keyed running sum (value state = total).
+
+    For each row in ``order``: the key's first row emits ``+ total``; later rows
+    emit ``- old`` then ``+ new``; a row that leaves the total unchanged emits
+    nothing.  Totals are exact integers of 10^-scale units.
+    """
+
+    def __init__(self, order: Sequence[str], value: str, out_cols: Sequence[str], scale: int = 2):
+        self.order, self.value, self.out_cols, self.scale = list(order), value, list(out_cols), scale
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "units long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _concat(rows)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(self.order, kind="stable")
+        has = self.total.exists()
+        units = self.total.get()[0] if has else 0
+        step = np.rint(pdf[self.value].to_numpy() * 10 ** self.scale).astype("int64")
+        out = {c: [] for c in [*self.out_cols, "op", "seq", "total"]}
+
+        def emit(rec, op, seq, value):
+            for c in self.out_cols:
+                out[c].append(getattr(rec, c))
+            out["op"].append(op)
+            out["seq"].append(seq)
+            out["total"].append(value / 10 ** self.scale)
+
+        for rec, inc in zip(pdf[self.out_cols].itertuples(index=False), step):
+            if not has:
+                units, has = int(inc), True
+                emit(rec, "+", 1, units)
+            elif inc != 0:
+                emit(rec, "-", 0, units)
+                units += int(inc)
+                emit(rec, "+", 1, units)
+        self.total.update((units,))
+        if out["op"]:
+            frame = pd.DataFrame(out)
+            frame["seq"] = frame["seq"].astype("int32")
+            yield frame
+
+    def close(self) -> None:
+        pass

@@ -20,7 +20,7 @@ from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import load
 from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
                                       q_resumed_events, upsert_batches)
-from keyflow.streaming.stateful import AdjacentPairMatcher, RunningCounter
+from keyflow.streaming.stateful import AdjacentPairMatcher, RetractChangelog, RunningCounter
 
 N_SLICES = 3
 
@@ -117,10 +117,30 @@ def q_stream_fraud_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "first_ts", "second_ts")
 
 
+def q_stream_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-record retract changelog of sales per product from keyed value state."""
+    landing, sink, ckpt = _paths(spark, "sales_changelog")
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("product_id"), "o_orderkey", "o_totalprice")
+
+    def start():
+        stream = stream_table(spark, landing, schema=orders.schema)
+        changes = stream.groupBy("product_id").transformWithStateInPandas(
+            statefulProcessor=RetractChangelog(["o_orderkey"], "o_totalprice",
+                                               ["product_id", "o_orderkey"]),
+            outputStructType="product_id long, o_orderkey long, op string, seq int, total double",
+            outputMode="Append", timeMode="None")
+        return resumable_stream(changes, sink, ckpt)
+
+    run_in_slices(spark, orders, "o_orderkey", N_SLICES, landing, start)
+    return spark.read.parquet(sink)
+
+
 STREAM_QUERIES = {
     "resumed_events": q_resumed_events,
     "stream_event_time_counts": q_stream_event_time_counts,
     "stream_running_event_count": q_stream_running_event_count,
     "stream_parity_counter": q_stream_parity_counter,
     "stream_fraud_pairs": q_stream_fraud_pairs,
+    "stream_sales_changelog": q_stream_sales_changelog,
 }

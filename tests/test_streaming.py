@@ -109,3 +109,53 @@ def test_item_history_emits_factored_pairs(spark):
     got = sorted((r.event_id, r.item_a, r.item_b, r.inc) for r in spark.read.parquet(sink).collect())
     assert got == [(2, "itemA", "itemC", 1), (4, "itemB", "itemC", 1), (5, "itemA", "itemB", 1),
                    (5, "itemB", "itemC", 1), (6, "itemA", "itemD", 1)]
+
+
+def test_retract_changelog_processor_across_batches(spark):
+    from keyflow.streaming.stateful import RetractChangelog
+    base = shared_path(spark, "tests", "changelog", fresh=True)
+    landing, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    schema = "product string, n long, sale double"
+
+    def run():
+        stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
+        out = stream.groupBy("product").transformWithStateInPandas(
+            statefulProcessor=RetractChangelog(["n"], "sale", ["product", "n"]),
+            outputStructType="product string, n long, op string, seq int, total double",
+            outputMode="Append", timeMode="None")
+        resumable_stream(out, sink, ckpt).awaitTermination()
+
+    spark.createDataFrame([("p", 1, 10.0)], schema).write.mode("append").parquet(landing)
+    run()
+    spark.createDataFrame([("p", 2, 5.0), ("p", 3, 0.0)], schema).write.mode("append").parquet(landing)
+    run()
+    got = sorted((r.n, r.seq, r.op, r.total) for r in spark.read.parquet(sink).collect())
+    assert got == [(1, 1, "+", 10.0), (2, 0, "-", 10.0), (2, 1, "+", 15.0)]
+
+
+def test_state_can_be_inspected_after_stop(spark):
+    from keyflow.streaming.resume import read_state
+    base = shared_path(spark, "tests", "inspect", fresh=True)
+    landing, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    land(spark, landing, [(1, at(1), "user1", "click"), (2, at(2), "user1", "view"),
+                          (3, at(3), "user2", "view")])
+    _run_counter(spark, landing, sink, ckpt)
+    state = {r.key.user_id: r.value.c for r in read_state(spark, ckpt, "count").collect()}
+    assert state == {"user1": 2, "user2": 1}
+
+
+def test_page_analysis_fan_out(spark):
+    from keyflow.streaming.fanout import start_page_analysis
+    base = shared_path(spark, "tests", "fanout", fresh=True)
+    landing = f"{base}/in"
+    rows = [("1|u|/hot", at(1))] * 101 + [("1|u|/warm", at(2))] * 100 + [("x", at(3))]
+    spark.createDataFrame(rows, "line string, arrival timestamp_ntz").write.parquet(landing)
+    lines = stream_table(spark, landing, schema=T.StructType.fromDDL("line string, arrival timestamp_ntz"),
+                         event_time_cols=("arrival",))
+    queries = start_page_analysis(lines, base, "arrival")
+    for q in queries.values():
+        q.awaitTermination()
+    alerts = latest_rows(spark, f"{base}/alerts", ["window_start", "page"]).collect()
+    assert [(r.page, r.cnt) for r in alerts] == [("/hot", 101)]
+    views = {(r.page, r.cnt) for r in latest_rows(spark, f"{base}/views", ["window_start", "page"]).collect()}
+    assert views == {("/hot", 101), ("/warm", 100)}

@@ -45,3 +45,24 @@ def test_sliding_fixture_c4(spark):
     got = sorted(((r.window_start - T0).total_seconds(), (r.window_end - T0).total_seconds())
                  for r in page_views(df).collect())
     assert got == [(0, 10), (5, 15)]
+
+
+def test_generated_disorder_source_matches_fixture(spark):
+    from keyflow.sources import disordered_events as gen
+    counts = window_count(gen(spark, base=T0), "ts", ["name"], "5 seconds")
+    assert counts.count() == 11
+    assert sum(r.cnt for r in counts.collect()) == 15
+
+
+def test_generated_orders_ranges(spark):
+    from keyflow.operators import register_sales_view, sales_per_product  # noqa: F401
+    from keyflow.sources import generated_orders
+    df = generated_orders(spark, 500)
+    stats = df.agg(F.min("amount"), F.max("amount"), F.min("price"), F.max("price"),
+                   F.countDistinct("product_id"), F.min(F.length("order_id"))).first()
+    assert stats[0] >= 1 and stats[1] <= 5 and stats[2] >= 10 and stats[3] <= 100
+    assert stats[4] == 3 and stats[5] == 10
+    df.createOrReplaceTempView("kf_generated_orders")
+    totals = spark.sql("SELECT product_id, SUM(amount * price) AS total_sales FROM kf_generated_orders "
+                       "GROUP BY product_id").count()
+    assert totals == 3
