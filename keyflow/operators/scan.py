@@ -54,14 +54,14 @@ def _order_number(df: DataFrame, col: str) -> Column:
     return F.coalesce(num, F.lit(float("-inf")))
 
 
-_GRID = 256   # quantile grid of the first planning pass
+_GRID = 16   # quantile grid of the first planning pass
 
 
 def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_kf_chunk`` (bucket of the order column) when the input needs more than one chunk.
 
     Returns the frame and whether chunks were added.  One aggregate job
-    returns the row count and a 255-point quantile grid; inputs up to 256
+    returns the row count and a 15-point quantile grid; inputs up to 16
     chunks use the grid, larger ones run a second pass with
     ``ceil(rows / rows_per_chunk) - 1`` cut points.  Only these cut points
     (doubles) reach the driver.
@@ -70,7 +70,7 @@ def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None)
     num = _order_number(df, order_col)
     grid = [i / _GRID for i in range(1, _GRID)]
     stats = df.select(F.count(F.lit(1)).alias("n"),
-                      F.percentile_approx(num, grid, 10_000).alias("q")).first()
+                      F.percentile_approx(num, grid, 1_000).alias("q")).first()
     n_buckets = math.ceil(stats["n"] / rows_per_chunk)
     if n_buckets <= 1:
         return df, False
