@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,9 +43,57 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``keyflow`` importable on the executors' Python workers.
+
+    Stateful processors and pandas functions are pickled by reference, so
+    workers import them.  The package is zipped once per driver process and
+    handed to ``SparkContext.addPyFile``, which distributes it with the job.
+    """
+    _pickle_by_value()
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    zip_path = _SHIPPED.get("_zip")
+    if zip_path is None or not os.path.exists(zip_path):
+        zip_path = os.path.join(tempfile.mkdtemp(prefix="keyflow-pkg-"), "keyflow.zip")
+        with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+            for root, _, files in os.walk(pkg_dir):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(root, name)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+        _SHIPPED["_zip"] = zip_path
+    sc.addPyFile(zip_path)
+    _SHIPPED[app] = zip_path
+
+
+def _pickle_by_value() -> None:
+    """Serialise keyflow's worker-side code with the task instead of importing it.
+
+    Covers Python processes that do not see ``addPyFile`` (e.g. the driver-side
+    process that pre-initialises ``transformWithState`` state schemas).
+    """
+    from pyspark import cloudpickle
+
+    import keyflow.operators.cooccur as cooccur
+    import keyflow.streaming.stateful as stateful
+    for module in (stateful, cooccur):
+        try:
+            cloudpickle.register_pickle_by_value(module)
+        except ValueError:  # already registered
+            pass
+
+
 def apply_recommended_conf(spark: SparkSession) -> None:
     """Set the runtime-modifiable recommended settings on an existing session."""
     for key, value in RECOMMENDED_CONF.items():
