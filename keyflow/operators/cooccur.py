@@ -186,8 +186,12 @@ def related_items(pairs: DataFrame, k: int = 3) -> DataFrame:
     Each item has at most (catalogue size - 1) partners, so a per-item
     window is bounded by the catalogue, not by the number of views.
     """
-    both = pairs.select(F.col("item_a").alias("item"), F.col("item_b").alias("related"), "cnt").unionByName(
-        pairs.select(F.col("item_b").alias("item"), F.col("item_a").alias("related"), "cnt"))
+    # both orientations of each pair from one pass over ``pairs`` (a union
+    # would evaluate the co-occurrence twice)
+    both = pairs.select(F.explode(F.array(
+        F.struct(F.col("item_a").alias("item"), F.col("item_b").alias("related"), F.col("cnt")),
+        F.struct(F.col("item_b").alias("item"), F.col("item_a").alias("related"), F.col("cnt")),
+    )).alias("_e")).select("_e.item", "_e.related", "_e.cnt")
     w = Window.partitionBy("item").orderBy(F.col("cnt").desc(), F.col("related"))
     return (both.withColumn("rank", F.row_number().over(w))
                 .filter(F.col("rank") <= k))

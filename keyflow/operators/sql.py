@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyflow.sources.tables import table_path
+from keyflow.sources.tables import load
 
 SALES_SQL = """
 SELECT product_id,
@@ -24,8 +24,11 @@ def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_
     """Declare the sales table over lineitem: order line = sale of a part.
 
     ``proc_time`` is the processing-time attribute (``PROCTIME()``); the
-    aggregate never reads it, and column pruning drops it.
+    aggregate never reads it, and column pruning drops it.  The base table is
+    a temp view over the parquet scan (spread over the cores when it comes as
+    a single split; see :func:`keyflow.sources.tables.spread_rows`).
     """
+    load(spark, sf_dir, "lineitem", spread=True).createOrReplaceTempView(f"{view}_lineitem")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY VIEW {view} AS
         SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS order_id,
@@ -33,7 +36,7 @@ def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_
                l_quantity AS amount,
                l_extendedprice AS price,
                current_timestamp() AS proc_time
-        FROM parquet.`{table_path(sf_dir, 'lineitem')}`
+        FROM {view}_lineitem
     """)
     return view
 

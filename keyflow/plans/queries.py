@@ -128,7 +128,7 @@ def _brand_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffled once (by order key), and part goes by broadcast when AQE
     measures it small.
     """
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = load(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_partkey")
     part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return li.join(part, "l_partkey").join(orders, "l_orderkey").select("o_custkey", "p_brand")
