@@ -55,6 +55,9 @@ def _order_number(df: DataFrame, col: str) -> Column:
 
 
 _GRID = 16   # quantile grid of the first planning pass
+# Upper bound on cut points brought to the driver and shipped with the
+# bucketizer; beyond it chunks grow past rows_per_chunk (rows / MAX_BUCKETS).
+MAX_BUCKETS = 65_536
 
 
 def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
@@ -71,7 +74,7 @@ def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None)
     grid = [i / _GRID for i in range(1, _GRID)]
     stats = df.select(F.count(F.lit(1)).alias("n"),
                       F.percentile_approx(num, grid, 1_000).alias("q")).first()
-    n_buckets = math.ceil(stats["n"] / rows_per_chunk)
+    n_buckets = min(math.ceil(stats["n"] / rows_per_chunk), MAX_BUCKETS)
     if n_buckets <= 1:
         return df, False
     bounds = stats["q"] or []

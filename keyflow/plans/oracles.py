@@ -253,10 +253,10 @@ SELECT product_id, o_orderkey, '+' AS op, 1 AS seq, CAST(new_total AS DOUBLE) AS
 FROM r WHERE n = 1 OR v <> 0
 """,
     # Streaming twins produce the batch results.
-    "stream_sales_changelog": None,
     "stream_event_time_counts": _EVENT_TIME_COUNTS,
     "stream_running_event_count": _RUNNING_EVENT_COUNT,
     "stream_parity_counter": _PARITY_COUNTER,
     "stream_fraud_pairs": _FRAUD,
 }
-ORACLES["stream_sales_changelog"] = ORACLES["sales_changelog"]
+for _twin in ("sales_changelog", "windowed_word_count", "behavior_counts"):
+    ORACLES[f"stream_{_twin}"] = ORACLES[_twin]

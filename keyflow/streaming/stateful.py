@@ -154,7 +154,8 @@ class ItemHistory(StatefulProcessor):
 
     For each view of item x, emits one row per other item y seen before with
     ``inc`` = earlier views of y, then counts the view.  State is bounded by
-    the user's distinct items, not by the number of views.
+    the user's distinct items, not by the number of views.  A batch is one
+    cumulative-count matrix (rows x the user's distinct items) in numpy.
     """
 
     def __init__(self, order: Sequence[str], item: str, out_cols: Sequence[str]):
@@ -167,21 +168,31 @@ class ItemHistory(StatefulProcessor):
         pdf = _concat(rows)
         if pdf.empty:
             return
-        pdf = pdf.sort_values(self.order, kind="stable")
-        counts = {k[0]: v[0] for k, v in self.seen.iterator()} if self.seen.exists() else {}
-        out = []
-        for rec in pdf[self.out_cols + [self.item]].itertuples(index=False):
-            x = getattr(rec, self.item)
-            base = {c: getattr(rec, c) for c in self.out_cols}
-            for y, n in counts.items():
-                if y != x and n > 0:
-                    out.append({**base, self.item: x, "item_a": min(x, y), "item_b": max(x, y),
-                                "inc": n})
-            counts[x] = counts.get(x, 0) + 1
-        for item, n in counts.items():
-            self.seen.updateValue((item,), (int(n),))
-        if out:
-            yield pd.DataFrame(out)
+        pdf = pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
+        known = {k[0]: v[0] for k, v in self.seen.iterator()} if self.seen.exists() else {}
+        items = pdf[self.item].to_numpy().astype(object)
+        vocab = np.array(sorted(set(known) | set(items)), dtype=object)
+        pos = {v: i for i, v in enumerate(vocab)}
+        code = np.array([pos[v] for v in items], dtype=np.int64)
+        start = np.array([known.get(v, 0) for v in vocab], dtype=np.int64)
+        onehot = np.zeros((len(pdf), len(vocab)), dtype=np.int64)
+        onehot[np.arange(len(pdf)), code] = 1
+        before = start + np.cumsum(onehot, axis=0) - onehot      # views before each row
+        before[np.arange(len(pdf)), code] = 0                     # never pair an item with itself
+        r, c = np.nonzero(before)
+        final = start + onehot.sum(axis=0)
+        for i, v in enumerate(vocab):
+            if final[i] != known.get(v, 0):
+                self.seen.updateValue((v,), (int(final[i]),))
+        if len(r) == 0:
+            return
+        x, y = items[r], vocab[c]
+        out = pdf.loc[r, self.out_cols].reset_index(drop=True)
+        out[self.item] = x
+        out["item_a"] = np.where(x < y, x, y)
+        out["item_b"] = np.where(x < y, y, x)
+        out["inc"] = before[r, c]
+        yield out
 
     def close(self) -> None:
         pass
@@ -205,32 +216,27 @@ class RetractChangelog(StatefulProcessor):
         pdf = _concat(rows)
         if pdf.empty:
             return
-        pdf = pdf.sort_values(self.order, kind="stable")
+        pdf = pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
         has = self.total.exists()
         units = self.total.get()[0] if has else 0
         step = np.rint(pdf[self.value].to_numpy() * 10 ** self.scale).astype("int64")
-        out = {c: [] for c in [*self.out_cols, "op", "seq", "total"]}
-
-        def emit(rec, op, seq, value):
-            for c in self.out_cols:
-                out[c].append(getattr(rec, c))
-            out["op"].append(op)
-            out["seq"].append(seq)
-            out["total"].append(value / 10 ** self.scale)
-
-        for rec, inc in zip(pdf[self.out_cols].itertuples(index=False), step):
-            if not has:
-                units, has = int(inc), True
-                emit(rec, "+", 1, units)
-            elif inc != 0:
-                emit(rec, "-", 0, units)
-                units += int(inc)
-                emit(rec, "+", 1, units)
-        self.total.update((units,))
-        if out["op"]:
-            frame = pd.DataFrame(out)
-            frame["seq"] = frame["seq"].astype("int32")
-            yield frame
+        new = units + np.cumsum(step)
+        first = np.zeros(len(pdf), dtype=bool)
+        first[0] = not has
+        changed = step != 0
+        retract = ~first & changed                # "- old" rows
+        add = first | changed                     # "+ new" rows
+        self.total.update((int(new[-1]),))
+        idx = np.concatenate([np.nonzero(retract)[0], np.nonzero(add)[0]])
+        if len(idx) == 0:
+            return
+        n_r = int(retract.sum())
+        out = pdf.loc[idx, self.out_cols].reset_index(drop=True)
+        out["op"] = np.where(np.arange(len(idx)) < n_r, "-", "+")
+        out["seq"] = np.where(np.arange(len(idx)) < n_r, 0, 1).astype("int32")
+        totals = np.where(np.arange(len(idx)) < n_r, new[idx] - step[idx], new[idx])
+        out["total"] = totals / 10 ** self.scale
+        yield out
 
     def close(self) -> None:
         pass

@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 
 from keyflow.functions.formats import counter_text, fraud_text
 from keyflow.functions.numeric import parity
+from keyflow.functions.parse import accepted, parse_behavior
+from keyflow.functions.text import tokenize
 from keyflow.operators.windows import event_time, window_count
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
-from keyflow.sources.tables import load
+from keyflow.sources.tables import behavior_lines, load
 from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
                                       q_resumed_events, upsert_batches)
 from keyflow.streaming.stateful import AdjacentPairMatcher, RetractChangelog, RunningCounter
@@ -136,6 +138,38 @@ def q_stream_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def q_stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of arriving lines counted per 5 s window (lines = event types, arrival = ts)."""
+    landing, sink, ckpt = _paths(spark, "windowed_word_count")
+    events = load(spark, sf_dir, "events").select("ts", "event_type")
+
+    def start():
+        stream = event_time(stream_table(spark, landing, schema=events.schema), "ts", "0 seconds")
+        words = tokenize(stream, "event_type", keep=("ts",))
+        return upsert_batches(window_count(words, "ts", ["word"], "5 seconds"), sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    out = latest_rows(spark, sink, ["window_start", "word"])
+    return _ntz(out, "window_start", "window_end")
+
+
+def q_stream_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV behaviour records parsed on the stream, 5 s watermark, 1 min windows per type."""
+    landing, sink, ckpt = _paths(spark, "behavior_counts")
+    events = load(spark, sf_dir, "events")
+
+    def start():
+        stream = stream_table(spark, landing, schema=events.schema)
+        ok = accepted(parse_behavior(behavior_lines(stream), "line", keep=("event_id",)))
+        timed = event_time(ok, "event_ts", "5 seconds", millis_col="ts_ms")
+        return upsert_batches(window_count(timed, "event_ts", ["behavior_type"], "1 minute"),
+                              sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    out = latest_rows(spark, sink, ["window_start", "behavior_type"])
+    return _ntz(out, "window_start", "window_end")
+
+
 STREAM_QUERIES = {
     "resumed_events": q_resumed_events,
     "stream_event_time_counts": q_stream_event_time_counts,
@@ -143,4 +177,6 @@ STREAM_QUERIES = {
     "stream_parity_counter": q_stream_parity_counter,
     "stream_fraud_pairs": q_stream_fraud_pairs,
     "stream_sales_changelog": q_stream_sales_changelog,
+    "stream_windowed_word_count": q_stream_windowed_word_count,
+    "stream_behavior_counts": q_stream_behavior_counts,
 }
