@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_ROWS_PER_CHUNK = 4_000_000
+# Session setting that overrides the default (e.g. per cluster memory size).
+ROWS_PER_CHUNK_CONF = "spark.keyflow.scan.rowsPerChunk"
 CHUNK = "_kf_chunk"
 _ORD = "_kf_ord"
 
@@ -69,7 +71,8 @@ def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None)
     ``ceil(rows / rows_per_chunk) - 1`` cut points.  Only these cut points
     (doubles) reach the driver.
     """
-    rows_per_chunk = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+    rows_per_chunk = rows_per_chunk or int(
+        df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, str(DEFAULT_ROWS_PER_CHUNK)))
     num = _order_number(df, order_col)
     grid = [i / _GRID for i in range(1, _GRID)]
     stats = df.select(F.count(F.lit(1)).alias("n"),

@@ -58,6 +58,10 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
     spark = build_session()
+    import os
+    if os.environ.get("KEYFLOW_ROWS_PER_CHUNK"):
+        from keyflow.operators.scan import ROWS_PER_CHUNK_CONF
+        spark.conf.set(ROWS_PER_CHUNK_CONF, os.environ["KEYFLOW_ROWS_PER_CHUNK"])
     con = duck(sf)
     bad = 0
     for name, fn in all_queries().items():

@@ -19,3 +19,19 @@ def test_query_matches_oracle(spark, con, name):
     assert name in ORACLES, f"{name} has no oracle"
     ok, msg = compare(spark, name, QUERIES[name], ORACLES[name], SF_ORACLE, con)
     assert ok, msg
+
+
+CHUNKED = ["rolling_word_count", "running_event_count", "running_average", "parity_counter",
+           "fraud_pairs", "rolling_cooccurrence", "sales_changelog"]
+
+
+@pytest.mark.parametrize("name", CHUNKED)
+def test_chunked_path_matches_oracle(spark, con, name):
+    """The same queries with tiny chunks, so every hot key is split across tasks."""
+    from keyflow.operators.scan import ROWS_PER_CHUNK_CONF
+    spark.conf.set(ROWS_PER_CHUNK_CONF, "97")
+    try:
+        ok, msg = compare(spark, name, QUERIES[name], ORACLES[name], SF_ORACLE, con)
+    finally:
+        spark.conf.unset(ROWS_PER_CHUNK_CONF)
+    assert ok, msg
