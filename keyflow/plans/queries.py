@@ -103,7 +103,7 @@ def q_fraud_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = page_log_lines(load(spark, sf_dir, "events"))
+    lines = page_log_lines(load(spark, sf_dir, "events", spread=True))
     return parse_page_log(lines, "line", keep=("arrival",))
 
 
