@@ -35,6 +35,53 @@ DEFAULT_BLOCK_SIZE = 512
 _DENSE_USER_SLICE = 2048
 
 
+def block_product(lu, li, ln, ru, ri, rn, n_users: int, size_p: int, size_q: int,
+                  method: str = "auto") -> np.ndarray:
+    """X_p^T X_q for one block pair from coordinate entries (user, index, count).
+
+    ``dense``: slices of users as dense matrices, multiplied with BLAS.
+    ``sparse``: per user, the outer product of its left and right entries,
+    accumulated with ``bincount`` (work = sum over users of left x right
+    entries).  ``auto`` picks the cheaper one.
+    """
+    lcount = np.bincount(lu, minlength=n_users)
+    rcount = np.bincount(ru, minlength=n_users)
+    if method == "auto":
+        sparse_work = int(np.dot(lcount.astype(np.int64), rcount.astype(np.int64)))
+        method = "dense" if n_users * size_p * size_q <= 16 * sparse_work + 1_000_000 else "sparse"
+    gram = np.zeros((size_p, size_q), dtype=np.float64)
+    if method == "dense":
+        for start in range(0, n_users, _DENSE_USER_SLICE):
+            stop = min(start + _DENSE_USER_SLICE, n_users)
+            lm = (lu >= start) & (lu < stop)
+            rm = (ru >= start) & (ru < stop)
+            xl = np.zeros((stop - start, size_p))
+            xr = np.zeros((stop - start, size_q))
+            np.add.at(xl, (lu[lm] - start, li[lm]), ln[lm])
+            np.add.at(xr, (ru[rm] - start, ri[rm]), rn[rm])
+            gram += xl.T @ xr
+        return gram
+    lo = np.argsort(lu, kind="stable")
+    ro = np.argsort(ru, kind="stable")
+    lu_s, li_s, ln_s = lu[lo], li[lo], ln[lo]
+    ri_s, rn_s = ri[ro], rn[ro]
+    rstart = np.concatenate([[0], np.cumsum(rcount)[:-1]])
+    reps = rcount[lu_s]                       # right entries paired with each left entry
+    for begin in range(0, len(lu_s), 1 << 16):
+        end = min(begin + (1 << 16), len(lu_s))
+        r = reps[begin:end]
+        total = int(r.sum())
+        if total == 0:
+            continue
+        left_pos = np.repeat(np.arange(begin, end), r)
+        offs = np.arange(total) - np.repeat(np.cumsum(r) - r, r)
+        right_pos = rstart[lu_s[left_pos]] + offs
+        flat = li_s[left_pos] * size_q + ri_s[right_pos]
+        gram += np.bincount(flat, weights=ln_s[left_pos] * rn_s[right_pos],
+                            minlength=size_p * size_q).reshape(size_p, size_q)
+    return gram
+
+
 def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
     """One group (block p, block q, user bucket): non-zero entries of X_p^T X_q."""
     p, q = int(pdf["_p"].iat[0]), int(pdf["_q"].iat[0])
@@ -54,45 +101,8 @@ def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
         return empty
     if (idx < 0).any():
         raise ValueError("co-occurrence: an item is missing from the declared domain")
-    lu, li, ln = uid[left], idx[left], n[left]
-    ru, ri, rn = uid[right], idx[right], n[right]
-    n_users = int(uid.max()) + 1
-    dense_flops = n_users * size_p * size_q
-    # sparse product work: sum over users of (#left entries) * (#right entries)
-    lcount = np.bincount(lu, minlength=n_users)
-    rcount = np.bincount(ru, minlength=n_users)
-    sparse_work = int(np.dot(lcount.astype(np.int64), rcount.astype(np.int64)))
-    gram = np.zeros((size_p, size_q), dtype=np.float64)
-    if dense_flops <= 16 * sparse_work + 1_000_000:
-        for start in range(0, n_users, _DENSE_USER_SLICE):
-            stop = min(start + _DENSE_USER_SLICE, n_users)
-            lm = (lu >= start) & (lu < stop)
-            rm = (ru >= start) & (ru < stop)
-            xl = np.zeros((stop - start, size_p))
-            xr = np.zeros((stop - start, size_q))
-            np.add.at(xl, (lu[lm] - start, li[lm]), ln[lm])
-            np.add.at(xr, (ru[rm] - start, ri[rm]), rn[rm])
-            gram += xl.T @ xr
-    else:
-        # Sparse: per user, outer product of its left and right entries,
-        # accumulated into the block with bincount (vectorised over users).
-        lo = np.argsort(lu, kind="stable")
-        ro = np.argsort(ru, kind="stable")
-        lu_s, li_s, ln_s = lu[lo], li[lo], ln[lo]
-        ri_s, rn_s = ri[ro], rn[ro]
-        rstart = np.concatenate([[0], np.cumsum(rcount)[:-1]])
-        reps = rcount[lu_s]                       # partners of each left entry
-        for begin in range(0, len(lu_s), 1 << 16):
-            end = min(begin + (1 << 16), len(lu_s))
-            r = reps[begin:end]
-            if r.sum() == 0:
-                continue
-            left_pos = np.repeat(np.arange(begin, end), r)
-            offs = np.arange(int(r.sum())) - np.repeat(np.cumsum(r) - r, r)
-            right_pos = rstart[lu_s[left_pos]] + offs
-            flat = li_s[left_pos] * size_q + ri_s[right_pos]
-            gram += np.bincount(flat, weights=ln_s[left_pos] * rn_s[right_pos],
-                                minlength=size_p * size_q).reshape(size_p, size_q)
+    gram = block_product(uid[left], idx[left], n[left], uid[right], idx[right], n[right],
+                         int(uid.max()) + 1, size_p, size_q)
     if p == q:
         gram = np.triu(gram, k=1)   # same block: index order is item order, keep a < b
     a, b = np.nonzero(gram)

@@ -85,3 +85,22 @@ def test_related_items_top_k(spark):
     got = [(r.item, r.related, r.rank) for r in related_items(pairs, k=2).orderBy("item", "rank").collect()]
     assert got == [("A", "B", 1), ("A", "C", 2), ("B", "A", 1), ("B", "C", 2), ("C", "A", 1),
                    ("C", "B", 2), ("D", "A", 1)]
+
+
+@pytest.mark.parametrize("method", ["dense", "sparse", "auto"])
+def test_block_product_methods_equal_brute_force(method):
+    import numpy as np
+
+    from keyflow.operators.cooccur import block_product
+    rng = np.random.default_rng(5)
+    n_users, size_p, size_q = 300, 17, 11
+    def entries(size, k):
+        pairs = {(int(rng.integers(n_users)), int(rng.integers(size))) for _ in range(k)}
+        u, i = map(np.array, zip(*sorted(pairs)))
+        return u, i, rng.integers(1, 5, len(u)).astype(float)
+    lu, li, ln = entries(size_p, 900)
+    ru, ri, rn = entries(size_q, 700)
+    xl = np.zeros((n_users, size_p)); xl[lu, li] = ln
+    xr = np.zeros((n_users, size_q)); xr[ru, ri] = rn
+    got = block_product(lu, li, ln, ru, ri, rn, n_users, size_p, size_q, method)
+    assert np.array_equal(got, xl.T @ xr)
