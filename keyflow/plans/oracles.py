@@ -141,6 +141,12 @@ FROM (SELECT doc_id, text,
                   AS BIGINT) AS text_len
       FROM documents)
 WHERE text_len >= 30
+""",
+    "text_lengths": r"""
+SELECT doc_id, text,
+       CAST(length(text) + length(regexp_replace(text, '[^\x{10000}-\x{10FFFF}]', '', 'g'))
+            AS BIGINT) AS text_len
+FROM documents
 """,
     "upper_map": "SELECT p_partkey, p_name, upper(p_name) AS upper_name FROM part",
     "double_even": """

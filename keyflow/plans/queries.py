@@ -45,10 +45,14 @@ def q_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_count(words, "ts", ["word"], "5 seconds")
 
 
-def q_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (text, length) tuples before filtering."""
     docs = load(spark, sf_dir, "documents", spread=True)
-    sized = docs.select("doc_id", "text", text_length("text").alias("text_len"))
-    return sized.filter(F.col("text_len") >= 30)
+    return docs.select("doc_id", "text", text_length("text").alias("text_len"))
+
+
+def q_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_text_lengths(spark, sf_dir).filter(F.col("text_len") >= 30)
 
 
 def q_upper_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,6 +205,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "rolling_word_count": q_rolling_word_count,
     "windowed_word_count": q_windowed_word_count,
+    "text_lengths": q_text_lengths,
     "length_filter": q_length_filter,
     "upper_map": q_upper_map,
     "double_even": q_double_even,
