@@ -1,10 +1,10 @@
 from keyflow.sources.tables import (SCHEMAS, TABLES, behavior_lines, load, page_log_lines,
                                    table_path)
-from keyflow.sources.streams import (kafka_options, kafka_values, rate_stream, socket_options,
-                                    stream_table, text_stream)
+from keyflow.sources.streams import (kafka_options, kafka_values, micro_batch_rate, rate_stream,
+                                    socket_options, stream_table, text_stream)
 
 __all__ = ["SCHEMAS", "TABLES", "behavior_lines", "load", "page_log_lines", "table_path",
-           "kafka_options", "kafka_values", "rate_stream", "socket_options", "stream_table",
+           "kafka_options", "kafka_values", "micro_batch_rate", "rate_stream", "socket_options", "stream_table",
            "text_stream"]
 from keyflow.sources.generators import (constant_key_stream, counter, disordered_events,  # noqa: E402
                                         generated_orders, labelled_counter)

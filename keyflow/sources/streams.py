@@ -39,6 +39,16 @@ def rate_stream(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
     return (spark.readStream.format("rate").option("rowsPerSecond", str(rows_per_second)).load())
 
 
+def micro_batch_rate(spark: SparkSession, rows_per_batch: int = 1, advance_ms: int = 1000,
+                     start_ms: int = 0) -> DataFrame:
+    """Deterministic counter stream: each micro-batch adds ``rows_per_batch`` rows and
+    moves the generated ``timestamp`` by ``advance_ms`` (replayable, for tests and demos)."""
+    return (spark.readStream.format("rate-micro-batch")
+            .option("rowsPerBatch", str(rows_per_batch))
+            .option("advanceMillisPerBatch", str(advance_ms))
+            .option("startTimestamp", str(start_ms)).load())
+
+
 def kafka_options(servers: str, topic: str, group_id: str | None = None,
                   starting_offsets: str = "latest") -> dict[str, str]:
     """Reader options for ``readStream.format("kafka")`` (connector jar supplied by the cluster)."""
