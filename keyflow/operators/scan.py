@@ -139,6 +139,32 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         for n in measures])
 
 
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                out: str, exclusive: bool = False, rows_per_chunk: int | None = None) -> DataFrame:
+    """Append the running maximum of ``value`` per key in ``order`` (``exclusive``: rows before).
+
+    Chunked like :func:`running_sums`: a local maximum inside each chunk
+    combined with the maximum of all earlier chunks of the key.  With no
+    keys this is a global scan, still spread over chunks.
+    """
+    keys, order = list(keys), list(order)
+    base_cols = list(df.columns)
+    end = -1 if exclusive else Window.currentRow
+    src, chunked = add_chunks(df, order[0], rows_per_chunk)
+    part = [*keys, CHUNK] if chunked else keys
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    local = src.select(*base_cols, *([CHUNK] if chunked else []), F.max(value).over(w).alias("_kf_lmax"))
+    if not chunked:
+        return local.withColumnRenamed("_kf_lmax", out)
+    summary = src.groupBy(*keys, CHUNK).agg(F.max(value).alias("_kf_cmax"))
+    wk = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = summary.select(*[F.col(k).alias(f"_kf_k_{k}") for k in [*keys, CHUNK]],
+                             F.max("_kf_cmax").over(wk).alias("_kf_omax"))
+    joined = local.join(offsets, _null_safe_on(local, offsets, [*keys, CHUNK], "_kf_k_"), "inner")
+    # greatest() skips nulls: the first rows of a key have no earlier maximum
+    return joined.select(*base_cols, F.greatest("_kf_lmax", "_kf_omax").alias(out))
+
+
 def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
                 prefix: str = "next_", rows_per_chunk: int | None = None) -> DataFrame:
     """Append ``prefix + c`` = value of ``c`` on the next row of the same key (``lead``).

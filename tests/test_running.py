@@ -114,3 +114,17 @@ def test_changelog_folds_to_grouped_sum(spark, rows_per_chunk):
     folded = {r.product: r.total for r in fold_changelog(out, "product").collect()}
     want = {r.product: r.s for r in df.groupBy("product").agg(F.sum("sale").alias("s")).collect()}
     assert folded == pytest.approx(want)
+
+
+@pytest.mark.parametrize("keys", [["key"], []])
+@pytest.mark.parametrize("rows_per_chunk", [9, 10_000])
+def test_chunked_running_max_equals_plain_window(spark, keys, rows_per_chunk):
+    from keyflow.operators import running_max
+    df = spark.range(0, 400).select(
+        (F.col("id") % 3).alias("key"), F.col("id").alias("t"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") * 7919) % 1000).alias("v"))
+    for exclusive in (False, True):
+        got = running_max(df, keys, ["t"], "v", "m", exclusive=exclusive, rows_per_chunk=rows_per_chunk)
+        w = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+        want = df.select("*", F.max("v").over(w).alias("m"))
+        assert _rows(got) == _rows(want)
