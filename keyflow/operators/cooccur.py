@@ -208,7 +208,7 @@ def related_items(pairs: DataFrame, k: int = 3) -> DataFrame:
 
 
 def rolling_cooccurrence(df: DataFrame, user: str, item: str, order: Sequence[str],
-                         domain: Sequence[str] | None = None, max_domain: int = 256,
+                         domain: Sequence | None = None, dense_max: int = 64,
                          rows_per_chunk: int | None = None) -> DataFrame:
     """Running pair totals as views arrive (the stateful per-user item history).
 
@@ -218,29 +218,44 @@ def rolling_cooccurrence(df: DataFrame, user: str, item: str, order: Sequence[st
     One row per (view, earlier item) - the reference prints ``inc`` rows that
     count up to the same ``cnt``.
 
-    Earlier views per item are running sums over a bounded item ``domain``
-    (collected when not given; at most ``max_domain`` items).  Both running
-    sums are skew-safe chunked scans, so a hot user or hot pair is split.
+    Earlier views per item come from running counts:
+
+    * small catalogues (``domain`` given or probed, at most ``dense_max``
+      items): one running sum per catalogue item over the user's views;
+    * otherwise: each view is joined with its own user's distinct items and a
+      running count runs per (user, other item) - rows grow with the output,
+      and no catalogue reaches the driver.
+
+    Both running sums are skew-safe chunked scans, so a hot user or a hot
+    pair is split across tasks.
     """
-    if domain is None:
-        found = [r[0] for r in df.select(item).distinct().limit(max_domain + 1).collect()]
-        if len(found) > max_domain:
-            raise ValueError(f"{item!r} has more than {max_domain} distinct values; "
-                             "pass the domain explicitly or raise max_domain")
-        domain = sorted(v for v in found if v is not None)
     order = list(order)
-    measures = {f"_kf_v{j}": (F.col(item) == F.lit(v)).cast("int") for j, v in enumerate(domain)}
-    seen = running_sums(df.select(user, item, *order), [user], order, measures,
-                        rows_per_chunk=rows_per_chunk)
-    earlier = F.array(*[
-        F.struct(F.lit(v).alias("other"),
-                 (F.col(f"_kf_v{j}") - (F.col(item) == F.lit(v)).cast("int")).alias("inc"))
-        for j, v in enumerate(domain)])
-    incs = (seen.select(user, item, *order, F.explode(earlier).alias("_kf_e"))
-                .filter((F.col("_kf_e.inc") > 0) & (F.col("_kf_e.other") != F.col(item)))
-                .select(user, item, *order,
-                        F.least(F.col(item), F.col("_kf_e.other")).alias("item_a"),
-                        F.greatest(F.col(item), F.col("_kf_e.other")).alias("item_b"),
-                        F.col("_kf_e.inc").cast("bigint").alias("inc")))
+    if domain is None:
+        probe = [r[0] for r in df.select(item).distinct().limit(dense_max + 1).collect()]
+        if len(probe) <= dense_max:
+            domain = probe
+    views = df.select(user, item, *order)
+    if domain is not None and len(domain) <= dense_max:
+        domain = sorted(v for v in set(domain) if v is not None)
+        measures = {f"_kf_v{j}": (F.col(item) == F.lit(v)).cast("int") for j, v in enumerate(domain)}
+        seen = running_sums(views, [user], order, measures, rows_per_chunk=rows_per_chunk)
+        earlier = F.array(*[
+            F.struct(F.lit(v).alias("other"),
+                     (F.col(f"_kf_v{j}") - (F.col(item) == F.lit(v)).cast("int")).alias("inc"))
+            for j, v in enumerate(domain)])
+        per_other = seen.select(user, item, *order, F.explode(earlier).alias("_kf_e")).select(
+            user, item, *order, F.col("_kf_e.other").alias("_kf_other"), F.col("_kf_e.inc").alias("inc"))
+    else:
+        items = views.select(F.col(user).alias("_kf_u"), F.col(item).alias("_kf_other")).distinct()
+        expanded = views.join(items, views[user] == items["_kf_u"]).drop("_kf_u")
+        # rows of other items count 0 for themselves, so the inclusive count is "earlier views"
+        per_other = running_sums(expanded, [user, "_kf_other"], order,
+                                 {"inc": (F.col(item) == F.col("_kf_other")).cast("int")},
+                                 rows_per_chunk=rows_per_chunk)
+    incs = (per_other.filter((F.col("inc") > 0) & (F.col("_kf_other") != F.col(item)))
+                     .select(user, item, *order,
+                             F.least(F.col(item), F.col("_kf_other")).alias("item_a"),
+                             F.greatest(F.col(item), F.col("_kf_other")).alias("item_b"),
+                             F.col("inc").cast("bigint").alias("inc")))
     return running_sums(incs, ["item_a", "item_b"], order, {"cnt": F.col("inc")},
                         rows_per_chunk=rows_per_chunk)

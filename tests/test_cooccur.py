@@ -60,18 +60,20 @@ def test_declared_domain_and_weights(spark):
     assert got == {("A", "B"): 6, ("B", "C"): 4}
 
 
-def test_rolling_fixture_a14(spark):
-    out = rolling_cooccurrence(views_df(spark), "user_id", "item", ["seq"])
+@pytest.mark.parametrize("dense_max", [64, 0])
+def test_rolling_fixture_a14(spark, dense_max):
+    out = rolling_cooccurrence(views_df(spark), "user_id", "item", ["seq"], dense_max=dense_max)
     got = [(r.seq, r.item_a, r.item_b, r.inc, r.cnt) for r in out.orderBy("seq", "item_a", "item_b").collect()]
     assert got == [(2, "itemA", "itemC", 1, 1), (4, "itemB", "itemC", 1, 1),
                    (5, "itemA", "itemB", 1, 1), (5, "itemB", "itemC", 1, 2), (6, "itemA", "itemD", 1, 1)]
 
 
+@pytest.mark.parametrize("dense_max", [64, 0])
 @pytest.mark.parametrize("rows_per_chunk", [4, 10_000])
-def test_rolling_final_totals_equal_totals(spark, rows_per_chunk):
+def test_rolling_final_totals_equal_totals(spark, rows_per_chunk, dense_max):
     rows = [(f"u{k % 6}", f"i{(k * 3) % 5}") for k in range(90)]
     out = rolling_cooccurrence(views_df(spark, rows), "user_id", "item", ["seq"],
-                               rows_per_chunk=rows_per_chunk)
+                               dense_max=dense_max, rows_per_chunk=rows_per_chunk)
     final = {(r.item_a, r.item_b): r.cnt for r in
              out.groupBy("item_a", "item_b").agg(F.max("cnt").alias("cnt")).collect()}
     assert final == brute_force(rows)
