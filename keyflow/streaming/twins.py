@@ -153,6 +153,24 @@ def q_stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "window_start", "window_end")
 
 
+def q_stream_rolling_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-record running total of each word from keyed value state (conversations by conv_id)."""
+    landing, sink, ckpt = _paths(spark, "rolling_word_count")
+    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+
+    def start():
+        stream = stream_table(spark, landing, schema=conv.schema)
+        words = tokenize(stream, "text", keep=("conv_id", "turn"), with_position=True)
+        counted = words.groupBy("word").transformWithStateInPandas(
+            statefulProcessor=RunningCounter(["conv_id", "turn", "pos"], ["conv_id", "turn", "pos", "word"]),
+            outputStructType="conv_id long, turn long, pos int, word string, cnt long",
+            outputMode="Append", timeMode="None")
+        return resumable_stream(counted, sink, ckpt)
+
+    run_in_slices(spark, conv, "conv_id", N_SLICES, landing, start)
+    return spark.read.parquet(sink)
+
+
 def q_stream_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV behaviour records parsed on the stream, 5 s watermark, 1 min windows per type."""
     landing, sink, ckpt = _paths(spark, "behavior_counts")
@@ -179,4 +197,5 @@ STREAM_QUERIES = {
     "stream_sales_changelog": q_stream_sales_changelog,
     "stream_windowed_word_count": q_stream_windowed_word_count,
     "stream_behavior_counts": q_stream_behavior_counts,
+    "stream_rolling_word_count": q_stream_rolling_word_count,
 }
