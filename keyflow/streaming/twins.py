@@ -65,7 +65,7 @@ def _counter_stream(spark: SparkSession, sf_dir: str, name: str, key: str, cols:
         out_cols = [c for c in stream.columns if c != "ts"]
         out_schema = T.StructType([stream.schema[c] for c in out_cols]
                                   + [T.StructField("cnt", T.LongType())])
-        counted = stream.groupBy(key).transformWithStateInPandas(
+        counted = stream.groupBy(key).transformWithState(
             statefulProcessor=RunningCounter(["ts", "event_id"], out_cols),
             outputStructType=out_schema, outputMode="Append", timeMode="None")
         return resumable_stream(counted, sink, ckpt)
@@ -127,7 +127,7 @@ def q_stream_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def start():
         stream = stream_table(spark, landing, schema=orders.schema)
-        changes = stream.groupBy("product_id").transformWithStateInPandas(
+        changes = stream.groupBy("product_id").transformWithState(
             statefulProcessor=RetractChangelog(["o_orderkey"], "o_totalprice",
                                                ["product_id", "o_orderkey"]),
             outputStructType="product_id long, o_orderkey long, op string, seq int, total double",
@@ -161,7 +161,7 @@ def q_stream_rolling_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start():
         stream = stream_table(spark, landing, schema=conv.schema)
         words = tokenize(stream, "text", keep=("conv_id", "turn"), with_position=True)
-        counted = words.groupBy("word").transformWithStateInPandas(
+        counted = words.groupBy("word").transformWithState(
             statefulProcessor=RunningCounter(["conv_id", "turn", "pos"], ["conv_id", "turn", "pos", "word"]),
             outputStructType="conv_id long, turn long, pos int, word string, cnt long",
             outputMode="Append", timeMode="None")

@@ -3,6 +3,8 @@
 import datetime as dt
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +48,7 @@ def test_late_row_is_dropped_fixture_c8(spark):
 
 def _run_counter(spark, landing, sink, ckpt):
     stream = stream_table(spark, landing, schema=SCHEMA)
-    out = stream.groupBy("user_id").transformWithStateInPandas(
+    out = stream.groupBy("user_id").transformWithState(
         statefulProcessor=RunningCounter(["ts", "event_id"], ["event_id", "user_id"]),
         outputStructType="event_id long, user_id string, cnt long", outputMode="Append", timeMode="None")
     q = resumable_stream(out, sink, ckpt)
@@ -119,7 +121,7 @@ def test_retract_changelog_processor_across_batches(spark):
 
     def run():
         stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
-        out = stream.groupBy("product").transformWithStateInPandas(
+        out = stream.groupBy("product").transformWithState(
             statefulProcessor=RetractChangelog(["n"], "sale", ["product", "n"]),
             outputStructType="product string, n long, op string, seq int, total double",
             outputMode="Append", timeMode="None")
@@ -159,3 +161,26 @@ def test_page_analysis_fan_out(spark):
     assert [(r.page, r.cnt) for r in alerts] == [("/hot", 101)]
     views = {(r.page, r.cnt) for r in latest_rows(spark, f"{base}/views", ["window_start", "page"]).collect()}
     assert views == {("/hot", 101), ("/warm", 100)}
+
+
+def test_running_mean_fixture_a10_as_stream(spark):
+    from keyflow.streaming.stateful import RunningMean
+    base = shared_path(spark, "tests", "mean", fresh=True)
+    landing, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    schema = "seq long, sensor string, reading double"
+    rows = [(1, "s1", 10.5), (2, "s1", 11.2), (3, "s2", 22.1), (4, "s1", 12.8), (5, "s2", 23.4)]
+
+    def run():
+        stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
+        out = stream.groupBy("sensor").transformWithState(
+            statefulProcessor=RunningMean(["seq"], ["seq", "sensor"], "reading"),
+            outputStructType="seq long, sensor string, avg_value double",
+            outputMode="Append", timeMode="None")
+        resumable_stream(out, sink, ckpt).awaitTermination()
+
+    spark.createDataFrame(rows[:2], schema).write.mode("append").parquet(landing)
+    run()
+    spark.createDataFrame(rows[2:], schema).write.mode("append").parquet(landing)
+    run()
+    got = [r.avg_value for r in spark.read.parquet(sink).orderBy("seq").collect()]
+    assert got == pytest.approx([10.5, 10.85, 22.1, 11.5, 22.75], abs=1e-9)
