@@ -89,7 +89,8 @@ def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
     blk = pdf["_blk"].to_numpy()
     idx = pdf["_idx"].to_numpy().astype(np.int64)
     n = pdf["n"].to_numpy().astype(np.float64)
-    _, uid = np.unique(users, return_inverse=True)
+    uid, _ = pd.factorize(users, use_na_sentinel=False)   # a null user is one user
+    uid = uid.astype(np.int64)
     left = blk == p
     right = blk == q
     size_p = int(idx[left].max()) + 1 if left.any() else 0
