@@ -15,12 +15,19 @@ from keyflow.sources.tables import SCHEMAS
 
 def stream_table(spark: SparkSession, path: str, name: str | None = None,
                  schema: T.StructType | None = None, max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: int | None = None,
                  event_time_cols: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """Parquet files under ``path`` as an unbounded stream (replayable, offsets checkpointed)."""
+    """Parquet files under ``path`` as an unbounded stream (replayable, offsets checkpointed).
+
+    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound each
+    micro-batch, and with it the rows of one key that a stateful task sees.
+    """
     schema = schema or SCHEMAS[name]
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     df = reader.load(path)
     for c in event_time_cols:
         if c in df.columns and isinstance(schema[c].dataType, T.TimestampNTZType):
