@@ -181,7 +181,7 @@ def q_behavior_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_behavior_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON behaviour records (plus the raw ``props`` JSON as malformed records)."""
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events", spread=True)
     record = F.to_json(F.struct(F.col("user_id").cast("string").alias("userId"),
                                 F.col("event_id").cast("string").alias("itemId"),
                                 F.col("event_type").alias("behaviorType"),
