@@ -49,8 +49,6 @@ def _order_number(df: DataFrame, col: str) -> Column:
         num = F.unix_micros(c.cast("timestamp")).cast("double")
     elif isinstance(dtype, T.DateType):
         num = F.unix_date(c).cast("double")
-    elif isinstance(dtype, T.StringType):
-        raise TypeError(f"order column {col!r} must be numeric or temporal to be chunked")
     else:
         num = c.cast("double")
     return F.coalesce(num, F.lit(float("-inf")))
@@ -73,6 +71,11 @@ def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None)
     """
     rows_per_chunk = rows_per_chunk or int(
         df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, str(DEFAULT_ROWS_PER_CHUNK)))
+    if isinstance(df.schema[order_col].dataType, T.StringType):
+        if math.ceil(df.count() / rows_per_chunk) <= 1:
+            return df, False
+        raise TypeError(f"order column {order_col!r} is text; lead the order with a numeric or "
+                        "temporal column so large keys can be cut into chunks")
     num = _order_number(df, order_col)
     grid = [i / _GRID for i in range(1, _GRID)]
     stats = df.select(F.count(F.lit(1)).alias("n"),
