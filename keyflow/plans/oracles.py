@@ -264,5 +264,6 @@ FROM r WHERE n = 1 OR v <> 0
     "stream_parity_counter": _PARITY_COUNTER,
     "stream_fraud_pairs": _FRAUD,
 }
-for _twin in ("sales_changelog", "windowed_word_count", "behavior_counts", "rolling_word_count"):
+for _twin in ("sales_changelog", "windowed_word_count", "behavior_counts", "rolling_word_count",
+              "rolling_cooccurrence"):
     ORACLES[f"stream_{_twin}"] = ORACLES[_twin]

@@ -46,11 +46,13 @@ class RunningCounter(StatefulProcessor):
     """Per-key counter with default 0 (value state): ``cnt`` after each row.
 
     Row API (``transformWithState``).  The stream form of the running event
-    count, the parity counter and the rolling word count.
+    count, the parity counter and the rolling word count; with ``weight`` it
+    adds that column instead of 1 (running pair totals).
     """
 
-    def __init__(self, order: Sequence[str], out_cols: Sequence[str], count: str = "cnt"):
-        self.order, self.out_cols, self.count = list(order), list(out_cols), count
+    def __init__(self, order: Sequence[str], out_cols: Sequence[str], count: str = "cnt",
+                 weight: str | None = None):
+        self.order, self.out_cols, self.count, self.weight = list(order), list(out_cols), count, weight
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("count", "c long")
@@ -59,7 +61,7 @@ class RunningCounter(StatefulProcessor):
         current = self.state.get()
         n = current[0] if current is not None else 0
         for r in _ordered(rows, self.order):
-            n += 1
+            n += r[self.weight] if self.weight else 1
             yield Row(**{c: r[c] for c in self.out_cols}, **{self.count: n})
         self.state.update((n,))
 

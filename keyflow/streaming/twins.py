@@ -22,7 +22,8 @@ from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import behavior_lines, load
 from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
                                       q_resumed_events, upsert_batches)
-from keyflow.streaming.stateful import AdjacentPairMatcher, RetractChangelog, RunningCounter
+from keyflow.streaming.stateful import (AdjacentPairMatcher, ItemHistory, RetractChangelog,
+                                       RunningCounter)
 
 N_SLICES = 3
 
@@ -188,6 +189,32 @@ def q_stream_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "window_start", "window_end")
 
 
+_PAIR_COLS = ["event_id", "ts", "user_id", "event_type", "item_a", "item_b", "inc"]
+
+
+def q_stream_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two chained keyed states: item history per user, then running totals per item pair."""
+    landing, sink, ckpt = _paths(spark, "rolling_cooccurrence")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+
+    def start():
+        stream = stream_table(spark, landing, schema=events.schema)
+        incs = stream.groupBy("user_id").transformWithStateInPandas(
+            statefulProcessor=ItemHistory(["ts", "event_id"], "event_type", ["event_id", "ts", "user_id"]),
+            outputStructType="event_id long, ts timestamp, user_id long, event_type string, "
+                             "item_a string, item_b string, inc long",
+            outputMode="Append", timeMode="None")
+        totals = incs.groupBy("item_a", "item_b").transformWithState(
+            statefulProcessor=RunningCounter(["ts", "event_id"], _PAIR_COLS, weight="inc"),
+            outputStructType="event_id long, ts timestamp, user_id long, event_type string, "
+                             "item_a string, item_b string, inc long, cnt long",
+            outputMode="Append", timeMode="None")
+        return resumable_stream(totals, sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    return _ntz(spark.read.parquet(sink), "ts")
+
+
 STREAM_QUERIES = {
     "resumed_events": q_resumed_events,
     "stream_event_time_counts": q_stream_event_time_counts,
@@ -198,4 +225,5 @@ STREAM_QUERIES = {
     "stream_windowed_word_count": q_stream_windowed_word_count,
     "stream_behavior_counts": q_stream_behavior_counts,
     "stream_rolling_word_count": q_stream_rolling_word_count,
+    "stream_rolling_cooccurrence": q_stream_rolling_cooccurrence,
 }
