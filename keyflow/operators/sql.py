@@ -20,15 +20,9 @@ GROUP BY product_id
 """
 
 
-def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_orders") -> str:
-    """Declare the sales table over lineitem: order line = sale of a part.
-
-    ``proc_time`` is the processing-time attribute (``PROCTIME()``); the
-    aggregate never reads it, and column pruning drops it.  The base table is
-    a temp view over the parquet scan (spread over the cores when it comes as
-    a single split; see :func:`keyflow.sources.tables.spread_rows`).
-    """
-    load(spark, sf_dir, "lineitem", spread=True).createOrReplaceTempView(f"{view}_lineitem")
+def declare_sales_view(spark: SparkSession, lineitem: DataFrame, view: str) -> str:
+    """The DDL part over any lineitem-shaped frame, batch or streaming."""
+    lineitem.createOrReplaceTempView(f"{view}_lineitem")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY VIEW {view} AS
         SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS order_id,
@@ -41,6 +35,17 @@ def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_
     return view
 
 
+def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_orders") -> str:
+    """Declare the sales table over lineitem: order line = sale of a part.
+
+    ``proc_time`` is the processing-time attribute (``PROCTIME()``); the
+    aggregate never reads it, and column pruning drops it.  The base table is
+    a temp view over the parquet scan (spread over the cores when it comes as
+    a single split; see :func:`keyflow.sources.tables.spread_rows`).
+    """
+    return declare_sales_view(spark, load(spark, sf_dir, "lineitem", spread=True), view)
+
+
 def sales_per_product(spark: SparkSession, view: str) -> DataFrame:
     """``SELECT product_id, SUM(amount * price) AS total_sales ... GROUP BY product_id``.
 

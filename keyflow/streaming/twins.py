@@ -16,6 +16,7 @@ from keyflow.functions.formats import counter_text, fraud_text
 from keyflow.functions.numeric import parity
 from keyflow.functions.parse import accepted, parse_behavior
 from keyflow.functions.text import tokenize
+from keyflow.operators.sql import declare_sales_view, sales_per_product
 from keyflow.operators.windows import event_time, window_count
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
@@ -189,6 +190,21 @@ def q_stream_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "window_start", "window_end")
 
 
+def q_stream_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales SQL over a streaming view: a continuously updated SUM per product."""
+    landing, sink, ckpt = _paths(spark, "product_sales")
+    lineitem = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+    def start():
+        stream = stream_table(spark, landing, schema=lineitem.schema)
+        view = declare_sales_view(spark, stream, "kf_stream_sales")
+        return upsert_batches(sales_per_product(spark, view), sink, ckpt)
+
+    run_in_slices(spark, lineitem, "l_orderkey", N_SLICES, landing, start)
+    return latest_rows(spark, sink, ["product_id"])
+
+
 _PAIR_COLS = ["event_id", "ts", "user_id", "event_type", "item_a", "item_b", "inc"]
 
 
@@ -226,4 +242,5 @@ STREAM_QUERIES = {
     "stream_behavior_counts": q_stream_behavior_counts,
     "stream_rolling_word_count": q_stream_rolling_word_count,
     "stream_rolling_cooccurrence": q_stream_rolling_cooccurrence,
+    "stream_product_sales": q_stream_product_sales,
 }
