@@ -20,7 +20,7 @@ from keyflow.operators.sql import declare_sales_view, sales_per_product
 from keyflow.operators.windows import event_time, window_count
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
-from keyflow.sources.tables import behavior_lines, load
+from keyflow.sources.tables import behavior_lines, load, page_log_lines
 from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
                                       q_resumed_events, upsert_batches)
 from keyflow.streaming.stateful import (AdjacentPairMatcher, ItemHistory, RetractChangelog,
@@ -205,6 +205,37 @@ def q_stream_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_rows(spark, sink, ["product_id"])
 
 
+def _page_analysis(spark: SparkSession, sf_dir: str, output: str) -> DataFrame:
+    """Run the two-output page analysis (views + alerts) over sliced events; read one output."""
+    from keyflow.plans.queries import TRAFFIC_THRESHOLD, TRAFFIC_WINDOW
+    from keyflow.streaming.fanout import start_page_analysis
+
+    base = shared_path(spark, "twins", "page_analysis", fresh=True)
+    landing = f"{base}/landing"
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+
+    def start():
+        lines = page_log_lines(stream_table(spark, landing, schema=events.schema))
+        queries = start_page_analysis(lines, base, "arrival", alert_size=TRAFFIC_WINDOW,
+                                      threshold=TRAFFIC_THRESHOLD)
+        queries["views"].awaitTermination()
+        return queries["alerts"]
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    out = latest_rows(spark, f"{base}/{output}", ["window_start", "page"])
+    return _ntz(out, "window_start", "window_end")
+
+
+def q_stream_sliding_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding page views from the two-output page analysis stream."""
+    return _page_analysis(spark, sf_dir, "views")
+
+
+def q_stream_traffic_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold alerts from the two-output page analysis stream."""
+    return _page_analysis(spark, sf_dir, "alerts")
+
+
 _PAIR_COLS = ["event_id", "ts", "user_id", "event_type", "item_a", "item_b", "inc"]
 
 
@@ -243,4 +274,6 @@ STREAM_QUERIES = {
     "stream_rolling_word_count": q_stream_rolling_word_count,
     "stream_rolling_cooccurrence": q_stream_rolling_cooccurrence,
     "stream_product_sales": q_stream_product_sales,
+    "stream_sliding_page_views": q_stream_sliding_page_views,
+    "stream_traffic_alerts": q_stream_traffic_alerts,
 }
