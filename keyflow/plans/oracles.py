@@ -265,5 +265,7 @@ FROM r WHERE n = 1 OR v <> 0
     "stream_fraud_pairs": _FRAUD,
 }
 for _twin in ("sales_changelog", "windowed_word_count", "behavior_counts", "rolling_word_count",
-              "rolling_cooccurrence", "product_sales", "sliding_page_views", "traffic_alerts"):
+              "rolling_cooccurrence", "product_sales", "sliding_page_views", "traffic_alerts",
+              "upper_map", "double_even", "guarded_double", "running_average", "arrival_window_sum",
+              "item_cooccurrence"):
     ORACLES[f"stream_{_twin}"] = ORACLES[_twin]

@@ -13,18 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyflow.functions.formats import counter_text, fraud_text
-from keyflow.functions.numeric import parity
+from keyflow.functions.numeric import doubled, guarded_double, is_even, parity
 from keyflow.functions.parse import accepted, parse_behavior
-from keyflow.functions.text import tokenize
+from keyflow.functions.text import tokenize, upper_text
 from keyflow.operators.sql import declare_sales_view, sales_per_product
-from keyflow.operators.windows import event_time, window_count
+from keyflow.operators.windows import event_time, window_count, window_sum
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import behavior_lines, load, page_log_lines
 from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
                                       q_resumed_events, upsert_batches)
 from keyflow.streaming.stateful import (AdjacentPairMatcher, ItemHistory, RetractChangelog,
-                                       RunningCounter)
+                                       RunningCounter, RunningMean)
 
 N_SLICES = 3
 
@@ -236,6 +236,91 @@ def q_stream_traffic_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_analysis(spark, sf_dir, "alerts")
 
 
+def _append_twin(spark: SparkSession, name: str, table: DataFrame, slice_col: str, transform) -> DataFrame:
+    """Land ``table`` in slices; stream ``transform(stream)`` into an append-mode file sink."""
+    landing, sink, ckpt = _paths(spark, name)
+
+    def start():
+        return resumable_stream(transform(stream_table(spark, landing, schema=table.schema)), sink, ckpt)
+
+    run_in_slices(spark, table, slice_col, N_SLICES, landing, start)
+    return spark.read.parquet(sink)
+
+
+def q_stream_upper_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upper-case map over a stream of parts."""
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return _append_twin(spark, "upper_map", part, "p_partkey", lambda st: st.select(
+        "p_partkey", "p_name", upper_text("p_name").alias("upper_name")))
+
+
+def q_stream_double_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Double, then keep even, over a stream of event ids."""
+    ev = load(spark, sf_dir, "events").select("event_id")
+    return _append_twin(spark, "double_even", ev, "event_id", lambda st: st.select(
+        "event_id", doubled("event_id").alias("doubled")).filter(is_even("doubled")))
+
+
+def q_stream_guarded_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The guarded map on a stream: failure points quarantined, the stream keeps running."""
+    ev = load(spark, sf_dir, "events").select("event_id")
+    return _append_twin(spark, "guarded_double", ev, "event_id",
+                        lambda st: guarded_double(st, "event_id"))
+
+
+def q_stream_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user running mean from keyed (count, total) value state."""
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return _append_twin(spark, "running_average", ev, "ts", lambda st: st.groupBy("user_id").transformWithState(
+        statefulProcessor=RunningMean(["ts", "event_id"], ["event_id", "user_id", "value"], "value"),
+        outputStructType="event_id long, user_id long, value double, avg_value double",
+        outputMode="Append", timeMode="None"))
+
+
+def q_stream_arrival_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constant key, 5 s windows of arrival time, update mode, folded per window."""
+    landing, sink, ckpt = _paths(spark, "arrival_window_sum")
+    events = load(spark, sf_dir, "events").select("ts")
+
+    def start():
+        stream = stream_table(spark, landing, schema=events.schema).select(
+            F.col("ts").alias("arrival"), F.lit("key").alias("key"), F.lit(1).alias("n"))
+        stream = event_time(stream, "arrival", "0 seconds")
+        return upsert_batches(window_sum(stream, "arrival", ["key"], "n", "5 seconds"), sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    return _ntz(latest_rows(spark, sink, ["window_start", "key"]), "window_start", "window_end")
+
+
+def q_stream_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand co-occurrence totals from streamed order lines.
+
+    Order lines stream in and join the static part and orders tables; item
+    history per customer emits pair increments; a per-pair running total
+    keeps the totals; the latest total per pair is the co-occurrence.
+    """
+    lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+
+    def transform(stream):
+        views = stream.join(part, "l_partkey").join(orders, "l_orderkey")
+        incs = views.groupBy("o_custkey").transformWithStateInPandas(
+            statefulProcessor=ItemHistory(["l_orderkey", "l_linenumber"], "p_brand",
+                                          ["l_orderkey", "l_linenumber"]),
+            outputStructType="l_orderkey long, l_linenumber int, p_brand string, item_a string, "
+                             "item_b string, inc long",
+            outputMode="Append", timeMode="None")
+        return incs.groupBy("item_a", "item_b").transformWithState(
+            statefulProcessor=RunningCounter(["l_orderkey", "l_linenumber"], ["item_a", "item_b"],
+                                             weight="inc"),
+            outputStructType="item_a string, item_b string, cnt long",
+            outputMode="Append", timeMode="None")
+
+    out = _append_twin(spark, "item_cooccurrence", lineitem, "l_orderkey", transform)
+    return out.groupBy("item_a", "item_b").agg(F.max("cnt").alias("cnt"))
+
+
 _PAIR_COLS = ["event_id", "ts", "user_id", "event_type", "item_a", "item_b", "inc"]
 
 
@@ -276,4 +361,10 @@ STREAM_QUERIES = {
     "stream_product_sales": q_stream_product_sales,
     "stream_sliding_page_views": q_stream_sliding_page_views,
     "stream_traffic_alerts": q_stream_traffic_alerts,
+    "stream_upper_map": q_stream_upper_map,
+    "stream_double_even": q_stream_double_even,
+    "stream_guarded_double": q_stream_guarded_double,
+    "stream_running_average": q_stream_running_average,
+    "stream_arrival_window_sum": q_stream_arrival_window_sum,
+    "stream_item_cooccurrence": q_stream_item_cooccurrence,
 }
