@@ -31,15 +31,18 @@ EVENT_ORDER = ["ts", "event_id"]
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word totals over all document texts (lower-cased, split on whitespace)."""
     return word_count(load(spark, sf_dir, "documents", spread=True), "text")
 
 
 def q_rolling_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word occurrence with its running total, conversations in (conv_id, turn, pos) order."""
     conv = load(spark, sf_dir, "conversations", spread=True)
     return rolling_word_count(conv, "text", ["conv_id", "turn"])
 
 
 def q_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the event-type lines per 5 s window of arrival time."""
     ev = load(spark, sf_dir, "events")
     words = tokenize(ev, "event_type", keep=("ts",))
     return window_count(words, "ts", ["word"], "5 seconds")
@@ -52,47 +55,56 @@ def q_text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose UTF-16 length is at least 30, with the length."""
     return q_text_lengths(spark, sf_dir).filter(F.col("text_len") >= 30)
 
 
 def q_upper_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names upper-cased."""
     part = load(spark, sf_dir, "part")
     return part.select("p_partkey", "p_name", upper_text("p_name").alias("upper_name"))
 
 
 def q_double_even(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ids doubled, then kept when even."""
     ev = load(spark, sf_dir, "events")
     out = ev.select("event_id", doubled("event_id").alias("doubled"))
     return out.filter(is_even("doubled"))
 
 
 def q_event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type per 5 s event-time window (2 s bounded disorder)."""
     ev = event_time(load(spark, sf_dir, "events"), "ts", "2 seconds")
     return window_count(ev, "ts", ["event_type"], "5 seconds")
 
 
 def q_arrival_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of 1 per 5 s arrival window under the single key 'key'."""
     ev = load(spark, sf_dir, "events").select(F.col("ts").alias("arrival"),
                                               F.lit("key").alias("key"), F.lit(1).alias("n"))
     return window_sum(ev, "arrival", ["key"], "n", "5 seconds")
 
 
 def q_running_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its user's running event count."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     return running_count(ev, ["user_id"], EVENT_ORDER).drop("ts")
 
 
 def q_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its user's running mean value (exact decimal running sum)."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     return running_average(ev, ["user_id"], EVENT_ORDER, "value").drop("ts")
 
 
 def q_parity_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter per key event_id % 2 with the counter message."""
     ev = load(spark, sf_dir, "events").select("event_id")
     return parity_counter(ev, "event_id")
 
 
 def q_guarded_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ids doubled; positive multiples of ten quarantined instead of failing."""
     return guarded_double(load(spark, sf_dir, "events"), "event_id")
 
 
@@ -103,6 +115,7 @@ def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_fraud_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consecutive small transactions of a card within 5 min at different places, with alert text."""
     return fraud_pairs(_cards(spark, sf_dir), order=EVENT_ORDER, id_col="event_id")
 
 
@@ -112,6 +125,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sliding_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed page-log lines counted per page in 10 s windows every 5 s."""
     return page_views(_pages(spark, sf_dir), "arrival", "10 seconds", "5 seconds")
 
 
@@ -121,6 +135,7 @@ TRAFFIC_WINDOW, TRAFFIC_THRESHOLD = "1 hour", 5
 
 
 def q_traffic_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages above the view threshold per tumbling window, with alert text."""
     return page_alerts(_pages(spark, sf_dir), "arrival", TRAFFIC_WINDOW, TRAFFIC_THRESHOLD)
 
 
@@ -145,15 +160,18 @@ def _brands(spark: SparkSession, sf_dir: str, limit: int = 1024) -> list[str] |
 
 
 def q_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand pairs with the number of co-occurring views over customers (Gram matrix)."""
     return cooccurrence(_brand_views(spark, sf_dir), "o_custkey", "p_brand",
                         domain=_brands(spark, sf_dir))
 
 
 def q_related_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-3 related brands per brand by co-occurrence."""
     return related_items(q_item_cooccurrence(spark, sf_dir), k=3)
 
 
 def q_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running pair totals as views arrive (one row per view and earlier item)."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     return rolling_cooccurrence(ev, "user_id", "event_type", EVENT_ORDER)
 
@@ -172,10 +190,12 @@ def _behavior_window_counts(ok: DataFrame) -> DataFrame:
 
 
 def q_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed CSV behaviour records counted per type per 1 min event-time window."""
     return _behavior_window_counts(accepted(_behaviors(spark, sf_dir)))
 
 
 def q_behavior_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour records the parser rejected, with the reason."""
     return rejected(_behaviors(spark, sf_dir)).select("event_id", "variant", "line", "reject_reason")
 
 
@@ -192,10 +212,12 @@ def q_behavior_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL: SUM(amount * price) per product over the declared sales view."""
     return sales_per_product(spark, register_sales_view(spark, sf_dir))
 
 
 def q_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retract changelog (-old, +new) of the running sales total per product."""
     orders = load(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("product_id"), "o_orderkey", "o_totalprice")
     return retract_changelog(orders, "product_id", ["o_orderkey"], "o_totalprice")
