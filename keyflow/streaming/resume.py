@@ -54,6 +54,29 @@ def upsert_batches(df: DataFrame, sink: str, checkpoint: str,
     return writer.start()
 
 
+def additive_batches(df: DataFrame, keys: Sequence[str], value: str, sink: str, checkpoint: str,
+                     available_now: bool = True) -> StreamingQuery:
+    """Per-micro-batch partial sums of ``value`` per key, written to ``sink/batch_id=<id>``.
+
+    For additive results (totals): each batch is reduced in the JVM to one
+    row per key, a retried batch overwrites its own folder (exactly once),
+    and :func:`sum_batches` folds the partial sums.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy(*keys).agg(F.sum(value).alias(value))
+              .write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}"))
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+        processingTime="10 seconds")
+    return writer.start()
+
+
+def sum_batches(spark: SparkSession, sink: str, keys: Sequence[str], value: str) -> DataFrame:
+    """Totals from an :func:`additive_batches` sink."""
+    return spark.read.parquet(sink).groupBy(*keys).agg(F.sum(value).alias(value))
+
+
 def latest_rows(spark: SparkSession, sink: str, keys: Sequence[str], schema: str | None = None) -> DataFrame:
     """Last update per key from an :func:`upsert_batches` sink."""
     reader = spark.read.schema(schema) if schema else spark.read

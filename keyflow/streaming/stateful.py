@@ -239,3 +239,44 @@ class RetractChangelog(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class PairDeltas(StatefulProcessor):
+    """Change of a user's item-pair co-occurrence in one micro-batch (streaming totals).
+
+    Row API.  Value state: the user's item counts (two arrays).  With count
+    vectors n before and n' after the batch, the pair (a, b) gains
+    ``n'_a n'_b - n_a n_b`` - exactly the view pairs with at least one new
+    view - so totals need no per-view rows.  One row per user and batch
+    carries the non-zero deltas as arrays, to be exploded and summed in the
+    JVM.
+    """
+
+    def __init__(self, item: str):
+        self.item = item
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getValueState("counts", "items array<string>, n array<long>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        current = self.counts.get()
+        known = dict(zip(current[0], current[1])) if current is not None else {}
+        added: dict = {}
+        for r in rows:
+            x = r[self.item]
+            if x is not None:
+                added[x] = added.get(x, 0) + 1
+        if not added:
+            return
+        vocab = sorted(set(known) | set(added))
+        before = np.array([known.get(v, 0) for v in vocab], dtype=np.int64)
+        after = before + np.array([added.get(v, 0) for v in vocab], dtype=np.int64)
+        delta = np.triu(np.outer(after, after) - np.outer(before, before), k=1)
+        a, b = np.nonzero(delta)
+        self.counts.update((vocab, [int(v) for v in after]))
+        if len(a):
+            yield Row(item_a=[vocab[i] for i in a], item_b=[vocab[j] for j in b],
+                      inc=[int(v) for v in delta[a, b]])
+
+    def close(self) -> None:
+        pass

@@ -21,10 +21,10 @@ from keyflow.operators.windows import event_time, window_count, window_sum
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import behavior_lines, load, page_log_lines
-from keyflow.streaming.resume import (latest_rows, resumable_stream, run_in_slices,
-                                      q_resumed_events, upsert_batches)
-from keyflow.streaming.stateful import (AdjacentPairMatcher, ItemHistory, RetractChangelog,
-                                       RunningCounter, RunningMean)
+from keyflow.streaming.resume import (additive_batches, latest_rows, q_resumed_events,
+                                      resumable_stream, run_in_slices, sum_batches, upsert_batches)
+from keyflow.streaming.stateful import (AdjacentPairMatcher, ItemHistory, PairDeltas,
+                                       RetractChangelog, RunningCounter, RunningMean)
 
 N_SLICES = 3
 
@@ -295,30 +295,30 @@ def q_stream_arrival_window_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand co-occurrence totals from streamed order lines.
 
-    Order lines stream in and join the static part and orders tables; item
-    history per customer emits pair increments; a per-pair running total
-    keeps the totals; the latest total per pair is the co-occurrence.
+    Order lines stream in and join the static part and orders tables; per
+    customer, keyed state holds the brand counts and emits the batch's pair
+    deltas (n'_a n'_b - n_a n_b) as arrays; the JVM explodes and sums them per
+    pair per micro-batch (``additive_batches``); the co-occurrence is the sum.
     """
+    landing, sink, ckpt = _paths(spark, "item_cooccurrence")
     lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
 
-    def transform(stream):
+    def start():
+        stream = stream_table(spark, landing, schema=lineitem.schema)
         views = stream.join(part, "l_partkey").join(orders, "l_orderkey")
-        incs = views.groupBy("o_custkey").transformWithStateInPandas(
-            statefulProcessor=ItemHistory(["l_orderkey", "l_linenumber"], "p_brand",
-                                          ["l_orderkey", "l_linenumber"]),
-            outputStructType="l_orderkey long, l_linenumber int, p_brand string, item_a string, "
-                             "item_b string, inc long",
-            outputMode="Append", timeMode="None")
-        return incs.groupBy("item_a", "item_b").transformWithState(
-            statefulProcessor=RunningCounter(["l_orderkey", "l_linenumber"], ["item_a", "item_b"],
-                                             weight="inc"),
-            outputStructType="item_a string, item_b string, cnt long",
+        deltas = views.groupBy("o_custkey").transformWithState(
+            statefulProcessor=PairDeltas("p_brand"),
+            outputStructType="item_a array<string>, item_b array<string>, inc array<long>",
             outputMode="Append", timeMode="None")
+        cells = deltas.select(F.explode(F.arrays_zip("item_a", "item_b", "inc")).alias("d")).select(
+            F.col("d.item_a").alias("item_a"), F.col("d.item_b").alias("item_b"),
+            F.col("d.inc").alias("cnt"))
+        return additive_batches(cells, ["item_a", "item_b"], "cnt", sink, ckpt)
 
-    out = _append_twin(spark, "item_cooccurrence", lineitem, "l_orderkey", transform)
-    return out.groupBy("item_a", "item_b").agg(F.max("cnt").alias("cnt"))
+    run_in_slices(spark, lineitem, "l_orderkey", N_SLICES, landing, start)
+    return sum_batches(spark, sink, ["item_a", "item_b"], "cnt")
 
 
 _PAIR_COLS = ["event_id", "ts", "user_id", "event_type", "item_a", "item_b", "inc"]

@@ -184,3 +184,36 @@ def test_running_mean_fixture_a10_as_stream(spark):
     run()
     got = [r.avg_value for r in spark.read.parquet(sink).orderBy("seq").collect()]
     assert got == pytest.approx([10.5, 10.85, 22.1, 11.5, 22.75], abs=1e-9)
+
+
+def test_pair_deltas_sum_to_cooccurrence_totals(spark):
+    from collections import Counter
+
+    from keyflow.streaming.resume import additive_batches, sum_batches
+    from keyflow.streaming.stateful import PairDeltas
+    base = shared_path(spark, "tests", "pair_deltas", fresh=True)
+    landing, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    views = [("u1", "A"), ("u2", "B"), ("u1", "C"), ("u3", "A"), ("u2", "C"), ("u1", "B"),
+             ("u3", "D"), ("u1", "A"), ("u1", "A"), ("u2", "B")]
+
+    def run():
+        stream = stream_table(spark, landing, schema=T.StructType.fromDDL("u string, item string"))
+        deltas = stream.groupBy("u").transformWithState(
+            statefulProcessor=PairDeltas("item"),
+            outputStructType="item_a array<string>, item_b array<string>, inc array<long>",
+            outputMode="Append", timeMode="None")
+        cells = deltas.select(F.explode(F.arrays_zip("item_a", "item_b", "inc")).alias("d")).select(
+            "d.item_a", "d.item_b", F.col("d.inc").alias("cnt"))
+        additive_batches(cells, ["item_a", "item_b"], "cnt", sink, ckpt).awaitTermination()
+
+    for chunk in (views[:4], views[4:7], views[7:]):
+        spark.createDataFrame(chunk, "u string, item string").coalesce(1).write.mode("append").parquet(landing)
+        run()
+    hist, want = {}, Counter()
+    for u, it in views:                       # the per-event pairing
+        for prev in hist.get(u, []):
+            if prev != it:
+                want[tuple(sorted((prev, it)))] += 1
+        hist.setdefault(u, []).append(it)
+    got = {(r.item_a, r.item_b): r.cnt for r in sum_batches(spark, sink, ["item_a", "item_b"], "cnt").collect()}
+    assert got == dict(want)
