@@ -163,13 +163,17 @@ class ItemHistory(StatefulProcessor):
     ``inc`` = earlier views of y, then counts the view.  State is bounded by
     the user's distinct items, not by the number of views.  A batch is one
     cumulative-count matrix (rows x the user's distinct items) in numpy.
+    ``ttl_ms`` optionally forgets items not seen for that long (a time-bounded
+    history instead of all history).
     """
 
-    def __init__(self, order: Sequence[str], item: str, out_cols: Sequence[str]):
-        self.order, self.item, self.out_cols = list(order), item, list(out_cols)
+    def __init__(self, order: Sequence[str], item: str, out_cols: Sequence[str],
+                 ttl_ms: int | None = None):
+        self.order, self.item, self.out_cols, self.ttl_ms = list(order), item, list(out_cols), ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "item string", "n long")
+        # ttl_ms bounds the history in time (needs timeMode="ProcessingTime")
+        self.seen = handle.getMapState("seen", "item string", "n long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
@@ -252,11 +256,12 @@ class PairDeltas(StatefulProcessor):
     JVM.
     """
 
-    def __init__(self, item: str):
-        self.item = item
+    def __init__(self, item: str, ttl_ms: int | None = None):
+        self.item, self.ttl_ms = item, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getValueState("counts", "items array<string>, n array<long>")
+        # ttl_ms bounds the history in time (needs timeMode="ProcessingTime")
+        self.counts = handle.getValueState("counts", "items array<string>, n array<long>", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         current = self.counts.get()
