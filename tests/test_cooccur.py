@@ -1,6 +1,5 @@
 """Co-occurrence totals (A14, C6), blocked Gram paths vs brute force, rolling form, top-k."""
 
-import itertools
 from collections import Counter
 
 import pytest

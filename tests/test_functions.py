@@ -1,7 +1,6 @@
 """Stateless functions: tokenizer, lengths, parsers, numeric maps (fixtures A1-A6, C1, C2)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from keyflow.functions import (accepted, doubled, guarded_double, guarded_double_strict, is_even,
                                parse_behavior, parse_behavior_json, parse_page_log, rejected,

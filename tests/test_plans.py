@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from keyflow.operators import running_count

@@ -1,7 +1,6 @@
 """Streaming forms: watermark and late rows (C8), keyed state processors, resume (O-63/O-64)."""
 
 import datetime as dt
-import tempfile
 
 import pytest
 

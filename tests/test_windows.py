@@ -57,7 +57,6 @@ def test_generated_disorder_source_matches_fixture(spark):
 
 
 def test_generated_orders_ranges(spark):
-    from keyflow.operators import register_sales_view, sales_per_product  # noqa: F401
     from keyflow.sources import generated_orders
     df = generated_orders(spark, 500)
     stats = df.agg(F.min("amount"), F.max("amount"), F.min("price"), F.max("price"),
