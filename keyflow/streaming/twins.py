@@ -23,10 +23,11 @@ from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import behavior_lines, load, page_log_lines
 from keyflow.streaming.resume import (additive_batches, latest_rows, q_resumed_events,
                                       resumable_stream, run_in_slices, sum_batches, upsert_batches)
-from keyflow.streaming.stateful import (AdjacentPairMatcher, ItemHistory, PairDeltas,
-                                       RetractChangelog, RunningCounter, RunningMean)
+from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCounter, ItemHistory,
+                                       PairDeltas, RetractChangelog, RunningCounter, RunningMean)
 
 N_SLICES = 3
+WORD_BUCKETS_PER_PARTITION = 16
 
 
 def _paths(spark: SparkSession, name: str) -> tuple[str, str, str]:
@@ -163,10 +164,14 @@ def q_stream_rolling_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start():
         stream = stream_table(spark, landing, schema=conv.schema)
         words = tokenize(stream, "text", keep=("conv_id", "turn"), with_position=True)
-        counted = words.groupBy("word").transformWithState(
-            statefulProcessor=RunningCounter(["conv_id", "turn", "pos"], ["conv_id", "turn", "pos", "word"]),
-            outputStructType="conv_id long, turn long, pos int, word string, cnt long",
-            outputMode="Append", timeMode="None")
+        # very many small keys: state grouped by a hash bucket of the word
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * WORD_BUCKETS_PER_PARTITION
+        counted = (words.withColumn("_bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+                   .groupBy("_bucket").transformWithStateInPandas(
+                       statefulProcessor=BucketedRunningCounter(
+                           "word", ["conv_id", "turn", "pos"], ["conv_id", "turn", "pos", "word"]),
+                       outputStructType="conv_id long, turn long, pos int, word string, cnt long",
+                       outputMode="Append", timeMode="None"))
         return resumable_stream(counted, sink, ckpt)
 
     run_in_slices(spark, conv, "conv_id", N_SLICES, landing, start)

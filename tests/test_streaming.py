@@ -216,3 +216,31 @@ def test_pair_deltas_sum_to_cooccurrence_totals(spark):
         hist.setdefault(u, []).append(it)
     got = {(r.item_a, r.item_b): r.cnt for r in sum_batches(spark, sink, ["item_a", "item_b"], "cnt").collect()}
     assert got == dict(want)
+
+
+def test_bucketed_running_counter_across_batches(spark):
+    from keyflow.streaming.stateful import BucketedRunningCounter
+    base = shared_path(spark, "tests", "bucketed", fresh=True)
+    landing, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    schema = "seq long, word string"
+    words = ["a", "b", "a", "c", "a", "b", "d", "a", "c", "e"]
+
+    def run():
+        stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
+        out = (stream.withColumn("_bucket", F.pmod(F.xxhash64("word"), F.lit(3)))
+               .groupBy("_bucket").transformWithStateInPandas(
+                   statefulProcessor=BucketedRunningCounter("word", ["seq"], ["seq", "word"]),
+                   outputStructType="seq long, word string, cnt long", outputMode="Append", timeMode="None"))
+        resumable_stream(out, sink, ckpt).awaitTermination()
+
+    for part in (words[:4], words[4:]):
+        offset = 0 if part is words[:4] else 4
+        spark.createDataFrame([(offset + i, w) for i, w in enumerate(part)], schema) \
+            .coalesce(1).write.mode("append").parquet(landing)
+        run()
+    seen, want = {}, []
+    for i, w in enumerate(words):
+        seen[w] = seen.get(w, 0) + 1
+        want.append((i, w, seen[w]))
+    got = sorted((r.seq, r.word, r.cnt) for r in spark.read.parquet(sink).collect())
+    assert got == want
