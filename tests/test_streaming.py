@@ -233,8 +233,7 @@ def test_bucketed_running_counter_across_batches(spark):
                    outputStructType="seq long, word string, cnt long", outputMode="Append", timeMode="None"))
         resumable_stream(out, sink, ckpt).awaitTermination()
 
-    for part in (words[:4], words[4:]):
-        offset = 0 if part is words[:4] else 4
+    for offset, part in ((0, words[:4]), (4, words[4:])):
         spark.createDataFrame([(offset + i, w) for i, w in enumerate(part)], schema) \
             .coalesce(1).write.mode("append").parquet(landing)
         run()
