@@ -326,3 +326,59 @@ class BucketedRunningCounter(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class BucketedRetractChangelog(StatefulProcessor):
+    """Per-record retract changelog with state grouped by a hash bucket of the key.
+
+    Same output as :class:`RetractChangelog` (``op``, ``seq``, ``total``) for
+    streams with very many keys: one value state per bucket holds the keys'
+    totals (exact integers of 10^-scale units) and the batch is processed
+    with per-key cumulative sums in numpy.  Pays off from roughly 50k keys per
+    micro-batch; below that the Row-API :class:`RetractChangelog` is as fast
+    (15k products at sf0.1: 13 s vs 15 s).
+    """
+
+    def __init__(self, key: str, order: Sequence[str], value: str, out_cols: Sequence[str],
+                 key_type: str = "long", scale: int = 2):
+        self.key, self.order, self.value, self.out_cols = key, list(order), value, list(out_cols)
+        self.key_type, self.scale = key_type, scale
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("totals", f"keys array<{self.key_type}>, units array<long>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _concat(rows)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values([self.key, *self.order], kind="stable").reset_index(drop=True)
+        current = self.state.get()
+        known = dict(zip(current[0], current[1])) if current is not None else {}
+        unit = 10 ** self.scale
+        codes, uniques = pd.factorize(pdf[self.key], use_na_sentinel=False)
+        step = np.rint(pdf[self.value].to_numpy(dtype=np.float64) * unit).astype(np.int64)
+        seen = np.array([u in known for u in uniques], dtype=bool)
+        base = np.array([known.get(u, 0) for u in uniques], dtype=np.int64)
+        new = base[codes] + pd.Series(step).groupby(codes, sort=False).cumsum().to_numpy(dtype=np.int64)
+        first_in_batch = pd.Series(codes).groupby(codes, sort=False).cumcount().to_numpy() == 0
+        first = first_in_batch & ~seen[codes]
+        changed = step != 0
+        retract, add = ~first & changed, first | changed
+        last = np.zeros(len(uniques), dtype=np.int64)
+        last[codes] = new                                # rows are in order within each key
+        for u, total in zip(uniques, last):
+            known[u] = int(total)
+        self.state.update((list(known.keys()), list(known.values())))
+        idx = np.concatenate([np.nonzero(retract)[0], np.nonzero(add)[0]])
+        if len(idx) == 0:
+            return
+        n_r = int(retract.sum())
+        is_r = np.arange(len(idx)) < n_r
+        out = pdf.loc[idx, self.out_cols].reset_index(drop=True)
+        out["op"] = np.where(is_r, "-", "+")
+        out["seq"] = np.where(is_r, 0, 1).astype("int32")
+        out["total"] = np.where(is_r, new[idx] - step[idx], new[idx]) / unit
+        yield out
+
+    def close(self) -> None:
+        pass

@@ -27,6 +27,7 @@ from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCoun
                                        PairDeltas, RetractChangelog, RunningCounter, RunningMean)
 
 N_SLICES = 3
+# Hash buckets per shuffle partition for keyed state with very many small keys.
 WORD_BUCKETS_PER_PARTITION = 16
 
 

@@ -243,3 +243,29 @@ def test_bucketed_running_counter_across_batches(spark):
         want.append((i, w, seen[w]))
     got = sorted((r.seq, r.word, r.cnt) for r in spark.read.parquet(sink).collect())
     assert got == want
+
+
+def test_bucketed_changelog_across_batches(spark):
+    from keyflow.operators import retract_changelog
+    from keyflow.streaming.stateful import BucketedRetractChangelog
+    base = shared_path(spark, "tests", "bucketed_changelog", fresh=True)
+    landing, sink, ckpt = f"{base}/in", f"{base}/out", f"{base}/ckpt"
+    schema = "product long, n long, sale double"
+    rows = [(1, 1, 10.0), (2, 2, 5.5), (1, 3, 5.0), (3, 4, 1.25), (2, 5, 0.0),
+            (1, 6, 0.0), (3, 7, 2.0), (4, 8, 7.0), (2, 9, 1.0), (1, 10, 3.0)]
+
+    def run():
+        stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
+        out = (stream.withColumn("_bucket", F.pmod(F.xxhash64("product"), F.lit(2)))
+               .groupBy("_bucket").transformWithStateInPandas(
+                   statefulProcessor=BucketedRetractChangelog("product", ["n"], "sale", ["product", "n"]),
+                   outputStructType="product long, n long, op string, seq int, total double",
+                   outputMode="Append", timeMode="None"))
+        resumable_stream(out, sink, ckpt).awaitTermination()
+
+    for part in (rows[:4], rows[4:7], rows[7:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(landing)
+        run()
+    want = retract_changelog(spark.createDataFrame(rows, schema), "product", ["n"], "sale")
+    key = lambda r: (r.product, r.n, r.seq, r.op, r.total)
+    assert sorted(map(key, spark.read.parquet(sink).collect())) == sorted(map(key, want.collect()))
