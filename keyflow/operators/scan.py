@@ -97,12 +97,18 @@ def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None)
     return out.withColumn(CHUNK, F.col(CHUNK).cast("int")).drop(_ORD), True
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> Column:
-    cond = None
-    for c in cols:
-        term = left[c].eqNullSafe(right[prefix + c])
-        cond = term if cond is None else cond & term
-    return cond
+KEY = "_kf_key"
+
+
+def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Pack the keys into one struct column (never null; struct equality treats null
+    fields as equal), so the window, the summary and the join all use the same
+    plain equi-key ``(_kf_key, _kf_chunk)`` and the big side's partitioning is
+    reused by a sort-merge join (a null-safe condition on the raw keys would make
+    Spark join on coalesce/isnull expressions and re-shuffle the big side)."""
+    if not keys:
+        return df, []
+    return df.withColumn(KEY, F.struct(*[F.col(k) for k in keys])), [KEY]
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -122,21 +128,22 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return src.select(*base_cols, *[F.sum(mcol[n]).over(w).alias(n) for n in measures])
 
-    w = (Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    src, kcol = _with_key(src, keys)
+    w = (Window.partitionBy(*kcol, CHUNK).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = src.select(*base_cols, CHUNK,
+    local = src.select(*base_cols, *kcol, CHUNK,
                        *[F.sum(mcol[n]).over(w).alias(f"_kf_l_{n}") for n in measures])
     # Chunk totals: a second, column-pruned read of the input (keys, order
     # column, measures), aggregated map-side before a shuffle of one row per
     # chunk.  Cheaper than sharing the wide exchange above, which would need
     # a sort and a window on the summary side too.
-    summary = src.groupBy(*keys, CHUNK).agg(
+    summary = src.groupBy(*kcol, CHUNK).agg(
         *[F.sum(mcol[n]).alias(f"_kf_t_{n}") for n in measures])
-    wk = (Window.partitionBy(*keys).orderBy(CHUNK)
+    wk = (Window.partitionBy(*kcol).orderBy(CHUNK)
           .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = summary.select(*[F.col(k).alias(f"_kf_k_{k}") for k in [*keys, CHUNK]],
+    offsets = summary.select(*kcol, CHUNK,
                              *[F.sum(f"_kf_t_{n}").over(wk).alias(f"_kf_o_{n}") for n in measures])
-    joined = local.join(offsets, _null_safe_on(local, offsets, [*keys, CHUNK], "_kf_k_"), "inner")
+    joined = local.join(offsets, [*kcol, CHUNK], "inner")
     return joined.select(*base_cols, *[
         (F.col(f"_kf_l_{n}") + F.coalesce(F.col(f"_kf_o_{n}"), F.lit(0))).alias(n)
         for n in measures])
@@ -154,16 +161,16 @@ def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     base_cols = list(df.columns)
     end = -1 if exclusive else Window.currentRow
     src, chunked = add_chunks(df, order[0], rows_per_chunk)
-    part = [*keys, CHUNK] if chunked else keys
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = src.select(*base_cols, *([CHUNK] if chunked else []), F.max(value).over(w).alias("_kf_lmax"))
     if not chunked:
-        return local.withColumnRenamed("_kf_lmax", out)
-    summary = src.groupBy(*keys, CHUNK).agg(F.max(value).alias("_kf_cmax"))
-    wk = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summary.select(*[F.col(k).alias(f"_kf_k_{k}") for k in [*keys, CHUNK]],
-                             F.max("_kf_cmax").over(wk).alias("_kf_omax"))
-    joined = local.join(offsets, _null_safe_on(local, offsets, [*keys, CHUNK], "_kf_k_"), "inner")
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+        return src.select(*base_cols, F.max(value).over(w).alias(out))
+    src, kcol = _with_key(src, keys)
+    w = Window.partitionBy(*kcol, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    local = src.select(*base_cols, *kcol, CHUNK, F.max(value).over(w).alias("_kf_lmax"))
+    summary = src.groupBy(*kcol, CHUNK).agg(F.max(value).alias("_kf_cmax"))
+    wk = Window.partitionBy(*kcol).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = summary.select(*kcol, CHUNK, F.max("_kf_cmax").over(wk).alias("_kf_omax"))
+    joined = local.join(offsets, [*kcol, CHUNK], "inner")
     # greatest() skips nulls: the first rows of a key have no earlier maximum
     return joined.select(*base_cols, F.greatest("_kf_lmax", "_kf_omax").alias(out))
 
@@ -183,18 +190,18 @@ def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
         return src.select(*base_cols, *[F.lead(c).over(w).alias(prefix + c) for c in cols],
                           F.lead(F.lit(True)).over(w).isNotNull().alias(prefix + "exists"))
 
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    local = src.select(*base_cols, CHUNK, *[F.lead(c).over(w).alias(f"_kf_n_{c}") for c in cols],
+    src, kcol = _with_key(src, keys)
+    w = Window.partitionBy(*kcol, CHUNK).orderBy(*order)
+    local = src.select(*base_cols, *kcol, CHUNK, *[F.lead(c).over(w).alias(f"_kf_n_{c}") for c in cols],
                        F.lead(F.lit(True)).over(w).isNotNull().alias("_kf_has"))
     # First row of each chunk: a column-pruned second read, reduced map-side
     # by min_by before a shuffle of one row per chunk.
-    firsts = src.groupBy(*keys, CHUNK).agg(
+    firsts = src.groupBy(*kcol, CHUNK).agg(
         F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(o) for o in order]))
         .alias("_kf_first"))
-    wk = Window.partitionBy(*keys).orderBy(CHUNK)
-    following = firsts.select(*[F.col(k).alias(f"_kf_k_{k}") for k in [*keys, CHUNK]],
-                              F.lead("_kf_first").over(wk).alias("_kf_nf"))
-    joined = local.join(following, _null_safe_on(local, following, [*keys, CHUNK], "_kf_k_"), "inner")
+    wk = Window.partitionBy(*kcol).orderBy(CHUNK)
+    following = firsts.select(*kcol, CHUNK, F.lead("_kf_first").over(wk).alias("_kf_nf"))
+    joined = local.join(following, [*kcol, CHUNK], "inner")
     has = F.col("_kf_has")
     return joined.select(*base_cols,
                          *[F.when(has, F.col(f"_kf_n_{c}")).otherwise(F.col("_kf_nf")[c]).alias(prefix + c)

@@ -30,9 +30,9 @@ def test_word_count_prunes_columns_and_pre_aggregates(spark):
 def test_chunked_scan_partitions_window_by_key_and_chunk(spark):
     ev = load(spark, SF_SMALL, "events").select("event_id", "ts", "user_id")
     plan = plan_of(running_count(ev, ["user_id"], ["ts", "event_id"], rows_per_chunk=50))
-    assert re.search(r"hashpartitioning\(user_id#\d+L, _kf_chunk#\d+", plan)
-    # the un-chunked plan would partition by user_id alone
-    assert not re.search(r"Exchange hashpartitioning\(user_id#\d+L, \d+\)", plan.split("BroadcastExchange")[0])
+    assert re.search(r"hashpartitioning\(_kf_key#\d+, _kf_chunk#\d+", plan)
+    # the un-chunked plan would partition by the user alone
+    assert not re.search(r"Exchange hashpartitioning\(user_id#\d+L, \d+\)", plan)
 
 
 def test_cooccurrence_never_joins_on_the_user(spark):
@@ -40,3 +40,17 @@ def test_cooccurrence_never_joins_on_the_user(spark):
     for m in re.finditer(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[([^\]]*)\]", plan):
         assert "_u" not in m.group(2) and "o_custkey" not in m.group(2)
     assert "FlatMapGroupsInPandas" in plan
+
+
+def test_chunked_join_reuses_the_window_partitioning_without_broadcast(spark):
+    """When the summary is too big to broadcast, the big side must not be shuffled twice."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ev = load(spark, SF_SMALL, "events").select("event_id", "ts", "user_id")
+        plan = plan_of(running_count(ev, ["user_id"], ["ts", "event_id"], rows_per_chunk=50))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"SortMergeJoin \[_kf_key#\d+, _kf_chunk#\d+\]", plan)
+    big_side = plan.split("SortMergeJoin")[1].split("FileScan")[0]
+    assert big_side.count("Exchange") == 1          # the window's exchange, reused by the join
+    assert "coalesce(" not in " ".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", plan))
