@@ -128,3 +128,13 @@ def test_chunked_running_max_equals_plain_window(spark, keys, rows_per_chunk):
         w = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
         want = df.select("*", F.max("v").over(w).alias("m"))
         assert _rows(got) == _rows(want)
+
+
+def test_chunked_running_max_with_null_keys(spark):
+    from keyflow.operators import running_max
+    df = spark.range(0, 120).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise((F.col("id") % 3).cast("string")).alias("key"),
+        F.col("id").alias("t"), ((F.col("id") * 37) % 50).alias("v"))
+    got = running_max(df, ["key"], ["t"], "v", "m", rows_per_chunk=7)
+    w = Window.partitionBy("key").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    assert _rows(got) == _rows(df.select("*", F.max("v").over(w).alias("m")))
