@@ -23,6 +23,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from keyflow.operators.running import running_count  # noqa: E402
+from keyflow.operators.scan import next_in_key  # noqa: E402
 from keyflow.session import RECOMMENDED_CONF, ensure_checkpoint_dir  # noqa: E402
 from keyflow.sources.tables import load  # noqa: E402
 
@@ -70,15 +71,20 @@ def main() -> None:
         .alias("user_id"))
     total = ev.count()
     results = {}
-    for label, rpc in (("plain window", 10 ** 12), ("chunked", rows_per_chunk)):
-        before = {j for j in task_reads(log_dir)}
-        running_count(ev, ["user_id"], ["ts", "event_id"], rows_per_chunk=rpc) \
-            .write.format("noop").mode("overwrite").save()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
-        reads = task_reads(log_dir)
-        new_jobs = {j: s for j, s in reads.items() if j not in before}
-        biggest = max((max(v) for s in new_jobs.values() for v in s.values() if v), default=0)
-        results[label] = biggest
+    scans = {
+        "running count": lambda rpc: running_count(ev, ["user_id"], ["ts", "event_id"], rows_per_chunk=rpc),
+        "next row (lead)": lambda rpc: next_in_key(ev, ["user_id"], ["ts", "event_id"], ["event_id"],
+                                                   rows_per_chunk=rpc),
+    }
+    for scan, build in scans.items():
+        for label, rpc in (("plain window", 10 ** 12), ("chunked", rows_per_chunk)):
+            before = {j for j in task_reads(log_dir)}
+            build(rpc).write.format("noop").mode("overwrite").save()
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+            reads = task_reads(log_dir)
+            new_jobs = {j: s for j, s in reads.items() if j not in before}
+            biggest = max((max(v) for s in new_jobs.values() for v in s.values() if v), default=0)
+            results[f"{scan}: {label}"] = biggest
     spark.stop()
     print(json.dumps({"shuffle_partitions": int(partitions), "rows": total, "hot_key_rows": total // 3 + 1, "rows_per_chunk": rows_per_chunk,
                       "max_shuffle_records_per_task": results, "event_log": log_dir}))
