@@ -7,13 +7,17 @@ from keyflow.llm.jump import op9_shards
 from keyflow.llm.mixing import op6_mixing
 from keyflow.llm.pii import op7_pii
 from keyflow.llm.secrets import op3_secrets
+from keyflow.llm.topk import OP5_SQL, op5_topk
+from keyflow.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_secrets": op3_secrets,
+    "op5_topk": op5_topk,
     "op6_mixing": op6_mixing,
     "op7_pii": op7_pii,
     "op9_shards": op9_shards,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_topk": OP5_SQL}
