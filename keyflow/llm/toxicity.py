@@ -63,7 +63,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) ->
              .agg(F.max("toxic").cast("int").alias("toxic")))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
                        fold(doc_id).alias("fold")).filter(F.col("fold") != HELD_OUT)
-    return saved(rows.join(marks, "doc_id"), "toxic-train")
+    # the texts are streamed past the labels of their partition: neither sorted nor met by a broadcast of all labels
+    return saved(rows.join(marks.hint("shuffle_hash"), "doc_id"), "toxic-train")
 
 
 _COUNTS = [f"c{c}_{f}" for c in (0, 1) for f in FOLDS]
