@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from keyflow.llm.bpe import op1_bpe
+from keyflow.llm.jaccard import op2_jaccard
 from keyflow.llm.jump import op9_shards
 from keyflow.llm.mixing import op6_mixing
 from keyflow.llm.pii import op7_pii
@@ -12,6 +13,7 @@ from keyflow.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
     "op3_secrets": op3_secrets,
     "op5_topk": op5_topk,
     "op6_mixing": op6_mixing,
