@@ -11,10 +11,12 @@ different sets agree with a probability of about 2**-64, as do two shingles).
 2. A signature met twice gives a group.  Neighbours within a group are compared
    exactly on their sets; similar ones are linked, links give components.
 3. Groups whose members lie in several components are compared further: cells of
-   member blocks find the pairs of different components that sizes and parity
-   sketches (exact bounds) allow and that were not compared yet; each member asks
-   for a few of them per round.  Rounds go on until no pair is left, so no link
-   between components is lost, and members already connected are never paired.
+   member blocks name the pairs of different components that were not met yet,
+   at most so many per member, cell and round, more in every later round.  Rounds
+   go on until no pair is left, so no link between components is lost, and
+   members already connected are never paired.
+
+Before sets are fetched, sizes and parity sketches (exact bounds) sort out pairs.
 
 The result has one row per document.
 
@@ -37,25 +39,28 @@ from pyspark.sql import functions as F
 from keyflow.llm.common import saved, table, utf8
 from keyflow.llm.components import components
 from keyflow.llm.partenum import signatures
-from keyflow.llm.shingles import parity_sketch, set_key, shingle_sets, sketch_difference
+from keyflow.llm.shingles import Sketch, parity_sketch, set_key, shingle_sets, sketch_difference
 from keyflow.llm.wordhash import mix
 
 NUM, DEN, WIDTH = 75, 100, 5
 #: Text bytes for each bucket of signatures, and signatures that a task holds before it sends them.
 BUCKET_BYTES, FLUSH = 12_000_000, 4_000_000
 #: Members of one block in step 3, and pairs that a member asks for per block and round.
-CELL_ROWS, ASKS = 512, 4
+CELL_ROWS, ASKS = 512, 256
 
-_PACKED = "bucket long, kind int, sigs binary, keys binary, counts binary, ids array<long>, sizes array<long>"
-_GROUPS = "kind int, sig long, keys array<long>, ids array<long>, sizes array<long>"
-MEMBERS, LOCAL, SENT = 0, 1, 2
+_PACKED = ("bucket long, kind int, sigs binary, keys binary, counts binary, ids array<long>, sizes array<long>, "
+           "sketches array<binary>")
+_GROUPS = "kind int, sig long, keys array<long>, ids array<long>, sizes array<long>, sketches array<binary>"
+MEMBERS, LOCAL, SENT, WHOLE = 0, 1, 2, 3
 
 
-def _pack(bucket: int, kind: int, sigs=b"", keys=b"", counts=b"", ids=(), sizes=()) -> pa.RecordBatch:
+def _pack(bucket: int, kind: int, sigs=b"", keys=b"", counts=b"", ids=(), sizes=(),
+          sketches=()) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([bucket], pa.int64()), pa.array([kind], pa.int32()), *[pa.array([x], pa.binary()) for x in
-         (sigs, keys, counts)], pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64()))],
-        ["bucket", "kind", "sigs", "keys", "counts", "ids", "sizes"])
+         (sigs, keys, counts)], pa.array([ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
+         pa.array([sketches], pa.list_(pa.binary()))],
+        ["bucket", "kind", "sigs", "keys", "counts", "ids", "sizes", "sketches"])
 
 
 def _send(sigs: list[np.ndarray], keys: list[int], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -100,12 +105,14 @@ def _signed(buckets: int, width: int, num: int, den: int):
         keys: list[int] = []
         held = 0
         for batch in batches:
-            ids, sizes, names = batch.column(0).to_pylist(), [], []
+            ids, sizes, names, sketches = batch.column(0).to_pylist(), [], [], []
             for elements in shingle_sets(utf8(batch.column(1)), width):
                 sizes.append(len(elements))
                 names.append(set_key(elements) if len(elements) else 0)
+                sketches.append(None)
                 if len(elements) and names[-1] not in known:
                     known.add(names[-1])
+                    sketches[-1] = parity_sketch(elements)
                     mine = signatures(elements, num, den)
                     if len(mine):
                         sigs.append(mine)
@@ -113,7 +120,7 @@ def _signed(buckets: int, width: int, num: int, den: int):
                         held += len(mine)
             if ids:
                 yield _pack((names[0] + len(ids)) % buckets, MEMBERS, keys=np.array(names, np.int64).tobytes(),
-                            ids=ids, sizes=sizes)
+                            ids=ids, sizes=sizes, sketches=sketches)
             if held >= FLUSH:
                 yield from _send(sigs, keys, buckets)
                 sigs, keys, held = [], [], 0
@@ -131,18 +138,19 @@ def _name(sig: np.ndarray, bucket: np.ndarray) -> np.ndarray:
 def _grouped(key: tuple, rows: pa.Table, buckets: int) -> pa.Table:
     """A bucket's groups: signatures that several tasks sent, besides what tasks listed themselves."""
     bucket = key[0].as_py()
-    out: dict[str, list] = {c: [] for c in ("kind", "sig", "keys", "ids", "sizes")}
+    out: dict[str, list] = {c: [] for c in ("kind", "sig", "keys", "ids", "sizes", "sketches")}
 
-    def add(kind, sig, keys, ids=(), sizes=()):
-        for c, v in zip(out, (kind, sig, keys, ids, sizes), strict=True):
+    def add(kind, sig, keys, ids=(), sizes=(), sketches=()):
+        for c, v in zip(out, (kind, sig, keys, ids, sizes, sketches), strict=True):
             out[c].append(v)
 
     sig, owner = [], []
-    for kind, sigs, keys, counts, ids, sizes in zip(*(rows.column(c).to_pylist() for c in
-                                                     ("kind", "sigs", "keys", "counts", "ids", "sizes")), strict=True):
+    for kind, sigs, keys, counts, ids, sizes, sketches in zip(
+            *(rows.column(c).to_pylist() for c in ("kind", "sigs", "keys", "counts", "ids", "sizes", "sketches")),
+            strict=True):
         names = np.frombuffer(keys, np.int64)
         if kind == MEMBERS:
-            add(MEMBERS, 0, names.tolist(), ids, sizes)
+            add(MEMBERS, 0, names.tolist(), ids, sizes, sketches)
         elif kind == LOCAL:
             cuts = np.concatenate([[0], np.cumsum(np.frombuffer(counts, np.int64))]).tolist()
             full = np.frombuffer(sigs, np.uint64)
@@ -171,8 +179,9 @@ def _grouped(key: tuple, rows: pa.Table, buckets: int) -> pa.Table:
                 if tuple(members) in alone:
                     continue
                 alone.add(tuple(members))
-            add(SENT, int(_name(short[j], bucket)), members)
-    kinds = {"kind": pa.int32(), "sig": pa.int64(), **{c: pa.list_(pa.int64()) for c in ("keys", "ids", "sizes")}}
+            add(SENT if marked[j] else WHOLE, int(_name(short[j], bucket)), members)
+    kinds = {"kind": pa.int32(), "sig": pa.int64(), **{c: pa.list_(pa.int64()) for c in ("keys", "ids", "sizes")},
+             "sketches": pa.list_(pa.binary())}
     return pa.table({c: pa.array(v, kinds[c]) for c, v in out.items()})
 
 
@@ -185,52 +194,64 @@ def _collected(docs: DataFrame, buckets: int, width: int, num: int, den: int) ->
     return saved(packed.groupBy("bucket").applyInArrow(grouped, _GROUPS), "groups")
 
 
-def _class_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(key, n, elements, sketch) of the classes in ``wanted`` (key).
+def _class_sets(docs: DataFrame, wanted: DataFrame, width: int, num_bits: int = 28) -> DataFrame:
+    """(key, elements) of the classes in ``wanted`` (key, doc_id of one member).
 
-    A bit table of bounded size, made of the wanted keys, keeps most other sets
-    out of the shuffle; the exact join follows.
+    A bit table of bounded size, made of the wanted ids, spares most other texts
+    the shingling; the exact join on the class follows.
     """
     n = wanted.count()
-    bits = 1 << min(28, max(16, (16 * n).bit_length()))
-    at = F.col("key").bitwiseAND(bits - 1)
-    words = (wanted.groupBy(F.shiftright(at, 6).cast("int").alias("word"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast((key & {bits - 1}) & 63 as int))")).alias("mask")).toPandas())
+    bits = 1 << min(num_bits, max(16, (16 * n).bit_length()))
+
+    def place(column: str):
+        return F.when(F.col(column).isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(column), F.lit(bits)).cast("int"))
+
+    marked = wanted.select(place("doc_id").alias("at")).filter("at >= 0")
+    words = (marked.groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, at & 63))").alias("mask")).toPandas())
     table_ = np.zeros(bits >> 6, np.uint64)
-    table_[words["word"].to_numpy()] = words["mask"].to_numpy().astype(np.int64).view(np.uint64)
+    table_[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
     shared = docs.sparkSession.sparkContext.broadcast(table_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
         for batch in batches:
-            rows = []
-            for elements in shingle_sets(utf8(batch.column(0)), width):
-                if len(elements):
-                    key = set_key(elements)
-                    place = key & (bits - 1)
-                    if key not in known and int(shared.value[place >> 6]) >> (place & 63) & 1:
-                        known.add(key)
-                        rows.append((key, len(elements), elements.tobytes(), parity_sketch(elements)))
-            if rows:
+            at = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            hit = shared.value[np.maximum(at, 0) >> 6] >> (np.maximum(at, 0) & 63).astype(np.uint64) & np.uint64(1)
+            some = np.flatnonzero((at < 0) | (hit > 0))
+            sets_ = [s for s in shingle_sets(utf8(batch.column(0).take(pa.array(some))), width) if len(s)]
+            if sets_:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True),
-                                                    (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
-                    ["key", "n", "elements", "sketch"])
+                    [pa.array([set_key(s) for s in sets_], pa.int64()),
+                     pa.array([s.tobytes() for s in sets_], pa.binary())], ["key", "elements"])
+
+    sets = docs.select("text", place("doc_id").alias("at")).mapInArrow(run, "key long, elements binary")
+    return saved(sets.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "class-sets")
 
-    sets = docs.select("text").mapInArrow(run, "key long, n long, elements binary, sketch binary")
-    return saved(sets.join(wanted, "key", "left_semi").dropDuplicates(["key"]), "class-sets")
+
+def _allowed(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that the sizes and the sketches of ``classes`` (key, n, sketch) allow to be similar."""
+    def side(c: str) -> DataFrame:
+        return classes.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"of_{c}"))
+
+    both = (pairs.join(side("a"), "a").join(side("b"), "b")
+                 .filter(den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
+                 .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "of_a", "of_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [sketch_difference(x, y) <= (den - num) * n // (den + num) for n, x, y in
+                    zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
+                pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The similar ones among ``pairs`` (a, b), by their whole sets."""
-    left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("elements").alias("of_a"))
-    right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("elements").alias("of_b"))
-    fits = (den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b"))
-    sizes = sets.select("key", "n")
-    sized = (pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("n_a")), "a")
-                  .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("n_b")), "b").filter(fits)
-                  .select("a", "b"))
-    both = sized.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    left = sets.select(F.col("key").alias("a"), F.col("elements").alias("of_a"))
+    right = sets.select(F.col("key").alias("b"), F.col("elements").alias("of_b"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,39 +261,44 @@ def _compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                 merged = np.sort(np.concatenate([x, y]))
                 common = int((merged[1:] == merged[:-1]).sum())
                 keep.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
+                pa.array(keep, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def _further(groups: DataFrame, labels: DataFrame, sets: DataFrame, asks: int, num: int, den: int) -> DataFrame:
-    """(a, b, more): allowed pairs of different components within a group; more: a member had further ones."""
-    rows = (groups.select("sig", F.explode("keys").alias("key")).distinct()
-                  .join(labels.withColumnRenamed("node", "key"), "key", "left")
+def _open_groups(groups: DataFrame) -> DataFrame:
+    """(sig, key) of groups of three and more classes; in smaller ones all pairs are neighbours."""
+    whole = groups.filter((F.col("kind") == WHOLE) & (F.size("keys") > 2)).dropDuplicates(["keys"])
+    parts = groups.filter(F.col("kind") != WHOLE)  # what single tasks met, and what they sent of it
+    rows = parts.select("sig", F.explode("keys").alias("key")).distinct()
+    several = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").select("sig")
+    return saved(whole.select("sig", F.explode("keys").alias("key")).unionAll(rows.join(several, "sig")), "open")
+
+
+def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int, num: int, den: int) -> DataFrame:
+    """(a, b, more): pairs of different components within a group whose sizes fit; more: a member had further ones."""
+    rows = (groups.join(labels.withColumnRenamed("node", "key"), "key", "left")
                   .withColumn("component", F.coalesce("component", "key")))
-    # a group is open if its members lie in several components; the most common ones need not be told apart exactly:
-    # whatever lies outside the component of the group's least member asks
+    # a group is open if its members lie in several components; whatever lies outside the least one asks the others
     state = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                     F.count(F.lit(1)).alias("members"))
     open_ = state.filter("low <> high").select("sig", "low", F.ceil(F.col("members") / CELL_ROWS).cast("int").alias("cells"))
-    placed = rows.join(open_, "sig").withColumns({
+    placed = rows.join(open_, "sig").join(classes.select("key", "n"), "key").withColumns({
         "home": F.pmod(F.xxhash64("key"), "cells").cast("int"), "asks": F.col("component") != F.col("low")})
     spread = placed.withColumn("cell", F.explode(
         F.when(F.col("asks"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array("home"))))
-    full = spread.join(sets.select("key", "n", "sketch"), "key").select(
-        "sig", "cell", "key", "component", "n", "sketch", (F.col("home") == F.col("cell")).alias("here"), "asks")
+    full = spread.select("sig", "cell", "key", "component", "n", (F.col("home") == F.col("cell")).alias("here"), "asks")
 
     def pairs_of(cell: list[tuple]) -> Iterator[tuple[int, int, bool]]:
-        here = [r for r in cell if r[4]]
-        for key, component, n, sketch, _, asking in cell:
+        here = [r[:3] for r in cell if r[3]]
+        for key, component, n, _, asking in cell:
             if not asking:
                 continue
             found = 0
-            for other, other_component, m, other_sketch, _, _ in here:
+            for other, other_component, m in here:
                 if component == other_component or den * min(n, m) < num * max(n, m):
                     continue
-                if sketch_difference(sketch, other_sketch) > (den - num) * (n + m) // (den + num):
-                    continue
                 if found == asks:
                     yield min(key, other), max(key, other), True
                     break
@@ -280,19 +306,18 @@ def _further(groups: DataFrame, labels: DataFrame, sets: DataFrame, asks: int, n
                 yield min(key, other), max(key, other), False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, cell, out = None, [], []
+        at, cell = None, []
         for batch in batches:
+            out: set[tuple[int, int, bool]] = set()
             for sig, where, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (sig, where) != at:
-                    out += pairs_of(cell)
+                    out.update(pairs_of(cell))
                     at, cell = (sig, where), []
                 cell.append(tuple(row))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["a", "b", "more"])
-                out = []
-        out += pairs_of(cell)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["a", "b", "more"])
+        if last := list(pairs_of(cell)):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*last, strict=True)], ["a", "b", "more"])
 
     return (full.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "key")
                 .mapInArrow(run, "a long, b long, more boolean")
@@ -305,41 +330,51 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     collected = _collected(docs, max(1, -(-size // BUCKET_BYTES)), width, num, den)
-    zipped = F.explode(F.arrays_zip("ids", "sizes", "keys"))
-    members = collected.filter(F.col("kind") == MEMBERS).select(zipped.alias("m")).select(
-        F.col("m.ids").alias("doc_id"), F.col("m.sizes").alias("n_shingles"), F.col("m.keys").alias("key"))
-    groups = collected.filter(F.col("kind") != MEMBERS).select("sig", "keys")
+    zipped = F.explode(F.arrays_zip("ids", "sizes", "keys", "sketches"))
+    rows = collected.filter(F.col("kind") == MEMBERS).select(zipped.alias("m")).select(
+        F.col("m.ids").alias("doc_id"), F.col("m.sizes").alias("n_shingles"), F.col("m.keys").alias("key"),
+        F.col("m.sketches").alias("sketch"))
+    members = rows.drop("sketch")
+    groups = collected.filter(F.col("kind") != MEMBERS).select("kind", "sig", "keys")
 
     # neighbours within each group
     count = F.size("keys")
     chain = F.explode(F.arrays_zip(F.slice("keys", 1, count - 1).alias("a"), F.slice("keys", 2, count - 1).alias("b")))
-    pairs = saved(groups.filter(count > 1).select(chain.alias("p")).select("p.a", "p.b").distinct(), "pairs")
-    labels = None
-    if not pairs.isEmpty():
-        wanted = saved(pairs.select(F.col("a").alias("key")).unionAll(pairs.select("b")).distinct(), "wanted")
-        sets = _class_sets(docs, wanted, width)
-        links = saved(_compared(pairs, sets, num, den), "links")
-        compared, limit = pairs, asks
-        while True:
-            labels = components(links)
-            asked = saved(_further(groups, labels, sets, limit, num, den), "asked")
-            new = saved(asked.select("a", "b").join(compared, ["a", "b"], "left_anti"), "pairs")
-            if new.isEmpty():
-                if asked.filter("more").isEmpty():
-                    break
-                limit *= 16
-                continue
+    neighbours = groups.filter(count > 1).select(chain.alias("p")).select("p.a", "p.b").distinct()
+    sketched = rows.filter("sketch is not null").select("key", F.col("n_shingles").alias("n"), "sketch")
+    shapes = saved(sketched.join(groups.select(F.explode("keys").alias("key")).distinct(), "key", "left_semi")
+                           .dropDuplicates(["key"]), "shapes")
+    met = saved(neighbours, "met")  # pairs that are settled once this round is over
+    new = saved(_allowed(met, shapes, num, den), "pairs")
+    larger, limit = _open_groups(groups), asks
+    least = members.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    labels = df.sparkSession.createDataFrame([], "node long, component long")
+    sets, links = None, None
+    while True:
+        if not new.isEmpty():
+            wanted = new.select(F.col("a").alias("key")).unionAll(new.select("b")).distinct()
+            if sets is not None:
+                wanted = wanted.join(sets.select("key"), "key", "left_anti")
+            wanted = saved(wanted.join(least, "key"), "wanted")
+            if not wanted.isEmpty():
+                more = _class_sets(docs, wanted, width)
+                sets = more if sets is None else sets.unionAll(more)
             found = saved(_compared(new, sets, num, den), "links")
-            compared, links, limit = compared.unionAll(new), links.unionAll(found), limit * 2
+            if not found.isEmpty():
+                links = found if links is None else links.unionAll(found)
+                labels = components(links)
+        asked = saved(_further(larger, labels, shapes, limit, num, den), "asked")
+        fresh = saved(asked.select("a", "b").join(met, ["a", "b"], "left_anti"), "fresh")
+        if fresh.isEmpty() and asked.filter("more").isEmpty():
+            break
+        met, limit = met.unionAll(fresh), limit * 4
+        new = saved(_allowed(fresh, shapes, num, den), "pairs")
 
     classes = members.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    if labels is not None:
-        named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-            "component", F.coalesce("component", "key"))
-        least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-        classes = named.join(least, "component").select("key", "component_id")
-    else:
-        classes = classes.select("key", F.col("least").alias("component_id"))
+    named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key"))
+    firsts = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = named.join(firsts, "component").select("key", "component_id")
     found = members.filter("n_shingles > 0").join(classes, "key").select("doc_id", "n_shingles", "component_id")
     empty = members.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionAll(empty)

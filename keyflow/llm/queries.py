@@ -8,6 +8,7 @@ from keyflow.llm.jump import op9_shards
 from keyflow.llm.mixing import op6_mixing
 from keyflow.llm.pii import op7_pii
 from keyflow.llm.secrets import op3_secrets
+from keyflow.llm.simhash import op8_simhash
 from keyflow.llm.topk import OP5_SQL, op5_topk
 from keyflow.llm.toxicity import op10_toxicity
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_topk": op5_topk,
     "op6_mixing": op6_mixing,
     "op7_pii": op7_pii,
+    "op8_simhash": op8_simhash,
     "op9_shards": op9_shards,
     "op10_toxicity": op10_toxicity,
 }

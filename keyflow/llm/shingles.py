@@ -1,4 +1,4 @@
-"""Sets of word shingles as sorted 64-bit hashes, and the hashes that identify a set."""
+"""Sets of word shingles as sorted 64-bit hashes, the hashes that identify a set, and sketches that bound differences."""
 
 from __future__ import annotations
 
@@ -43,21 +43,37 @@ def set_key(elements: np.ndarray) -> int:
 
 
 def parity_sketch(elements: np.ndarray) -> bytes:
-    """One parity bit for each of about four to eight times as many cells as there are elements.
+    """One parity bit for each of two to four times as many cells as there are elements.
 
     The number of bits in which two sketches differ never exceeds the size of
     the sets' symmetric difference.  Sketches of different lengths are folded.
     """
-    bits = max(64, 4 << int(len(elements)).bit_length())
+    bits = max(64, 2 << int(len(elements)).bit_length())
     cell = np.bincount((mix(elements ^ np.uint64(0x0DD5)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((cell & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+class Sketch:
+    """A parity sketch as one whole number, folded to other lengths when they are asked for."""
+
+    __slots__ = ("bits", "folded")
+
+    def __init__(self, sketch: bytes):
+        self.bits = 8 * len(sketch)
+        self.folded = {self.bits: int.from_bytes(sketch, "little")}
+
+    def at(self, bits: int) -> int:
+        found = self.folded.get(bits)
+        if found is None:
+            wider = self.at(2 * bits)
+            found = self.folded[bits] = (wider >> bits) ^ (wider & ((1 << bits) - 1))
+        return found
+
+    def difference(self, other: Sketch) -> int:
+        """Lower bound of the symmetric difference of the two sets."""
+        bits = min(self.bits, other.bits)
+        return (self.at(bits) ^ other.at(bits)).bit_count()
+
+
 def sketch_difference(a: bytes, b: bytes) -> int:
-    """Lower bound of the symmetric difference of the two sets."""
-    x, y = (np.frombuffer(s, np.uint64) for s in (a, b))
-    while len(x) > len(y):
-        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    while len(y) > len(x):
-        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    return Sketch(a).difference(Sketch(b))
