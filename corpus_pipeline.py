@@ -12,10 +12,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keyflow.llm import bpe, mixing, secrets
+from keyflow.llm import bpe, jaccard, mixing, secrets, toxicity
 from keyflow.llm.common import prepare, saved, table
 
 
+def toxic_documents(spark, docs, sf_dir):
+    """Documents that the toxicity model rejects go; labels are learned as in query op10."""
+    labels = table(spark, sf_dir, "labels")
+    marked = toxicity.scored(docs, labels, score="_kf_score", predicted="_kf_predicted")
+    return marked.filter("_kf_predicted = 0").select(*docs.columns)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Of each group of similar documents the one with the smallest id stays."""
+    prepare(spark)
+    return jaccard.first_of_each(docs)
+
+
 def secret_scans(spark, docs, sf_dir):
     """Secrets are replaced by ``[SECRET]``; every document stays, ``n_chars`` follows the text."""
     prepare(spark)
@@ -40,6 +53,8 @@ def bpe_encoding(spark, docs, sf_dir):
 
 
 STAGES = [
+    ("toxicity", toxic_documents),
+    ("jaccard_join", near_duplicates),
     ("secret_scans", secret_scans),
     ("mixing_sources", mixing_sources),
     ("bpe_encoding", bpe_encoding),

@@ -381,10 +381,16 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 
 
 def first_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` whose id names their component; rows without an id stay."""
-    names = jaccard_classes(df, doc_id, text, **options).filter("doc_id = component_id").select(
-        F.col("component_id").alias("_kf_id")).distinct()
-    kept = df.join(names, F.col(f"`{doc_id}`").cast("long") == F.col("_kf_id"), "left_semi")
+    """The rows of ``df`` whose id names their component.
+
+    Rows without an id stay.  Where ids repeat, rows equal in id and text count once.
+    """
+    classes = saved(jaccard_classes(df, doc_id, text, **options), "classes")
+    names = classes.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_kf_id")).agg(
+        F.count(F.lit(1)).alias("_kf_n"))
+    kept = df.join(names.select("_kf_id"), F.col(f"`{doc_id}`").cast("long") == F.col("_kf_id"), "left_semi")
+    if not names.filter("_kf_n > 1").isEmpty():
+        kept = kept.dropDuplicates([doc_id, text])
     return kept.unionAll(df.filter(F.col(f"`{doc_id}`").isNull()))
 
 

@@ -11,11 +11,13 @@ from keyflow.llm.secrets import op3_secrets
 from keyflow.llm.simhash import op8_simhash
 from keyflow.llm.topk import OP5_SQL, op5_topk
 from keyflow.llm.toxicity import op10_toxicity
+from keyflow.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
     "op3_secrets": op3_secrets,
+    "op4_warc": op4_warc,
     "op5_topk": op5_topk,
     "op6_mixing": op6_mixing,
     "op7_pii": op7_pii,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op5_topk": OP5_SQL}
+ORACLES: dict[str, str] = {"op4_warc": OP4_SQL, "op5_topk": OP5_SQL}
