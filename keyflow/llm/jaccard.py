@@ -11,12 +11,13 @@ different sets agree with a probability of about 2**-64, as do two shingles).
 2. A signature met twice gives a group.  Neighbours within a group are compared
    exactly on their sets; similar ones are linked, links give components.
 3. Groups whose members lie in several components are compared further: cells of
-   member blocks name the pairs of different components that were not met yet,
-   at most so many per member, cell and round, more in every later round.  Rounds
-   go on until no pair is left, so no link between components is lost, and
-   members already connected are never paired.
+   member blocks name the pairs of different components that sizes and parity
+   sketches (exact bounds) allow, at most so many per member and cell.  They are
+   compared exactly; rounds go on, with a higher number, until no member had
+   further pairs.  So no link between components is lost, and members already
+   connected are never paired.
 
-Before sets are fetched, sizes and parity sketches (exact bounds) sort out pairs.
+Sizes and sketches also sort out neighbours before sets are fetched.
 
 The result has one row per document.
 
@@ -29,6 +30,7 @@ component are null; extra columns are ignored; an empty table gives an empty res
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +46,7 @@ from keyflow.llm.wordhash import mix
 
 NUM, DEN, WIDTH = 75, 100, 5
 #: Text bytes for each bucket of signatures, and signatures that a task holds before it sends them.
-BUCKET_BYTES, FLUSH = 12_000_000, 4_000_000
+BUCKET_BYTES, FLUSH = 8_000_000, 1_000_000
 #: Members of one block in step 3, and pairs that a member asks for per block and round.
 CELL_ROWS, ASKS = 512, 256
 
@@ -277,43 +279,56 @@ def _open_groups(groups: DataFrame) -> DataFrame:
 
 
 def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int, num: int, den: int) -> DataFrame:
-    """(a, b, more): pairs of different components within a group whose sizes fit; more: a member had further ones."""
+    """(a, b, more): pairs of different components within a group that sizes and sketches allow.
+
+    A member names ``asks`` of them per cell at most; ``more`` tells that it had further ones.
+    """
     rows = (groups.join(labels.withColumnRenamed("node", "key"), "key", "left")
                   .withColumn("component", F.coalesce("component", "key")))
     # a group is open if its members lie in several components; whatever lies outside the least one asks the others
     state = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                     F.count(F.lit(1)).alias("members"))
     open_ = state.filter("low <> high").select("sig", "low", F.ceil(F.col("members") / CELL_ROWS).cast("int").alias("cells"))
-    placed = rows.join(open_, "sig").join(classes.select("key", "n"), "key").withColumns({
+    placed = rows.join(open_, "sig").join(classes, "key").withColumns({
         "home": F.pmod(F.xxhash64("key"), "cells").cast("int"), "asks": F.col("component") != F.col("low")})
     spread = placed.withColumn("cell", F.explode(
         F.when(F.col("asks"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array("home"))))
-    full = spread.select("sig", "cell", "key", "component", "n", (F.col("home") == F.col("cell")).alias("here"), "asks")
+    full = spread.select("sig", "cell", "key", "component", "n", "sketch", (F.col("home") == F.col("cell")).alias("here"),
+                         "asks")
 
     def pairs_of(cell: list[tuple]) -> Iterator[tuple[int, int, bool]]:
-        here = [r[:3] for r in cell if r[3]]
-        for key, component, n, _, asking in cell:
+        here = sorted((r for r in cell if r[4]), key=lambda r: r[2])
+        sizes = [r[2] for r in here]
+        for key, component, n, sketch, _, asking in cell:
             if not asking:
                 continue
             found = 0
-            for other, other_component, m in here:
-                if component == other_component or den * min(n, m) < num * max(n, m):
-                    continue
-                if found == asks:
-                    yield min(key, other), max(key, other), True
-                    break
-                found += 1
-                yield min(key, other), max(key, other), False
+            for other, other_component, m, other_sketch, _, _ in here[bisect_left(sizes, -(-num * n // den)):
+                                                                      bisect_right(sizes, n * den // num)]:
+                if component != other_component and (
+                        sketch.difference(other_sketch) <= (den - num) * (n + m) // (den + num)):
+                    yield min(key, other), max(key, other), found == asks
+                    if found == asks:
+                        break
+                    found += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, cell = None, []
+        known: dict[int, Sketch] = {}  # a class lies in many groups
         for batch in batches:
             out: set[tuple[int, int, bool]] = set()
-            for sig, where, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sketches = batch.column(5)
+            for row, (sig, where, key, component, n, here, asking) in enumerate(
+                    zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7)), strict=True)):
                 if (sig, where) != at:
                     out.update(pairs_of(cell))
                     at, cell = (sig, where), []
-                cell.append(tuple(row))
+                sketch = known.get(key)
+                if sketch is None:
+                    if len(known) >= 50_000:
+                        known.clear()
+                    sketch = known[key] = Sketch(sketches[row].as_py())
+                cell.append((key, component, n, sketch, here, asking))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["a", "b", "more"])
         if last := list(pairs_of(cell)):
@@ -321,7 +336,7 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
 
     return (full.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "key")
                 .mapInArrow(run, "a long, b long, more boolean")
-                .groupBy("a", "b").agg(F.min("more").alias("more")))
+                .groupBy("a", "b").agg(F.max("more").alias("more")))
 
 
 def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -344,8 +359,8 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     sketched = rows.filter("sketch is not null").select("key", F.col("n_shingles").alias("n"), "sketch")
     shapes = saved(sketched.join(groups.select(F.explode("keys").alias("key")).distinct(), "key", "left_semi")
                            .dropDuplicates(["key"]), "shapes")
-    met = saved(neighbours, "met")  # pairs that are settled once this round is over
-    new = saved(_allowed(met, shapes, num, den), "pairs")
+    new = saved(_allowed(neighbours, shapes, num, den), "pairs")
+    met = new  # allowed pairs that were compared
     larger, limit = _open_groups(groups), asks
     least = members.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     labels = df.sparkSession.createDataFrame([], "node long, component long")
@@ -363,12 +378,11 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
             if not found.isEmpty():
                 links = found if links is None else links.unionAll(found)
                 labels = components(links)
+        if met is None:
+            break  # every allowed pair of different components was named and compared
         asked = saved(_further(larger, labels, shapes, limit, num, den), "asked")
-        fresh = saved(asked.select("a", "b").join(met, ["a", "b"], "left_anti"), "fresh")
-        if fresh.isEmpty() and asked.filter("more").isEmpty():
-            break
-        met, limit = met.unionAll(fresh), limit * 4
-        new = saved(_allowed(fresh, shapes, num, den), "pairs")
+        new = saved(asked.select("a", "b").join(met, ["a", "b"], "left_anti"), "pairs")
+        met, limit = (None if asked.filter("more").isEmpty() else met.unionAll(new)), limit * 4
 
     classes = members.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
