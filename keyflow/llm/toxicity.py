@@ -40,7 +40,7 @@ from keyflow.llm.common import saved, table, utf8, with_columns
 from keyflow.llm.wordhash import LETTERS, hashed_words, pieces
 
 #: Hash buckets of words and of prefixes.
-BUCKETS, PREFIX_BUCKETS = 1 << 20, 1 << 16
+BUCKETS, PREFIX_BUCKETS = 1 << 19, 1 << 16
 PREFIX_BYTES = 4
 #: Absolute discount of both levels, and the share of toxic counts in the toxic model.
 DISCOUNT, ALPHA = 2.0, 0.003
@@ -179,9 +179,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     ordinary, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not ordinary or not toxic:
         return None, 0.0, toxic / max(1, ordinary + toxic)
-    counted = count_words(rows).toPandas()  # at most BUCKETS rows
-    word, prefix = counted["word"].to_numpy(), counted["prefix"].to_numpy()
-    by = {c: counted[c].to_numpy(float) for c in _COUNTS}
+    counted = count_words(rows).select("word", "prefix", *[F.col(c).cast("double") for c in _COUNTS]).toArrow()
+    word, prefix = counted["word"].to_numpy(), counted["prefix"].to_numpy()  # at most BUCKETS rows
+    by = {c: counted[c].to_numpy() for c in _COUNTS}
 
     def table_without(f: int | None):
         counts = np.stack([sum(by[f"c{c}_{g}"] for g in FOLDS if g != f) for c in (0, 1)])
