@@ -144,9 +144,13 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     offsets = summary.select(*kcol, CHUNK,
                              *[F.sum(f"_kf_t_{n}").over(wk).alias(f"_kf_o_{n}") for n in measures])
     joined = local.join(offsets, [*kcol, CHUNK], "inner")
-    return joined.select(*base_cols, *[
-        (F.col(f"_kf_l_{n}") + F.coalesce(F.col(f"_kf_o_{n}"), F.lit(0))).alias(n)
-        for n in measures])
+
+    def total(n: str) -> Column:
+        # nulls add nothing; the sum is null only while no value was seen at all, as in the plain window
+        here, before = F.col(f"_kf_l_{n}"), F.col(f"_kf_o_{n}")
+        return F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
+
+    return joined.select(*base_cols, *[total(n).alias(n) for n in measures])
 
 
 def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,

@@ -78,11 +78,13 @@ def sum_batches(spark: SparkSession, sink: str, keys: Sequence[str], value: str)
 
 
 def latest_rows(spark: SparkSession, sink: str, keys: Sequence[str], schema: str | None = None) -> DataFrame:
-    """Last update per key from an :func:`upsert_batches` sink."""
+    """Last update per key (null keys included) from an :func:`upsert_batches` sink."""
     reader = spark.read.schema(schema) if schema else spark.read
     rows = reader.parquet(sink)
-    latest = rows.groupBy(*keys).agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(latest, [*keys, "batch_id"]).drop("batch_id")
+    values = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_kf_last"))
+    return latest.select(*[c if c in keys else F.col(f"_kf_last.{c}").alias(c)
+                           for c in rows.columns if c != "batch_id"])
 
 
 def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = None,
@@ -107,13 +109,13 @@ def slice_bounds(df: DataFrame, col: str, n_slices: int) -> list:
 
 
 def slice_filter(col: str, bounds: list, i: int):
-    """Rows of slice ``i``: ``bounds[i-1] <= col < bounds[i]`` (open at both ends)."""
+    """Rows of slice ``i``: ``bounds[i-1] <= col < bounds[i]`` (open at both ends); nulls are in the first."""
     cond = F.lit(True)
     if i > 0:
         cond = cond & (F.col(col) >= F.lit(bounds[i - 1]))
     if i < len(bounds):
         cond = cond & (F.col(col) < F.lit(bounds[i]))
-    return cond
+    return F.coalesce(cond, F.lit(i == 0))
 
 
 def run_in_slices(spark: SparkSession, table: DataFrame, order_col: str, n_slices: int,
