@@ -48,7 +48,7 @@ NUM, DEN, WIDTH = 75, 100, 5
 #: Text bytes for each bucket of signatures, and signatures that a task holds before it sends them.
 BUCKET_BYTES, FLUSH = 8_000_000, 1_000_000
 #: Members of one block in step 3, and pairs that a member asks for per block and round.
-CELL_ROWS, ASKS = 512, 4
+CELL_ROWS, ASKS = 512, 64
 
 _PACKED = ("bucket long, kind int, sigs binary, keys binary, counts binary, ids array<long>, sizes array<long>, "
            "sketches array<binary>")
