@@ -285,12 +285,14 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
     """
     rows = (groups.join(labels.withColumnRenamed("node", "key"), "key", "left")
                   .withColumn("component", F.coalesce("component", "key")))
-    # a group is open if its members lie in several components; whatever lies outside the least one asks the others
-    state = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                    F.count(F.lit(1)).alias("members"))
-    open_ = state.filter("low <> high").select("sig", "low", F.ceil(F.col("members") / CELL_ROWS).cast("int").alias("cells"))
+    # a group is open if its members lie in several components; whatever lies outside the largest one asks the others,
+    # so each pair of different components has an asking side and the bulk of a group that is linked already is quiet
+    counted = rows.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
+    state = counted.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"))
+    open_ = state.filter("main.n < members").select(
+        "sig", F.col("main.component").alias("main"), F.ceil(F.col("members") / CELL_ROWS).cast("int").alias("cells"))
     placed = rows.join(open_, "sig").join(classes, "key").withColumns({
-        "home": F.pmod(F.xxhash64("key"), "cells").cast("int"), "asks": F.col("component") != F.col("low")})
+        "home": F.pmod(F.xxhash64("key"), "cells").cast("int"), "asks": F.col("component") != F.col("main")})
     spread = placed.withColumn("cell", F.explode(
         F.when(F.col("asks"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array("home"))))
     full = spread.select("sig", "cell", "key", "component", "n", "sketch", (F.col("home") == F.col("cell")).alias("here"),
