@@ -366,7 +366,7 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     larger, limit = _open_groups(groups), asks
     least = members.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     labels = df.sparkSession.createDataFrame([], "node long, component long")
-    sets, links = None, None
+    sets = None
     while True:
         if not new.isEmpty():
             wanted = new.select(F.col("a").alias("key")).unionAll(new.select("b")).distinct()
@@ -378,8 +378,8 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
                 sets = more if sets is None else sets.unionAll(more)
             found = saved(_compared(new, sets, num, den), "links")
             if not found.isEmpty():
-                links = found if links is None else links.unionAll(found)
-                labels = components(links)
+                # the components known so far are stars already: only what the new links join has to move
+                labels = components(labels.toDF("a", "b").unionAll(found))
         if met is None:
             break  # every allowed pair of different components was named and compared
         asked = saved(_further(larger, labels, shapes, limit, num, den), "asked")

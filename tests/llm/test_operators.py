@@ -106,6 +106,34 @@ def test_jaccard_equals_brute_force(spark, rows):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([*want, None])
 
 
+def test_components_equal_union_find(spark):
+    from keyflow.llm.components import components
+
+    rng = random.Random(7)
+    links = [(i, i + 1) for i in range(100, 160)] + [(5, 5), (300, 301), (301, 300), (300, 301)]
+    links += [(rng.randrange(400, 520), rng.randrange(400, 520)) for _ in range(90)] + [(-7, 0), (0, 9)]
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    want = {(x, find(x)) for x in list(root)}
+    table = spark.createDataFrame(links, "a long, b long")
+    got = components(table)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # from known stars and further links the result is that of all links at once
+    first = components(table.filter("a % 2 = 0"))
+    again = components(first.toDF("a", "b").unionAll(table.filter("a % 2 <> 0")))
+    assert sorted(map(tuple, again.collect())) == sorted(want)
+    assert components(table.filter("a > 1000")).collect() == []
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(1)
     for _ in range(1500):
