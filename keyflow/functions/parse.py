@@ -46,7 +46,8 @@ def parse_behavior(df: DataFrame, line: str = "line", keep: tuple[str, ...] = ()
     """
     src = df.select(*[F.col(k) for k in keep], F.col(line).alias("_kf_line"))
     parts = split_fields(F.col("_kf_line"), ",")
-    src = src.select("*", parts.alias("_kf_parts")).withColumn("_kf_ts_text", F.col("_kf_parts").getItem(3))
+    # one-element explode: a filter on the reason stays above it, so the line is split once and not in every expression
+    src = src.select("*", F.explode(F.array(parts)).alias("_kf_parts")).withColumn("_kf_ts_text", F.col("_kf_parts").getItem(3))
     well_sized = F.size("_kf_parts") == 4
     numeric = F.coalesce(F.col("_kf_ts_text").rlike(INTEGER_TEXT), F.lit(False))
     ts_ms = F.when(well_sized & numeric, F.expr("try_cast(_kf_ts_text AS BIGINT)"))

@@ -23,13 +23,14 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], coun
 
 
 def running_average(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                    average: str = "avg_value", scale: int = 2, precision: int = 18,
+                    average: str = "avg_value", scale: int = 4, precision: int = 28,
                     rows_per_chunk: int | None = None) -> DataFrame:
     """Running mean of ``value`` per key.
 
     The running total is a DECIMAL(precision, scale) sum, exact and
     independent of how the sequence is chunked; ``scale`` must cover the
-    input's decimals.  The mean is ``double(total) / count``.
+    input's decimals.  The mean is ``double(total) / count``; a null value counts
+    as a row and adds nothing, and the mean is null until a value came.
     """
     dec = f"decimal({precision},{scale})"
     out = running_sums(df, keys, order,

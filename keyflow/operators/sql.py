@@ -14,7 +14,7 @@ from keyflow.sources.tables import load
 
 SALES_SQL = """
 SELECT product_id,
-       CAST(SUM(CAST(amount AS DECIMAL(12,2)) * CAST(price AS DECIMAL(12,2))) AS DOUBLE) AS total_sales
+       CAST(SUM(CAST(amount AS DECIMAL(18,4)) * CAST(price AS DECIMAL(18,4))) AS DOUBLE) AS total_sales
 FROM {view}
 GROUP BY product_id
 """
@@ -49,6 +49,6 @@ def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_
 def sales_per_product(spark: SparkSession, view: str) -> DataFrame:
     """``SELECT product_id, SUM(amount * price) AS total_sales ... GROUP BY product_id``.
 
-    Amounts and prices are summed as exact decimals, then cast to double.
+    Amounts and prices are summed as exact decimals of four places, then cast to double.
     """
     return spark.sql(SALES_SQL.format(view=view))

@@ -151,6 +151,9 @@ FROM documents
     "upper_map": "SELECT p_partkey, p_name, upper(p_name) AS upper_name FROM part",
     "double_even": """
 SELECT event_id, event_id * 2 AS doubled FROM events WHERE (event_id * 2) % 2 = 0
+""",
+    "even_double": """
+SELECT event_id, event_id * 2 AS doubled FROM events WHERE event_id % 2 = 0
 """,
     "event_time_counts": _EVENT_TIME_COUNTS,
     "arrival_window_sum": """

@@ -50,7 +50,7 @@ def q_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_text_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The (text, length) tuples before filtering."""
-    docs = load(spark, sf_dir, "documents", spread=True)
+    docs = load(spark, sf_dir, "documents")
     return docs.select("doc_id", "text", text_length("text").alias("text_len"))
 
 
@@ -72,6 +72,12 @@ def q_double_even(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.filter(is_even("doubled"))
 
 
+def q_even_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even event ids, doubled: the filter before the map, which removes the odd half."""
+    ev = load(spark, sf_dir, "events").filter(is_even("event_id"))
+    return ev.select("event_id", doubled("event_id").alias("doubled"))
+
+
 def q_event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per type per 5 s event-time window (2 s bounded disorder)."""
     ev = event_time(load(spark, sf_dir, "events"), "ts", "2 seconds")
@@ -177,7 +183,7 @@ def q_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_behavior(behavior_lines(load(spark, sf_dir, "events", spread=True)), "line",
+    return parse_behavior(behavior_lines(load(spark, sf_dir, "events")), "line",
                           keep=("event_id", "variant"))
 
 
@@ -231,6 +237,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "length_filter": q_length_filter,
     "upper_map": q_upper_map,
     "double_even": q_double_even,
+    "even_double": q_even_double,
     "event_time_counts": q_event_time_counts,
     "arrival_window_sum": q_arrival_window_sum,
     "running_event_count": q_running_event_count,

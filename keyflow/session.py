@@ -11,6 +11,7 @@ import tempfile
 import uuid
 import zipfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every keyflow job relies on.  AQE re-plans joins and coalesces
@@ -99,18 +100,23 @@ def apply_recommended_conf(spark: SparkSession) -> None:
     for key, value in RECOMMENDED_CONF.items():
         try:
             spark.conf.set(key, value)
-        except Exception:  # static conf on a running session: keep the platform's value
+        except AnalysisException:  # static conf on a running session: keep the platform's value
             pass
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT"):
+        raise RuntimeError("results are defined in UTC: set spark.sql.session.timeZone to UTC")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (HDFS/object-store) folder and is
-    only read.  Only when it is unset (local tests) a private folder is made.
+    only read.  Only when it is unset in local mode (tests) a private folder is
+    made; elsewhere executors would not see it, and a RuntimeError says so.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="keyflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

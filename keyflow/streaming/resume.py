@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -87,6 +88,21 @@ def latest_rows(spark: SparkSession, sink: str, keys: Sequence[str], schema: str
                            for c in rows.columns if c != "batch_id"])
 
 
+def pinned(spark: SparkSession, path: str, value: int) -> int:
+    """The number kept at ``path``, which the first call sets to ``value``.
+
+    For numbers that are part of a state's key (hash buckets): a restart with
+    other session settings must go on with the number of the first start.
+    """
+    try:
+        return spark.read.schema("n long").parquet(path).first()["n"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.range(1).select(F.lit(value).cast("long").alias("n")).coalesce(1).write.parquet(path)
+    return value
+
+
 def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = None,
                operator_id: int = 0) -> DataFrame:
     """Inspect a query's keyed state from its checkpoint (the ``statestore`` source).

@@ -20,6 +20,7 @@ These need the RocksDB state store provider
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,13 @@ def _ordered(rows, order: Sequence[str]) -> list[Row]:
     return sorted(rows, key=lambda r: tuple(r[c] for c in order))
 
 
+def _units(value: float | None, scale: int) -> int | None:
+    """``value`` in units of 10^-scale, rounded as Spark casts a double to a decimal (half up on its decimal text)."""
+    if value is None:
+        return None
+    return int(Decimal(repr(value)).scaleb(scale).quantize(Decimal(1), ROUND_HALF_UP))
+
+
 class RunningCounter(StatefulProcessor):
     """Per-key counter with default 0 (value state): ``cnt`` after each row.
 
@@ -73,11 +81,12 @@ class RunningMean(StatefulProcessor):
     """Per-key (count, total) value state; emits the running mean after each row.
 
     Row API.  ``scale`` fixes the decimals of the input: the total is kept as
-    an exact integer number of 10^-scale units.
+    an exact integer number of 10^-scale units.  As in the batch form a null
+    value counts as a row and adds nothing; the mean is null until a value came.
     """
 
     def __init__(self, order: Sequence[str], out_cols: Sequence[str], value: str,
-                 average: str = "avg_value", scale: int = 2):
+                 average: str = "avg_value", scale: int = 4):
         self.order, self.out_cols, self.value = list(order), list(out_cols), value
         self.average, self.scale = average, scale
 
@@ -86,12 +95,15 @@ class RunningMean(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         current = self.state.get()
-        cnt, units = (current[0], current[1]) if current is not None else (0, 0)
+        cnt, units = (current[0], current[1]) if current is not None else (0, None)
         unit = 10 ** self.scale
         for r in _ordered(rows, self.order):
             cnt += 1
-            units += round(r[self.value] * unit)
-            yield Row(**{c: r[c] for c in self.out_cols}, **{self.average: (units / unit) / cnt})
+            inc = _units(r[self.value], self.scale)
+            if inc is not None:
+                units = (units or 0) + inc
+            mean = None if units is None else (units / unit) / cnt
+            yield Row(**{c: r[c] for c in self.out_cols}, **{self.average: mean})
         self.state.update((cnt, units))
 
     def close(self) -> None:
@@ -104,7 +116,7 @@ class AdjacentPairMatcher(StatefulProcessor):
     Keeps the key's latest event; each batch's rows are sorted by
     ``(ts, id)``, rows not after the kept event are late (monotonous
     timestamps) and dropped, and every consecutive pair (kept event included)
-    is tested: both amounts ``< limit``, gap ``< within_us``, locations differ.
+    is tested: both amounts ``< limit``, gap ``< within_us``, locations known and different.
     """
 
     def __init__(self, ts: str = "ts", id_col: str = "event_id", amount: str = "amount",
@@ -125,6 +137,7 @@ class AdjacentPairMatcher(StatefulProcessor):
         ids = pdf[self.id].to_numpy().astype("int64")
         amt = pdf[self.amount].to_numpy().astype("float64")
         loc = pdf[self.location].to_numpy().astype(object)
+        loc[~pdf[self.location].notna().to_numpy()] = None
         if self.last.exists():
             lts, lid, lamt, lloc = self.last.get()
             fresh = (ts > lts) | ((ts == lts) & (ids > lid))
@@ -135,11 +148,12 @@ class AdjacentPairMatcher(StatefulProcessor):
             loc = np.concatenate([np.array([lloc], dtype=object), loc])
         if len(ts) == 0:
             return
-        self.last.update((int(ts[-1]), int(ids[-1]), float(amt[-1]), str(loc[-1])))
+        self.last.update((int(ts[-1]), int(ids[-1]), float(amt[-1]), loc[-1]))
         if len(ts) < 2:
             return
         a, b = slice(0, -1), slice(1, None)
-        hit = ((amt[a] < self.limit) & (amt[b] < self.limit)
+        known = np.array([isinstance(x, str) for x in loc])  # a null place differs from nothing
+        hit = (known[a] & known[b] & (amt[a] < self.limit) & (amt[b] < self.limit)
                & (ts[b] - ts[a] < self.within_us) & (loc[a] != loc[b]))
         if not hit.any():
             return
@@ -215,10 +229,10 @@ class RetractChangelog(StatefulProcessor):
     Row API.  For each row in ``order``: the key's first row emits
     ``+ total``; later rows emit ``- old`` then ``+ new``; a row that leaves
     the total unchanged emits nothing.  Totals are exact integers of
-    10^-scale units.
+    10^-scale units; rows without a value emit nothing.
     """
 
-    def __init__(self, order: Sequence[str], value: str, out_cols: Sequence[str], scale: int = 2):
+    def __init__(self, order: Sequence[str], value: str, out_cols: Sequence[str], scale: int = 4):
         self.order, self.value, self.out_cols, self.scale = list(order), value, list(out_cols), scale
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -229,7 +243,9 @@ class RetractChangelog(StatefulProcessor):
         units = current[0] if current is not None else None
         unit = 10 ** self.scale
         for r in _ordered(rows, self.order):
-            inc = round(r[self.value] * unit)
+            inc = _units(r[self.value], self.scale)
+            if inc is None:
+                continue
             base = {c: r[c] for c in self.out_cols}
             if units is None:
                 units = inc
@@ -326,59 +342,3 @@ class BucketedRunningCounter(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-class BucketedRetractChangelog(StatefulProcessor):
-    """Per-record retract changelog with state grouped by a hash bucket of the key.
-
-    Same output as :class:`RetractChangelog` (``op``, ``seq``, ``total``) for
-    streams with very many keys: one value state per bucket holds the keys'
-    totals (exact integers of 10^-scale units) and the batch is processed
-    with per-key cumulative sums in numpy.  Pays off from roughly 50k keys per
-    micro-batch; below that the Row-API :class:`RetractChangelog` is as fast
-    (15k products at sf0.1: 13 s vs 15 s).
-    """
-
-    def __init__(self, key: str, order: Sequence[str], value: str, out_cols: Sequence[str],
-                 key_type: str = "long", scale: int = 2):
-        self.key, self.order, self.value, self.out_cols = key, list(order), value, list(out_cols)
-        self.key_type, self.scale = key_type, scale
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("totals", f"keys array<{self.key_type}>, units array<long>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _concat(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values([self.key, *self.order], kind="stable").reset_index(drop=True)
-        current = self.state.get()
-        known = dict(zip(current[0], current[1])) if current is not None else {}
-        unit = 10 ** self.scale
-        codes, uniques = pd.factorize(pdf[self.key], use_na_sentinel=False)
-        step = np.rint(pdf[self.value].to_numpy(dtype=np.float64) * unit).astype(np.int64)
-        seen = np.array([u in known for u in uniques], dtype=bool)
-        base = np.array([known.get(u, 0) for u in uniques], dtype=np.int64)
-        new = base[codes] + pd.Series(step).groupby(codes, sort=False).cumsum().to_numpy(dtype=np.int64)
-        first_in_batch = pd.Series(codes).groupby(codes, sort=False).cumcount().to_numpy() == 0
-        first = first_in_batch & ~seen[codes]
-        changed = step != 0
-        retract, add = ~first & changed, first | changed
-        last = np.zeros(len(uniques), dtype=np.int64)
-        last[codes] = new                                # rows are in order within each key
-        for u, total in zip(uniques, last):
-            known[u] = int(total)
-        self.state.update((list(known.keys()), list(known.values())))
-        idx = np.concatenate([np.nonzero(retract)[0], np.nonzero(add)[0]])
-        if len(idx) == 0:
-            return
-        n_r = int(retract.sum())
-        is_r = np.arange(len(idx)) < n_r
-        out = pdf.loc[idx, self.out_cols].reset_index(drop=True)
-        out["op"] = np.where(is_r, "-", "+")
-        out["seq"] = np.where(is_r, 0, 1).astype("int32")
-        out["total"] = np.where(is_r, new[idx] - step[idx], new[idx]) / unit
-        yield out
-
-    def close(self) -> None:
-        pass

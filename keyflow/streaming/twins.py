@@ -21,13 +21,13 @@ from keyflow.operators.windows import event_time, window_count, window_sum
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import behavior_lines, load, page_log_lines
-from keyflow.streaming.resume import (additive_batches, latest_rows, q_resumed_events,
-                                      resumable_stream, run_in_slices, sum_batches, upsert_batches)
+from keyflow.streaming.resume import (additive_batches, latest_rows, pinned,
+                                      q_resumed_events, resumable_stream, run_in_slices, sum_batches, upsert_batches)
 from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCounter, ItemHistory,
                                        PairDeltas, RetractChangelog, RunningCounter, RunningMean)
 
 N_SLICES = 3
-# Hash buckets per shuffle partition for keyed state with very many small keys.
+# Hash buckets per shuffle partition for keyed state with very many small keys, at a stream's first start.
 WORD_BUCKETS_PER_PARTITION = 16
 
 
@@ -160,13 +160,14 @@ def q_stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_rolling_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-record running total of each word from keyed value state (conversations by conv_id)."""
     landing, sink, ckpt = _paths(spark, "rolling_word_count")
+    # very many small keys: state grouped by a hash bucket of the word; the number of buckets is part of the state's key
+    buckets = pinned(spark, f"{ckpt}-buckets",
+                     int(spark.conf.get("spark.sql.shuffle.partitions")) * WORD_BUCKETS_PER_PARTITION)
     conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
 
     def start():
         stream = stream_table(spark, landing, schema=conv.schema)
         words = tokenize(stream, "text", keep=("conv_id", "turn"), with_position=True)
-        # very many small keys: state grouped by a hash bucket of the word
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * WORD_BUCKETS_PER_PARTITION
         counted = (words.withColumn("_bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
                    .groupBy("_bucket").transformWithStateInPandas(
                        statefulProcessor=BucketedRunningCounter(

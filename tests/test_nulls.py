@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyflow.operators.running import running_average
-from keyflow.streaming.resume import latest_rows, slice_filter
+from keyflow.session import shared_path
+from keyflow.sources.streams import stream_table
+from keyflow.streaming.resume import latest_rows, pinned, resumable_stream, slice_filter
+from keyflow.streaming.stateful import RunningMean
 
 
 @pytest.mark.parametrize("chunk", [3, 5, 97])
@@ -28,3 +31,23 @@ def test_last_update_keeps_null_keys(spark, tmp_path):
     path = str(tmp_path / "sink")
     spark.createDataFrame([(None, 1, 0), (None, 3, 1), ("a", 2, 0)], "k string, cnt int, batch_id long").write.parquet(path)
     assert sorted(map(tuple, latest_rows(spark, path, ["k"]).collect()), key=repr) == [("a", 2), (None, 3)]
+
+
+def test_streamed_mean_with_nulls_equals_batch(spark):
+    base = shared_path(spark, "tests", "mean", fresh=True)
+    rows = [(k, t, None if t in (1, 5, 6) else 0.0035 * t) for k in (1, None) for t in range(1, 11)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    for some in (df.filter("t <= 1"), df.filter("t between 2 and 5"), df.filter("t > 5")):
+        some.write.mode("append").parquet(f"{base}/in")
+        means = stream_table(spark, f"{base}/in", schema=df.schema).groupBy("k").transformWithState(
+            statefulProcessor=RunningMean(["t"], ["k", "t", "v"], "v"),
+            outputStructType="k int, t int, v double, avg_value double", outputMode="Append", timeMode="None")
+        resumable_stream(means, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    want = running_average(df, ["k"], ["t"], "v")
+    got = spark.read.parquet(f"{base}/out").select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_pinned_number_outlives_its_setting(spark):
+    path = shared_path(spark, "tests", "pinned", fresh=True)
+    assert [pinned(spark, path, 32), pinned(spark, path, 80)] == [32, 32]

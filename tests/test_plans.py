@@ -21,6 +21,15 @@ def test_no_cartesian_nested_loop_or_row_udf(spark, name):
         assert bad not in plan, f"{name} uses {bad}"
 
 
+@pytest.mark.parametrize("name", ["text_lengths", "length_filter", "behavior_rejects"])
+def test_maps_do_not_shuffle(spark, name):
+    assert "Exchange" not in plan_of(BATCH_QUERIES[name](spark, SF_SMALL))
+
+
+def test_behavior_lines_are_split_once(spark):
+    assert len(re.findall(r"split\(", plan_of(BATCH_QUERIES["behavior_counts"](spark, SF_SMALL)))) == 1
+
+
 def test_word_count_prunes_columns_and_pre_aggregates(spark):
     plan = plan_of(BATCH_QUERIES["word_count"](spark, SF_SMALL))
     assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == ["text:string"]
