@@ -10,11 +10,13 @@ share ``ALPHA`` of the toxic counts.  A document's evidence is the difference of
 the two log-likelihoods divided by its number of words; a logistic curve maps
 it to 0..1.
 
-Counts cover every labelled training row.  They are kept in ``BUCKETS`` hash
-buckets, which bounds what reaches the driver and the broadcast whatever the
-size of the corpus.  Only the logistic curve (two numbers) is fitted on a
-bounded sample, ``FIT_ROWS`` rows chosen by hash, each scored with counts of the
-other folds.
+Counts cover every labelled training row and are exact for each word and each
+prefix (64-bit hashes stand for them): texts become posting rows, one for each
+word of a run of ``CHUNK_WORDS`` words, which are summed by word, turned into a
+table of evidence and joined with that table again.  Neither the driver nor a
+worker holds the vocabulary.  Only the logistic curve (two numbers) is fitted on
+a bounded sample, ``FIT_ROWS`` rows chosen by hash, each scored with counts of
+the other folds.
 
 Training rows have a label and crc32(doc_id as text) mod 4 other than 2 (those
 are held out).  Labels, language, source and id are no inputs of a score.
@@ -32,16 +34,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyflow.llm.common import saved, table, utf8, with_columns
+from keyflow.llm.common import saved, table, utf8
 from keyflow.llm.wordhash import LETTERS, hashed_words, pieces
 
-#: Hash buckets of words and of prefixes.
-BUCKETS, PREFIX_BUCKETS = 1 << 19, 1 << 16
 PREFIX_BYTES = 4
+#: Words, and documents, from which on a run of texts is turned into posting rows.
+CHUNK_WORDS, CHUNK_DOCS = 1 << 22, 1 << 19
+#: Posting rows with more documents than this are spread over ``SALTS`` places of the join.
+LONG, SALTS = 1024, 16
 #: Absolute discount of both levels, and the share of toxic counts in the toxic model.
 DISCOUNT, ALPHA = 2.0, 0.003
 #: Most rows that the logistic curve is fitted on.
@@ -57,102 +62,164 @@ def fold(doc_id: str = "doc_id") -> Column:
     return (F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4).cast("int")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text, toxic, fold) of the labelled rows that are not held out, written once."""
-    marks = (labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id")
-             .agg(F.max("toxic").cast("int").alias("toxic")))
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
-                       fold(doc_id).alias("fold")).filter(F.col("fold") != HELD_OUT)
+def marked_rows(docs: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
+    """``docs`` with ``_kf_fold`` and ``_kf_toxic``, both null where a row is not a training row."""
+    marks = (labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_kf_id"))
+             .agg(F.max("toxic").cast("int").alias("_kf_toxic")))
+    known = docs.withColumn("_kf_fold", F.when(fold(doc_id) != HELD_OUT, fold(doc_id)))
     # the texts are streamed past the labels of their partition: neither sorted nor met by a broadcast of all labels
-    return saved(rows.join(marks.hint("shuffle_hash"), "doc_id"), "toxic-train")
+    joined = known.join(marks.hint("shuffle_hash"), known[f"`{doc_id}`"] == marks["_kf_id"], "left").drop("_kf_id")
+    trains = F.col("_kf_fold").isNotNull() & F.col("_kf_toxic").isNotNull()
+    return joined.withColumns({c: F.when(trains, F.col(c)) for c in ("_kf_fold", "_kf_toxic")})
 
 
 _COUNTS = [f"c{c}_{f}" for c in (0, 1) for f in FOLDS]
-
-
-def count_words(train: DataFrame) -> DataFrame:
-    """Counts of every word bucket by class and fold: combined per task, then over all tasks."""
-    kind = T.StructType([T.StructField("word", T.IntegerType()), T.StructField("prefix", T.IntegerType()),
-                         *[T.StructField(c, T.LongType()) for c in _COUNTS]])
-
+_POSTS = T.StructType([
+    *[T.StructField(c, T.LongType()) for c in ("chunk", "word", "prefix", *_COUNTS)],
+    T.StructField("posts", T.ArrayType(T.IntegerType())), T.StructField("keys", T.ArrayType(T.LongType())),
+    T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("toxic", T.ArrayType(T.IntegerType()))])
+#: The model that leaves no fold out, behind those without FOLDS[0], FOLDS[1], ...
+WHOLE = len(FOLDS)
+_DOC_BITS, _N_BITS = 21, 8
+
+
+def _chunk_rows(chunk: int, parts: list, docs: list) -> Iterator[pa.RecordBatch]:
+    """Posting rows of one chunk: a row for each word, and one (without a word) for its documents."""
+    words, heads, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
+    keys, sizes, toxic, group, fit = (np.concatenate(x) for x in zip(*docs, strict=True))
+    order = np.argsort(words, kind="stable")
+    words, owner = words[order], owner[order]
+    new_word = np.concatenate([[True], words[1:] != words[:-1]])
+    runs = np.flatnonzero(new_word | np.concatenate([[True], owner[1:] != owner[:-1]]))
+    n = np.diff(np.append(runs, len(words)))
+    place, doc = np.cumsum(new_word)[runs] - 1, owner[runs]
+    first = np.flatnonzero(new_word)
+    group = group[doc]
+    counts = [np.bincount(place[group == g], weights=n[group == g], minlength=len(first)).astype(np.int64)
+              for g in range(len(_COUNTS))]
+    # a sampled document is also scored by the model without its fold
+    again = np.flatnonzero(fit[doc])
+    which = np.concatenate([np.full(len(doc), WHOLE), group[again] % len(FOLDS)])
+    place, doc, n = (np.concatenate([x, x[again]]) for x in (place, doc, n))
+    most = (1 << _N_BITS) - 1
+    times = -(-n // most)  # larger numbers take several entries
+    place, doc, which, n = (np.repeat(x, times) for x in (place, doc, which, n))
+    last = np.cumsum(times) - 1
+    left = n[last] - (times - 1) * most
+    n = np.minimum(n, most)
+    n[last] = left
+    order = np.argsort(place, kind="stable")
+    posts = ((((doc << 2) | which) << _N_BITS) | n)[order].astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(first)))])
+    width, rows = 50_000, len(first)
+    schema = pa.schema([*[(c, pa.int64()) for c in ("chunk", "word", "prefix", *_COUNTS)], ("posts", pa.list_(pa.int32())),
+                        ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("toxic", pa.list_(pa.int32()))])
+    for a in range(0, rows, width):
+        b = min(a + width, rows)
+        held = pa.ListArray.from_arrays(pa.array((ends[a:b + 1] - ends[a]).astype(np.int32)),
+                                        pa.array(posts[ends[a]:ends[b]]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(b - a, chunk)), pa.array(words[first[a:b]].view(np.int64)),
+             pa.array(heads[first[a:b]].view(np.int64)), *[pa.array(c[a:b]) for c in counts], held,
+             *[pa.nulls(b - a, schema.field(c).type) for c in ("keys", "sizes", "toxic")]], schema=schema)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([chunk]), *[pa.nulls(1, pa.int64()) for _ in range(2 + len(_COUNTS))], pa.nulls(1, schema.field("posts").type),
+         pa.array([keys], schema.field("keys").type), pa.array([sizes], schema.field("sizes").type),
+         pa.array([[None if t < 0 else int(t) for t in toxic]], schema.field("toxic").type)], schema=schema)
+
+
+def postings(rows: DataFrame) -> DataFrame:
+    """Posting rows of (key, text, toxic, fold, fit), written once.
+
+    ``posts`` holds document << 10 | model << 8 | number of occurrences, ``c0_0`` to ``c1_3`` the
+    word's occurrences by class and fold; a row without a word holds the documents of its chunk.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(_COUNTS), BUCKETS), np.int32)
-        prefix = np.full(BUCKETS, PREFIX_BUCKETS, np.int32)
+        chunk = TaskContext.get().partitionId() << 20
+        parts, docs, n_words, n_docs = [], [], 0, 0
         for batch in batches:
-            column = utf8(batch.column(0))
-            group = np.array([toxic * len(FOLDS) + FOLDS.index(f)
-                              for toxic, f in zip(*(batch.column(i).to_pylist() for i in (1, 2)), strict=True)],
-                             np.int64)
-            for a, b, data, offsets in pieces(column):
+            key, toxic, fit = (batch.column(i).fill_null(none).to_numpy(zero_copy_only=False)
+                               for i, none in ((0, 0), (2, -1), (4, False)))
+            part = [FOLDS.index(f) if f is not None else 0 for f in batch.column(3).to_pylist()]
+            group = np.where(toxic < 0, -1, toxic * len(FOLDS) + np.array(part, np.int64))
+            for a, b, data, offsets in pieces(utf8(batch.column(1))):
                 words, first, heads = hashed_words(data, offsets, LETTERS, PREFIX_BYTES)
-                bucket = (words & np.uint64(BUCKETS - 1)).astype(np.int64)
-                owner = np.repeat(group[a:b], np.diff(first))
-                cell, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
-                total.reshape(-1)[cell] += n.astype(np.int32)
-                np.minimum.at(prefix, bucket, (heads & np.uint64(PREFIX_BUCKETS - 1)).astype(np.int32))
-        seen = np.flatnonzero(total.any(0))
-        for i in range(0, len(seen), 100_000):
-            some = seen[i:i + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), pa.array(prefix[some]),
-                 *[pa.array(row[some].astype(np.int64)) for row in total]], ["word", "prefix", *_COUNTS])
-
-    per_task = train.select("text", F.col("toxic").cast("int"), "fold").mapInArrow(run, kind)
-    return per_task.groupBy("word").agg(F.min("prefix").alias("prefix"),
-                                        *[F.sum(c).alias(c) for c in _COUNTS])
-
-
-def evidence(word: np.ndarray, prefix: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-likelihood differences of every word bucket, and of every prefix bucket for words never counted.
-
-    ``counts`` has a row for each class (ordinary, toxic) and a column for each counted bucket.
-    """
-    def at_prefix(values: np.ndarray) -> np.ndarray:
-        return np.bincount(prefix, weights=values, minlength=PREFIX_BUCKETS)
-
-    both = counts.sum(0) + 0.5
-    shared = at_prefix(both) + 0.5
-    backoff = both / shared[prefix]  # of a word given its prefix
-    heads = [at_prefix(c) for c in counts]
-    kept = [np.maximum(h - DISCOUNT, 0) / max(h.sum(), 1.0) for h in heads]
-    lent = max(1.0 - k.sum() for k in kept)  # the same backoff mass for both classes
-    share = shared / shared.sum()
-    head = [(1 - lent) * k / max(k.sum(), 1e-12) + lent * share for k in kept]
-    word_p, unseen_p = [], []
-    for k in (0, 1):
-        own = np.maximum(counts[k] - DISCOUNT, 0) / np.maximum(heads[k], 1.0)[prefix]
-        rest = 1.0 - at_prefix(own)
-        word_p.append(head[k][prefix] * (own + rest[prefix] * backoff))
-        unseen_p.append(head[k] * rest)
-    of_word = np.zeros(BUCKETS, np.float32)
-    of_word[:] = np.nan
-    of_word[word] = np.log(1 - ALPHA + ALPHA * word_p[1] / word_p[0])
-    of_prefix = np.log(1 - ALPHA + ALPHA * unseen_p[1] / np.maximum(unseen_p[0], 1e-300))
-    return of_word, of_prefix.astype(np.float32)
-
-
-def mean_evidence(column: pa.Array, models: list, which: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood difference of each text, with model ``which[i]``.
-
-    Given as asinh(difference / ALPHA), which spreads the few strong documents
-    and the many near 0 alike.
-    """
-    column = utf8(column)
-    out = np.zeros(len(column))
-    for a, b, data, offsets in pieces(column):
-        words, first, heads = hashed_words(data, offsets, LETTERS, PREFIX_BYTES)
-        bucket = (words & np.uint64(BUCKETS - 1)).astype(np.int64)
-        head = (heads & np.uint64(PREFIX_BUCKETS - 1)).astype(np.int64)
-        n = np.diff(first)
-        for m in np.unique(which[a:b]):
-            of_word, of_prefix = models[m]
-            value = of_word[bucket]
-            value = np.where(np.isnan(value), of_prefix[head], value).astype(np.float64)
-            total = np.concatenate([[0.0], np.cumsum(value)])
-            mean = (total[first[1:]] - total[first[:-1]]) / np.maximum(n, 1)
-            mine = which[a:b] == m
-            out[a:b][mine] = mean[mine]
-    return np.arcsinh(out / ALPHA)
+                n = np.diff(first)
+                some = n > 0  # a text without words has evidence 0 without being asked
+                at = n_docs + np.cumsum(some) - 1
+                parts.append((words, heads, np.repeat(at, n)))
+                docs.append(tuple(x[some] for x in (key[a:b], n, toxic[a:b], group[a:b], fit[a:b])))
+                n_words += len(words)
+                n_docs += int(some.sum())
+                if n_words >= CHUNK_WORDS or n_docs >= CHUNK_DOCS:
+                    yield from _chunk_rows(chunk, parts, docs)
+                    chunk, parts, docs, n_words, n_docs = chunk + 1, [], [], 0, 0
+        if n_words:
+            yield from _chunk_rows(chunk, parts, docs)
+
+    return saved(rows.select("key", "text", "toxic", "fold", "fit").mapInArrow(run, _POSTS), "toxic-posts")
+
+
+def count_words(posts: DataFrame) -> DataFrame:
+    """Exact counts of every word by class and fold, of all texts' words (0 outside the training rows)."""
+    return (posts.filter("word is not null").groupBy("word")
+            .agg(F.min("prefix").alias("prefix"), F.max(F.size("posts") > LONG).alias("long"),
+                 *[F.sum(c).alias(c) for c in _COUNTS]))
+
+
+def _class_count(c: int, m: int) -> Column:
+    return sum((F.col(f"c{c}_{f}") for i, f in enumerate(FOLDS) if i != m), F.lit(0.0))
+
+
+def evidence(words: DataFrame) -> DataFrame:
+    """(word, long, e): the log-likelihood differences of every word by each model; words never counted go by their prefix."""
+    models, classes = range(WHOLE + 1), (0, 1)
+    stats = []
+    for m in models:
+        n = [_class_count(c, m) for c in classes]
+        both = n[0] + n[1]
+        stats += [F.sum(F.when(both > 0, both + 0.5)).alias(f"s_{m}")]
+        for c in classes:
+            stats += [F.sum(n[c]).alias(f"h{c}_{m}"), F.sum(F.greatest(n[c] - DISCOUNT, F.lit(0.0))).alias(f"o{c}_{m}")]
+    heads = words.groupBy("prefix").agg(*stats)
+    kept = lambda c, m: F.greatest(F.col(f"h{c}_{m}") - DISCOUNT, F.lit(0.0))
+    total = heads.agg(*[F.sum(F.col(f"s_{m}") + 0.5).alias(f"s_{m}") for m in models],
+                      *[F.sum(f"h{c}_{m}").alias(f"h{c}_{m}") for m in models for c in classes],
+                      *[F.sum(kept(c, m)).alias(f"k{c}_{m}") for m in models for c in classes]).first()
+    out = []
+    for m in models:
+        size = [max(total[f"h{c}_{m}"] or 0.0, 1.0) for c in classes]
+        mass = [(total[f"k{c}_{m}"] or 0.0) / size[c] for c in classes]
+        lent = max(1.0 - x for x in mass)  # the same backoff mass for both classes
+        shared = F.col(f"s_{m}") + 0.5
+        n = [_class_count(c, m) for c in classes]
+        both = n[0] + n[1] + 0.5
+        seen, unseen = [], []
+        for c in classes:
+            head = kept(c, m) * ((1 - lent) / size[c] / max(mass[c], 1e-12)) + shared * (lent / ((total[f"s_{m}"] or 0.0) + 0.5))
+            most = F.greatest(F.col(f"h{c}_{m}"), F.lit(1.0))
+            rest = 1.0 - F.col(f"o{c}_{m}") / most
+            seen.append(head * (F.greatest(n[c] - DISCOUNT, F.lit(0.0)) / most + rest * both / shared))
+            unseen.append(head * rest)
+        ratio = F.when(both > 0.5, seen[1] / seen[0]).otherwise(unseen[1] / unseen[0])
+        # a prefix never counted says nothing
+        out.append(F.coalesce(F.log(1 - ALPHA + ALPHA * ratio), F.lit(0.0)).cast("float"))
+    return words.join(heads, "prefix").select("word", "long", F.array(*out).alias("e"))
+
+
+def mean_evidence(posts: DataFrame, e: DataFrame) -> DataFrame:
+    """(doc, model, total): the sum of evidence of each document, by the models that score it."""
+    place = F.when(F.size("posts") > LONG, F.pmod("chunk", F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    asked = posts.filter("word is not null").select("word", "chunk", "posts", place.alias("salt"))
+    places = F.when(F.col("long"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    given = e.select("word", "e", F.explode(places).alias("salt"))
+    entries = asked.join(given, ["word", "salt"]).select("chunk", "e", F.explode("posts").alias("p"))
+    model = F.shiftright("p", _N_BITS).bitwiseAND(3)
+    doc = F.shiftleft("chunk", _DOC_BITS) + F.shiftright("p", _N_BITS + 2)
+    number = F.col("p").bitwiseAND((1 << _N_BITS) - 1)
+    return (entries.select(doc.alias("doc"), (model < WHOLE).alias("fit"),
+                           (F.element_at("e", model + 1).cast("double") * number).alias("v"))
+                   .groupBy("doc", "fit").agg(F.sum("v").alias("total")))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -171,57 +238,46 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0] / scale), float(beta[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          fit_rows: int = FIT_ROWS):
-    """(evidence tables, slope, offset), or the constant score where one class has no rows."""
-    rows = training_rows(docs, labels, doc_id, text)
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    ordinary, toxic = sizes.get(0, 0), sizes.get(1, 0)
-    if not ordinary or not toxic:
-        return None, 0.0, toxic / max(1, ordinary + toxic)
-    counted = count_words(rows).select("word", "prefix", *[F.col(c).cast("double") for c in _COUNTS]).toArrow()
-    word, prefix = counted["word"].to_numpy(), counted["prefix"].to_numpy()  # at most BUCKETS rows
-    by = {c: counted[c].to_numpy() for c in _COUNTS}
+def spread(mean: Column) -> Column:
+    """asinh(difference / ALPHA), which spreads the few strong documents and the many near 0 alike."""
+    return F.asinh(mean / ALPHA)
 
-    def table_without(f: int | None):
-        counts = np.stack([sum(by[f"c{c}_{g}"] for g in FOLDS if g != f) for c in (0, 1)])
-        seen = counts.sum(0) > 0
-        return evidence(word[seen], prefix[seen], counts[:, seen])
 
-    shared = rows.sparkSession.sparkContext.broadcast([table_without(f) for f in FOLDS])
+def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+           score: str = "score", predicted: str = "predicted", threshold: float = THRESHOLD,
+           fit_rows: int = FIT_ROWS) -> DataFrame:
+    """Append ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
+    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id"))
+    sizes = {r["_kf_toxic"]: r["count"] for r in marked_rows(ids, labels, "doc_id").filter("_kf_toxic is not null")
+             .groupBy("_kf_toxic").count().collect()}
+    ordinary, toxic = sizes.get(0, 0), sizes.get(1, 0)
+    if not ordinary or not toxic:
+        constant = docs.withColumn(score, F.lit(toxic / max(1, ordinary + toxic)))
+        return constant.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
     part = min(1.0, fit_rows / (ordinary + toxic))
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(part * 1_000_000))
-
-    def make():
-        def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            which = np.array([FOLDS.index(f) for f in batch.column(1).to_pylist()], np.int64)
-            return [pa.array(mean_evidence(batch.column(0), shared.value, which))]
-        return step
-
-    kind = T.StructType([T.StructField("x", T.DoubleType())])
+    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    key = lambda column: F.xxhash64(F.coalesce(F.col(column), F.lit("")))
+    in_sample = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(part * 1_000_000)
+    rows = marked_rows(texts, labels, "doc_id").select(
+        key("text").alias("key"), "text", F.col("_kf_toxic").alias("toxic"), F.col("_kf_fold").alias("fold"),
+        (F.col("_kf_toxic").isNotNull() & in_sample).alias("fit"))
+    posts = postings(rows)
+    sums = mean_evidence(posts, evidence(saved(count_words(posts), "toxic-words")))
+    held = posts.filter("word is null").select("chunk", F.posexplode(F.arrays_zip("keys", "sizes", "toxic")))
+    held = held.select((F.shiftleft("chunk", _DOC_BITS) + F.col("pos")).alias("doc"), "col.*")
+    found = saved(sums.join(held, "doc").select("fit", "total", "keys", "sizes", "toxic"), "toxic-evidence")
     # a repeated id could pass the sample's bound
-    points = with_columns(sample, ["text", "fold"], kind, make).select("x", "toxic").limit(2 * fit_rows).toPandas()
+    points = found.filter("fit").select(spread(F.col("total") / F.col("sizes")).alias("x"), "toxic").limit(
+        2 * fit_rows).toPandas()
     y = points["toxic"].to_numpy(float)
     slope, offset = fit_curve(points["x"].to_numpy(float), y) if len(y) else (1.0, 0.0)
-    return table_without(None), slope, offset
-
-
-def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-           score: str = "score", predicted: str = "predicted", threshold: float = THRESHOLD) -> DataFrame:
-    """Append ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
-    model, slope, offset = train(docs, labels, doc_id, text)
-    if model is None:
-        out = docs.withColumn(score, F.lit(float(offset)))
-    else:
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-
-        def make():
-            def step(batch: pa.RecordBatch) -> list[pa.Array]:
-                x = mean_evidence(batch.column(0), [shared.value], np.zeros(batch.num_rows, np.int64))
-                return [pa.array(1 / (1 + np.exp(-np.clip(slope * x + offset, -40, 40))))]
-            return step
-
-        out = with_columns(docs, [text], T.StructType([T.StructField(score, T.DoubleType())]), make)
+    # equal texts have equal evidence
+    means = found.filter("not fit").groupBy(F.col("keys").alias("_kf_key")).agg(
+        (F.sum("total") / F.sum("sizes")).alias("_kf_mean"))
+    x = spread(F.coalesce("_kf_mean", F.lit(0.0))) * slope + offset
+    x = F.greatest(F.least(x, F.lit(40.0)), F.lit(-40.0))
+    out = docs.withColumn("_kf_key", key(f"`{text}`")).join(means.hint("shuffle_hash"), "_kf_key", "left")
+    out = out.withColumn(score, 1 / (1 + F.exp(-x))).drop("_kf_key", "_kf_mean")
     return out.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
 
 

@@ -350,3 +350,15 @@ def test_pipeline_stages(spark):
             assert path.columns == documents.columns and 0 < path.count() <= 2 * now.count()
         now = path
     assert "ids" in now.columns
+
+
+def test_toxicity_counts_words_exactly(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONG", 1)
+    rows = [(d, " ".join(f"w{d * 4000 + i}" for i in range(4000)) + " both" * 300, d % 2, (0, 1)[d % 2], False)
+            for d in range(150)]
+    posts = toxicity.postings(spark.createDataFrame(rows, "key long, text string, toxic int, fold int, fit boolean"))
+    counted = toxicity.count_words(posts)
+    sizes = counted.select((F.col("c0_0") + F.col("c1_1")).alias("n")).groupBy("n").count().collect()
+    assert {r["n"]: r["count"] for r in sizes} == {1: 600_000, 45_000: 1}  # no two words share a count
+    ones = counted.select("word", "long", F.array(*[F.lit(1.0)] * 4).alias("e"))
+    assert {r["total"] for r in toxicity.mean_evidence(posts, ones).collect()} == {4300.0}
