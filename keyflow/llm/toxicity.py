@@ -1,4 +1,8 @@
-"""Toxicity scores from class-conditional Kneser-Ney models (operator 10).
+"""Toxicity scores from class-conditional models with absolute discounting (operator 10).
+
+This is not Kneser-Ney, the method dealt for the operator: no continuation
+counts are taken, the backoff is the pooled relative frequency of the same
+order, and no context between words is counted, so word order does not matter.
 
 A word is an expression of two symbols, its first ``PREFIX_BYTES`` bytes and
 the rest.  Each class (toxic, ordinary) has counts of prefixes and of the rest
