@@ -4,7 +4,7 @@ Every text is searched for three base kinds, leftmost and non-overlapping per
 kind (a proposal that is too short is dropped and not tried again): ``assign``,
 ``access`` and ``hex``.  The method adds ``literal``: the text is lexed for
 assignments (``name = value``, ``"name": "value"``, ``name := value``,
-``name => value``), whose right sides are sums of literals and names.  Names are
+``name => value``, ``name: type = value``), whose right sides are sums of literals and names.  Names are
 replaced by the literals that they were assigned earlier in the text (constant
 propagation, also through chains), and each literal is scored by how sensitive
 the name is that finally holds it and by how much the literal looks like a
@@ -43,76 +43,73 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9,
              "credential": 0.9, "credentials": 0.9, "apikey": 1.0, "auth": 0.7, "bearer": 0.8, "pin": 0.5}
 KEY_OWNERS = {"api", "access", "private", "secret", "encryption", "signing", "master", "service", "account"}
-# Literals that stand for a secret without being one.
-PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|password|passwd|secret|token|example|placeholder|"
-                         r"none|null|true|false|undefined|your[-_ ].*|test|todo)$|[<>{}$%]")
-
-OPERATOR = re.compile(r":=|=>|[:=]")
-NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+# Literals that as a whole stand for a secret without being one.
+PLACEHOLDER = re.compile(r"(?i)(?:x+|\*+|\.+|changeme|password|passwd|secret|token|example|placeholder|"
+                         r"none|null|true|false|undefined|your[-_ ].*|test|todo|"
+                         r"(?:\$?\{\{[^{}]*\}\}|\$?\{[^{}]*\}|\$\([^()]*\)|<[^<>]*>|%[a-z_][a-z0-9_]*%|(?-i:\$[A-Z_][A-Z0-9_]*+))+)")
+
+# a name, what closes it, and the operator; every character is looked at once
+ASSIGNMENT = re.compile(r"""(?<![A-Za-z0-9_.-])([A-Za-z0-9_.-]++)(?:["']?["'\]])?[ \t]*+(:=|=>|[:=])""")
+# the type and the operator of a declaration ``name: type = value``
+TYPE = re.compile(r"""[ \t]*+[&*]*+(?:'static[ \t]++)?[A-Za-z_][A-Za-z0-9_.]*+(?:\[[^\]\n=:]*+\]++|<[^>\n=:]*+>++|[?*!])*+"""
+                  r"""(?:[ \t]*+\|[ \t]*+[A-Za-z_][A-Za-z0-9_.]*+(?:\[[^\]\n=:]*+\]++)?+)*+[ \t]*+=(?![=>~])""")
 OPERAND = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z_][A-Za-z0-9_.]*)(?=[ \t]*(?:[+;,)\n]|$))"""
                      r"""|([^\s"',;(){}\[\]<>]+))""")
 PLUS = re.compile(r"[ \t]*\+(?![=+])")
 CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-MAX_NAME = 80
 
 
 def sensitivity(name: str) -> float:
     """How sensitive a target name is, from 0 to 1."""
     words = [w.lower() for w in CAMEL.findall(name)]
     best = max((SENSITIVE.get(w, 0.0) for w in words), default=0.0)
-    if "key" in words and KEY_OWNERS & set(words):
+    if "key" in words and KEY_OWNERS & set(words) or holds_phrase(name):
         best = 1.0
     return best
 
 
-def plausibility(literal: str) -> float:
-    """How much a literal looks like a secret: long enough, no placeholder, not monotonous."""
-    if len(literal) < 6 or " " in literal.strip() or PLACEHOLDER.search(literal):
+def holds_phrase(name: str) -> bool:
+    """Whether what a name holds may have blanks."""
+    return "passphrase" in "".join(CAMEL.findall(name)).lower()
+
+
+def plausibility(literal: str, phrase: bool = False) -> float:
+    """How much a literal looks like a secret: long enough, no placeholder, not monotonous, blanks in a ``phrase`` only."""
+    if len(literal) < 6 or not phrase and " " in literal.strip() or PLACEHOLDER.fullmatch(literal):
         return 0.0
     n = len(literal)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
     return min(1.0, 0.4 + entropy / 6)
 
 
-def target(text: str, at: int) -> str:
-    """The name left of an assignment operator, or an empty text."""
-    end = at
-    while end > 0 and at - end < 8 and text[end - 1] in " \t":
-        end -= 1
-    if end > 0 and text[end - 1] in "\"']":
-        end -= 1
-        if end > 0 and text[end - 1] in "\"'":
-            end -= 1
-    start = end
-    while start > 0 and end - start < MAX_NAME and text[start - 1] in NAME_CHARS:
-        start -= 1
-    return text[start:end].lstrip("-.0123456789")
-
-
 def pairs(text: str):
     """(name, operands) of every assignment in order; an operand is (text, start, end, whether it may be a name)."""
     done = 0
-    for op in OPERATOR.finditer(text):
-        at = op.start()
+    for found in ASSIGNMENT.finditer(text):
+        at, end = found.span(2)
         if at < done:
             continue
-        after = text[op.end():op.end() + 2]
-        if after[:1] in ("=", "~") or after == "//" or (at and text[at - 1] in "!<>=:"):
+        after = text[end:end + 2]
+        if after[:1] in ("=", "~") or after == "//":
             continue
-        name = target(text, at)
+        name = found[1].lstrip("-.0123456789")
         if not name:
             continue
-        operands, end = [], op.end()
-        while found := OPERAND.match(text, end):
-            kind = found.lastindex
-            operands.append((found[kind], *found.span(kind), kind == 3))
-            end = found.end()
+        typed = TYPE.match(text, end) if found[2] == ":" else None
+        operands, end = [], typed.end() if typed else end
+        while operand := OPERAND.match(text, end):
+            kind = operand.lastindex
+            operands.append((operand[kind], *operand.span(kind), kind == 3))
+            end = operand.end()
             more = PLUS.match(text, end)
             if not more:
                 break
             end = more.end()
         if operands:
-            done = end  # operators inside a value belong to the value, so every character is lexed once
+            # operators inside a value belong to the value, so every character is lexed once; what looks
+            # like a type may be a name (``note: password = "..."``), so it is assigned the value too
+            if not typed:
+                done = end
             yield name, operands
 
 
@@ -127,7 +124,7 @@ def literals(text: str, min_score: float = 0.5) -> list[tuple[str, int, int, flo
         held[name] = value = list(dict.fromkeys(value))  # a literal counts once, so values cannot double
         weight = sensitivity(name)
         if weight:
-            rate = round(weight * plausibility("".join(v[0] for v in value)), 6)
+            rate = round(weight * plausibility("".join(v[0] for v in value), holds_phrase(name)), 6)
             for _, a, b in value:
                 if a < b and rate >= min_score and rate > best.get((a, b), 0.0):
                     best[a, b] = rate

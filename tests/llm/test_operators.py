@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -362,3 +363,24 @@ def test_toxicity_counts_words_exactly(spark, monkeypatch):
     assert {r["n"]: r["count"] for r in sizes} == {1: 600_000, 45_000: 1}  # no two words share a count
     ones = counted.select("word", "long", F.array(*[F.lit(1.0)] * 4).alias("e"))
     assert {r["total"] for r in toxicity.mean_evidence(posts, ones).collect()} == {4300.0}
+
+
+def test_secrets_whole_placeholders_wide_gaps_types_and_phrases():
+    found = lambda t: {t[a:b] for k, a, b, _ in secrets.find(t) if k == "literal"}
+    assert found('password = "Zx9$kQ2!vb"') == {"Zx9$kQ2!vb"}
+    assert found('password = "a<b%7{Q}z"') == {"a<b%7{Q}z"}
+    for empty in ("${DB_PASSWORD}", "<your secret>", "{{ vault.token }}", "%DB_PASS%", "$DB_PASSWORD", "changeme"):
+        assert found(f'password = "{empty}"') == set()
+    assert found("db_pwd" + " " * 30 + '= "hunter2abc"') == {"hunter2abc"}
+    assert found("salt" + " " * 30 + '= "hunter2abc"\npassword = salt') == {"hunter2abc"}
+    assert found("password." + "a." * 100 + 'value = "hunter2abc"') == {"hunter2abc"}
+    for kind in ("str", "Optional[str]", "str | None", "&'static str", "string", "dict[str, list[int]]"):
+        assert found(f'password: {kind} = "hunter2abc"') == {"hunter2abc"}
+    assert found('note: password = "hunter2abc"') == {"hunter2abc"}
+    assert found('passphrase = "correct horse battery staple"') == {"correct horse battery staple"}
+    assert found('pass_phrase: "correct horse battery staple"') == {"correct horse battery staple"}
+    assert found('password = "please type it here"') == set()
+    clock = time.perf_counter()
+    for hard in ("a" + " " * 300_000 + "==", "a." * 200_000, "a: b[" * 60_000, "a " * 200_000 + "=", "a: b | " * 60_000, "a" + "=" * 300_000):
+        secrets.find(hard)
+    assert time.perf_counter() - clock < 20
