@@ -16,7 +16,9 @@ blockwise, never by pairing rows inside a user's group:
 * partial blocks are summed per entry.
 
 A user with a third of all views is a single row of X, so no group is larger
-than its user bucket's slice of two item blocks.
+than its user bucket's slice of two item blocks.  The number of user buckets
+grows with the counted rows, so that such a slice has about ``ROWS_PER_GROUP``
+rows at most.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from keyflow.operators.scan import running_sums
 
 DEFAULT_BLOCK_SIZE = 512
 _DENSE_USER_SLICE = 2048
+#: (user, item, n) rows that one group may have on average.
+ROWS_PER_GROUP = 500_000
 
 
 def block_product(lu, li, ln, ru, ri, rn, n_users: int, size_p: int, size_q: int,
@@ -130,6 +134,7 @@ def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None,
     catalogue of at most ``block_size`` items is one block indexed by a
     literal lookup; larger ones get hashed blocks and a dictionary table.
     Pairs of the same item are excluded; pairs that never co-occur are absent.
+    ``user_buckets`` fixes the user buckets of each block pair.
     """
     spark = df.sparkSession
     views = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
@@ -140,14 +145,15 @@ def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None,
         probe = [r[0] for r in counts.select("_item").distinct().limit(block_size + 1).collect()]
         if len(probe) <= block_size:
             domain = probe
-    if user_buckets is None:
-        user_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     if domain is not None and len(domain) <= block_size:
         # One block: index = position in the sorted catalogue (a literal lookup).
         domain = sorted(v for v in set(domain) if v is not None)
         if len(domain) < 2:
             return _empty_pairs(df, item)
+        if user_buckets is None:
+            user_buckets = max(partitions, math.ceil(counts.count() / ROWS_PER_GROUP))
         catalogue = F.array(*[F.lit(v) for v in domain])
         x = counts.select("_u", "n", F.lit(0).alias("_p"), F.lit(0).alias("_q"),
                           F.lit(0).alias("_blk"),
@@ -165,7 +171,11 @@ def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None,
     if n_items < 2:
         return _empty_pairs(df, item)
     n_blocks = max(1, math.ceil(n_items / block_size))
-    user_buckets = max(1, user_buckets // (n_blocks * (n_blocks + 1) // 2))
+    if user_buckets is None:
+        # the rows of a block pair are at most twice those of the block that popular items make largest
+        largest = (counts.groupBy(F.pmod(F.xxhash64("_item"), F.lit(n_blocks)).alias("_blk")).count()
+                         .agg(F.max("count")).first()[0])
+        user_buckets = max(1, partitions // (n_blocks * (n_blocks + 1) // 2), math.ceil(2 * largest / ROWS_PER_GROUP))
     # Dictionary: block by hash (balanced), dense index by item order inside the block.
     items = (counts.select("_item").distinct()
              .withColumn("_blk", F.pmod(F.xxhash64("_item"), F.lit(n_blocks)).cast("int")))

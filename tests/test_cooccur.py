@@ -105,3 +105,20 @@ def test_block_product_methods_equal_brute_force(method):
     xr = np.zeros((n_users, size_q)); xr[ru, ri] = rn
     got = block_product(lu, li, ln, ru, ri, rn, n_users, size_p, size_q, method)
     assert np.array_equal(got, xl.T @ xr)
+
+
+@pytest.mark.parametrize("block_size", [4, 512])
+def test_groups_stay_bounded_when_the_rows_grow(spark, monkeypatch, block_size):
+    from keyflow.operators import cooccur
+
+    plain = cooccur._partial_gram
+
+    def bounded(pdf):
+        assert len(pdf) <= 2 * 300, f"a group of {len(pdf)} rows"
+        return plain(pdf)
+
+    monkeypatch.setattr(cooccur, "ROWS_PER_GROUP", 300, raising=False)
+    monkeypatch.setattr(cooccur, "_partial_gram", bounded)
+    rows = [(f"u{u}", f"i{i}") for u in range(600) for i in range(12)]
+    got = as_dict(cooccurrence(views_df(spark, rows), "user_id", "item", block_size=block_size))
+    assert got == {(a, b): 600 for a in sorted({i for _, i in rows}) for b in sorted({i for _, i in rows}) if a < b}
