@@ -7,7 +7,7 @@ near a span raise or lower its score.
 Kinds that every text is searched for, leftmost and non-overlapping per kind
 (a proposal that its validator rejects is dropped and not tried again):
 ``email``, ``ip``, ``card``, ``phone``.  The method adds ``iban`` (two letters,
-two check digits, mod 97 = 1), ``local_phone`` (a national number such as
+two check digits, mod 97 = 1, cut to the length of its country where that holds), ``local_phone`` (a national number such as
 ``(499) 555-6503``) and ``ssn`` (ddd-dd-dddd), which count from a score of
 ``min_score`` on.  The base kinds stay whatever their score is.
 
@@ -41,6 +41,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+# Lengths of account numbers by country (IBAN registry).
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 LOCAL_PHONE = re.compile(r"(?<![0-9+(])\([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
@@ -109,10 +115,18 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= sum("0" <= c <= "9" for c in m.group()) <= 15:
                 yield "phone", *m.span()
-    for m in IBAN.finditer(text):
-        account = m.group().replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", *m.span()
+    at = 0
+    while m := IBAN.search(text, at):
+        at = m.end()
+        ends = [m.end(), *(b for b in range(m.start(), m.end()) if text[b] == " ")]
+        # a following upper-case token may have been taken in: first the length that the country fixes
+        fixed = [b for b in ends if b - m.start() - text.count(" ", m.start(), b) == IBAN_LENGTHS.get(m.group()[:2])]
+        for end in (*fixed, m.end()):
+            account = text[m.start():end].replace(" ", "")
+            if 15 <= len(account) <= 34 and mod97(account):
+                yield "iban", m.start(), end
+                at = end  # what was cut off may begin another
+                break
     for m in LOCAL_PHONE.finditer(text):
         yield "local_phone", *m.span()
     for m in SSN.finditer(text):

@@ -384,3 +384,13 @@ def test_secrets_whole_placeholders_wide_gaps_types_and_phrases():
     for hard in ("a" + " " * 300_000 + "==", "a." * 200_000, "a: b[" * 60_000, "a " * 200_000 + "=", "a: b | " * 60_000, "a" + "=" * 300_000):
         secrets.find(hard)
     assert time.perf_counter() - clock < 20
+
+
+def test_account_numbers_followed_by_capitals():
+    ibans = lambda t: [t[a:b] for k, a, b, *_ in pii.find(t) if k == "iban"]
+    assert ibans("IBAN ES91 2100 0418 4502 0005 1332 BIC CAIXESBB") == ["ES91 2100 0418 4502 0005 1332"]
+    assert ibans("IBAN AT61 1904 3002 3457 3201 BIC") == ["AT61 1904 3002 3457 3201"]
+    assert ibans("account BE68 5390 0754 7034 EUR 500") == ["BE68 5390 0754 7034"]
+    two = ["ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"]
+    assert ibans("bank " + " ".join(two)) == two
+    assert ibans("IBAN ES92 2100 0418 4502 0005 1332 BIC") == [] and ibans("IBAN GB82 WEST 1234 5698 7654 32 ok") != []
