@@ -3,9 +3,8 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
 
 @pytest.fixture(scope="session")
@@ -14,7 +13,3 @@ def spark():
     session = build_session(master="local[4]", shuffle_partitions=8, app_name="keyflow-tests")
     yield session
     session.stop()
-
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = os.environ.get("KEYFLOW_ORACLE_SF", "/root/testdata/sf0.001")

@@ -5,7 +5,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT
+from support import ROOT
 
 
 def test_bench_prints_one_json_line():

@@ -3,7 +3,7 @@
 import importlib.util
 import os
 
-from conftest import ROOT
+from support import ROOT
 
 
 def _entry_module():

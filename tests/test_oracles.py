@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_ORACLE
+from support import SF_ORACLE
 from keyflow.plans import ORACLES, all_queries
 from oracle_compare import compare, duck
 

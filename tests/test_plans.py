@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from keyflow.operators import running_count
 from keyflow.plans.queries import BATCH_QUERIES
 from keyflow.sources import load
