@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,13 +34,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared checkpoint directory and read it back.
 
     Cuts the lineage: a lost executor re-reads the files instead of recomputing them.
     """
     path = shared_path(df.sparkSession, "llm", name, fresh=True)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -100,3 +100,40 @@ def numbered(df: DataFrame, keys: list[str], number: str) -> DataFrame:
     return (placed.join(starts, ["_kf_key", "_kf_chunk"])
                   .withColumn(number, (F.col("_kf_start") + F.col("_kf_at")).cast("long"))
                   .select(*[f"`{c}`" for c in df.columns if c != number], number))
+
+
+#: Rows of one range in :func:`in_order`; a group in :func:`running_starts` has 2 to the power of GROUP_BITS ranges.
+ROWS_PER_RANGE, GROUP_BITS = 1 << 20, 12
+
+
+def running_starts(df: DataFrame, order: str, group: Column, size: str, start: str) -> DataFrame:
+    """Append ``start``: the sum of ``size`` over all rows with a smaller ``order``.
+
+    For tables with one row per file or range.  ``group`` (never falling as ``order``
+    rises) cuts them into groups, so the one task that adds up groups sees a row per group.
+    """
+    rows = df.withColumn("_kf_group", group)
+    before = Window.orderBy("_kf_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (rows.groupBy("_kf_group").agg(F.sum(size).alias("_kf_sum"))
+                  .select("_kf_group", F.coalesce(F.sum("_kf_sum").over(before), F.lit(0)).alias("_kf_base")))
+    within = Window.partitionBy("_kf_group").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("_kf_within", F.coalesce(F.sum(size).over(within), F.lit(0))).join(groups, "_kf_group")
+                .withColumn(start, (F.col("_kf_base") + F.col("_kf_within")).cast("long"))
+                .drop("_kf_group", "_kf_within", "_kf_base"))
+
+
+def in_order(df: DataFrame, order: list[Column], number: str, rows: int) -> DataFrame:
+    """Append each row's place in the order of the whole table, from 1; ``rows`` is its number of rows.
+
+    Rows are dealt by ranges of the order, sorted and written; each range's rows
+    are counted and the sizes of the earlier ranges added.
+    """
+    ranges = max(1, -(-rows // ROWS_PER_RANGE))
+    sorted_ = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = saved(sorted_.withColumn("_kf_at", F.monotonically_increasing_id()), "in-order")
+    placed = placed.withColumns({"_kf_range": F.shiftright("_kf_at", 33), "_kf_at": F.col("_kf_at") % (1 << 33)})
+    sizes = placed.groupBy("_kf_range").agg(F.count(F.lit(1)).alias("_kf_n"))
+    starts = running_starts(sizes, "_kf_range", F.shiftright("_kf_range", GROUP_BITS), "_kf_n", "_kf_start")
+    return (placed.join(starts.select("_kf_range", "_kf_start"), "_kf_range")
+                  .withColumn(number, (F.col("_kf_start") + F.col("_kf_at") + 1).cast("long"))
+                  .drop("_kf_range", "_kf_at", "_kf_start"))
