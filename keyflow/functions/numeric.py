@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(col: str | Column) -> Column:
@@ -41,3 +42,22 @@ def guarded_double(df: DataFrame, v: str, keep: tuple[str, ...] = ()) -> DataFra
     return df.select(*[F.col(k) for k in keep], F.col(v),
                      F.when(~bad, doubled(v)).alias("doubled"),
                      bad.alias("quarantined"))
+
+
+def exact_decimal(df: DataFrame, value: str, scale: int | None = None, precision: int = 28) -> Column:
+    """``value`` as a decimal, for sums that do not depend on their order; nothing is rounded.
+
+    Decimal and integer columns bring their own scale.  For a floating column the
+    caller states how many decimals its values have; a value with more raises.
+    """
+    kind, v = df.schema[value].dataType, F.col(value)
+    if isinstance(kind, T.DecimalType):
+        return v
+    if isinstance(kind, T.IntegralType):
+        return v.cast(f"decimal({precision},0)")
+    if scale is None:
+        raise ValueError(f"state the scale (number of decimals) of the {kind.simpleString()} column {value!r}")
+    exact = T.DecimalType(precision, scale)
+    dec = v.cast(exact)
+    return F.when(v.isNull() | (dec.cast(kind) == v), dec).otherwise(
+        F.raise_error(F.concat(F.lit(f"{value} has more than {scale} decimals: "), v.cast("string"))).cast(exact))

@@ -13,20 +13,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyflow.functions.numeric import exact_decimal
 from keyflow.operators.scan import running_sums
 
 
 def retract_changelog(df: DataFrame, key: str, order: Sequence[str], value: str,
-                      total: str = "total", scale: int = 4, precision: int = 28,
+                      total: str = "total", scale: int | None = None, precision: int = 28,
                       rows_per_chunk: int | None = None) -> DataFrame:
     """Columns: key, *order, ``op`` ('+'/'-'), ``seq`` (0 retract, 1 add), ``total`` (double).
 
-    Totals are exact DECIMAL(precision, scale) running sums cast to double;
-    rows without a value emit nothing.
+    Totals are exact decimal running sums cast to double (``scale`` is needed for
+    floating columns, and a value with more decimals raises); rows without a value
+    emit nothing.
     """
-    dec = f"decimal({precision},{scale})"
     df = df.filter(F.col(value).isNotNull())
-    run = running_sums(df.select(key, *order, F.col(value).cast(dec).alias("_kf_v")), [key], order,
+    run = running_sums(df.select(key, *order, exact_decimal(df, value, scale, precision).alias("_kf_v")), [key], order,
                        {"_kf_n": F.lit(1), "_kf_new": F.col("_kf_v")}, rows_per_chunk=rows_per_chunk)
     first = F.col("_kf_n") == 1
     changed = F.col("_kf_v") != 0

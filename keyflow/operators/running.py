@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.functions.formats import counter_text
-from keyflow.functions.numeric import parity
+from keyflow.functions.numeric import exact_decimal, parity
 from keyflow.operators.scan import running_sums
 
 
@@ -23,18 +23,18 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], coun
 
 
 def running_average(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                    average: str = "avg_value", scale: int = 4, precision: int = 28,
+                    average: str = "avg_value", scale: int | None = None, precision: int = 28,
                     rows_per_chunk: int | None = None) -> DataFrame:
     """Running mean of ``value`` per key.
 
-    The running total is a DECIMAL(precision, scale) sum, exact and
-    independent of how the sequence is chunked; ``scale`` must cover the
-    input's decimals.  The mean is ``double(total) / count``; a null value counts
-    as a row and adds nothing, and the mean is null until a value came.
+    The running total is an exact decimal sum, independent of how the sequence is
+    chunked (see :func:`keyflow.functions.exact_decimal`: ``scale`` is needed for
+    floating columns, and a value with more decimals raises).  The mean is
+    ``double(total) / count``; a null value counts as a row and adds nothing, and
+    the mean is null until a value came.
     """
-    dec = f"decimal({precision},{scale})"
     out = running_sums(df, keys, order,
-                       {"_kf_cnt": F.lit(1), "_kf_tot": F.col(value).cast(dec)},
+                       {"_kf_cnt": F.lit(1), "_kf_tot": exact_decimal(df, value, scale, precision)},
                        rows_per_chunk=rows_per_chunk)
     return (out.withColumn(average, F.col("_kf_tot").cast("double") / F.col("_kf_cnt"))
                .drop("_kf_cnt", "_kf_tot"))

@@ -6,10 +6,12 @@ keys, as in the parity counter) that task holds a third of the data.
 
 The scans here cut each key's ordered sequence into *chunks*:
 
-1. the leading order column is mapped to a number and cut at global
-   approximate quantiles (``percentile_approx``, one aggregate job), so every
-   chunk ``(key, bucket)`` holds at most about ``rows_per_chunk`` rows, however
-   the rows spread over keys;
+1. cut points are tuples of the whole order, of any types: quantiles of a small
+   sample (``OVERSAMPLE`` tuples a chunk), so every chunk ``(key, bucket)`` holds
+   about ``rows_per_chunk`` rows at most, however the rows spread over keys.
+   Text orders are cut like numbers, and rows that share the leading column (one
+   hot timestamp) are cut by the following ones.  The sample places the cuts only;
+   every row takes part in every result;
 2. the window runs per ``(key, bucket)`` (one shuffle, balanced);
 3. a summary with one row per ``(key, bucket)`` - the chunk's total, or its
    first row - comes from a column-pruned second read of the input, reduced
@@ -19,8 +21,8 @@ The scans here cut each key's ordered sequence into *chunks*:
 4. the summary is joined back on ``(key, bucket)``.  The big side is already
    hash-partitioned on those columns by step 2, so only the summary moves.
 
-When the input has fewer rows than ``rows_per_chunk`` the plain window is
-used (one shuffle, nothing extra).  Buckets are computed from data values, so
+An input of at most ``rows_per_chunk`` rows is one chunk: its window needs no
+summary.  Buckets are computed from data values against fixed cut points, so
 recomputation after a lost executor assigns the same rows to the same chunk.
 """
 
@@ -29,7 +31,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,63 +39,59 @@ DEFAULT_ROWS_PER_CHUNK = 4_000_000
 # Session setting that overrides the default (e.g. per cluster memory size).
 ROWS_PER_CHUNK_CONF = "spark.keyflow.scan.rowsPerChunk"
 CHUNK = "_kf_chunk"
-_ORD = "_kf_ord"
+#: Sampled order tuples per chunk, and the most chunks: their product bounds what
+#: reaches the driver.  Beyond MAX_CHUNKS x rows_per_chunk rows chunks grow.
+OVERSAMPLE, MAX_CHUNKS = 64, 8_192
 
 
-def _order_number(df: DataFrame, col: str) -> Column:
-    """Monotone numeric image of an order column (ties stay ties)."""
-    dtype = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        num = F.unix_micros(c.cast("timestamp")).cast("double")
-    elif isinstance(dtype, T.DateType):
-        num = F.unix_date(c).cast("double")
-    else:
-        num = c.cast("double")
-    return F.coalesce(num, F.lit(float("-inf")))
+def _is_time(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.TimestampType, T.TimestampNTZType))
 
 
-_GRID = 16   # quantile grid of the first planning pass
-# Upper bound on cut points brought to the driver and shipped with the
-# bucketizer; beyond it chunks grow past rows_per_chunk (rows / MAX_BUCKETS).
-MAX_BUCKETS = 65_536
+def _cut_points(df: DataFrame, order: Sequence[str], rows: int, chunks: int) -> list[tuple]:
+    """At most ``chunks - 1`` order tuples that cut the rows into about equal parts (times as microseconds)."""
+    share = min(1.0, OVERSAMPLE * chunks / rows)
+    plain = [F.unix_micros(F.col(c).cast("timestamp")) if _is_time(df.schema[c].dataType) else F.col(c) for c in order]
+    seen = [tuple(r) for r in df.select(*plain).sample(fraction=share, seed=11).collect()]
+    seen.sort(key=lambda r: tuple((v is not None, v) for v in r))
+    at = sorted({math.ceil(i * len(seen) / chunks) for i in range(1, chunks)})
+    return list(dict.fromkeys(seen[i] for i in at if i < len(seen)))
 
 
-def add_chunks(df: DataFrame, order_col: str, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_kf_chunk`` (bucket of the order column) when the input needs more than one chunk.
+def _constant(value, kind: T.DataType) -> Column:
+    if value is not None and _is_time(kind):
+        return F.timestamp_micros(F.lit(value)).cast(kind)
+    return F.lit(bytes(value) if isinstance(value, bytearray) else value).cast(kind)
 
-    Returns the frame and whether chunks were added.  One aggregate job
-    returns the row count and a 15-point quantile grid; inputs up to 16
-    chunks use the grid, larger ones run a second pass with
-    ``ceil(rows / rows_per_chunk) - 1`` cut points.  Only these cut points
-    (doubles) reach the driver.
+
+def _bucket(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> Column:
+    """Number of cut points at or before the row's order tuple (binary search in a constant array)."""
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+    kinds = [df.schema[c].dataType for c in order]
+    points = F.sort_array(F.array(*[
+        F.struct(*[_constant(v, t).alias(f"c{i}") for i, (v, t) in enumerate(zip(p, kinds, strict=True))]) for p in cuts]))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    # an index beyond the array gives null, which is not at or before the row
+    return F.aggregate(steps, F.lit(0),
+                       lambda at, step: F.when(F.get(points, at + step - 1) <= row, at + step).otherwise(at))
+
+
+def add_chunks(df: DataFrame, order: str | Sequence[str], rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_kf_chunk`` (bucket of the order tuple) when the input needs more than one chunk.
+
+    Returns the frame and whether chunks were added.  One job counts the rows, a
+    second samples order tuples; at most ``OVERSAMPLE * MAX_CHUNKS`` of them reach
+    the driver.
     """
+    order = [order] if isinstance(order, str) else list(order)
     rows_per_chunk = rows_per_chunk or int(
         df.sparkSession.conf.get(ROWS_PER_CHUNK_CONF, str(DEFAULT_ROWS_PER_CHUNK)))
-    if isinstance(df.schema[order_col].dataType, T.StringType):
-        if math.ceil(df.count() / rows_per_chunk) <= 1:
-            return df, False
-        raise TypeError(f"order column {order_col!r} is text; lead the order with a numeric or "
-                        "temporal column so large keys can be cut into chunks")
-    num = _order_number(df, order_col)
-    grid = [i / _GRID for i in range(1, _GRID)]
-    stats = df.select(F.count(F.lit(1)).alias("n"),
-                      F.percentile_approx(num, grid, 1_000).alias("q")).first()
-    n_buckets = min(math.ceil(stats["n"] / rows_per_chunk), MAX_BUCKETS)
-    if n_buckets <= 1:
+    rows = df.count()
+    chunks = min(math.ceil(rows / rows_per_chunk), MAX_CHUNKS)
+    if chunks <= 1:
         return df, False
-    bounds = stats["q"] or []
-    if n_buckets > _GRID:
-        fractions = [i / n_buckets for i in range(1, n_buckets)]
-        accuracy = max(10_000, 8 * n_buckets)
-        bounds = df.select(F.percentile_approx(num, fractions, accuracy).alias("q")).first()["q"]
-    splits = sorted({float(b) for b in bounds if b is not None and math.isfinite(b)})
-    if not splits:
-        return df.withColumn(CHUNK, F.lit(0)), True
-    bucketizer = Bucketizer(splits=[float("-inf"), *splits, float("inf")],
-                            inputCol=_ORD, outputCol=CHUNK, handleInvalid="keep")
-    out = bucketizer.transform(df.withColumn(_ORD, num))
-    return out.withColumn(CHUNK, F.col(CHUNK).cast("int")).drop(_ORD), True
+    cuts = _cut_points(df, order, rows, chunks)
+    return df.withColumn(CHUNK, _bucket(df, order, cuts) if cuts else F.lit(0)), True
 
 
 KEY = "_kf_key"
@@ -122,7 +119,7 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     base_cols = list(df.columns)
     mcol = {name: f"_kf_m_{name}" for name in measures}
     src = df.select("*", *[m.alias(mcol[name]) for name, m in measures.items()])
-    src, chunked = add_chunks(src, order[0], rows_per_chunk)
+    src, chunked = add_chunks(src, order, rows_per_chunk)
     if not chunked:
         w = (Window.partitionBy(*keys).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -153,32 +150,6 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return joined.select(*base_cols, *[total(n).alias(n) for n in measures])
 
 
-def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                out: str, exclusive: bool = False, rows_per_chunk: int | None = None) -> DataFrame:
-    """Append the running maximum of ``value`` per key in ``order`` (``exclusive``: rows before).
-
-    Chunked like :func:`running_sums`: a local maximum inside each chunk
-    combined with the maximum of all earlier chunks of the key.  With no
-    keys this is a global scan, still spread over chunks.
-    """
-    keys, order = list(keys), list(order)
-    base_cols = list(df.columns)
-    end = -1 if exclusive else Window.currentRow
-    src, chunked = add_chunks(df, order[0], rows_per_chunk)
-    if not chunked:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-        return src.select(*base_cols, F.max(value).over(w).alias(out))
-    src, kcol = _with_key(src, keys)
-    w = Window.partitionBy(*kcol, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = src.select(*base_cols, *kcol, CHUNK, F.max(value).over(w).alias("_kf_lmax"))
-    summary = src.groupBy(*kcol, CHUNK).agg(F.max(value).alias("_kf_cmax"))
-    wk = Window.partitionBy(*kcol).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = summary.select(*kcol, CHUNK, F.max("_kf_cmax").over(wk).alias("_kf_omax"))
-    joined = local.join(offsets, [*kcol, CHUNK], "inner")
-    # greatest() skips nulls: the first rows of a key have no earlier maximum
-    return joined.select(*base_cols, F.greatest("_kf_lmax", "_kf_omax").alias(out))
-
-
 def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
                 prefix: str = "next_", rows_per_chunk: int | None = None) -> DataFrame:
     """Append ``prefix + c`` = value of ``c`` on the next row of the same key (``lead``).
@@ -188,7 +159,7 @@ def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
     """
     keys, order, cols = list(keys), list(order), list(cols)
     base_cols = list(df.columns)
-    src, chunked = add_chunks(df, order[0], rows_per_chunk)
+    src, chunked = add_chunks(df, order, rows_per_chunk)
     if not chunked:
         w = Window.partitionBy(*keys).orderBy(*order)
         return src.select(*base_cols, *[F.lead(c).over(w).alias(prefix + c) for c in cols],

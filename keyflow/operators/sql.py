@@ -9,17 +9,30 @@ the three columns it reads and aggregates partially before the shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from keyflow.sources.tables import load
 
 SALES_SQL = """
-SELECT product_id,
-       CAST(SUM(CAST(amount AS DECIMAL(18,4)) * CAST(price AS DECIMAL(18,4))) AS DOUBLE) AS total_sales
+SELECT product_id, CAST(SUM({amount} * {price}) AS DOUBLE) AS total_sales
 FROM {view}
 GROUP BY product_id
 """
 
 
+def _exact(df: DataFrame, column: str, scale: int | None) -> str:
+    """SQL text of a column as a decimal of its own or the stated scale; a value with more decimals raises."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DecimalType, T.IntegralType)):
+        return column
+    if scale is None:
+        raise ValueError(f"state the scale (number of decimals) of the {kind.simpleString()} column {column!r}")
+    dec = f"DECIMAL(18,{scale})"
+    return (f"CASE WHEN {column} IS NULL OR CAST(CAST({column} AS {dec}) AS {kind.simpleString()}) = {column} "
+            f"THEN CAST({column} AS {dec}) "
+            f"ELSE CAST(raise_error('{column} has more than {scale} decimals: ' || {column}) AS {dec}) END")
+
+
 def declare_sales_view(spark: SparkSession, lineitem: DataFrame, view: str) -> str:
     """The DDL part over any lineitem-shaped frame, batch or streaming."""
     lineitem.createOrReplaceTempView(f"{view}_lineitem")
@@ -46,9 +59,11 @@ def register_sales_view(spark: SparkSession, sf_dir: str, view: str = "kf_sales_
     return declare_sales_view(spark, load(spark, sf_dir, "lineitem", spread=True), view)
 
 
-def sales_per_product(spark: SparkSession, view: str) -> DataFrame:
+def sales_per_product(spark: SparkSession, view: str, scale: int | None = None) -> DataFrame:
     """``SELECT product_id, SUM(amount * price) AS total_sales ... GROUP BY product_id``.
 
-    Amounts and prices are summed as exact decimals of four places, then cast to double.
+    Decimal columns are summed as they are.  For floating columns ``scale`` states
+    their decimals: they are summed exactly, and a value with more raises.
     """
-    return spark.sql(SALES_SQL.format(view=view))
+    table = spark.table(view)
+    return spark.sql(SALES_SQL.format(view=view, amount=_exact(table, "amount", scale), price=_exact(table, "price", scale)))

@@ -26,7 +26,7 @@ def test_running_count_fixture_a9(spark):
 def test_running_average_fixture_a10(spark):
     rows = [(1, "s1", 10.5), (2, "s1", 11.2), (3, "s2", 22.1), (4, "s1", 12.8), (5, "s2", 23.4)]
     df = spark.createDataFrame(rows, "seq long, sensor string, reading double")
-    got = [r.avg_value for r in running_average(df, ["sensor"], ["seq"], "reading").orderBy("seq").collect()]
+    got = [r.avg_value for r in running_average(df, ["sensor"], ["seq"], "reading", scale=1).orderBy("seq").collect()]
     assert got == pytest.approx([10.5, 10.85, 22.1, 11.5, 22.75], abs=1e-9)
 
 
@@ -99,7 +99,7 @@ def test_fraud_pairs_fixture_c5(spark, rows_per_chunk):
 def test_changelog_fixture_c7_and_fold(spark):
     df = spark.createDataFrame([("p", 1, 10.0), ("p", 2, 5.0), ("p", 3, 0.0), ("q", 1, 2.5)],
                                "product string, seq int, sale double")
-    out = retract_changelog(df, "product", ["seq"], "sale")
+    out = retract_changelog(df, "product", ["seq"], "sale", scale=1)
     got = [(r.product, r.seq, r.op, r.total) for r in out.orderBy("product", "seq", F.col("op").desc()).collect()]
     assert got == [("p", 1, "+", 10.0), ("p", 2, "-", 10.0), ("p", 2, "+", 15.0), ("q", 1, "+", 2.5)]
     folded = {r.product: r.total for r in fold_changelog(out, "product").collect()}
@@ -110,31 +110,58 @@ def test_changelog_fixture_c7_and_fold(spark):
 def test_changelog_folds_to_grouped_sum(spark, rows_per_chunk):
     df = spark.range(0, 200).select((F.col("id") % 4).alias("product"), F.col("id").alias("seq"),
                                     ((F.col("id") * 37) % 101 / 4).alias("sale"))
-    out = retract_changelog(df, "product", ["seq"], "sale", rows_per_chunk=rows_per_chunk)
+    out = retract_changelog(df, "product", ["seq"], "sale", scale=2, rows_per_chunk=rows_per_chunk)
     folded = {r.product: r.total for r in fold_changelog(out, "product").collect()}
     want = {r.product: r.s for r in df.groupBy("product").agg(F.sum("sale").alias("s")).collect()}
     assert folded == pytest.approx(want)
 
 
-@pytest.mark.parametrize("keys", [["key"], []])
-@pytest.mark.parametrize("rows_per_chunk", [9, 10_000])
-def test_chunked_running_max_equals_plain_window(spark, keys, rows_per_chunk):
-    from keyflow.operators import running_max
-    df = spark.range(0, 400).select(
-        (F.col("id") % 3).alias("key"), F.col("id").alias("t"),
-        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") * 7919) % 1000).alias("v"))
-    for exclusive in (False, True):
-        got = running_max(df, keys, ["t"], "v", "m", exclusive=exclusive, rows_per_chunk=rows_per_chunk)
-        w = Window.partitionBy(*keys).orderBy("t").rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-        want = df.select("*", F.max("v").over(w).alias("m"))
-        assert _rows(got) == _rows(want)
-
-
-def test_chunked_running_max_with_null_keys(spark):
-    from keyflow.operators import running_max
-    df = spark.range(0, 120).select(
-        F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise((F.col("id") % 3).cast("string")).alias("key"),
-        F.col("id").alias("t"), ((F.col("id") * 37) % 50).alias("v"))
-    got = running_max(df, ["key"], ["t"], "v", "m", rows_per_chunk=7)
-    w = Window.partitionBy("key").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    assert _rows(got) == _rows(df.select("*", F.max("v").over(w).alias("m")))
+@pytest.mark.parametrize("order", [["t"], ["hot", "t"], ["hot", "d", "t"]])
+@pytest.mark.parametrize("rows_per_chunk", [1, 7, 10_000])
+def test_text_orders_and_one_hot_timestamp_are_cut_too(spark, rows_per_chunk, order):
+    """A text order, all rows at one time, a null and a decimal in the order: equal to the plain window at any chunk size."""
+    df = spark.range(0, 200).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 2).cast("string"))).alias("key"),
+        F.lit(T0).cast("timestamp_ntz").alias("hot"), F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("decimal(8,3)")).alias("d"),
+        F.concat(F.lit("same prefix é"), F.lpad((F.col("id") * 37 % 200).cast("string"), 4, "0")).alias("t"), F.col("id").alias("v"))
+    w = Window.partitionBy("key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    got = running_sums(df, ["key"], order, {"s": F.col("v")}, rows_per_chunk=rows_per_chunk)
+    assert _rows(got) == _rows(df.select("*", F.sum("v").over(w).alias("s")))
+    lead = Window.partitionBy("key").orderBy(*order)
+    nxt = next_in_key(df, ["key"], order, ["v"], rows_per_chunk=rows_per_chunk)
+    assert _rows(nxt) == _rows(df.select("*", F.lead("v").over(lead).alias("next_v"), F.lead("v").over(lead).isNotNull().alias("next_exists")))
+
+
+def test_one_hot_timestamp_gives_bounded_chunks(spark):
+    from keyflow.operators.scan import CHUNK, add_chunks
+    df = spark.range(20_000).select(F.lit("hot").alias("key"), F.lit(T0).alias("ts"), F.col("id"))
+    chunked, did = add_chunks(df, ["ts", "id"], 1_000)
+    assert did and chunked.groupBy("key", CHUNK).count().agg(F.max("count")).first()[0] <= 1_600
+
+
+def test_small_amounts_are_summed_and_not_rounded(spark):
+    df = spark.createDataFrame([("s", i, 0.00004) for i in range(5)], "k string, t int, v double")
+    assert [r.avg_value for r in running_average(df, ["k"], ["t"], "v", scale=5).collect()] == [0.00004] * 5
+    log = retract_changelog(df, "k", ["t"], "v", scale=5)
+    assert {r.total for r in log.collect()} == {0.00004, 0.00008, 0.00012, 0.00016, 0.0002}
+
+
+def test_a_value_with_more_decimals_than_stated_raises(spark):
+    from keyflow.operators import sales_per_product
+    df = spark.createDataFrame([("s", 1, 0.00004)], "k string, t int, v double")
+    for run in (lambda: running_average(df, ["k"], ["t"], "v", scale=4), lambda: retract_changelog(df, "k", ["t"], "v", scale=4)):
+        with pytest.raises(Exception, match="more than 4 decimals"):
+            run().collect()
+    with pytest.raises(ValueError, match="state the scale"):
+        running_average(df, ["k"], ["t"], "v")
+    df.select(F.lit(1).alias("product_id"), F.col("v").alias("amount"), F.lit(2.5).alias("price")).createOrReplaceTempView("kf_small")
+    assert sales_per_product(spark, "kf_small", scale=5).first().total_sales == 0.0001
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        sales_per_product(spark, "kf_small", scale=2).collect()
+
+
+def test_decimal_and_integer_columns_bring_their_scale(spark):
+    df = spark.createDataFrame([("s", 1, 3), ("s", 2, 4)], "k string, t int, v int")
+    assert [r.avg_value for r in running_average(df, ["k"], ["t"], "v").orderBy("t").collect()] == [3.0, 3.5]
+    dec = df.withColumn("v", (F.col("v") / 1000).cast("decimal(12,6)"))
+    assert [r.avg_value for r in running_average(dec, ["k"], ["t"], "v").orderBy("t").collect()] == [0.003, 0.0035]
