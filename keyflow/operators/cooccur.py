@@ -5,200 +5,60 @@ where n counts a user's views of an item: every pair of views of different
 items by one user counts once, repeats included, as the reference's
 per-event pairing counts it.
 
-C is the Gram matrix X^T X of the user x item count matrix X.  It is computed
-blockwise, never by pairing rows inside a user's group:
-
-* views are pre-aggregated to (user, item, n) before any shuffle;
-* items get a block (hash of the item) and a dense index inside it;
-* each (block p, block q, user bucket) group multiplies its slices of X with
-  numpy in ``applyInPandas`` (dense BLAS for dense slices, a sparse product
-  otherwise) and emits only the non-zero entries of its partial block of C;
-* partial blocks are summed per entry.
-
-A user with a third of all views is a single row of X, so no group is larger
-than its user bucket's slice of two item blocks.  The number of user buckets
-grows with the counted rows, so that such a slice has about ``ROWS_PER_GROUP``
-rows at most.
+The whole computation stays in the JVM and in integers:
+
+* views are pre-aggregated to (user, item, n) before any shuffle, and a user's
+  items are gathered in one sorted array, so repeats never multiply rows;
+* pairs a < b are generated from that array and summed per pair within the task
+  before the shuffle of the totals;
+* a user with more than ``BLOCK`` items is cut into blocks of items.  The pairs of
+  blocks are dealt over all tasks, so a user with a third of all views is not one
+  task's work; a pair of blocks yields at most BLOCK x BLOCK pairs.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keyflow.operators.scan import running_sums
 
-DEFAULT_BLOCK_SIZE = 512
-_DENSE_USER_SLICE = 2048
-#: (user, item, n) rows that one group may have on average.
-ROWS_PER_GROUP = 500_000
-
-
-def block_product(lu, li, ln, ru, ri, rn, n_users: int, size_p: int, size_q: int,
-                  method: str = "auto") -> np.ndarray:
-    """X_p^T X_q for one block pair from coordinate entries (user, index, count).
-
-    ``dense``: slices of users as dense matrices, multiplied with BLAS.
-    ``sparse``: per user, the outer product of its left and right entries,
-    accumulated with ``bincount`` (work = sum over users of left x right
-    entries).  ``auto`` picks the cheaper one.
-    """
-    lcount = np.bincount(lu, minlength=n_users)
-    rcount = np.bincount(ru, minlength=n_users)
-    if method == "auto":
-        sparse_work = int(np.dot(lcount.astype(np.int64), rcount.astype(np.int64)))
-        method = "dense" if n_users * size_p * size_q <= 16 * sparse_work + 1_000_000 else "sparse"
-    gram = np.zeros((size_p, size_q), dtype=np.float64)
-    if method == "dense":
-        for start in range(0, n_users, _DENSE_USER_SLICE):
-            stop = min(start + _DENSE_USER_SLICE, n_users)
-            lm = (lu >= start) & (lu < stop)
-            rm = (ru >= start) & (ru < stop)
-            xl = np.zeros((stop - start, size_p))
-            xr = np.zeros((stop - start, size_q))
-            np.add.at(xl, (lu[lm] - start, li[lm]), ln[lm])
-            np.add.at(xr, (ru[rm] - start, ri[rm]), rn[rm])
-            gram += xl.T @ xr
-        return gram
-    lo = np.argsort(lu, kind="stable")
-    ro = np.argsort(ru, kind="stable")
-    lu_s, li_s, ln_s = lu[lo], li[lo], ln[lo]
-    ri_s, rn_s = ri[ro], rn[ro]
-    rstart = np.concatenate([[0], np.cumsum(rcount)[:-1]])
-    reps = rcount[lu_s]                       # right entries paired with each left entry
-    for begin in range(0, len(lu_s), 1 << 16):
-        end = min(begin + (1 << 16), len(lu_s))
-        r = reps[begin:end]
-        total = int(r.sum())
-        if total == 0:
-            continue
-        left_pos = np.repeat(np.arange(begin, end), r)
-        offs = np.arange(total) - np.repeat(np.cumsum(r) - r, r)
-        right_pos = rstart[lu_s[left_pos]] + offs
-        flat = li_s[left_pos] * size_q + ri_s[right_pos]
-        gram += np.bincount(flat, weights=ln_s[left_pos] * rn_s[right_pos],
-                            minlength=size_p * size_q).reshape(size_p, size_q)
-    return gram
-
-
-def _partial_gram(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One group (block p, block q, user bucket): non-zero entries of X_p^T X_q."""
-    p, q = int(pdf["_p"].iat[0]), int(pdf["_q"].iat[0])
-    users = pdf["_u"].to_numpy()
-    blk = pdf["_blk"].to_numpy()
-    idx = pdf["_idx"].to_numpy().astype(np.int64)
-    n = pdf["n"].to_numpy().astype(np.float64)
-    uid, _ = pd.factorize(users, use_na_sentinel=False)   # a null user is one user
-    uid = uid.astype(np.int64)
-    left = blk == p
-    right = blk == q
-    size_p = int(idx[left].max()) + 1 if left.any() else 0
-    size_q = int(idx[right].max()) + 1 if right.any() else 0
-    empty = pd.DataFrame({"_p": pd.Series([], dtype="int32"), "_a": pd.Series([], dtype="int32"),
-                          "_q": pd.Series([], dtype="int32"), "_b": pd.Series([], dtype="int32"),
-                          "c": pd.Series([], dtype="int64")})
-    if size_p == 0 or size_q == 0:
-        return empty
-    if (idx < 0).any():
-        raise ValueError("co-occurrence: an item is missing from the declared domain")
-    gram = block_product(uid[left], idx[left], n[left], uid[right], idx[right], n[right],
-                         int(uid.max()) + 1, size_p, size_q)
-    if p == q:
-        gram = np.triu(gram, k=1)   # same block: index order is item order, keep a < b
-    a, b = np.nonzero(gram)
-    if len(a) == 0:
-        return empty
-    return pd.DataFrame({"_p": np.full(len(a), p, dtype=np.int32), "_a": a.astype(np.int32),
-                         "_q": np.full(len(a), q, dtype=np.int32), "_b": b.astype(np.int32),
-                         "c": np.rint(gram[a, b]).astype(np.int64)})
+#: Items of a block of one user.
+BLOCK = 512
 
 
-def _empty_pairs(df: DataFrame, item: str) -> DataFrame:
-    dtype = df.schema[item].dataType.simpleString()
-    return df.sparkSession.createDataFrame([], f"item_a {dtype}, item_b {dtype}, cnt bigint")
-
-
-def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None,
-                 domain: Sequence | None = None, block_size: int = DEFAULT_BLOCK_SIZE,
-                 user_buckets: int | None = None) -> DataFrame:
+def cooccurrence(df: DataFrame, user: str, item: str, weight: str | None = None, block: int = BLOCK) -> DataFrame:
     """Totals per unordered item pair: columns ``item_a < item_b``, ``cnt`` (bigint).
 
     Each row is one view; ``weight`` (a count column) lets callers pass views
-    already pre-aggregated upstream.  ``domain`` may list every possible item
-    (e.g. from a dimension table; an item outside it fails the job).  A
-    catalogue of at most ``block_size`` items is one block indexed by a
-    literal lookup; larger ones get hashed blocks and a dictionary table.
-    Pairs of the same item are excluded; pairs that never co-occur are absent.
-    ``user_buckets`` fixes the user buckets of each block pair.
+    already pre-aggregated upstream.  Pairs of the same item are excluded; pairs
+    that never co-occur are absent; rows without an item are ignored; a null user
+    is one user.
     """
-    spark = df.sparkSession
     views = F.sum(F.col(weight)) if weight else F.count(F.lit(1))
     counts = (df.filter(F.col(item).isNotNull())
-                .groupBy(F.col(user).alias("_u"), F.col(item).alias("_item"))
+                .groupBy(F.col(user).alias("_u"), F.col(item).alias("item"))
                 .agg(views.cast("bigint").alias("n")))
-    if domain is None:
-        probe = [r[0] for r in counts.select("_item").distinct().limit(block_size + 1).collect()]
-        if len(probe) <= block_size:
-            domain = probe
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    if domain is not None and len(domain) <= block_size:
-        # One block: index = position in the sorted catalogue (a literal lookup).
-        domain = sorted(v for v in set(domain) if v is not None)
-        if len(domain) < 2:
-            return _empty_pairs(df, item)
-        if user_buckets is None:
-            user_buckets = max(partitions, math.ceil(counts.count() / ROWS_PER_GROUP))
-        catalogue = F.array(*[F.lit(v) for v in domain])
-        x = counts.select("_u", "n", F.lit(0).alias("_p"), F.lit(0).alias("_q"),
-                          F.lit(0).alias("_blk"),
-                          (F.array_position(catalogue, F.col("_item")) - 1).cast("int").alias("_idx"),
-                          F.pmod(F.xxhash64("_u"), F.lit(user_buckets)).cast("int").alias("_ub"))
-        partial = (x.select("_p", "_q", "_ub", "_u", "_blk", "_idx", "n")
-                    .groupBy("_p", "_q", "_ub")
-                    .applyInPandas(_partial_gram, "_p int, _a int, _q int, _b int, c long"))
-        totals = partial.groupBy("_a", "_b").agg(F.sum("c").alias("cnt"))
-        # index order is item order and _partial_gram keeps a < b
-        return totals.select(F.element_at(catalogue, F.col("_a") + 1).alias("item_a"),
-                             F.element_at(catalogue, F.col("_b") + 1).alias("item_b"), "cnt")
-
-    n_items = counts.select("_item").distinct().count()
-    if n_items < 2:
-        return _empty_pairs(df, item)
-    n_blocks = max(1, math.ceil(n_items / block_size))
-    if user_buckets is None:
-        # the rows of a block pair are at most twice those of the block that popular items make largest
-        largest = (counts.groupBy(F.pmod(F.xxhash64("_item"), F.lit(n_blocks)).alias("_blk")).count()
-                         .agg(F.max("count")).first()[0])
-        user_buckets = max(1, partitions // (n_blocks * (n_blocks + 1) // 2), math.ceil(2 * largest / ROWS_PER_GROUP))
-    # Dictionary: block by hash (balanced), dense index by item order inside the block.
-    items = (counts.select("_item").distinct()
-             .withColumn("_blk", F.pmod(F.xxhash64("_item"), F.lit(n_blocks)).cast("int")))
-    items = items.withColumn(
-        "_idx", (F.dense_rank().over(Window.partitionBy("_blk").orderBy("_item")) - 1).cast("int"))
-    x = counts.join(items, "_item")
-    x = x.withColumn("_ub", F.pmod(F.xxhash64("_u"), F.lit(user_buckets)).cast("int"))
-    # each row joins the groups of its block with every block (block pairs p <= q)
-    x = x.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    x = (x.withColumn("_p", F.least("_blk", "_other"))
-          .withColumn("_q", F.greatest("_blk", "_other")))
-    partial = (x.select("_p", "_q", "_ub", "_u", "_blk", "_idx", "n")
-                .groupBy("_p", "_q", "_ub")
-                .applyInPandas(_partial_gram, "_p int, _a int, _q int, _b int, c long"))
-    totals = partial.groupBy("_p", "_a", "_q", "_b").agg(F.sum("c").alias("c"))
-    names = items.select(F.col("_blk"), F.col("_idx"), F.col("_item"))
-    na, nb = names.alias("na"), names.alias("nb")
-    t = totals.alias("t")
-    named = (t.join(na, (F.col("t._p") == F.col("na._blk")) & (F.col("t._a") == F.col("na._idx")))
-              .join(nb, (F.col("t._q") == F.col("nb._blk")) & (F.col("t._b") == F.col("nb._idx"))))
-    return named.select(F.least("na._item", "nb._item").alias("item_a"),
-                        F.greatest("na._item", "nb._item").alias("item_b"),
-                        F.col("t.c").alias("cnt"))
+    baskets = counts.groupBy("_u").agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("items"))
+    small = baskets.filter(F.size("items").between(2, block)).select(F.col("items").alias("left"), F.col("items").alias("right"),
+                                                                     F.lit(True).alias("same"))
+    cells = (F.size("items") - 1) / block
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(cells).cast("int")),
+                         lambda i: F.struct(i.alias("i"), F.slice("items", i * block + 1, block).alias("part")))
+    large = (baskets.filter(F.size("items") > block).select("_u", blocks.alias("parts"))
+                    .select("_u", "parts", F.explode("parts").alias("a"))
+                    .select("_u", "a", F.explode(F.filter("parts", lambda p: p["i"] >= F.col("a.i"))).alias("b"))
+                    .repartition("_u", "a.i", "b.i")
+                    .select(F.col("a.part").alias("left"), F.col("b.part").alias("right"),
+                            (F.col("a.i") == F.col("b.i")).alias("same")))
+    each = (small.unionByName(large).select("right", "same", F.posexplode("left").alias("at", "a"))
+                 # both sides are sorted: within one block the partners of an item follow it
+                 .select("a", F.explode(F.when(F.col("same"), F.slice("right", F.col("at") + 2, block))
+                                         .otherwise(F.col("right"))).alias("b")))
+    return (each.groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"))
+                .agg(F.sum(F.col("a.n") * F.col("b.n")).alias("cnt")))
 
 
 def related_items(pairs: DataFrame, k: int = 3) -> DataFrame:

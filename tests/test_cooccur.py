@@ -42,21 +42,39 @@ def test_repeats_count_and_no_self_pairs_fixture_c6(spark):
     assert as_dict(cooccurrence(df, "user_id", "item")) == {("A", "B"): 2}
 
 
-@pytest.mark.parametrize("block_size", [3, 7, 512])
-def test_blocked_gram_equals_per_event_pairing(spark, block_size):
+@pytest.mark.parametrize("block", [3, 7, 512])
+def test_blocks_of_items_equal_per_event_pairing(spark, block):
     # a hot user with many repeated views, a dense cluster and sparse users
     rows = [("hot", f"i{(k * 7) % 23}") for k in range(300)]
     rows += [(f"u{k % 40}", f"i{(k * 5 + k // 40) % 23}") for k in range(400)]
     rows += [(f"s{k}", f"i{k % 23}") for k in range(30)]
-    got = as_dict(cooccurrence(views_df(spark, rows), "user_id", "item", block_size=block_size))
+    got = as_dict(cooccurrence(views_df(spark, rows), "user_id", "item", block=block))
     assert got == brute_force(rows)
 
 
-def test_declared_domain_and_weights(spark):
+def test_weights(spark):
     df = spark.createDataFrame([("u1", "A", 2), ("u1", "B", 3), ("u2", "B", 1), ("u2", "C", 4)],
                                "u string, item string, n long")
-    got = as_dict(cooccurrence(df, "u", "item", weight="n", domain=["A", "B", "C", "Z"]))
-    assert got == {("A", "B"): 6, ("B", "C"): 4}
+    assert as_dict(cooccurrence(df, "u", "item", weight="n")) == {("A", "B"): 6, ("B", "C"): 4}
+
+
+def test_counts_beyond_double_precision_stay_exact(spark):
+    n = 3_037_000_499  # n * n is beyond 2**53
+    df = spark.createDataFrame([("u", "A", n), ("u", "B", n)], "u string, item string, n long")
+    assert as_dict(cooccurrence(df, "u", "item", weight="n")) == {("A", "B"): n * n}
+
+
+def test_large_catalogue_and_a_user_with_a_third_of_the_rows(spark):
+    """100,000 items; the hot user's pairs are dealt over all tasks in blocks of items."""
+    hot = spark.range(20_000).select(F.lit("hot").alias("u"), F.concat(F.lit("i"), (F.col("id") * 7 % 1500).cast("string")).alias("item"))
+    cold = spark.range(40_000).select(F.concat(F.lit("u"), (F.col("id") % 10_000).cast("string")).alias("u"),
+                                      F.concat(F.lit("i"), (F.col("id") * 99_991 % 100_000).cast("string")).alias("item"))
+    views = hot.unionByName(cold)
+    got = cooccurrence(views, "u", "item", block=256).agg(F.count(F.lit(1)), F.sum("cnt")).first()
+    n = views.groupBy("u", "item").count()
+    per_user = n.groupBy("u").agg(F.sum("count").alias("s"), F.sum(F.col("count") * F.col("count")).alias("q"))
+    want = per_user.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0]
+    assert got[1] == want and got[0] >= 1500 * 1499 // 2
 
 
 @pytest.mark.parametrize("dense_max", [64, 0])
@@ -86,39 +104,3 @@ def test_related_items_top_k(spark):
     got = [(r.item, r.related, r.rank) for r in related_items(pairs, k=2).orderBy("item", "rank").collect()]
     assert got == [("A", "B", 1), ("A", "C", 2), ("B", "A", 1), ("B", "C", 2), ("C", "A", 1),
                    ("C", "B", 2), ("D", "A", 1)]
-
-
-@pytest.mark.parametrize("method", ["dense", "sparse", "auto"])
-def test_block_product_methods_equal_brute_force(method):
-    import numpy as np
-
-    from keyflow.operators.cooccur import block_product
-    rng = np.random.default_rng(5)
-    n_users, size_p, size_q = 300, 17, 11
-    def entries(size, k):
-        pairs = {(int(rng.integers(n_users)), int(rng.integers(size))) for _ in range(k)}
-        u, i = map(np.array, zip(*sorted(pairs)))
-        return u, i, rng.integers(1, 5, len(u)).astype(float)
-    lu, li, ln = entries(size_p, 900)
-    ru, ri, rn = entries(size_q, 700)
-    xl = np.zeros((n_users, size_p)); xl[lu, li] = ln
-    xr = np.zeros((n_users, size_q)); xr[ru, ri] = rn
-    got = block_product(lu, li, ln, ru, ri, rn, n_users, size_p, size_q, method)
-    assert np.array_equal(got, xl.T @ xr)
-
-
-@pytest.mark.parametrize("block_size", [4, 512])
-def test_groups_stay_bounded_when_the_rows_grow(spark, monkeypatch, block_size):
-    from keyflow.operators import cooccur
-
-    plain = cooccur._partial_gram
-
-    def bounded(pdf):
-        assert len(pdf) <= 2 * 300, f"a group of {len(pdf)} rows"
-        return plain(pdf)
-
-    monkeypatch.setattr(cooccur, "ROWS_PER_GROUP", 300, raising=False)
-    monkeypatch.setattr(cooccur, "_partial_gram", bounded)
-    rows = [(f"u{u}", f"i{i}") for u in range(600) for i in range(12)]
-    got = as_dict(cooccurrence(views_df(spark, rows), "user_id", "item", block_size=block_size))
-    assert got == {(a, b): 600 for a in sorted({i for _, i in rows}) for b in sorted({i for _, i in rows}) if a < b}
