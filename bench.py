@@ -27,7 +27,7 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))
     queries = dict(BATCH_QUERIES)
     if os.environ.get("BENCH_STREAMS") == "1":
-        from keyflow.streaming.twins import STREAM_QUERIES
+        from keyflow.plans.streams import STREAM_QUERIES
         queries.update(STREAM_QUERIES)
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     if only:

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.functions.formats import alert_text
-from keyflow.operators.scan import running_max
 
 
 def event_time(df: DataFrame, ts: str, max_delay: str = "2 seconds",
@@ -30,25 +29,6 @@ def event_time(df: DataFrame, ts: str, max_delay: str = "2 seconds",
     return df
 
 
-def drop_late_rows(df: DataFrame, ts: str, arrival: Sequence[str], max_delay: str,
-                   window_size: str, rows_per_chunk: int | None = None) -> DataFrame:
-    """Batch form of the watermark: drop rows whose tumbling window had closed on arrival.
-
-    Rows are replayed in ``arrival`` order.  The watermark seen by a row is the
-    largest event time of the rows before it minus ``max_delay``; a row is
-    late when its window end is at or before that watermark.  This is the
-    per-record ideal of a bounded-out-of-orderness stream (a real stream
-    advances the watermark per batch or interval, so it drops no more than
-    this).  The running maximum is a chunked global scan.
-    """
-    seen = running_max(df, [], list(arrival), ts, "_kf_max_before", exclusive=True,
-                       rows_per_chunk=rows_per_chunk)
-    window_end = F.window(ts, window_size).end
-    watermark = F.col("_kf_max_before") - F.expr(f"INTERVAL {max_delay}")
-    late = F.coalesce(window_end <= watermark, F.lit(False))
-    return seen.filter(~late).drop("_kf_max_before")
-
-
 def arrival_time(df: DataFrame, col: str = "arrival") -> DataFrame:
     """Processing-time attribute: the time a row is seen (``PROCTIME()``)."""
     return df.withColumn(col, F.current_timestamp())

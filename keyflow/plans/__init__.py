@@ -5,8 +5,8 @@ from keyflow.plans.queries import BATCH_QUERIES
 
 
 def all_queries():
-    """Batch queries plus the streaming twins (imported lazily)."""
-    from keyflow.streaming.twins import STREAM_QUERIES
+    """Batch queries plus the stream queries (imported lazily)."""
+    from keyflow.plans.streams import STREAM_QUERIES
     return {**BATCH_QUERIES, **STREAM_QUERIES}
 
 

@@ -260,6 +260,36 @@ FROM r WHERE n > 1 AND v <> 0
 UNION ALL
 SELECT product_id, o_orderkey, '+' AS op, 1 AS seq, CAST(new_total AS DOUBLE) AS total
 FROM r WHERE n = 1 OR v <> 0
+""",
+    "behavior_mode": """
+WITH n AS (
+  SELECT event_type, date_trunc('day', ts) AS window_start, user_id, COUNT(*) AS n FROM events
+  WHERE user_id IS NOT NULL GROUP BY ALL),
+most AS (SELECT event_type, window_start, MAX(n) AS n FROM n GROUP BY 1, 2)
+SELECT event_type, CAST(window_start AS TIMESTAMP) AS window_start, MIN(user_id) AS mode_user, CAST(COUNT(*) AS BIGINT) AS ties,
+       CAST(n AS BIGINT) AS mode_cnt
+FROM n JOIN most USING (event_type, window_start, n) GROUP BY event_type, window_start, n
+""",
+    # Rows arrive in four equal parts of the arrival span; before each part the watermark is six hours behind the newest row so far.
+    "stream_late_rows": """
+WITH e AS (
+  SELECT *, epoch_us(ts) AS us, epoch_us(ts) + (CASE WHEN event_id % 10 = 3 THEN (event_id % 4 + 1) * 86400 ELSE 0 END) * 1000000 AS arrival
+  FROM events),
+s AS (
+  SELECT *, least(3, (arrival - lo) * 4 // (hi - lo + 1)) AS slice, (us // 3600000000 + 1) * 3600000000 AS window_us
+  FROM e, (SELECT min(arrival) AS lo, max(arrival) AS hi FROM e)),
+marks AS (
+  SELECT p.slice, greatest(0, coalesce(max(s.us // 1000) - 6 * 3600000, 0)) AS mark
+  FROM (SELECT unnest(range(4)) AS slice) AS p LEFT JOIN s ON s.slice < p.slice GROUP BY p.slice),
+judged AS (SELECT s.*, window_us // 1000 <= mark AS late FROM s JOIN marks USING (slice))
+SELECT 'window' AS output, event_type, make_timestamp(window_us - 3600000000) AS window_start, make_timestamp(window_us) AS window_end,
+       CAST(COUNT(*) AS BIGINT) AS cnt, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS TIMESTAMP) AS ts
+FROM judged WHERE NOT late GROUP BY event_type, window_us
+UNION ALL
+SELECT 'late', event_type, NULL, NULL, NULL, event_id, ts FROM judged WHERE late
+""",
+    "stream_processing_windows": """
+SELECT event_type, CAST(COUNT(*) AS BIGINT) AS total, CAST(0 AS BIGINT) AS repeated_windows FROM events GROUP BY event_type
 """,
     # Streaming twins produce the batch results.
     "stream_event_time_counts": _EVENT_TIME_COUNTS,
@@ -270,5 +300,7 @@ FROM r WHERE n = 1 OR v <> 0
 for _twin in ("sales_changelog", "windowed_word_count", "behavior_counts", "rolling_word_count",
               "rolling_cooccurrence", "product_sales", "sliding_page_views", "traffic_alerts",
               "upper_map", "double_even", "guarded_double", "running_average", "arrival_window_sum",
-              "item_cooccurrence"):
+              "item_cooccurrence", "behavior_mode"):
     ORACLES[f"stream_{_twin}"] = ORACLES[_twin]
+ORACLES |= {"stream_fraud_pairs_disordered": _FRAUD, "stream_closed_event_time_counts": _EVENT_TIME_COUNTS,
+            "stream_rebucketed_word_count": ORACLES["rolling_word_count"], "stream_product_changelog": ORACLES["product_sales"]}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from keyflow.functions import (accepted, doubled, guarded_double, is_even, parse_behavior,
                                parse_behavior_json, parse_page_log, rejected, text_length,
                                tokenize, upper_text)
+from keyflow.operators.accumulate import Mode, accumulate
 from keyflow.operators.changelog import retract_changelog
 from keyflow.operators.cooccur import cooccurrence, related_items, rolling_cooccurrence
 from keyflow.operators.patterns import fraud_pairs
@@ -28,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Event order of the events table: time, then id as the tie-breaker.
 EVENT_ORDER = ["ts", "event_id"]
+# Decimals of the amounts and values of the test tables.
+MONEY = 2
 
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +103,7 @@ def q_running_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event with its user's running mean value (exact decimal running sum)."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    return running_average(ev, ["user_id"], EVENT_ORDER, "value").drop("ts")
+    return running_average(ev, ["user_id"], EVENT_ORDER, "value", scale=MONEY).drop("ts")
 
 
 def q_parity_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,16 +162,9 @@ def _brand_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(part, "l_partkey").join(orders, "l_orderkey").select("o_custkey", "p_brand")
 
 
-def _brands(spark: SparkSession, sf_dir: str, limit: int = 1024) -> list[str] | None:
-    """Brand catalogue from the part dimension (bounded read of one column)."""
-    rows = load(spark, sf_dir, "part").select("p_brand").distinct().limit(limit + 1).collect()
-    return None if len(rows) > limit else [r[0] for r in rows]
-
-
 def q_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brand pairs with the number of co-occurring views over customers (Gram matrix)."""
-    return cooccurrence(_brand_views(spark, sf_dir), "o_custkey", "p_brand",
-                        domain=_brands(spark, sf_dir))
+    """Brand pairs with the number of co-occurring views over customers."""
+    return cooccurrence(_brand_views(spark, sf_dir), "o_custkey", "p_brand")
 
 
 def q_related_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +196,16 @@ def q_behavior_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _behavior_window_counts(accepted(_behaviors(spark, sf_dir)))
 
 
+# Result of the mode accumulator: the smallest of the most frequent users, how many share that count, the count.
+MODE_RESULT = "mode_user long, ties long, mode_cnt long"
+
+
+def q_behavior_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent user per type and day, by a user-defined accumulator (partials, then a tree of merges)."""
+    events = load(spark, sf_dir, "events").select("event_type", "user_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"))
+    return accumulate(events, ["event_type", "window_start"], Mode(), ["user_id"], MODE_RESULT)
+
+
 def q_behavior_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behaviour records the parser rejected, with the reason."""
     return rejected(_behaviors(spark, sf_dir)).select("event_id", "variant", "line", "reject_reason")
@@ -219,14 +225,14 @@ def q_behavior_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL: SUM(amount * price) per product over the declared sales view."""
-    return sales_per_product(spark, register_sales_view(spark, sf_dir))
+    return sales_per_product(spark, register_sales_view(spark, sf_dir), scale=MONEY)
 
 
 def q_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retract changelog (-old, +new) of the running sales total per product."""
     orders = load(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("product_id"), "o_orderkey", "o_totalprice")
-    return retract_changelog(orders, "product_id", ["o_orderkey"], "o_totalprice")
+    return retract_changelog(orders, "product_id", ["o_orderkey"], "o_totalprice", scale=MONEY)
 
 
 BATCH_QUERIES: dict[str, Query] = {
@@ -251,6 +257,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "related_items": q_related_items,
     "rolling_cooccurrence": q_rolling_cooccurrence,
     "behavior_counts": q_behavior_counts,
+    "behavior_mode": q_behavior_mode,
     "behavior_rejects": q_behavior_rejects,
     "behavior_json": q_behavior_json,
     "product_sales": q_product_sales,

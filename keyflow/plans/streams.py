@@ -1,13 +1,16 @@
-"""Streaming twins: the batch queries re-run as Structured Streaming jobs.
+"""Registered stream queries: the reference's programs as Structured Streaming jobs.
 
-Each twin lands the events table in time-ordered slices and runs its stream
-after every slice from one checkpoint (stop/resume each time), then reads the
-sink back.  The result must equal the batch query's result; the driver checks
-it against the same SQL oracle.
+Most are twins of a batch query: a table is landed in time-ordered slices, the stream
+runs after every slice from one checkpoint (stop and restart each time), and the
+result read back from the sink must equal the batch query's, so both share one
+oracle.  The others show what only a stream has: rows out of order, late rows,
+timers, the end of input, changed queries, changelogs per trigger.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,10 +24,18 @@ from keyflow.operators.windows import event_time, window_count, window_sum
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
 from keyflow.sources.tables import behavior_lines, load, page_log_lines
-from keyflow.streaming.resume import (additive_batches, latest_rows, pinned,
-                                      q_resumed_events, resumable_stream, run_in_slices, sum_batches, upsert_batches)
-from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCounter, ItemHistory,
-                                       PairDeltas, RetractChangelog, RunningCounter, RunningMean)
+from keyflow.functions.formats import event_label
+from keyflow.operators.accumulate import Count, Mode
+from keyflow.plans.landing import finish, land_slices, run_in_slices, slice_bounds, slice_filter, slice_number
+from keyflow.plans.queries import MODE_RESULT, MONEY, TRAFFIC_THRESHOLD, TRAFFIC_WINDOW
+from keyflow.streaming.changes import changelog_batches, folded, read_changes
+from keyflow.streaming.ending import end_input, until_end
+from keyflow.streaming.fanout import read_output, start_page_analysis
+from keyflow.streaming.resume import (additive_batches, latest_rows, pinned, resumable_stream, sum_batches,
+                                      upsert_batches)
+from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCounter, ItemHistory, PairDeltas,
+                                        RetractChangelog, RunningCounter, RunningMean, carried_counts)
+from keyflow.streaming.timed import TIME, EventTimePairMatcher, TimedWindows, fired_windows, read_fired, timed, windowed
 
 N_SLICES = 3
 # Hash buckets per shuffle partition for keyed state with very many small keys, at a stream's first start.
@@ -101,11 +112,9 @@ FRAUD_SCHEMA = T.StructType([
 
 
 def q_stream_fraud_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adjacent small transactions per card from a last-event value state."""
+    """Adjacent small transactions per card from a last-event value state (rows in order of time)."""
     landing, sink, ckpt = _paths(spark, "fraud_pairs")
-    events = load(spark, sf_dir, "events").select(
-        F.col("user_id").alias("card"), F.col("value").alias("amount"),
-        F.col("event_type").alias("location"), "ts", "event_id")
+    events = _cards(spark, sf_dir)
 
     def start():
         stream = stream_table(spark, landing, schema=events.schema)
@@ -115,12 +124,7 @@ def q_stream_fraud_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         return resumable_stream(pairs, sink, ckpt)
 
     run_in_slices(spark, events, "ts", N_SLICES, landing, start)
-    out = spark.read.schema(FRAUD_SCHEMA).parquet(sink)
-    millis = lambda c: F.unix_millis(F.col(c))
-    out = out.withColumn("alert", fraud_text("card", "first_amount", "first_location",
-                                             millis("first_ts"), "second_amount",
-                                             "second_location", millis("second_ts")))
-    return _ntz(out, "first_ts", "second_ts")
+    return _ntz(_with_alert(spark.read.schema(FRAUD_SCHEMA).parquet(sink)), "first_ts", "second_ts")
 
 
 def q_stream_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +137,7 @@ def q_stream_sales_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = stream_table(spark, landing, schema=orders.schema)
         changes = stream.groupBy("product_id").transformWithState(
             statefulProcessor=RetractChangelog(["o_orderkey"], "o_totalprice",
-                                               ["product_id", "o_orderkey"]),
+                                               ["product_id", "o_orderkey"], scale=MONEY),
             outputStructType="product_id long, o_orderkey long, op string, seq int, total double",
             outputMode="Append", timeMode="None")
         return resumable_stream(changes, sink, ckpt)
@@ -206,40 +210,33 @@ def q_stream_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start():
         stream = stream_table(spark, landing, schema=lineitem.schema)
         view = declare_sales_view(spark, stream, "kf_stream_sales")
-        return upsert_batches(sales_per_product(spark, view), sink, ckpt)
+        return upsert_batches(sales_per_product(spark, view, scale=MONEY), sink, ckpt)
 
     run_in_slices(spark, lineitem, "l_orderkey", N_SLICES, landing, start)
     return latest_rows(spark, sink, ["product_id"])
 
 
 def _page_analysis(spark: SparkSession, sf_dir: str, output: str) -> DataFrame:
-    """Run the two-output page analysis (views + alerts) over sliced events; read one output."""
-    from keyflow.plans.queries import TRAFFIC_THRESHOLD, TRAFFIC_WINDOW
-    from keyflow.streaming.fanout import start_page_analysis
-
+    """Run the page analysis (one stream, two outputs) over sliced events; read one output."""
     base = shared_path(spark, "twins", "page_analysis", fresh=True)
     landing = f"{base}/landing"
     events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
 
     def start():
         lines = page_log_lines(stream_table(spark, landing, schema=events.schema))
-        queries = start_page_analysis(lines, base, "arrival", alert_size=TRAFFIC_WINDOW,
-                                      threshold=TRAFFIC_THRESHOLD)
-        queries["views"].awaitTermination()
-        return queries["alerts"]
+        return start_page_analysis(lines, base, "arrival", alert_size=TRAFFIC_WINDOW, threshold=TRAFFIC_THRESHOLD)
 
     run_in_slices(spark, events, "ts", N_SLICES, landing, start)
-    out = latest_rows(spark, f"{base}/{output}", ["window_start", "page"])
-    return _ntz(out, "window_start", "window_end")
+    return _ntz(read_output(spark, base, output), "window_start", "window_end")
 
 
 def q_stream_sliding_page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding page views from the two-output page analysis stream."""
+    """Sliding page views: one of the two outputs of the page analysis stream."""
     return _page_analysis(spark, sf_dir, "views")
 
 
 def q_stream_traffic_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Threshold alerts from the two-output page analysis stream."""
+    """Threshold alerts: the other output of the page analysis stream."""
     return _page_analysis(spark, sf_dir, "alerts")
 
 
@@ -279,7 +276,7 @@ def q_stream_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-user running mean from keyed (count, total) value state."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     return _append_twin(spark, "running_average", ev, "ts", lambda st: st.groupBy("user_id").transformWithState(
-        statefulProcessor=RunningMean(["ts", "event_id"], ["event_id", "user_id", "value"], "value"),
+        statefulProcessor=RunningMean(["ts", "event_id"], ["event_id", "user_id", "value"], "value", scale=MONEY),
         outputStructType="event_id long, user_id long, value double, avg_value double",
         outputMode="Append", timeMode="None"))
 
@@ -354,6 +351,205 @@ def q_stream_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame
     return _ntz(spark.read.parquet(sink), "ts")
 
 
+def q_resumed_events(spark: SparkSession, sf_dir: str, n_slices: int = 2) -> DataFrame:
+    """Labelled events ("Event-n") through a stream stopped and resumed between slices."""
+    events = load(spark, sf_dir, "events").select("event_id", "ts")
+    landing, sink, ckpt = _paths(spark, "resumed_events")
+
+    def start():
+        stream = stream_table(spark, landing, schema=events.schema)
+        return resumable_stream(stream.select("event_id", event_label("event_id").alias("label")), sink, ckpt)
+
+    run_in_slices(spark, events, "event_id", n_slices, landing, start)
+    return spark.read.schema("event_id long, label string").parquet(sink)
+
+
+def _cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("card"), F.col("value").alias("amount"),
+        F.col("event_type").alias("location"), "ts", "event_id")
+
+
+def _with_alert(pairs: DataFrame) -> DataFrame:
+    millis = lambda c: F.unix_millis(F.col(c))
+    return pairs.withColumn("alert", fraud_text("card", "first_amount", "first_location", millis("first_ts"),
+                                                "second_amount", "second_location", millis("second_ts")))
+
+
+# The test streams out of order: a row arrives up to an hour after its time.
+DISORDER = "event_id * 7919 % 3600"
+
+
+def q_stream_fraud_pairs_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The card pattern over rows that arrive up to an hour out of order: buffered and matched in event time."""
+    landing, sink, ckpt = _paths(spark, "fraud_disordered")
+    cards = _cards(spark, sf_dir)
+    late_us = F.unix_micros(F.col("ts").cast("timestamp")) + F.expr(f"{DISORDER} * 1000000")
+    rows = cards.withColumn("_us", late_us)
+    rows = rows.withColumn("_slice", slice_number(rows, "_us", N_SLICES)).drop("_us")
+    matcher = EventTimePairMatcher()
+
+    def start():
+        stream = until_end(stream_table(spark, landing, schema=cards.schema), "ts", "1 hour")
+        pairs = timed(stream, "ts", "card", "amount", "location", "event_id").groupBy("card").transformWithStateInPandas(
+            statefulProcessor=matcher, outputStructType=matcher.schema(T.LongType()), outputMode="Append", timeMode="EventTime")
+        return resumable_stream(pairs, sink, ckpt)
+
+    land_slices(spark, rows, "_slice", N_SLICES, landing, start)
+    end_input(spark, landing, cards.schema, "ts")
+    finish(start())
+    pairs = spark.read.schema(matcher.schema(T.LongType())).parquet(sink).filter("output = 'pair'").drop("output")
+    return _ntz(_with_alert(pairs), "first_ts", "second_ts")
+
+
+# Every tenth row of the late-row query arrives 1 to 4 days after its time, beyond the delay.
+LATE_DELAY, LATE_WINDOW_MS, LATE_SLICES = "6 hours", 3_600_000, 4
+LATE_ARRIVAL = "CASE WHEN event_id % 10 = 3 THEN (event_id % 4 + 1) * 86400 ELSE 0 END"
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of a stream with late rows, and the rows it drops as a second, labelled output."""
+    landing, sink, ckpt = _paths(spark, "late_rows")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    rows = events.withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")) + F.expr(f"({LATE_ARRIVAL}) * 1000000"))
+    rows = rows.withColumn("_slice", slice_number(rows, "_us", LATE_SLICES)).drop("_us")
+    windows = TimedWindows(Count(), ["event_id"], [("event_type", "string"), ("_salt", "int")], LATE_WINDOW_MS,
+                           carry=[("event_id", "long"), (TIME, "long")])
+    merged = TimedWindows(Count(), [], [("event_type", "string")], LATE_WINDOW_MS, carry=windows.carry)
+
+    def start():
+        stream = until_end(stream_table(spark, landing, schema=events.schema), "ts", LATE_DELAY)
+        fired = windowed(timed(stream, "ts", "event_id", "event_type"), ["event_type"], windows, salt="event_id")
+        return fired_windows(fired, merged, "cnt long", sink, ckpt)
+
+    land_slices(spark, rows, "_slice", LATE_SLICES, landing, start)
+    end_input(spark, landing, events.schema, "ts")
+    finish(start())
+    none = lambda kind: F.lit(None).cast(kind)
+    kept = read_fired(spark, sink, "windows").select(F.lit("window").alias("output"), "event_type", "window_start", "window_end",
+                                                     "cnt", none("long").alias("event_id"), none("timestamp").alias("ts"))
+    late = read_fired(spark, sink, "late").select(F.lit("late").alias("output"), "event_type", none("timestamp").alias("window_start"),
+                                                  none("timestamp").alias("window_end"), none("long").alias("cnt"), "event_id",
+                                                  F.timestamp_micros(TIME).alias("ts"))
+    return _ntz(kept.unionByName(late), "window_start", "window_end", "ts")
+
+
+def q_stream_processing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted per window of the time they are processed; every window is emitted once, by its timer.
+
+    The windows themselves depend on the clock, so the result is what does not: per
+    type the sum over all windows, and how many windows came out more than once.
+    """
+    landing, sink, ckpt = _paths(spark, "processing_windows")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    windows = TimedWindows(Count(), ["event_id"], [("event_type", "string"), ("_salt", "int")], 1000, processing=True)
+    merged = TimedWindows(Count(), [], [("event_type", "string")], 1000, processing=True)
+    bounds, landed = slice_bounds(events, "ts", N_SLICES), 0
+    events.limit(0).write.mode("append").parquet(landing)
+    fired = windowed(stream_table(spark, landing, schema=events.schema).select("event_id", "event_type"), ["event_type"], windows,
+                     salt="event_id")
+    query = fired_windows(fired, merged, "total long", sink, ckpt, processing_time="1 second")
+    try:
+        seen: dict[int, dict] = {}
+        for i in range(len(bounds) + 1):
+            some = events.filter(slice_filter("ts", bounds, i))
+            landed += some.count()
+            some.write.mode("append").parquet(landing)
+            _until(query, seen, lambda last: sum(p["numInputRows"] for p in seen.values()) >= landed)
+        _until(query, seen, lambda last: all(o["numRowsTotal"] == 0 for o in last["stateOperators"]))
+    finally:
+        query.stop()
+    out = read_fired(spark, sink, "windows")
+    once = out.groupBy("event_type", "window_start").agg(F.sum("total").alias("total"), F.count(F.lit(1)).alias("times"))
+    return once.groupBy("event_type").agg(F.sum("total").alias("total"),
+                                          F.sum((F.col("times") > 1).cast("long")).alias("repeated_windows"))
+
+
+def _until(query, seen: dict, done, seconds: float = 120.0) -> None:
+    """Watch a running query's progress (kept per batch in ``seen``) until ``done`` holds for its last batch."""
+    end = time.monotonic() + seconds
+    while time.monotonic() < end:
+        if query.exception() is not None:
+            raise RuntimeError(str(query.exception()))
+        seen.update({p["batchId"]: p for p in query.recentProgress})
+        if seen and done(seen[max(seen)]):
+            return
+        time.sleep(0.2)
+    raise TimeoutError("the stream did not come to its end")
+
+
+def q_stream_behavior_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent user per type and day, by a user-defined accumulator in event-time windows."""
+    landing, sink, ckpt = _paths(spark, "behavior_mode")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
+    day = 86_400_000
+    windows = TimedWindows(Mode(), ["user_id"], [("event_type", "string"), ("_salt", "int")], day)
+    merged = TimedWindows(Mode(), [], [("event_type", "string")], day)
+
+    def start():
+        stream = until_end(stream_table(spark, landing, schema=events.schema), "ts", "2 seconds")
+        fired = windowed(timed(stream, "ts", "event_id", "event_type", "user_id"), ["event_type"], windows, salt="event_id")
+        return fired_windows(fired, merged, MODE_RESULT, sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    end_input(spark, landing, events.schema, "ts")
+    finish(start())
+    return _ntz(read_fired(spark, sink, "windows").drop("batch_id", "window_end"), "window_start")
+
+
+def q_stream_closed_event_time_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time counts in append mode: the end of input closes the last windows too."""
+    landing, sink, ckpt = _paths(spark, "closed_counts")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+
+    def start():
+        stream = until_end(stream_table(spark, landing, schema=events.schema), "ts", "2 seconds")
+        return resumable_stream(window_count(stream, "ts", ["event_type"], "5 seconds"), sink, ckpt)
+
+    run_in_slices(spark, events, "ts", N_SLICES, landing, start)
+    end_input(spark, landing, events.schema, "ts")
+    finish(start())
+    return _ntz(spark.read.parquet(sink), "window_start", "window_end")
+
+
+def q_stream_rebucketed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling word count stopped, and continued by a query with another number of state buckets."""
+    landing, sink, ckpt = _paths(spark, "rebucketed")
+    conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    cuts = slice_bounds(conv, "conv_id", 2)
+
+    def start(part: int, buckets: int):
+        stream = stream_table(spark, f"{landing}/{part}", schema=conv.schema)
+        words = tokenize(stream, "text", keep=("conv_id", "turn"), with_position=True)
+        carried = carried_counts(spark, f"{ckpt}/{part - 1}", "word", buckets).groupBy("_bucket") if part else None
+        counted = (words.withColumn("_bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+                   .groupBy("_bucket").transformWithStateInPandas(
+                       statefulProcessor=BucketedRunningCounter("word", ["conv_id", "turn", "pos"], ["conv_id", "turn", "pos", "word"]),
+                       outputStructType="conv_id long, turn long, pos int, word string, cnt long",
+                       outputMode="Append", timeMode="None", initialState=carried))
+        return resumable_stream(counted, f"{sink}/part={part}", f"{ckpt}/{part}")
+
+    for part, buckets in enumerate((24, 56)[:len(cuts) + 1]):
+        conv.filter(slice_filter("conv_id", cuts, part)).write.parquet(f"{landing}/{part}")
+        finish(start(part, buckets))
+    parts = [spark.read.parquet(f"{sink}/part={part}") for part in range(len(cuts) + 1)]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def q_stream_product_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales totals folded from the changelog that every trigger writes."""
+    landing, sink, ckpt = _paths(spark, "product_changelog")
+    lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+
+    def start():
+        stream = stream_table(spark, landing, schema=lineitem.schema)
+        view = declare_sales_view(spark, stream, "kf_stream_sales_log")
+        return changelog_batches(sales_per_product(spark, view, scale=MONEY), ["product_id"], "total_sales", sink, ckpt)
+
+    run_in_slices(spark, lineitem, "l_orderkey", N_SLICES, landing, start)
+    return folded(read_changes(spark, sink), ["product_id"], "total_sales")
+
+
 STREAM_QUERIES = {
     "resumed_events": q_resumed_events,
     "stream_event_time_counts": q_stream_event_time_counts,
@@ -374,4 +570,11 @@ STREAM_QUERIES = {
     "stream_running_average": q_stream_running_average,
     "stream_arrival_window_sum": q_stream_arrival_window_sum,
     "stream_item_cooccurrence": q_stream_item_cooccurrence,
+    "stream_fraud_pairs_disordered": q_stream_fraud_pairs_disordered,
+    "stream_late_rows": q_stream_late_rows,
+    "stream_processing_windows": q_stream_processing_windows,
+    "stream_behavior_mode": q_stream_behavior_mode,
+    "stream_closed_event_time_counts": q_stream_closed_event_time_counts,
+    "stream_rebucketed_word_count": q_stream_rebucketed_word_count,
+    "stream_product_changelog": q_stream_product_changelog,
 }

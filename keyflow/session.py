@@ -86,9 +86,10 @@ def _pickle_by_value() -> None:
     """
     from pyspark import cloudpickle
 
-    import keyflow.operators.cooccur as cooccur
+    import keyflow.operators.accumulate as accumulate
     import keyflow.streaming.stateful as stateful
-    for module in (stateful, cooccur):
+    import keyflow.streaming.timed as timed
+    for module in (stateful, timed, accumulate):
         try:
             cloudpickle.register_pickle_by_value(module)
         except ValueError:  # already registered

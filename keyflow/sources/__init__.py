@@ -6,8 +6,3 @@ from keyflow.sources.streams import (kafka_options, kafka_values, micro_batch_ra
 __all__ = ["SCHEMAS", "TABLES", "behavior_lines", "load", "page_log_lines", "table_path",
            "kafka_options", "kafka_values", "micro_batch_rate", "rate_stream", "socket_options", "stream_table",
            "text_stream"]
-from keyflow.sources.generators import (constant_key_stream, counter, disordered_events,  # noqa: E402
-                                        generated_orders, labelled_counter)
-
-__all__ += ["constant_key_stream", "counter", "disordered_events", "generated_orders",
-            "labelled_counter"]

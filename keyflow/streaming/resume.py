@@ -10,17 +10,13 @@ folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from keyflow.functions.formats import event_label
-from keyflow.session import shared_path
-from keyflow.sources.streams import stream_table
-from keyflow.sources.tables import load
 
 
 def resumable_stream(df: DataFrame, sink: str, checkpoint: str, output_mode: str = "append",
@@ -81,7 +77,11 @@ def sum_batches(spark: SparkSession, sink: str, keys: Sequence[str], value: str)
 def latest_rows(spark: SparkSession, sink: str, keys: Sequence[str], schema: str | None = None) -> DataFrame:
     """Last update per key (null keys included) from an :func:`upsert_batches` sink."""
     reader = spark.read.schema(schema) if schema else spark.read
-    rows = reader.parquet(sink)
+    return latest_of(reader.parquet(sink), keys)
+
+
+def latest_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The row with the largest ``batch_id`` per key, without that column."""
     values = [c for c in rows.columns if c not in (*keys, "batch_id")]
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_kf_last"))
     return latest.select(*[c if c in keys else F.col(f"_kf_last.{c}").alias(c)
@@ -113,54 +113,3 @@ def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = Non
     if state_var:
         reader = reader.option("stateVarName", state_var)
     return reader.load(checkpoint)
-
-
-def slice_bounds(df: DataFrame, col: str, n_slices: int) -> list:
-    """``n_slices - 1`` cut points of ``col`` at approximate quantiles (a bounded list)."""
-    if n_slices <= 1:
-        return []
-    fractions = [i / n_slices for i in range(1, n_slices)]
-    cuts = df.select(F.percentile_approx(col, fractions, 10_000).alias("q")).first()["q"]
-    return sorted(set(cuts))
-
-
-def slice_filter(col: str, bounds: list, i: int):
-    """Rows of slice ``i``: ``bounds[i-1] <= col < bounds[i]`` (open at both ends); nulls are in the first."""
-    cond = F.lit(True)
-    if i > 0:
-        cond = cond & (F.col(col) >= F.lit(bounds[i - 1]))
-    if i < len(bounds):
-        cond = cond & (F.col(col) < F.lit(bounds[i]))
-    return F.coalesce(cond, F.lit(i == 0))
-
-
-def run_in_slices(spark: SparkSession, table: DataFrame, order_col: str, n_slices: int,
-                  landing: str, start: Callable[[], StreamingQuery]) -> None:
-    """Land ``table`` in time-ordered slices, running the stream once after each.
-
-    Every run restarts from the same checkpoint, so state and offsets carry
-    over - a stop/resume cycle per slice.  Slices are filters on the order
-    column, pushed down to the scan; their union is the whole table.
-    """
-    bounds = slice_bounds(table, order_col, n_slices)
-    for i in range(len(bounds) + 1):
-        table.filter(slice_filter(order_col, bounds, i)).write.mode("append").parquet(landing)
-        query = start()
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise RuntimeError(str(query.exception()))
-
-
-def q_resumed_events(spark: SparkSession, sf_dir: str, n_slices: int = 2) -> DataFrame:
-    """Labelled events ("Event-n") through a stream stopped and resumed between slices."""
-    base = shared_path(spark, "resumed_events", fresh=True)
-    landing, sink, ckpt = f"{base}/landing", f"{base}/sink", f"{base}/checkpoint"
-    events = load(spark, sf_dir, "events").select("event_id", "ts")
-
-    def start() -> StreamingQuery:
-        stream = stream_table(spark, landing, schema=events.schema)
-        labelled = stream.select("event_id", event_label("event_id").alias("label"))
-        return resumable_stream(labelled, sink, ckpt)
-
-    run_in_slices(spark, events, "event_id", n_slices, landing, start)
-    return spark.read.schema("event_id long, label string").parquet(sink)

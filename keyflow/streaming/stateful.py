@@ -20,11 +20,12 @@ These need the RocksDB state store provider
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Row
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -43,11 +44,14 @@ def _ordered(rows, order: Sequence[str]) -> list[Row]:
     return sorted(rows, key=lambda r: tuple(r[c] for c in order))
 
 
-def _units(value: float | None, scale: int) -> int | None:
-    """``value`` in units of 10^-scale, rounded as Spark casts a double to a decimal (half up on its decimal text)."""
+def _units(value, scale: int) -> int | None:
+    """``value`` in units of 10^-scale, exactly; one with more decimals raises, as in the batch form."""
     if value is None:
         return None
-    return int(Decimal(repr(value)).scaleb(scale).quantize(Decimal(1), ROUND_HALF_UP))
+    units = Decimal(str(value)).scaleb(scale)
+    if units != units.to_integral_value():
+        raise ValueError(f"{value} has more than {scale} decimals")
+    return int(units)
 
 
 class RunningCounter(StatefulProcessor):
@@ -80,13 +84,14 @@ class RunningCounter(StatefulProcessor):
 class RunningMean(StatefulProcessor):
     """Per-key (count, total) value state; emits the running mean after each row.
 
-    Row API.  ``scale`` fixes the decimals of the input: the total is kept as
-    an exact integer number of 10^-scale units.  As in the batch form a null
-    value counts as a row and adds nothing; the mean is null until a value came.
+    Row API.  ``scale`` states the decimals of the input: the total is kept as
+    an exact integer number of 10^-scale units, and a value with more decimals
+    raises.  As in the batch form a null value counts as a row and adds nothing;
+    the mean is null until a value came.
     """
 
-    def __init__(self, order: Sequence[str], out_cols: Sequence[str], value: str,
-                 average: str = "avg_value", scale: int = 4):
+    def __init__(self, order: Sequence[str], out_cols: Sequence[str], value: str, scale: int,
+                 average: str = "avg_value"):
         self.order, self.out_cols, self.value = list(order), list(out_cols), value
         self.average, self.scale = average, scale
 
@@ -171,53 +176,84 @@ class AdjacentPairMatcher(StatefulProcessor):
 
 
 class ItemHistory(StatefulProcessor):
-    """Per-user item history as counts (map state item -> views), not a list.
-
-    For each view of item x, emits one row per other item y seen before with
-    ``inc`` = earlier views of y, then counts the view.  State is bounded by
-    the user's distinct items, not by the number of views.  A batch is one
-    cumulative-count matrix (rows x the user's distinct items) in numpy.
-    ``ttl_ms`` optionally forgets items not seen for that long (a time-bounded
-    history instead of all history).
+    """Per-user item history as list state.
+
+    For each view of item x, emits one row per other item y in the history with
+    ``inc`` = earlier views of y, then adds the view.
+
+    By default the history is exact and unbounded in time: the list holds (item,
+    views) entries, a batch appends one entry per item it viewed, and the list is
+    merged once it has ``COMPACT`` times as many entries as items, so state follows
+    the user's distinct items and not the number of views.  ``cap`` keeps the last
+    ``cap`` views only (entries of single views, oldest first), and ``ttl_ms`` forgets
+    entries that long after they were written (needs ``timeMode="ProcessingTime"``).
+
+    A batch is worked off in chunks of rows, so that a chunk's cumulative counts
+    (rows x items) have at most ``CELLS`` cells, whatever a user's rows or items.
     """
 
+    COMPACT, CELLS = 4, 1 << 20
+
     def __init__(self, order: Sequence[str], item: str, out_cols: Sequence[str],
-                 ttl_ms: int | None = None):
-        self.order, self.item, self.out_cols, self.ttl_ms = list(order), item, list(out_cols), ttl_ms
+                 ttl_ms: int | None = None, cap: int | None = None):
+        self.order, self.item, self.out_cols, self.ttl_ms, self.cap = list(order), item, list(out_cols), ttl_ms, cap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # ttl_ms bounds the history in time (needs timeMode="ProcessingTime")
-        self.seen = handle.getMapState("seen", "item string", "n long", self.ttl_ms)
+        self.seen = handle.getListState("seen", "item string, n long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
         if pdf.empty:
             return
         pdf = pdf.sort_values(self.order, kind="stable").reset_index(drop=True)
-        known = {k[0]: v[0] for k, v in self.seen.iterator()} if self.seen.exists() else {}
+        entries = list(self.seen.get()) if self.seen.exists() else []
         items = pdf[self.item].to_numpy().astype(object)
-        vocab = np.array(sorted(set(known) | set(items)), dtype=object)
+        vocab = np.array(sorted({e[0] for e in entries} | set(items)), dtype=object)
         pos = {v: i for i, v in enumerate(vocab)}
         code = np.array([pos[v] for v in items], dtype=np.int64)
-        start = np.array([known.get(v, 0) for v in vocab], dtype=np.int64)
-        onehot = np.zeros((len(pdf), len(vocab)), dtype=np.int64)
-        onehot[np.arange(len(pdf)), code] = 1
-        before = start + np.cumsum(onehot, axis=0) - onehot      # views before each row
-        before[np.arange(len(pdf)), code] = 0                     # never pair an item with itself
-        r, c = np.nonzero(before)
-        final = start + onehot.sum(axis=0)
-        for i, v in enumerate(vocab):
-            if final[i] != known.get(v, 0):
-                self.seen.updateValue((v,), (int(final[i]),))
-        if len(r) == 0:
-            return
-        x, y = items[r], vocab[c]
-        out = pdf.loc[r, self.out_cols].reset_index(drop=True)
+        past = np.array([pos[e[0]] for e in entries], dtype=np.int64)
+        if self.cap is None:
+            start = np.bincount(past, [e[1] for e in entries], len(vocab)).astype(np.int64)
+            gone = np.zeros(0, np.int64)
+            self._append(entries, start, code, vocab)
+        else:
+            views = np.concatenate([past, code])
+            start = np.bincount(past, minlength=len(vocab)).astype(np.int64)
+            gone = views[:max(0, len(views) - self.cap)]  # the views that drop out, in order
+            self.seen.put([(vocab[v], 1) for v in views[len(gone):].tolist()])
+        step = max(1, self.CELLS // len(vocab))
+        for at in range(0, len(code), step):
+            part = code[at:at + step]
+            n = np.arange(len(part))
+            change = np.zeros((len(part), len(vocab)), dtype=np.int64)
+            change[n, part] = 1
+            if self.cap is not None:
+                # adding row i's view to a full history drops the oldest one
+                over = np.arange(at, at + len(part)) + len(entries) - self.cap
+                full = over >= 0
+                np.add.at(change, (n[full], gone[over[full]]), -1)
+            before = start + np.cumsum(change, axis=0) - change
+            start = start + change.sum(axis=0)
+            before[n, part] = 0                          # never pair an item with itself
+            r, c = np.nonzero(before)
+            if len(r):
+                yield self._rows(pdf, at, r, items[at + r], vocab[c], before[r, c])
+
+    def _append(self, entries: list, start: np.ndarray, code: np.ndarray, vocab: np.ndarray) -> None:
+        added = np.bincount(code, minlength=len(vocab))
+        new = [(vocab[i], int(added[i])) for i in np.flatnonzero(added)]
+        if len(entries) + len(new) > self.COMPACT * len(vocab):
+            self.seen.put([(v, int(a + b)) for v, a, b in zip(vocab, start, added, strict=True)])
+        else:
+            self.seen.appendList(new)
+
+    def _rows(self, pdf: pd.DataFrame, at: int, r: np.ndarray, x: np.ndarray, y: np.ndarray, inc: np.ndarray) -> pd.DataFrame:
+        out = pdf[self.out_cols].take(at + r).reset_index(drop=True)
         out[self.item] = x
         out["item_a"] = np.where(x < y, x, y)
         out["item_b"] = np.where(x < y, y, x)
-        out["inc"] = before[r, c]
-        yield out
+        out["inc"] = inc
+        return out
 
     def close(self) -> None:
         pass
@@ -229,10 +265,11 @@ class RetractChangelog(StatefulProcessor):
     Row API.  For each row in ``order``: the key's first row emits
     ``+ total``; later rows emit ``- old`` then ``+ new``; a row that leaves
     the total unchanged emits nothing.  Totals are exact integers of
-    10^-scale units; rows without a value emit nothing.
+    10^-scale units (a value with more decimals raises); rows without a value emit
+    nothing.
     """
 
-    def __init__(self, order: Sequence[str], value: str, out_cols: Sequence[str], scale: int = 4):
+    def __init__(self, order: Sequence[str], value: str, out_cols: Sequence[str], scale: int):
         self.order, self.value, self.out_cols, self.scale = list(order), value, list(out_cols), scale
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -311,6 +348,9 @@ class BucketedRunningCounter(StatefulProcessor):
     counts of its keys as two arrays, so a micro-batch costs one state read
     and write per bucket instead of per key, and counting is numpy.  Rows are
     ordered by ``order`` inside the batch.
+
+    A bucket's state grows with its distinct keys.  To go on with another number of
+    buckets, start a new query with :func:`carried_counts` as its initial state.
     """
 
     def __init__(self, key: str, order: Sequence[str], out_cols: Sequence[str],
@@ -321,6 +361,13 @@ class BucketedRunningCounter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("counts", f"keys array<{self.key_type}>, n array<long>")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        current = self.state.get()
+        known = dict(zip(current[0], current[1])) if current is not None else {}
+        for word, n in zip(initialState[self.key].tolist(), initialState["n"].tolist(), strict=True):
+            known[word] = known.get(word, 0) + int(n)
+        self.state.update((list(known.keys()), list(known.values())))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _concat(rows)
         if pdf.empty:
@@ -342,3 +389,16 @@ class BucketedRunningCounter(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+def carried_counts(spark: SparkSession, checkpoint: str, key: str, buckets: int) -> DataFrame:
+    """(_bucket, key, n): a stopped :class:`BucketedRunningCounter` query's state, dealt into ``buckets`` buckets.
+
+    The initial state of a changed query (``transformWithStateInPandas(...,
+    initialState=carried.groupBy("_bucket"))``) with a checkpoint of its own, whose
+    input begins where the stopped one's ended.
+    """
+    state = spark.read.format("statestore").option("stateVarName", "counts").load(checkpoint)
+    words = state.select(F.explode(F.arrays_zip("value.keys", "value.n")).alias("w"))
+    words = words.select(F.col("w.keys").alias(key), F.col("w.n").alias("n"))
+    return words.select(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket"), key, "n")

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyflow.operators.running import running_average
+from keyflow.plans.landing import slice_filter
 from keyflow.session import shared_path
 from keyflow.sources.streams import stream_table
-from keyflow.streaming.resume import latest_rows, pinned, resumable_stream, slice_filter
+from keyflow.streaming.resume import latest_rows, pinned, resumable_stream
 from keyflow.streaming.stateful import RunningMean
 
 
@@ -14,8 +15,8 @@ from keyflow.streaming.stateful import RunningMean
 def test_running_average_with_nulls_is_the_same_in_chunks(spark, chunk):
     rows = [(1, t, None if t in (1, 5, 6) else float(t)) for t in range(1, 11)]
     df = spark.createDataFrame(rows, "k int, t int, v double")
-    plain = running_average(df, ["k"], ["t"], "v", rows_per_chunk=1000)
-    cut = running_average(df, ["k"], ["t"], "v", rows_per_chunk=chunk)
+    plain = running_average(df, ["k"], ["t"], "v", scale=0, rows_per_chunk=1000)
+    cut = running_average(df, ["k"], ["t"], "v", scale=0, rows_per_chunk=chunk)
     assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, cut.collect()), key=repr)
 
 
@@ -35,15 +36,15 @@ def test_last_update_keeps_null_keys(spark, tmp_path):
 
 def test_streamed_mean_with_nulls_equals_batch(spark):
     base = shared_path(spark, "tests", "mean", fresh=True)
-    rows = [(k, t, None if t in (1, 5, 6) else 0.0035 * t) for k in (1, None) for t in range(1, 11)]
+    rows = [(k, t, None if t in (1, 5, 6) else round(0.0035 * t, 4)) for k in (1, None) for t in range(1, 11)]
     df = spark.createDataFrame(rows, "k int, t int, v double")
     for some in (df.filter("t <= 1"), df.filter("t between 2 and 5"), df.filter("t > 5")):
         some.write.mode("append").parquet(f"{base}/in")
         means = stream_table(spark, f"{base}/in", schema=df.schema).groupBy("k").transformWithState(
-            statefulProcessor=RunningMean(["t"], ["k", "t", "v"], "v"),
+            statefulProcessor=RunningMean(["t"], ["k", "t", "v"], "v", scale=4),
             outputStructType="k int, t int, v double, avg_value double", outputMode="Append", timeMode="None")
         resumable_stream(means, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    want = running_average(df, ["k"], ["t"], "v")
+    want = running_average(df, ["k"], ["t"], "v", scale=4)
     got = spark.read.parquet(f"{base}/out").select(*want.columns)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 

@@ -7,7 +7,8 @@ import pytest
 from keyflow.functions import guarded_double, guarded_double_strict
 from keyflow.operators import window_sum
 from keyflow.session import shared_path
-from keyflow.sources import constant_key_stream, counter, labelled_counter, micro_batch_rate
+from generators import constant_key_stream, counter, labelled_counter
+from keyflow.sources import micro_batch_rate
 
 
 def run_batches(query, n_batches: int, timeout: float = 60.0):

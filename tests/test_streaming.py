@@ -123,7 +123,7 @@ def test_retract_changelog_processor_across_batches(spark):
     def run():
         stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
         out = stream.groupBy("product").transformWithState(
-            statefulProcessor=RetractChangelog(["n"], "sale", ["product", "n"]),
+            statefulProcessor=RetractChangelog(["n"], "sale", ["product", "n"], scale=5),
             outputStructType="product string, n long, op string, seq int, total double",
             outputMode="Append", timeMode="None")
         resumable_stream(out, sink, ckpt).awaitTermination()
@@ -147,21 +147,21 @@ def test_state_can_be_inspected_after_stop(spark):
     assert state == {"user1": 2, "user2": 1}
 
 
-def test_page_analysis_fan_out(spark):
-    from keyflow.streaming.fanout import start_page_analysis
+def test_page_analysis_reads_each_line_once_for_two_outputs(spark):
+    from keyflow.streaming.fanout import read_output, start_page_analysis
     base = shared_path(spark, "tests", "fanout", fresh=True)
     landing = f"{base}/in"
     rows = [("1|u|/hot", at(1))] * 101 + [("1|u|/warm", at(2))] * 100 + [("x", at(3))]
     spark.createDataFrame(rows, "line string, arrival timestamp_ntz").write.parquet(landing)
     lines = stream_table(spark, landing, schema=T.StructType.fromDDL("line string, arrival timestamp_ntz"),
                          event_time_cols=("arrival",))
-    queries = start_page_analysis(lines, base, "arrival")
-    for q in queries.values():
-        q.awaitTermination()
-    alerts = latest_rows(spark, f"{base}/alerts", ["window_start", "page"]).collect()
-    assert [(r.page, r.cnt) for r in alerts] == [("/hot", 101)]
-    views = {(r.page, r.cnt) for r in latest_rows(spark, f"{base}/views", ["window_start", "page"]).collect()}
-    assert views == {("/hot", 101), ("/warm", 100)}
+    query = start_page_analysis(lines, base, "arrival")
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(rows)   # both outputs from one read
+    alerts = read_output(spark, base, "alerts").collect()
+    assert [(r.page, r.cnt) for r in alerts] == [("/hot", 101)] and alerts[0].alert
+    views = {((r.window_start.replace(tzinfo=None) - T0).total_seconds(), r.page, r.cnt) for r in read_output(spark, base, "views").collect()}
+    assert views == {(s, p, c) for s in (-5.0, 0.0) for p, c in (("/hot", 101), ("/warm", 100))}
 
 
 def test_running_mean_fixture_a10_as_stream(spark):
@@ -174,7 +174,7 @@ def test_running_mean_fixture_a10_as_stream(spark):
     def run():
         stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
         out = stream.groupBy("sensor").transformWithState(
-            statefulProcessor=RunningMean(["seq"], ["seq", "sensor"], "reading"),
+            statefulProcessor=RunningMean(["seq"], ["seq", "sensor"], "reading", scale=1),
             outputStructType="seq long, sensor string, avg_value double",
             outputMode="Append", timeMode="None")
         resumable_stream(out, sink, ckpt).awaitTermination()
@@ -260,7 +260,7 @@ def test_changelog_across_batches(spark):
     def run():
         stream = stream_table(spark, landing, schema=T.StructType.fromDDL(schema))
         out = stream.groupBy("product").transformWithState(
-            statefulProcessor=RetractChangelog(["n"], "sale", ["product", "n"]),
+            statefulProcessor=RetractChangelog(["n"], "sale", ["product", "n"], scale=5),
             outputStructType="product long, n long, op string, seq int, total double",
             outputMode="Append", timeMode="None")
         resumable_stream(out, sink, ckpt).awaitTermination()
@@ -268,6 +268,6 @@ def test_changelog_across_batches(spark):
     for part in (rows[:4], rows[4:7], rows[7:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(landing)
         run()
-    want = retract_changelog(spark.createDataFrame(rows, schema), "product", ["n"], "sale")
+    want = retract_changelog(spark.createDataFrame(rows, schema), "product", ["n"], "sale", scale=5)
     key = lambda r: (r.product or 0, r.n, r.seq, r.op, r.total)
     assert sorted(map(key, spark.read.parquet(sink).collect())) == sorted(map(key, want.collect()))

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-import pytest
-
 from pyspark.sql import functions as F
 
 from keyflow.operators import page_alerts, page_views, window_count, window_sum
@@ -50,14 +48,14 @@ def test_sliding_fixture_c4(spark):
 
 
 def test_generated_disorder_source_matches_fixture(spark):
-    from keyflow.sources import disordered_events as gen
+    from generators import disordered_events as gen
     counts = window_count(gen(spark, base=T0), "ts", ["name"], "5 seconds")
     assert counts.count() == 11
     assert sum(r.cnt for r in counts.collect()) == 15
 
 
 def test_generated_orders_ranges(spark):
-    from keyflow.sources import generated_orders
+    from generators import generated_orders
     df = generated_orders(spark, 500)
     stats = df.agg(F.min("amount"), F.max("amount"), F.min("price"), F.max("price"),
                    F.countDistinct("product_id"), F.min(F.length("order_id"))).first()
@@ -67,22 +65,3 @@ def test_generated_orders_ranges(spark):
     totals = spark.sql("SELECT product_id, SUM(amount * price) AS total_sales FROM kf_generated_orders "
                        "GROUP BY product_id").count()
     assert totals == 3
-
-
-@pytest.mark.parametrize("rows_per_chunk", [2, 10_000])
-def test_batch_late_rows_dropped_like_the_stream_fixture_c8(spark, rows_per_chunk):
-    from keyflow.operators import drop_late_rows
-    rows = [(1, T0 + dt.timedelta(seconds=s)) for s in (1, 3, 12)] + [(2, T0 + dt.timedelta(seconds=2)),
-                                                                       (3, T0 + dt.timedelta(seconds=13))]
-    df = spark.createDataFrame([(i, a, t) for i, (a, t) in enumerate(rows)], "seq long, batch int, ts timestamp_ntz")
-    kept = drop_late_rows(df, "ts", ["seq"], "2 seconds", "5 seconds", rows_per_chunk=rows_per_chunk)
-    counts = window_count(kept.withColumn("k", F.lit("a")), "ts", ["k"], "5 seconds")
-    got = sorted(((r.window_start - T0).total_seconds(), r.cnt) for r in counts.collect())
-    assert got == [(0.0, 2), (10.0, 2)]
-
-
-def test_bounded_disorder_drops_nothing_fixture_a7(spark):
-    from keyflow.operators import drop_late_rows
-    events = disordered_events(spark).withColumn("seq", F.monotonically_increasing_id())
-    kept = drop_late_rows(events, "ts", ["seq"], "2 seconds", "5 seconds")
-    assert kept.count() == 15
