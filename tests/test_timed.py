@@ -21,7 +21,11 @@ from keyflow.streaming.stateful import BucketedRunningCounter, ItemHistory, carr
 from keyflow.streaming.timed import TIME, EventTimePairMatcher, TimedWindows, fired_windows, read_fired, timed, windowed
 
 T0 = dt.datetime(2024, 5, 1)
-CARD = T.StructType.fromDDL("card string, amount double, location string, ts timestamp, event_id long")
+def fields(*named):
+    return T.StructType([T.StructField(n, kind()) for n, kind in named])
+
+
+CARD = fields(("card", T.StringType), ("amount", T.DoubleType), ("location", T.StringType), ("ts", T.TimestampType), ("event_id", T.LongType))
 
 
 def at(sec):
@@ -65,7 +69,7 @@ def test_rows_out_of_order_are_matched_in_event_time(spark):
     assert sorted((r.first_event_id, r.first_ts is None) for r in out if r.output == "late") == [(1000, False), (1001, True)]
 
 
-EVENT = T.StructType.fromDDL("event_id long, ts timestamp, event_type string")
+EVENT = fields(("event_id", T.LongType), ("ts", T.TimestampType), ("event_type", T.StringType))
 
 
 def test_sliding_windows_fire_once_and_late_rows_come_out(spark):
