@@ -24,10 +24,12 @@ vocabulary with one used id gives it a code of one bit.  Damaged files raise.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -48,17 +50,42 @@ BLOCK, EVERY = 1 << 18, 1 << 7
 LIMIT = 16
 #: Ids of one range of rows (and so, about, of a file).
 IDS_PER_FILE = 1 << 22
-#: Words whose ids a task remembers.
-REMEMBERED = 1 << 18
+#: Stems whose ids a Python process remembers, and half the number of words.
+REMEMBERED = 1 << 19
 
 
 # -- tokenizing ---------------------------------------------------------------
 
-class TextEncoder:
-    """Ids of whole texts; words met before are not encoded again.
+#: The normalizer and pre-tokenizer for which words may be encoded one by one.
+BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+#: Punctuation that may end a word; letters below this character need no normalizing.
+ENDS, PLAIN = ".,;:!?", "\u0250"
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte: itself if printable, else the next free one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    The vocabulary's pre-tokenizer drops white space and no rule of its
-    normalizer reaches across it, so a text's ids are those of its words.
+
+class TextEncoder:
+    """Ids of whole texts, as the tokenizers library gives them.
+
+    A vocabulary whose pipeline is ``BY_WORD`` drops white space, and none of its
+    rules reaches across it: a text's ids are those of its words, and words met before
+    are not encoded again.  Of those met first, a word with punctuation after its last
+    letter is two pieces, ASCII capitals become small, and a word of small letters
+    below ``PLAIN`` is one piece for the library's BPE model, which no rule before it
+    would change.  All else, and every text of other vocabularies, takes the library's
+    whole pipeline.
     """
 
     def __init__(self, definition: str):
@@ -68,29 +95,79 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, words: list[str]) -> list[bytes]:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(coded.ids, "<u4").tobytes()
-        return [self.known[w] for w in words]
+        parts = json.loads(definition)
+        self.by_word = all(parts[k] == v for k, v in BY_WORD.items())
+        self.bytes = byte_characters()
+        self.stems: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.large_string())  # the words met, and where their ids are in ``ids``
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, words: pa.Array) -> None:
+        pieces = [self.piece(w) for w in words.to_pylist()]
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(pieces), "<u4")])
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+
+    def piece(self, word: str) -> bytes:
+        """A word's ids."""
+        body = word.rstrip(ENDS)
+        if len(body) < len(word) and body and body[-1].isalpha() and body[-1].lower().isalpha():
+            return self.stem(body) + self.stem(word[len(body):])
+        return self.stem(word)
+
+    def stem(self, word: str) -> bytes:
+        if word.isascii() and "<|" not in word:
+            word = word.lower()
+        if (found := self.stems.get(word)) is None:
+            if len(self.stems) >= REMEMBERED:
+                self.stems = {}
+            if word.isalpha() and max(word) < PLAIN and word == word.lower():
+                plain = word if word.isascii() else word.encode().decode("latin-1").translate(self.bytes)
+                found = array("I", [t.id for t in self.tokenizer.model.tokenize(plain)]).tobytes()
+            else:
+                found = self.library(word)
+            self.stems[word] = found
+        return found
+
+    def library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids end (from 0)."""
+        if not self.by_word:
+            pieces = [self.library(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(pieces), "<u4"), np.cumsum([0, *map(len, pieces)]) // 4
         words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
-        pieces = self.pieces(coded.dictionary.to_pylist())
-        data = np.frombuffer(b"".join(pieces), "<u4")
-        lengths = np.array([len(p) // 4 for p in pieces], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        reach = np.concatenate([[0], np.cumsum(lengths[at])])
-        place = np.arange(reach[-1]) + np.repeat(starts[at] - reach[:-1], lengths[at])
+        if len(self.words) + len(coded.dictionary) > 2 * REMEMBERED:
+            self._forget()
+        met = pc.index_in(coded.dictionary, value_set=self.words)
+        new = met.is_null()
+        place = met.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(met.null_count)
+        self._learn(coded.dictionary.filter(new))
+        at = place[coded.indices.to_numpy(zero_copy_only=False)]
+        sizes = self.ends[at + 1] - self.ends[at]
+        reach = np.concatenate([[0], np.cumsum(sizes)])
+        gather = np.repeat(self.ends[at] - reach[:-1], sizes)
+        gather += np.arange(reach[-1])
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
-        return data[place], reach[ends]
+        return self.ids[gather], reach[ends]
+
+
+#: The encoder of this Python process, kept for its next task.
+_ENCODER: dict[str, TextEncoder] = {}
+
+
+def encoder_of(definition: str) -> TextEncoder:
+    if definition not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[definition] = TextEncoder(definition)
+    return _ENCODER[definition]
 
 
 def encoded(df: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
@@ -104,7 +181,7 @@ def encoded(df: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_
     kind = width(size or vocabulary_size(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(definition.value)
+        encoder = encoder_of(definition.value)
         for batch in batches:
             ids, ends = encoder.encode(utf8(batch.column(2)))
             rows = [np.append(ids[a:b], end_id).astype(kind).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
