@@ -5,15 +5,17 @@ N-grams travel as 64-bit hashes of (language, words), dealt into hash partitions
 1. Words, then pairs, then runs of three and four: every task counts the n-grams of
    its texts in chunks and sends, for each hash partition, the mass and a packed
    list of (hash, count).  A partition first adds up its mass, which fixes its
-   summary's capacity: more than mass / threshold, so that a merged Misra-Gries
-   summary (add counters; beyond the capacity subtract the (capacity + 1)-th
-   largest) undercounts by less than the threshold and keeps every frequent n-gram.
-   ``partitions`` follows from the size of the texts, so a summary's size is bounded.
+   summary's capacity: more than ``SHARP`` times mass / threshold, so that a merged
+   Misra-Gries summary (add counters; beyond the capacity subtract the (capacity +
+   1)-th largest) undercounts by less than threshold / ``SHARP``: it keeps every
+   frequent n-gram and few others.  ``partitions`` follows from the size of the texts,
+   so a summary's size is bounded.
 2. A run is counted only if all its shorter runs survived, as a frequent run's do.
    Survivors are set in a bit table of fixed size (``FILTER_BITS``), which every
    task gets; a false hit costs a count, never a result.
 3. A second pass over the texts counts exactly the n-grams that the table lets
-   through, and totals the words of each language.
+   through, and totals the words of each language.  Counts travel packed, dealt by
+   hash; a partition adds them up and keeps the frequent ones.
 4. Phrases inside longer ones, cuts, scores and ranks are joins and aggregates
    over the table of frequent phrases.  Single words, which very many phrases
    may start or end with, are salted in the join.
@@ -47,7 +49,11 @@ LONGEST, LEAST, ABSORBED, TOP = 4, 30, 80, 2000
 #: Bits of the survivors' table (16 MB), whatever the size of the corpus.
 FILTER_BITS = 27
 #: Counters of one partition's summary, about; n-grams that a task counts at once; copies of a word in a join.
-COUNTERS, CHUNK, SALTS = 1 << 17, 1 << 22, 16
+COUNTERS, CHUNK, SALTS = 1 << 19, 1 << 22, 16
+#: N-grams whose exact counts a task holds before it sends them.
+HELD = 1 << 19
+#: Capacity of a summary: so many times mass / threshold.
+SHARP = 8
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -158,7 +164,7 @@ def added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def partitions(df: DataFrame, text: str, least: int) -> int:
     """Hash partitions so that a summary has about ``COUNTERS`` counters: words are at most half of the bytes."""
     size = df.agg(F.sum(F.octet_length(f"`{text}`")).alias("n")).first().n or 0
-    return max(8, -(-(size // 2 // least) // COUNTERS))
+    return max(8, -(-(SHARP * size // 2 // least) // COUNTERS))
 
 
 def survivors(feed: DataFrame, lengths: range, parts: int, least: int, survived) -> DataFrame:
@@ -207,7 +213,7 @@ def survivors(feed: DataFrame, lengths: range, parts: int, least: int, survived)
                 if kind.as_py() == 0:
                     mass += m.as_py()
                     continue
-                summary = summary or Summary(mass // least + 1)
+                summary = summary or Summary(SHARP * mass // least + 1)
                 summary.add(np.frombuffer(keys.as_buffer(), "<u8"), np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64))
         if summary is not None:
             yield kept()
@@ -227,17 +233,25 @@ def bit_table(places: DataFrame, before: np.ndarray | None) -> np.ndarray:
     return bits
 
 
-def exact_counts(feed: DataFrame, longest: int, survived) -> DataFrame:
-    """(lang, n, phrase, f) of the n-grams in the table, and (lang, 0, null, words) of each language, per task."""
+def exact_counts(feed: DataFrame, longest: int, least: int, survived, parts: int) -> DataFrame:
+    """(lang, n, phrase, f) of the n-grams in the table with ``least`` occurrences, and (lang, 0, null, words) of each language."""
+    names = ["lang", "n", "phrase", "f"]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = survived.value
         totals: dict[str, int] = {}
         found: dict[int, list] = {}
 
-        def rows(what: list[list]) -> pa.RecordBatch:
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*what, strict=True), kinds, strict=True)],
-                                              ["lang", "n", "phrase", "f"])
+        def packed() -> pa.RecordBatch:
+            dealt: dict[int, list] = {}
+            for key, row in found.items():
+                dealt.setdefault(key % parts, []).append(row)
+            for lang, words in totals.items():
+                dealt.setdefault(xxhash.xxh3_64_intdigest(lang) % parts, []).append([lang, 0, None, words])
+            lists = [[[r[i] for r in rows] for rows in dealt.values()] for i in range(4)]
+            return pa.RecordBatch.from_arrays([pa.array(dealt, pa.int32()), *(
+                pa.array(x, pa.list_(k)) for x, k in zip(lists, kinds, strict=True))], ["part", *names])
 
         for batch in batches:
             texts = Texts(batch.column(0), batch.column(1))
@@ -251,15 +265,34 @@ def exact_counts(feed: DataFrame, longest: int, survived) -> DataFrame:
                         row[3] += c
                     else:
                         found[key] = [texts.langs[texts.lang[a]], n, texts.phrase(a, n), c]
-            if len(found) >= 1 << 19:
-                yield rows(list(found.values()))
-                found = {}
-        if found:
-            yield rows(list(found.values()))
-        if totals:
-            yield rows([[lang, 0, None, n] for lang, n in totals.items()])
+            if len(found) >= HELD:
+                yield packed()
+                found, totals = {}, {}
+        if found or totals:
+            yield packed()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, sums = None, {}
+
+        def kept() -> pa.RecordBatch:
+            rows = [(*k, f) for k, f in sums.items() if f >= least or k[1] == 0]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 4, kinds, strict=True)],
+                                              names)
+
+        for batch in batches:
+            for p, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:
+                    if sums:
+                        yield kept()
+                    part, sums = p, {}
+                for *key, f in zip(*lists, strict=True):
+                    key = tuple(key)
+                    sums[key] = sums.get(key, 0) + f
+        if sums:
+            yield kept()
 
-    return feed.mapInArrow(count, "lang string, n int, phrase string, f long")
+    counted = feed.mapInArrow(count, "part int, lang array<string>, n array<int>, phrase array<string>, f array<long>")
+    return counted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, "lang string, n int, phrase string, f long")
 
 
 def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST,
@@ -272,8 +305,8 @@ def frequent_phrases(df: DataFrame, text: str = "text", lang: str = "lang", long
         if lengths.start <= longest:
             bits = bit_table(survivors(feed, range(lengths.start, min(lengths.stop, longest + 1)), parts, least, shared), bits)
             shared = context.broadcast(bits)
-    counted = saved(exact_counts(feed, longest, shared).groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")), "phrases")
-    return counted.filter(f"n > 0 and f >= {least}"), counted.filter("n = 0").select("lang", F.col("f").alias("words"))
+    counted = saved(exact_counts(feed, longest, least, shared, parts), "phrases")
+    return counted.filter("n > 0"), counted.filter("n = 0").select("lang", F.col("f").alias("words"))
 
 
 def _words(column: str, start: str, length: str) -> str:
@@ -309,7 +342,12 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", longest:
     best = (met.withColumn("score", score.cast("long")).groupBy("lang", "phrase", "a")
                .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
                .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))
-    place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    best_first = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # a language's first phrases are among the first of its SALTS parts
+    share = Window.partitionBy("lang", "_share").orderBy(*best_first)
+    best = (best.withColumn("_share", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+                .withColumn("_place", F.row_number().over(share)).filter(F.col("_place") <= top).drop("_share", "_place"))
+    place = Window.partitionBy("lang").orderBy(*best_first)
     ranked = best.withColumn("rank", F.row_number().over(place).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("words").alias("n"), "score")
 
