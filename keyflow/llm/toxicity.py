@@ -1,26 +1,42 @@
-"""Toxicity scores from class-conditional models with absolute discounting (operator 10).
-
-This is not Kneser-Ney, the method dealt for the operator: no continuation
-counts are taken, the backoff is the pooled relative frequency of the same
-order, and no context between words is counted, so word order does not matter.
-
-A word is an expression of two symbols, its first ``PREFIX_BYTES`` bytes and
-the rest.  Each class (toxic, ordinary) has counts of prefixes and of the rest
-given the prefix; both levels subtract an absolute discount and give the mass
-to backoff counts that the classes share, so a rare expression is smoothed the
-same way in either class and does not tell them apart.  Toxic documents are
-mostly ordinary prose, so the toxic model is the ordinary one mixed with a
-share ``ALPHA`` of the toxic counts.  A document's evidence is the difference of
-the two log-likelihoods divided by its number of words; a logistic curve maps
-it to 0..1.
-
-Counts cover every labelled training row and are exact for each word and each
-prefix (64-bit hashes stand for them): texts become posting rows, one for each
-word of a run of ``CHUNK_WORDS`` words, which are summed by word, turned into a
-table of evidence and joined with that table again.  Neither the driver nor a
-worker holds the vocabulary.  Only the logistic curve (two numbers) is fitted on
-a bounded sample, ``FIT_ROWS`` rows chosen by hash, each scored with counts of
-the other folds.
+"""Toxicity scores from class-conditional Kneser-Ney models (operator 10).
+
+Each class (ordinary 0, toxic 1) has an interpolated Kneser-Ney model of word pairs:
+
+    p_c(w | v) = (1 - L(v)) max(n_c(vw) - D_c, 0) / K_c(v) + L(v) p_c(w)
+    p_c(w)     = (1 - M)    max(N_c(.w) - E_c, 0) / K_c    + M    p(w)
+    p(w)       = (N(.w) + 1/2) / (sum of N + 1/2 over all words)
+
+``n_c`` are the class's pair counts, ``N_c(.w)`` its continuation counts (how many
+different words precede w), ``N(.w)`` the smaller of both classes' ones: the shared
+backoff, which smooths a rare expression alike in either class.  The discounts come
+from the counts of counts, n1 / (n1 + 2 n2), of the class's pairs (D) and
+continuations (E).  ``K_c(v)`` is what the discounted counts of a context sum to, and
+``L(v)`` the larger of the two classes' backoff shares 1 - K_c(v) / n_c(v) (1 where a
+class has not seen v); M likewise.  So a pair that neither class has seen says what
+its word says, and a word that neither has seen says nothing.
+
+Toxic documents are mostly ordinary prose: their model is the ordinary one with a
+share ALPHA of the toxic one, ALPHA being one word of an average toxic training text.
+A pair's evidence is log(1 - ALPHA + ALPHA p_1 / p_0); a document's evidence is the
+sum over its words divided by their number (the length-normalised difference of the
+log-likelihoods).  It is kept in two parts, what the words say and what the pairs add,
+and a logistic curve over both maps it to 0..1: pairs of rare words, which copies of
+training texts share, thus get the weight that they earn on texts not counted.
+
+How it runs:
+
+1. A bit table of fixed size of the labelled ids picks the training texts; only these
+   are moved to their labels.  Their pairs (64-bit hashes) are counted per task and
+   summed; contexts and continuations are aggregates of that one table.
+2. Evidence is stored per word and, for pairs, as what the pair adds to its word.  The
+   most frequent entries, at most ``HOT_WORDS`` and ``HOT_PAIRS``, go to every task.
+   All others, however many, are met by an exact join: a bit table tells which words
+   and pairs of a text are among them, and a task gathers these by hash.
+3. One pass over all texts sums the evidence of the frequent entries and sends the
+   others; nothing is sampled, and no task holds the vocabulary.
+
+``FIT_ROWS`` training rows at most, chosen by hash (a fifth of all at most), are not
+counted; the logistic curve (three numbers) is fitted on their evidence.
 
 Training rows have a label and crc32(doc_id as text) mod 4 other than 2 (those
 are held out).  Labels, language, source and id are no inputs of a score.
@@ -28,8 +44,9 @@ are held out).  Labels, language, source and id are no inputs of a score.
 Defined cases: a null text is empty; an empty text has evidence 0; a null id is
 not a training row and counts as held out; null labels are ignored; of several
 labels for one id the highest counts; repeated rows are counted and scored one
-by one; if the training rows hold one class only, every score is the share of
-toxic rows (0 without training rows); an empty table gives an empty result.
+by one, equal texts alike; if the counted rows hold one class only, every score is
+the share of toxic rows (0 without training rows); an empty table gives an empty
+result; added columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -38,27 +55,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keyflow.llm.common import saved, table, utf8
-from keyflow.llm.wordhash import LETTERS, hashed_words, pieces
-
-PREFIX_BYTES = 4
-#: Words, and documents, from which on a run of texts is turned into posting rows.
-CHUNK_WORDS, CHUNK_DOCS = 1 << 22, 1 << 19
-#: Posting rows with more documents than this are spread over ``SALTS`` places of the join.
-LONG, SALTS = 1024, 16
-#: Absolute discount of both levels, and the share of toxic counts in the toxic model.
-DISCOUNT, ALPHA = 2.0, 0.003
+from keyflow.llm.wordhash import LETTERS, M1, hashed_words, mix, pieces
+
+#: Most words and pairs whose evidence goes to every task; the others are joined.
+HOT_WORDS, HOT_PAIRS = 1 << 18, 1 << 20
+#: Bits of the tables of training ids and of joined entries (16 MB each).
+TABLE_BITS = 27
+#: Word pairs, and bytes of text, that a task works on at once.
+CHUNK_PAIRS, CHUNK_BYTES = 1 << 21, 4 << 20
 #: Most rows that the logistic curve is fitted on.
 FIT_ROWS = 20_000
 #: A document counts as toxic from this score on.
 THRESHOLD = 0.3
 HELD_OUT = 2
-FOLDS = (0, 1, 3)
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -66,222 +79,275 @@ def fold(doc_id: str = "doc_id") -> Column:
     return (F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4).cast("int")
 
 
-def marked_rows(docs: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
-    """``docs`` with ``_kf_fold`` and ``_kf_toxic``, both null where a row is not a training row."""
-    marks = (labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").alias("_kf_id"))
-             .agg(F.max("toxic").cast("int").alias("_kf_toxic")))
-    known = docs.withColumn("_kf_fold", F.when(fold(doc_id) != HELD_OUT, fold(doc_id)))
-    # the texts are streamed past the labels of their partition: neither sorted nor met by a broadcast of all labels
-    joined = known.join(marks.hint("shuffle_hash"), known[f"`{doc_id}`"] == marks["_kf_id"], "left").drop("_kf_id")
-    trains = F.col("_kf_fold").isNotNull() & F.col("_kf_toxic").isNotNull()
-    return joined.withColumns({c: F.when(trains, F.col(c)) for c in ("_kf_fold", "_kf_toxic")})
-
-
-_COUNTS = [f"c{c}_{f}" for c in (0, 1) for f in FOLDS]
-_POSTS = T.StructType([
-    *[T.StructField(c, T.LongType()) for c in ("chunk", "word", "prefix", *_COUNTS)],
-    T.StructField("posts", T.ArrayType(T.IntegerType())), T.StructField("keys", T.ArrayType(T.LongType())),
-    T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("toxic", T.ArrayType(T.IntegerType()))])
-#: The model that leaves no fold out, behind those without FOLDS[0], FOLDS[1], ...
-WHOLE = len(FOLDS)
-_DOC_BITS, _N_BITS = 21, 8
-
-
-def _chunk_rows(chunk: int, parts: list, docs: list) -> Iterator[pa.RecordBatch]:
-    """Posting rows of one chunk: a row for each word, and one (without a word) for its documents."""
-    words, heads, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
-    keys, sizes, toxic, group, fit = (np.concatenate(x) for x in zip(*docs, strict=True))
-    order = np.argsort(words, kind="stable")
-    words, owner = words[order], owner[order]
-    new_word = np.concatenate([[True], words[1:] != words[:-1]])
-    runs = np.flatnonzero(new_word | np.concatenate([[True], owner[1:] != owner[:-1]]))
-    n = np.diff(np.append(runs, len(words)))
-    place, doc = np.cumsum(new_word)[runs] - 1, owner[runs]
-    first = np.flatnonzero(new_word)
-    group = group[doc]
-    counts = [np.bincount(place[group == g], weights=n[group == g], minlength=len(first)).astype(np.int64)
-              for g in range(len(_COUNTS))]
-    # a sampled document is also scored by the model without its fold
-    again = np.flatnonzero(fit[doc])
-    which = np.concatenate([np.full(len(doc), WHOLE), group[again] % len(FOLDS)])
-    place, doc, n = (np.concatenate([x, x[again]]) for x in (place, doc, n))
-    most = (1 << _N_BITS) - 1
-    times = -(-n // most)  # larger numbers take several entries
-    place, doc, which, n = (np.repeat(x, times) for x in (place, doc, which, n))
-    last = np.cumsum(times) - 1
-    left = n[last] - (times - 1) * most
-    n = np.minimum(n, most)
-    n[last] = left
-    order = np.argsort(place, kind="stable")
-    posts = ((((doc << 2) | which) << _N_BITS) | n)[order].astype(np.int32)
-    ends = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(first)))])
-    width, rows = 50_000, len(first)
-    schema = pa.schema([*[(c, pa.int64()) for c in ("chunk", "word", "prefix", *_COUNTS)], ("posts", pa.list_(pa.int32())),
-                        ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("toxic", pa.list_(pa.int32()))])
-    for a in range(0, rows, width):
-        b = min(a + width, rows)
-        held = pa.ListArray.from_arrays(pa.array((ends[a:b + 1] - ends[a]).astype(np.int32)),
-                                        pa.array(posts[ends[a]:ends[b]]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(b - a, chunk)), pa.array(words[first[a:b]].view(np.int64)),
-             pa.array(heads[first[a:b]].view(np.int64)), *[pa.array(c[a:b]) for c in counts], held,
-             *[pa.nulls(b - a, schema.field(c).type) for c in ("keys", "sizes", "toxic")]], schema=schema)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([chunk]), *[pa.nulls(1, pa.int64()) for _ in range(2 + len(_COUNTS))], pa.nulls(1, schema.field("posts").type),
-         pa.array([keys], schema.field("keys").type), pa.array([sizes], schema.field("sizes").type),
-         pa.array([[None if t < 0 else int(t) for t in toxic]], schema.field("toxic").type)], schema=schema)
-
-
-def postings(rows: DataFrame) -> DataFrame:
-    """Posting rows of (key, text, toxic, fold, fit), written once.
-
-    ``posts`` holds document << 10 | model << 8 | number of occurrences, ``c0_0`` to ``c1_3`` the
-    word's occurrences by class and fold; a row without a word holds the documents of its chunk.
-    """
+# -- tables of bits -----------------------------------------------------------
+
+def bit_table(keys: DataFrame, key: str) -> np.ndarray:
+    """A table of 2**TABLE_BITS bits with the places of all keys (long) set; its size is fixed."""
+    place = F.shiftrightunsigned(F.col(key), 64 - TABLE_BITS) + 1
+    pages = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("page")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
+    bits = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
+    for row in pages.toLocalIterator():  # pages of 4096 bytes, numbered from 1
+        bits[(row.page - 1) * 4096:row.page * 4096] = np.frombuffer(row.bits, np.uint8)
+    return bits
+
+
+def hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
+# -- training -----------------------------------------------------------------
+
+def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, fit_rows: int) -> DataFrame:
+    """(key, text, toxic, fit) of the training rows, written once; ``key`` is the hash of the text."""
+    marks = (labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
+             .agg(F.max("toxic").cast("int").alias("toxic")).filter(fold("id") != HELD_OUT))
+    marks = saved(marks.withColumn("place", F.xxhash64("id")), "toxic-marks")
+    share = min(0.2, fit_rows / max(1, marks.count()))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_table(marks, "place"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 20
-        parts, docs, n_words, n_docs = [], [], 0, 0
         for batch in batches:
-            key, toxic, fit = (batch.column(i).fill_null(none).to_numpy(zero_copy_only=False)
-                               for i, none in ((0, 0), (2, -1), (4, False)))
-            part = [FOLDS.index(f) if f is not None else 0 for f in batch.column(3).to_pylist()]
-            group = np.where(toxic < 0, -1, toxic * len(FOLDS) + np.array(part, np.int64))
-            for a, b, data, offsets in pieces(utf8(batch.column(1))):
-                words, first, heads = hashed_words(data, offsets, LETTERS, PREFIX_BYTES)
-                n = np.diff(first)
-                some = n > 0  # a text without words has evidence 0 without being asked
-                at = n_docs + np.cumsum(some) - 1
-                parts.append((words, heads, np.repeat(at, n)))
-                docs.append(tuple(x[some] for x in (key[a:b], n, toxic[a:b], group[a:b], fit[a:b])))
-                n_words += len(words)
-                n_docs += int(some.sum())
-                if n_words >= CHUNK_WORDS or n_docs >= CHUNK_DOCS:
-                    yield from _chunk_rows(chunk, parts, docs)
-                    chunk, parts, docs, n_words, n_docs = chunk + 1, [], [], 0, 0
-        if n_words:
-            yield from _chunk_rows(chunk, parts, docs)
-
-    return saved(rows.select("key", "text", "toxic", "fold", "fit").mapInArrow(run, _POSTS), "toxic-posts")
-
-
-def count_words(posts: DataFrame) -> DataFrame:
-    """Exact counts of every word by class and fold, of all texts' words (0 outside the training rows)."""
-    return (posts.filter("word is not null").groupBy("word")
-            .agg(F.min("prefix").alias("prefix"), F.max(F.size("posts") > LONG).alias("long"),
-                 *[F.sum(c).alias(c) for c in _COUNTS]))
-
-
-def _class_count(c: int, m: int) -> Column:
-    return sum((F.col(f"c{c}_{f}") for i, f in enumerate(FOLDS) if i != m), F.lit(0.0))
-
-
-def evidence(words: DataFrame) -> DataFrame:
-    """(word, long, e): the log-likelihood differences of every word by each model; words never counted go by their prefix."""
-    models, classes = range(WHOLE + 1), (0, 1)
-    stats = []
-    for m in models:
-        n = [_class_count(c, m) for c in classes]
-        both = n[0] + n[1]
-        stats += [F.sum(F.when(both > 0, both + 0.5)).alias(f"s_{m}")]
-        for c in classes:
-            stats += [F.sum(n[c]).alias(f"h{c}_{m}"), F.sum(F.greatest(n[c] - DISCOUNT, F.lit(0.0))).alias(f"o{c}_{m}")]
-    heads = words.groupBy("prefix").agg(*stats)
-    kept = lambda c, m: F.greatest(F.col(f"h{c}_{m}") - DISCOUNT, F.lit(0.0))
-    total = heads.agg(*[F.sum(F.col(f"s_{m}") + 0.5).alias(f"s_{m}") for m in models],
-                      *[F.sum(f"h{c}_{m}").alias(f"h{c}_{m}") for m in models for c in classes],
-                      *[F.sum(kept(c, m)).alias(f"k{c}_{m}") for m in models for c in classes]).first()
+            yield batch.filter(pa.array(hit(bits.value, batch.column(1).to_numpy(zero_copy_only=False))))
+
+    texts = docs.filter(F.col(f"`{doc_id}`").isNotNull()).select(
+        F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{doc_id}`").cast("long")).alias("place"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    fit = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)
+    some = texts.mapInArrow(run, "id long, place long, text string").join(marks.select("id", "toxic"), "id")
+    return saved(some.select(F.xxhash64("text").alias("key"), "text", "toxic", fit.alias("fit")), "toxic-training")
+
+
+def pair_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, pair) of every word occurrence; a text's first word has context 0."""
+    context = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
+    context[first[:-1][first[:-1] < len(words)]] = 0
+    return context, mix(context * M1 + words)
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(pair, v, w, n0, n1) of the counted rows (text, toxic): occurrences by class, written once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def summed() -> pa.RecordBatch:
+            pair, v, w, c = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(pair, kind="stable")
+            pair, v, w, c = pair[order], v[order], w[order], c[order]
+            start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+            ones = np.add.reduceat(c, start)
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(x[start].view(np.int64)) for x in (pair, v, w)),
+                 pa.array(np.diff(np.append(start, len(pair))) - ones), pa.array(ones)], ["pair", "v", "w", "n0", "n1"])
+
+        for batch in batches:
+            toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b, data, offsets in pieces(utf8(batch.column(0)), CHUNK_BYTES):
+                words, first = hashed_words(data, offsets, LETTERS)
+                v, pair = pair_hashes(words, first)
+                if len(words):
+                    held.append((pair, v, words, np.repeat(toxic[a:b], np.diff(first))))
+                    n += len(words)
+                if n >= CHUNK_PAIRS:
+                    yield summed()
+                    held, n = [], 0
+        if n:
+            yield summed()
+
+    counted = rows.select("text", "toxic").mapInArrow(run, "pair long, v long, w long, n0 long, n1 long")
+    return saved(counted.groupBy("pair").agg(F.first("v").alias("v"), F.first("w").alias("w"), F.sum("n0").alias("n0"),
+                                             F.sum("n1").alias("n1")), "toxic-pairs")
+
+
+def discounts(ones_and_twos: dict, name: str) -> list[float]:
+    """n1 / (n1 + 2 n2) of both classes; 1/2 where a class has neither."""
     out = []
-    for m in models:
-        size = [max(total[f"h{c}_{m}"] or 0.0, 1.0) for c in classes]
-        mass = [(total[f"k{c}_{m}"] or 0.0) / size[c] for c in classes]
-        lent = max(1.0 - x for x in mass)  # the same backoff mass for both classes
-        shared = F.col(f"s_{m}") + 0.5
-        n = [_class_count(c, m) for c in classes]
-        both = n[0] + n[1] + 0.5
-        seen, unseen = [], []
-        for c in classes:
-            head = kept(c, m) * ((1 - lent) / size[c] / max(mass[c], 1e-12)) + shared * (lent / ((total[f"s_{m}"] or 0.0) + 0.5))
-            most = F.greatest(F.col(f"h{c}_{m}"), F.lit(1.0))
-            rest = 1.0 - F.col(f"o{c}_{m}") / most
-            seen.append(head * (F.greatest(n[c] - DISCOUNT, F.lit(0.0)) / most + rest * both / shared))
-            unseen.append(head * rest)
-        ratio = F.when(both > 0.5, seen[1] / seen[0]).otherwise(unseen[1] / unseen[0])
-        # a prefix never counted says nothing
-        out.append(F.coalesce(F.log(1 - ALPHA + ALPHA * ratio), F.lit(0.0)).cast("float"))
-    return words.join(heads, "prefix").select("word", "long", F.array(*out).alias("e"))
-
-
-def mean_evidence(posts: DataFrame, e: DataFrame) -> DataFrame:
-    """(doc, model, total): the sum of evidence of each document, by the models that score it."""
-    place = F.when(F.size("posts") > LONG, F.pmod("chunk", F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    asked = posts.filter("word is not null").select("word", "chunk", "posts", place.alias("salt"))
-    places = F.when(F.col("long"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    given = e.select("word", "e", F.explode(places).alias("salt"))
-    entries = asked.join(given, ["word", "salt"]).select("chunk", "e", F.explode("posts").alias("p"))
-    model = F.shiftright("p", _N_BITS).bitwiseAND(3)
-    doc = F.shiftleft("chunk", _DOC_BITS) + F.shiftright("p", _N_BITS + 2)
-    number = F.col("p").bitwiseAND((1 << _N_BITS) - 1)
-    return (entries.select(doc.alias("doc"), (model < WHOLE).alias("fit"),
-                           (F.element_at("e", model + 1).cast("double") * number).alias("v"))
-                   .groupBy("doc", "fit").agg(F.sum("v").alias("total")))
-
-
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve: Newton steps with a small ridge."""
-    scale = x.std() or 1.0
-    design = np.stack([x / scale, np.ones(len(x))], 1)
-    beta = np.zeros(2)
+    for c in (0, 1):
+        one, two = ones_and_twos[f"{name}{c}_1"] or 0, ones_and_twos[f"{name}{c}_2"] or 0
+        out.append(one / (one + 2 * two) if one else 0.5)
+    return out
+
+
+def _of_counts(column: str, name: str) -> list[Column]:
+    return [F.sum((F.col(f"{column}{c}") == k).cast("long")).alias(f"{name}{c}_{k}") for c in (0, 1) for k in (1, 2)]
+
+
+def kept(n: str, d: float) -> Column:
+    return F.greatest(F.col(n) - F.lit(d), F.lit(0.0))
+
+
+def evidence(pairs: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
+    """(word, n, e) and (pair, n, e): a word's evidence, and what a pair adds to that of its second word."""
+    d = discounts(pairs.agg(*_of_counts("n", "n")).first().asDict(), "n")
+    words = saved(pairs.groupBy("w").agg(F.sum((F.col("n0") > 0).cast("long")).alias("c0"), F.sum((F.col("n1") > 0).cast("long")).alias("c1"),
+                                         F.sum(F.col("n0") + F.col("n1")).alias("n"))
+                  .withColumn("both", F.least("c0", "c1")), "toxic-words")
+    e = discounts(words.agg(*_of_counts("c", "c")).first().asDict(), "c")
+    total = words.agg(F.sum("c0"), F.sum("c1"), F.sum(kept("c0", e[0])), F.sum(kept("c1", e[1])), F.sum(F.col("both") + 0.5)).first()
+    lent = max(1 - total[2 + c] / total[c] for c in (0, 1))
+    shared = F.lit(lent) * (F.col("both") + 0.5) / F.lit(total[4])
+    p = [F.lit((1 - lent) / max(total[2 + c], 1e-12)) * kept(f"c{c}", e[c]) + shared for c in (0, 1)]
+    words = words.select("w", "n", p[0].alias("p0"), p[1].alias("p1"))
+    log = lambda ratio: F.log(F.lit(1 - alpha) + F.lit(alpha) * ratio)
+    contexts = pairs.groupBy("v").agg(*[F.sum(f"n{c}").alias(f"m{c}") for c in (0, 1)],
+                                      *[F.sum(kept(f"n{c}", d[c])).alias(f"k{c}") for c in (0, 1)])
+    # a context that one class has not seen leaves everything to the word
+    contexts = contexts.filter("k0 > 0 and k1 > 0").withColumn(
+        "lent", F.greatest(1 - F.col("k0") / F.col("m0"), 1 - F.col("k1") / F.col("m1")))
+    q = [(1 - F.col("lent")) * kept(f"n{c}", d[c]) / F.col(f"k{c}") + F.col("lent") * F.col(f"p{c}") for c in (0, 1)]
+    met = pairs.join(contexts, "v").join(words.select("w", "p0", "p1"), "w")
+    of_pairs = met.select("pair", (F.col("n0") + F.col("n1")).alias("n"), (log(q[1] / q[0]) - log(F.col("p1") / F.col("p0"))).alias("e"))
+    return words.select(F.col("w").alias("word"), "n", log(F.col("p1") / F.col("p0")).alias("e")), of_pairs
+
+
+# -- scoring ------------------------------------------------------------------
+
+def hot_from(entries: DataFrame, most: int) -> int:
+    """The least count from which on at most ``most`` entries lie."""
+    at, seen = 1 << 62, 0
+    for row in entries.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n")).toLocalIterator():
+        seen += row["count"]
+        if seen > most:
+            break
+        at = row["n"]
+    return at
+
+
+def collected(entries: DataFrame, key: str, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (in order) and evidence of the entries with ``least`` occurrences."""
+    rows = entries.filter(F.col("n") >= least).select(key, F.col("e").cast("double")).toArrow()
+    keys = rows.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], rows.column(1).to_numpy()[order]
+
+
+def looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The values of the keys asked for, 0 for those that are not there."""
+    if not len(keys):
+        return np.zeros(len(asked))
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0.0)
+
+
+_SCORED = "h long, key long, n long, words double, pairs double, keys array<long>, times array<long>"
+
+
+def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(key, of_words, of_pairs) of every different text with words (``key``: its hash): the parts of its evidence."""
+    spark = docs.sparkSession
+    from_word, from_pair = hot_from(words, HOT_WORDS), hot_from(pairs, HOT_PAIRS)
+    rest = saved(words.filter(F.col("n") < from_word).select(F.col("word").alias("h"), "e", F.lit(False).alias("is_pair")).unionByName(
+        pairs.filter(F.col("n") < from_pair).select(F.col("pair").alias("h"), "e", F.lit(True).alias("is_pair"))), "toxic-rest")
+    given = spark.sparkContext.broadcast((*collected(words, "word", from_word), *collected(pairs, "pair", from_pair),
+                                          None if rest.isEmpty() else bit_table(rest, "h")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_keys, word_e, pair_keys, pair_e, bits = given.value
+        names = ["h", "key", "n", "words", "pairs", "keys", "times"]
+        lists = pa.list_(pa.int64())
+        asked, held = [], 0
+
+        def sent() -> pa.RecordBatch:
+            h, key = (np.concatenate(x) for x in zip(*asked, strict=True))
+            order = np.lexsort((key, h))
+            h, key = h[order], key[order]
+            new = np.concatenate([[True], h[1:] != h[:-1]])
+            start = np.flatnonzero(new | np.concatenate([[True], key[1:] != key[:-1]]))
+            times, group = np.diff(np.append(start, len(h))), np.flatnonzero(new[start])
+            ends = pa.array(np.append(group, len(start)).astype(np.int32))
+            none, part = pa.nulls(len(group), pa.int64()), pa.nulls(len(group), pa.float64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(h[start[group]].view(np.int64)), none, none, part, part,
+                 pa.ListArray.from_arrays(ends, pa.array(key[start])), pa.ListArray.from_arrays(ends, pa.array(times))], names)
+
+        for batch in batches:
+            keys = batch.column(1).to_numpy(zero_copy_only=False)
+            for a, b, data, offsets in pieces(utf8(batch.column(0)), CHUNK_BYTES):
+                found, first = hashed_words(data, offsets, LETTERS)
+                n = np.diff(first)
+                if not len(found):
+                    continue
+                _, pair = pair_hashes(found, first)
+                some, sums = np.flatnonzero(n), []
+                for h, k, e in ((found, word_keys, word_e), (pair, pair_keys, pair_e)):
+                    different, back = np.unique(h, return_inverse=True)
+                    sums.append(pa.array(np.add.reduceat(looked_up(k, e, different)[back], first[:-1][some])))
+                    if bits is not None:
+                        there = hit(bits, different)[back]
+                        asked.append((h[there], np.repeat(keys[a:b], n)[there]))
+                        held += int(there.sum())
+                none = pa.nulls(len(some), lists)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.array(keys[a:b][some]), pa.array(n[some]),
+                                                  *sums, none, none], names)
+                if held >= CHUNK_PAIRS:
+                    yield sent()
+                    asked, held = [], 0
+        if held:
+            yield sent()
+
+    texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
+    rows = saved(texts.mapInArrow(run, _SCORED), "toxic-evidence")
+    entries = rows.filter("h is not null").join(rest, "h").select("e", "is_pair", F.explode(F.arrays_zip("keys", "times")).alias("d"))
+    value = F.col("e") * F.col("d.times")
+    more = entries.select(F.col("d.keys").alias("key"), F.lit(0).cast("long").alias("n"), F.when(~F.col("is_pair"), value).otherwise(0.0).alias("words"),
+                          F.when(F.col("is_pair"), value).otherwise(0.0).alias("pairs"))
+    sums = rows.filter("h is null").select("key", "n", "words", "pairs").unionByName(more)
+    # equal texts have equal evidence: their sums and their words grow alike
+    return sums.groupBy("key").agg(*[(F.sum(c) / F.sum("n")).alias(f"of_{c}") for c in ("words", "pairs")])
+
+
+def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slopes (one per column) and offset of a logistic curve: Newton steps with a small ridge."""
+    scale = np.where(x.std(0) > 0, x.std(0), 1.0)
+    design = np.concatenate([x / scale, np.ones((len(x), 1))], 1)
+    beta = np.zeros(design.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -40, 40)))
         w = np.maximum(p * (1 - p), 1e-9)
-        step = np.linalg.solve(design.T @ (design * w[:, None]) + 1e-3 * np.eye(2),
+        step = np.linalg.solve(design.T @ (design * w[:, None]) + 1e-3 * np.eye(len(beta)),
                                design.T @ (y - p) - 1e-3 * beta)
         beta += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return float(beta[0] / scale), float(beta[1])
+    return np.append(beta[:-1] / scale, beta[-1])
 
 
-def spread(mean: Column) -> Column:
-    """asinh(difference / ALPHA), which spreads the few strong documents and the many near 0 alike."""
-    return F.asinh(mean / ALPHA)
+def spread(mean: Column, alpha: float) -> Column:
+    """asinh(evidence / ALPHA), which spreads the few strong documents and the many near 0 alike."""
+    return F.asinh(mean / alpha)
 
 
 def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
            score: str = "score", predicted: str = "predicted", threshold: float = THRESHOLD,
            fit_rows: int = FIT_ROWS) -> DataFrame:
     """Append ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
-    ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id"))
-    sizes = {r["_kf_toxic"]: r["count"] for r in marked_rows(ids, labels, "doc_id").filter("_kf_toxic is not null")
-             .groupBy("_kf_toxic").count().collect()}
-    ordinary, toxic = sizes.get(0, 0), sizes.get(1, 0)
-    if not ordinary or not toxic:
-        constant = docs.withColumn(score, F.lit(toxic / max(1, ordinary + toxic)))
+    docs = docs.drop(score, predicted)
+    training = training_rows(docs, labels, doc_id, text, fit_rows)
+    counted = training.filter("not fit")
+    sizes = {r.toxic: r["count"] for r in counted.groupBy("toxic").count().collect()}
+    rows = [sizes.get(c, 0) for c in (0, 1)]
+    pairs = pair_counts(counted)
+    spoken = pairs.agg(F.sum("n0"), F.sum("n1")).first()
+    if not spoken[0] or not spoken[1]:
+        constant = docs.withColumn(score, F.lit(rows[1] / max(1, sum(rows))))
         return constant.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
-    part = min(1.0, fit_rows / (ordinary + toxic))
-    texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    key = lambda column: F.xxhash64(F.coalesce(F.col(column), F.lit("")))
-    in_sample = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1_000_000)) < int(part * 1_000_000)
-    rows = marked_rows(texts, labels, "doc_id").select(
-        key("text").alias("key"), "text", F.col("_kf_toxic").alias("toxic"), F.col("_kf_fold").alias("fold"),
-        (F.col("_kf_toxic").isNotNull() & in_sample).alias("fit"))
-    posts = postings(rows)
-    sums = mean_evidence(posts, evidence(saved(count_words(posts), "toxic-words")))
-    held = posts.filter("word is null").select("chunk", F.posexplode(F.arrays_zip("keys", "sizes", "toxic")))
-    held = held.select((F.shiftleft("chunk", _DOC_BITS) + F.col("pos")).alias("doc"), "col.*")
-    found = saved(sums.join(held, "doc").select("fit", "total", "keys", "sizes", "toxic"), "toxic-evidence")
-    # a repeated id could pass the sample's bound
-    points = found.filter("fit").select(spread(F.col("total") / F.col("sizes")).alias("x"), "toxic").limit(
-        2 * fit_rows).toPandas()
+    alpha = min(0.5, rows[1] / spoken[1])
+    means = text_evidence(docs, text, *(saved(x, "toxic-tables") for x in evidence(pairs, alpha)))
+    means = saved(means, "toxic-means")
+    parts = ["of_words", "of_pairs"]
+    points = (training.filter("fit").select("key", "toxic").join(means, "key", "left")
+              .select(*[spread(F.coalesce(c, F.lit(0.0)), alpha).alias(c) for c in parts], "toxic").limit(2 * fit_rows).toPandas())
     y = points["toxic"].to_numpy(float)
-    slope, offset = fit_curve(points["x"].to_numpy(float), y) if len(y) else (1.0, 0.0)
-    # equal texts have equal evidence
-    means = found.filter("not fit").groupBy(F.col("keys").alias("_kf_key")).agg(
-        (F.sum("total") / F.sum("sizes")).alias("_kf_mean"))
-    x = spread(F.coalesce("_kf_mean", F.lit(0.0))) * slope + offset
+    slopes = fit_curve(points[parts].to_numpy(float), y) if 0 < y.sum() < len(y) else np.array([1.0, 0.0, -2.0])
+    x = F.lit(float(slopes[2]))
+    for c, slope in zip(parts, slopes, strict=False):
+        x = x + spread(F.coalesce(f"_kf_{c}", F.lit(0.0)), alpha) * float(slope)
     x = F.greatest(F.least(x, F.lit(40.0)), F.lit(-40.0))
-    out = docs.withColumn("_kf_key", key(f"`{text}`")).join(means.hint("shuffle_hash"), "_kf_key", "left")
-    out = out.withColumn(score, 1 / (1 + F.exp(-x))).drop("_kf_key", "_kf_mean")
+    given = means.select(F.col("key").alias("_kf_key"), *[F.col(c).alias(f"_kf_{c}") for c in parts])
+    out = docs.withColumn("_kf_key", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))).join(
+        given.hint("shuffle_hash"), "_kf_key", "left")
+    out = out.withColumn(score, 1 / (1 + F.exp(-x))).drop("_kf_key", *[f"_kf_{c}" for c in parts])
     return out.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
 
 
