@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,7 +107,8 @@ def _signed(buckets: int, width: int, num: int, den: int):
         sigs: list[np.ndarray] = []
         keys: list[int] = []
         held = 0
-        for batch in batches:
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             ids, sizes, names, sketches = batch.column(0).to_pylist(), [], [], []
             for elements in shingle_sets(utf8(batch.column(1)), width):
                 sizes.append(len(elements))
@@ -121,7 +123,9 @@ def _signed(buckets: int, width: int, num: int, den: int):
                         keys.append(names[-1])
                         held += len(mine)
             if ids:
-                yield _pack((names[0] + len(ids)) % buckets, MEMBERS, keys=np.array(names, np.int64).tobytes(),
+                # dealt by task and batch: equal texts do not meet in one bucket
+                at = int(mix(np.array([(task << 32) + number], np.uint64))[0] % np.uint64(buckets))
+                yield _pack(at, MEMBERS, keys=np.array(names, np.int64).tobytes(),
                             ids=ids, sizes=sizes, sketches=sketches)
             if held >= FLUSH:
                 yield from _send(sigs, keys, buckets)
