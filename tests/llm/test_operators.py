@@ -221,19 +221,32 @@ def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(4)
     vectors = [(i, rng.normal(0, 0.2, 16).astype(np.float32).tolist()) for i in range(400)]
     vectors += [(401, vectors[7][1]), vectors[9], (402, None), (403, [1.0, None] * 8), (404, [float("nan")] * 16), (None, vectors[3][1]),
-                (405, [1e30] * 16), (406, [0.5] * 8), (450, [0.25] * 8)]
+                (405, [1e30] * 16), (406, [0.5] * 8), (450, [0.25] * 8),
+                vectors[50], (100, vectors[3][1]), (450, [0.25] * 8)]
     got = topk.top_k(spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash")),
                      F.col("vec_id") % 50 == 0).collect()
-    clean = {}
-    for i, v in vectors:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v):
-            clean[i] = [int(np.floor(256 * float(x))) for x in v]
+    clean = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in vectors
+             if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in clean if i % 50 == 0):
-        scores = sorted(((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(clean[q], v)))), i) for i, v in clean.items()
-                         if i != q and len(v) == len(clean[q])))[:5]
-        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    for n, (q, u) in enumerate(clean):
+        if q % 50 == 0:  # a query meets every row but its own, so also others of its id
+            scores = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(u, v)))), i) for m, (i, v) in enumerate(clean)
+                            if m != n and len(v) == len(u))[:5]
+            want += [(q, at + 1, i, -s) for at, (s, i) in enumerate(scores)]
     assert Counter(map(tuple, got)) == Counter(want)
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert topk.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_bounds_hold_and_levels_reject(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.floor(rng.normal(0, 40, (3000, 64)))
+    q = x[:40]
+    for segments in topk.levels(64):
+        assert (topk.bounds(q, x, segments) >= q @ x.T - 1e-6).all()
+    assert topk.envelope_bound(q, x) >= (q @ x.T).max()
+    left = topk.survivors(q, x)
+    assert left[-1] < 0.5 and left == sorted(left, reverse=True)
 
 
 def test_mixing(spark, rows):
@@ -353,18 +366,6 @@ def test_pipeline_stages(spark):
     assert "ids" in now.columns
 
 
-def test_toxicity_counts_words_exactly(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "LONG", 1)
-    rows = [(d, " ".join(f"w{d * 4000 + i}" for i in range(4000)) + " both" * 300, d % 2, (0, 1)[d % 2], False)
-            for d in range(150)]
-    posts = toxicity.postings(spark.createDataFrame(rows, "key long, text string, toxic int, fold int, fit boolean"))
-    counted = toxicity.count_words(posts)
-    sizes = counted.select((F.col("c0_0") + F.col("c1_1")).alias("n")).groupBy("n").count().collect()
-    assert {r["n"]: r["count"] for r in sizes} == {1: 600_000, 45_000: 1}  # no two words share a count
-    ones = counted.select("word", "long", F.array(*[F.lit(1.0)] * 4).alias("e"))
-    assert {r["total"] for r in toxicity.mean_evidence(posts, ones).collect()} == {4300.0}
-
-
 def test_secrets_whole_placeholders_wide_gaps_types_and_phrases():
     found = lambda t: {t[a:b] for k, a, b, _ in secrets.find(t) if k == "literal"}
     assert found('password = "Zx9$kQ2!vb"') == {"Zx9$kQ2!vb"}
