@@ -2,17 +2,19 @@
 
 Each class (ordinary 0, toxic 1) has an interpolated Kneser-Ney model of word pairs:
 
-    p_c(w | v) = (1 - L(v)) max(n_c(vw) - D_c, 0) / K_c(v) + L(v) p_c(w)
+    p_c(w | v) = (1 - L(v)) max(n_c(vw) - 1, 0) / K_c(v) + L(v) p_c(w)
     p_c(w)     = (1 - M)    max(N_c(.w) - E_c, 0) / K_c    + M    p(w)
     p(w)       = (N(.w) + 1/2) / (sum of N + 1/2 over all words)
 
 ``n_c`` are the class's pair counts, ``N_c(.w)`` its continuation counts (how many
 different words precede w), ``N(.w)`` the smaller of both classes' ones: the shared
-backoff, which smooths a rare expression alike in either class.  The discounts come
-from the counts of counts, n1 / (n1 + 2 n2), of the class's pairs (D) and
-continuations (E).  ``K_c(v)`` is what the discounted counts of a context sum to, and
-``L(v)`` the larger of the two classes' backoff shares 1 - K_c(v) / n_c(v) (1 where a
-class has not seen v); M likewise.  So a pair that neither class has seen says what
+backoff, which smooths a rare expression alike in either class.  Pairs are discounted
+by 1, so a pair that a class has seen once leaves its mass to the word, and need not
+be kept; E comes from the continuations' counts of counts, n1 / (n1 + 2 n2).
+``K_c(v)`` is what the discounted counts of a context sum to, and ``L(v)`` the larger
+of the two classes' backoff shares 1 - K_c(v) / n_c(v) (1 where a class has no kept
+pair of v; the end of a text counts as a continuation, and a first word has none);
+M likewise.  So a pair that neither class has seen says what
 its word says, and a word that neither has seen says nothing.
 
 Toxic documents are mostly ordinary prose: their model is the ordinary one with a
@@ -26,8 +28,9 @@ training texts share, thus get the weight that they earn on texts not counted.
 How it runs:
 
 1. A bit table of fixed size of the labelled ids picks the training texts; only these
-   are moved to their labels.  Their pairs (64-bit hashes) are counted per task and
-   summed; contexts and continuations are aggregates of that one table.
+   are moved to their labels.  Their pairs (48-bit hashes of words) are counted per task,
+   sent packed by partitions of the second word, and added up there: a word's
+   continuations are complete in one partition, and only pairs seen twice leave it.
 2. Evidence is stored per word and, for pairs, as what the pair adds to its word.  The
    most frequent entries, at most ``HOT_WORDS`` and ``HOT_PAIRS``, go to every task.
    All others, however many, are met by an exact join: a bit table tells which words
@@ -67,6 +70,8 @@ HOT_WORDS, HOT_PAIRS = 1 << 18, 1 << 20
 TABLE_BITS = 27
 #: Word pairs, and bytes of text, that a task works on at once.
 CHUNK_PAIRS, CHUNK_BYTES = 1 << 21, 4 << 20
+#: Bytes of all texts for one partition of counts.
+PART_BYTES = 24_000_000
 #: Most rows that the logistic curve is fitted on.
 FIT_ROWS = 20_000
 #: A document counts as toxic from this score on.
@@ -83,7 +88,7 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 def bit_table(keys: DataFrame, key: str) -> np.ndarray:
     """A table of 2**TABLE_BITS bits with the places of all keys (long) set; its size is fixed."""
-    place = F.shiftrightunsigned(F.col(key), 64 - TABLE_BITS) + 1
+    place = F.shiftrightunsigned(F.col(key), 64 - TABLE_BITS) + 1  # the first bits of a 64-bit hash
     pages = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("page")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
     bits = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
@@ -99,65 +104,122 @@ def hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 # -- training -----------------------------------------------------------------
 
-def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, fit_rows: int) -> DataFrame:
-    """(key, text, toxic, fit) of the training rows, written once; ``key`` is the hash of the text."""
+def training_marks(labels: DataFrame, fit_rows: int) -> DataFrame:
+    """(id, place, toxic, fit) of the training rows' ids, written once."""
     marks = (labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id"))
              .agg(F.max("toxic").cast("int").alias("toxic")).filter(fold("id") != HELD_OUT))
-    marks = saved(marks.withColumn("place", F.xxhash64("id")), "toxic-marks")
     share = min(0.2, fit_rows / max(1, marks.count()))
+    fit = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)
+    return saved(marks.withColumns({"place": F.xxhash64("id"), "fit": fit}), "toxic-marks")
+
+
+def training_rows(docs: DataFrame, marks: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(text, toxic) of the marked rows; a bit table keeps all other texts out of the shuffle."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_table(marks, "place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(hit(bits.value, batch.column(1).to_numpy(zero_copy_only=False))))
+            some = batch.filter(pa.array(hit(bits.value, batch.column(1).to_numpy(zero_copy_only=False))))
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(2)], ["id", "text"])
 
     texts = docs.filter(F.col(f"`{doc_id}`").isNotNull()).select(
         F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{doc_id}`").cast("long")).alias("place"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    fit = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)
-    some = texts.mapInArrow(run, "id long, place long, text string").join(marks.select("id", "toxic"), "id")
-    return saved(some.select(F.xxhash64("text").alias("key"), "text", "toxic", fit.alias("fit")), "toxic-training")
+    return texts.mapInArrow(run, "id long, text string").hint("shuffle_hash").join(marks.select("id", "toxic"), "id").select("text", "toxic")
 
 
-def pair_hashes(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context, pair) of every word occurrence; a text's first word has context 0."""
+def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, first, context): 48-bit hashes, where each text's words begin, and the word before (0 for a first word)."""
+    words, first = hashed_words(data, offsets, LETTERS)
+    words = words >> np.uint64(16)
     context = np.concatenate([np.zeros(1, np.uint64), words[:-1]]) if len(words) else words
     context[first[:-1][first[:-1] < len(words)]] = 0
-    return context, mix(context * M1 + words)
+    return words, first, context
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """(pair, v, w, n0, n1) of the counted rows (text, toxic): occurrences by class, written once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pair_hash(context: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(context * M1 + words)
+
+
+def summed(v: np.ndarray, w: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> tuple:
+    """Different pairs in order of (w, v), and the sums of their counts."""
+    order = np.lexsort((v, w))
+    v, w, n0, n1 = v[order], w[order], n0[order], n1[order]
+    start = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
+    return v[start], w[start], np.add.reduceat(n0, start), np.add.reduceat(n1, start)
+
+
+def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
+    """Counts of the rows (text, toxic), written once.
+
+    Rows with ``v`` are pairs with two occurrences in a class: (v, w, n0, n1).  Rows
+    without are words: (w, n0, n1, c0, c1), occurrences and continuation counts.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
-        def summed() -> pa.RecordBatch:
-            pair, v, w, c = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(pair, kind="stable")
-            pair, v, w, c = pair[order], v[order], w[order], c[order]
-            start = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-            ones = np.add.reduceat(c, start)
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array(x[start].view(np.int64)) for x in (pair, v, w)),
-                 pa.array(np.diff(np.append(start, len(pair))) - ones), pa.array(ones)], ["pair", "v", "w", "n0", "n1"])
+        def packed() -> pa.RecordBatch:
+            v, w, n0, n1 = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            part = (w % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            v, w, n0, n1 = v[order], w[order], n0[order], n1[order]
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            out = []
+            for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if b > a:  # a word once, then its contexts: 6 bytes each
+                    new = np.flatnonzero(np.concatenate([[True], w[a + 1:b] != w[a:b - 1]]))
+                    out.append((p, w[a:b][new].tobytes(), np.diff(np.append(new, b - a)).astype("<u4").tobytes(),
+                                v[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(),
+                                n0[a:b].astype("<u4").tobytes(), n1[a:b].astype("<u4").tobytes()))
+            kinds = [pa.int32(), *[pa.binary()] * 5]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                              ["part", "words", "runs", "contexts", "n0", "n1"])
 
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b, data, offsets in pieces(utf8(batch.column(0)), CHUNK_BYTES):
-                words, first = hashed_words(data, offsets, LETTERS)
-                v, pair = pair_hashes(words, first)
+                words, first, context = text_words(data, offsets)
                 if len(words):
-                    held.append((pair, v, words, np.repeat(toxic[a:b], np.diff(first))))
+                    of = np.repeat(toxic[a:b], np.diff(first))
+                    held.append((context, words, 1 - of, of))
                     n += len(words)
                 if n >= CHUNK_PAIRS:
-                    yield summed()
+                    yield packed()
                     held, n = [], 0
         if n:
-            yield summed()
+            yield packed()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+
+        def total() -> pa.RecordBatch:
+            v, w, n0, n1 = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            words = [w[start], *(np.add.reduceat(x, start) for x in (n0, n1, (n0 > 0).astype(np.int64), (n1 > 0).astype(np.int64)))]
+            kept_ = ((n0 > 1) | (n1 > 1)) & (v > 0)
+            none = pa.nulls(int(kept_.sum()), pa.int64())
+            columns = [pa.chunked_array([x, y]).combine_chunks() for x, y in zip(
+                [pa.nulls(len(start), pa.int64()), *(pa.array(x.astype(np.int64)) for x in words)],
+                [*(pa.array(x[kept_].astype(np.int64)) for x in (v, w, n0, n1)), none, none], strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["v", "w", "n0", "n1", "c0", "c1"])
+
+        for batch in batches:
+            for p, words, runs, contexts, n0, n1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:
+                    if held:
+                        yield total()
+                    part, held = p, []
+                v = np.zeros((len(contexts) // 6, 8), np.uint8)
+                v[:, :6] = np.frombuffer(contexts, np.uint8).reshape(-1, 6)
+                held.append((v.reshape(-1).view(np.uint64), np.repeat(np.frombuffer(words, np.uint64), np.frombuffer(runs, "<u4")),
+                             np.frombuffer(n0, "<u4").astype(np.int64), np.frombuffer(n1, "<u4").astype(np.int64)))
+        if held:
+            yield total()
 
-    counted = rows.select("text", "toxic").mapInArrow(run, "pair long, v long, w long, n0 long, n1 long")
-    return saved(counted.groupBy("pair").agg(F.first("v").alias("v"), F.first("w").alias("w"), F.sum("n0").alias("n0"),
-                                             F.sum("n1").alias("n1")), "toxic-pairs")
+    sent = rows.select("text", "toxic").mapInArrow(count, "part int, words binary, runs binary, contexts binary, n0 binary, n1 binary")
+    added = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
+        add, "v long, w long, n0 long, n1 long, c0 long, c1 long")
+    return saved(added, "toxic-counts")
 
 
 def discounts(ones_and_twos: dict, name: str) -> list[float]:
@@ -177,28 +239,31 @@ def kept(n: str, d: float) -> Column:
     return F.greatest(F.col(n) - F.lit(d), F.lit(0.0))
 
 
-def evidence(pairs: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
+def evidence(counts: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
     """(word, n, e) and (pair, n, e): a word's evidence, and what a pair adds to that of its second word."""
-    d = discounts(pairs.agg(*_of_counts("n", "n")).first().asDict(), "n")
-    words = saved(pairs.groupBy("w").agg(F.sum((F.col("n0") > 0).cast("long")).alias("c0"), F.sum((F.col("n1") > 0).cast("long")).alias("c1"),
-                                         F.sum(F.col("n0") + F.col("n1")).alias("n"))
-                  .withColumn("both", F.least("c0", "c1")), "toxic-words")
+    words = counts.filter("v is null").select("w", "n0", "n1", "c0", "c1", F.least("c0", "c1").alias("both"))
     e = discounts(words.agg(*_of_counts("c", "c")).first().asDict(), "c")
     total = words.agg(F.sum("c0"), F.sum("c1"), F.sum(kept("c0", e[0])), F.sum(kept("c1", e[1])), F.sum(F.col("both") + 0.5)).first()
     lent = max(1 - total[2 + c] / total[c] for c in (0, 1))
     shared = F.lit(lent) * (F.col("both") + 0.5) / F.lit(total[4])
     p = [F.lit((1 - lent) / max(total[2 + c], 1e-12)) * kept(f"c{c}", e[c]) + shared for c in (0, 1)]
-    words = words.select("w", "n", p[0].alias("p0"), p[1].alias("p1"))
+    words = words.select("w", "n0", "n1", p[0].alias("p0"), p[1].alias("p1"))
     log = lambda ratio: F.log(F.lit(1 - alpha) + F.lit(alpha) * ratio)
-    contexts = pairs.groupBy("v").agg(*[F.sum(f"n{c}").alias(f"m{c}") for c in (0, 1)],
-                                      *[F.sum(kept(f"n{c}", d[c])).alias(f"k{c}") for c in (0, 1)])
-    # a context that one class has not seen leaves everything to the word
-    contexts = contexts.filter("k0 > 0 and k1 > 0").withColumn(
-        "lent", F.greatest(1 - F.col("k0") / F.col("m0"), 1 - F.col("k1") / F.col("m1")))
-    q = [(1 - F.col("lent")) * kept(f"n{c}", d[c]) / F.col(f"k{c}") + F.col("lent") * F.col(f"p{c}") for c in (0, 1)]
+    pairs = counts.filter("v is not null").select("v", "w", "n0", "n1")
+    contexts = (pairs.groupBy("v").agg(*[F.sum(kept(f"n{c}", 1.0)).alias(f"k{c}") for c in (0, 1)]).filter("k0 > 0 and k1 > 0")
+                     .join(words.select(F.col("w").alias("v"), F.col("n0").alias("m0"), F.col("n1").alias("m1")), "v")
+                     .select("v", "k0", "k1", F.greatest(1 - F.col("k0") / F.col("m0"), 1 - F.col("k1") / F.col("m1")).alias("lent")))
+    q = [(1 - F.col("lent")) * kept(f"n{c}", 1.0) / F.col(f"k{c}") + F.col("lent") * F.col(f"p{c}") for c in (0, 1)]
     met = pairs.join(contexts, "v").join(words.select("w", "p0", "p1"), "w")
-    of_pairs = met.select("pair", (F.col("n0") + F.col("n1")).alias("n"), (log(q[1] / q[0]) - log(F.col("p1") / F.col("p0"))).alias("e"))
-    return words.select(F.col("w").alias("word"), "n", log(F.col("p1") / F.col("p0")).alias("e")), of_pairs
+    hashed = met.select("v", "w", (F.col("n0") + F.col("n1")).alias("n"), (log(q[1] / q[0]) - log(F.col("p1") / F.col("p0"))).alias("e"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_hash(v, w).view(np.int64)), batch.column(2), batch.column(3)], ["pair", "n", "e"])
+
+    return (words.select(F.col("w").alias("word"), (F.col("n0") + F.col("n1")).alias("n"), log(F.col("p1") / F.col("p0")).alias("e")),
+            hashed.mapInArrow(run, "pair long, n long, e double"))
 
 
 # -- scoring ------------------------------------------------------------------
@@ -237,7 +302,7 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
     """(key, of_words, of_pairs) of every different text with words (``key``: its hash): the parts of its evidence."""
     spark = docs.sparkSession
     from_word, from_pair = hot_from(words, HOT_WORDS), hot_from(pairs, HOT_PAIRS)
-    rest = saved(words.filter(F.col("n") < from_word).select(F.col("word").alias("h"), "e", F.lit(False).alias("is_pair")).unionByName(
+    rest = saved(words.filter(F.col("n") < from_word).select(F.shiftleft("word", 16).alias("h"), "e", F.lit(False).alias("is_pair")).unionByName(
         pairs.filter(F.col("n") < from_pair).select(F.col("pair").alias("h"), "e", F.lit(True).alias("is_pair"))), "toxic-rest")
     given = spark.sparkContext.broadcast((*collected(words, "word", from_word), *collected(pairs, "pair", from_pair),
                                           None if rest.isEmpty() else bit_table(rest, "h")))
@@ -264,13 +329,12 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False)
             for a, b, data, offsets in pieces(utf8(batch.column(0)), CHUNK_BYTES):
-                found, first = hashed_words(data, offsets, LETTERS)
+                found, first, context = text_words(data, offsets)
                 n = np.diff(first)
                 if not len(found):
                     continue
-                _, pair = pair_hashes(found, first)
                 some, sums = np.flatnonzero(n), []
-                for h, k, e in ((found, word_keys, word_e), (pair, pair_keys, pair_e)):
+                for h, k, e in ((found << np.uint64(16), word_keys << np.uint64(16), word_e), (pair_hash(context, found), pair_keys, pair_e)):
                     different, back = np.unique(h, return_inverse=True)
                     sums.append(pa.array(np.add.reduceat(looked_up(k, e, different)[back], first[:-1][some])))
                     if bits is not None:
@@ -323,20 +387,24 @@ def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
            fit_rows: int = FIT_ROWS) -> DataFrame:
     """Append ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on)."""
     docs = docs.drop(score, predicted)
-    training = training_rows(docs, labels, doc_id, text, fit_rows)
-    counted = training.filter("not fit")
-    sizes = {r.toxic: r["count"] for r in counted.groupBy("toxic").count().collect()}
+    marks = training_marks(labels, fit_rows)
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    counted = training_rows(docs, marks.filter("not fit"), doc_id, text)
+    counts = pair_counts(counted, max(8, -(-size // PART_BYTES)))
+    spoken = counts.filter("v is null").agg(F.sum("n0"), F.sum("n1")).first()
+    ids = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("key"))
+    marked = ids.join(marks, "id")
+    sizes = {r.toxic: r["count"] for r in marked.filter("not fit").groupBy("toxic").count().collect()}
     rows = [sizes.get(c, 0) for c in (0, 1)]
-    pairs = pair_counts(counted)
-    spoken = pairs.agg(F.sum("n0"), F.sum("n1")).first()
     if not spoken[0] or not spoken[1]:
         constant = docs.withColumn(score, F.lit(rows[1] / max(1, sum(rows))))
         return constant.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
     alpha = min(0.5, rows[1] / spoken[1])
-    means = text_evidence(docs, text, *(saved(x, "toxic-tables") for x in evidence(pairs, alpha)))
+    tables = evidence(counts, alpha)
+    means = text_evidence(docs, text, *(saved(x, "toxic-tables") for x in tables))
     means = saved(means, "toxic-means")
     parts = ["of_words", "of_pairs"]
-    points = (training.filter("fit").select("key", "toxic").join(means, "key", "left")
+    points = (marked.filter("fit").select("key", "toxic").join(means, "key", "left")
               .select(*[spread(F.coalesce(c, F.lit(0.0)), alpha).alias(c) for c in parts], "toxic").limit(2 * fit_rows).toPandas())
     y = points["toxic"].to_numpy(float)
     slopes = fit_curve(points[parts].to_numpy(float), y) if 0 < y.sum() < len(y) else np.array([1.0, 0.0, -2.0])
