@@ -230,7 +230,7 @@ def plain_phrases(rows, longest, least, absorbed, top):
     return ranked
 
 
-@pytest.mark.parametrize("least,chunk,counters", [(30, 1 << 22, 1 << 19), (3, 500, 64), (2, 50, 8)])
+@pytest.mark.parametrize("least,chunk,counters", [(30, 1 << 22, 1 << 19), (3, 500, 1 << 16)])
 def test_phrases_equal_the_plain_version(spark, rows, monkeypatch, least, chunk, counters):
     """Also with tiny chunks and summaries, so that summaries are merged and cut."""
     monkeypatch.setattr(phrases, "CHUNK", chunk)
@@ -270,7 +270,10 @@ def plain_evidence(training, texts, alpha):
         w = words(text)
         n[toxic].update(zip([None, *w], w, strict=False))
     discount = lambda counts: (lambda a, b: a / (a + 2 * b) if a else 0.5)(*(sum(v == k for v in counts.values()) for k in (1, 2)))
-    d = [discount(c) for c in n]
+    occurs = [Counter(), Counter()]
+    for c in (0, 1):
+        for (_, w), x in n[c].items():
+            occurs[c][w] += x
     follow = [Counter(w for _, w in c) for c in n]
     e = [discount(c) for c in follow]
     vocabulary = set(follow[0]) | set(follow[1])
@@ -279,11 +282,10 @@ def plain_evidence(training, texts, alpha):
     mass = [sum(max(v - e[c], 0) for v in follow[c].values()) for c in (0, 1)]
     lent = max(1 - mass[c] / sum(follow[c].values()) for c in (0, 1))
     p = [{w: (1 - lent) * max(follow[c][w] - e[c], 0) / mass[c] + lent * (both[w] + 0.5) / every for w in vocabulary} for c in (0, 1)]
-    m, k = ([Counter(), Counter()] for _ in range(2))
+    k = [Counter(), Counter()]
     for c in (0, 1):
         for (v, _), x in n[c].items():
-            m[c][v] += x
-            k[c][v] += max(x - d[c], 0)
+            k[c][v] += x - 1
     log = lambda r: math.log(1 - alpha + alpha * r)
     out = []
     for text in texts:
@@ -294,9 +296,9 @@ def plain_evidence(training, texts, alpha):
                 continue
             base = log(p[1][x] / p[0][x])
             of_words += base
-            if (n[0][v, x] or n[1][v, x]) and k[0][v] > 0 and k[1][v] > 0:
-                back = max(1 - k[c][v] / m[c][v] for c in (0, 1))
-                q = [(1 - back) * max(n[c][v, x] - d[c], 0) / k[c][v] + back * p[c][x] for c in (0, 1)]
+            if v is not None and (n[0][v, x] > 1 or n[1][v, x] > 1) and k[0][v] > 0 and k[1][v] > 0:
+                back = max(1 - k[c][v] / occurs[c][v] for c in (0, 1))
+                q = [(1 - back) * max(n[c][v, x] - 1, 0) / k[c][v] + back * p[c][x] for c in (0, 1)]
                 of_pairs += log(q[1] / q[0]) - base
         out.append((of_words / len(w), of_pairs / len(w)) if w else None)
     return out
@@ -313,8 +315,8 @@ def test_evidence_equals_the_plain_model(spark, monkeypatch, hot):
     text = lambda bad: " ".join(rng.choice(vocabulary + (["vile", "foe"] * 6 if bad else [])) + rng.choice(["", ".", "\n"]) for _ in range(40))
     training = [(text(i % 5 == 0), int(i % 5 == 0)) for i in range(60)]
     texts = [training[0][0], training[1][0], text(True), text(False), "vile foe vile foe", "unknown words only", "", None, "the VILE foe " * 3000]
-    pairs = toxicity.pair_counts(spark.createDataFrame(training, "text string, toxic int").repartition(3))
-    words, of_pairs = toxicity.evidence(pairs, 0.01)
+    counts = toxicity.pair_counts(spark.createDataFrame(training, "text string, toxic int").repartition(3), 8)
+    words, of_pairs = toxicity.evidence(counts, 0.01)
     df = spark.createDataFrame([(t,) for t in [*texts, texts[4]]], "text string").repartition(4)
     got = {r.key: (r.of_words, r.of_pairs) for r in toxicity.text_evidence(df, "text", words, of_pairs).collect()}
     keys = [r.k for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(
