@@ -125,7 +125,8 @@ def training_rows(docs: DataFrame, marks: DataFrame, doc_id: str, text: str) ->
     texts = docs.filter(F.col(f"`{doc_id}`").isNotNull()).select(
         F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{doc_id}`").cast("long")).alias("place"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "id long, text string").hint("shuffle_hash").join(marks.select("id", "toxic"), "id").select("text", "toxic")
+    # the texts are streamed past the marks of their partition
+    return texts.mapInArrow(run, "id long, text string").join(marks.select("id", "toxic").hint("shuffle_hash"), "id").select("text", "toxic")
 
 
 def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
