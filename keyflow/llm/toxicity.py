@@ -65,7 +65,7 @@ from keyflow.llm.common import saved, table, utf8
 from keyflow.llm.wordhash import LETTERS, M1, hashed_words, mix, pieces
 
 #: Most words and pairs whose evidence goes to every task; the others are joined.
-HOT_WORDS, HOT_PAIRS = 1 << 17, 1 << 19
+HOT_WORDS, HOT_PAIRS = 1 << 17, 1 << 20
 #: Bits of the tables of training ids and of joined entries (4 MB each).
 TABLE_BITS = 25
 #: Word pairs, and bytes of text, that a task works on at once.
