@@ -65,9 +65,9 @@ from keyflow.llm.common import saved, table, utf8
 from keyflow.llm.wordhash import LETTERS, M1, hashed_words, mix, pieces
 
 #: Most words and pairs whose evidence goes to every task; the others are joined.
-HOT_WORDS, HOT_PAIRS = 1 << 17, 1 << 20
-#: Bits of the tables of training ids and of joined entries (4 MB each).
-TABLE_BITS = 25
+HOT_WORDS, HOT_PAIRS = 1 << 18, 1 << 20
+#: Bits of the tables of training ids (2 MB) and of joined entries (16 MB).
+MARK_BITS, REST_BITS = 24, 27
 #: Word pairs, and bytes of text, that a task works on at once.
 CHUNK_PAIRS, CHUNK_BYTES = 1 << 21, 4 << 20
 #: Bytes of all texts for one partition of counts.
@@ -86,19 +86,19 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 # -- tables of bits -----------------------------------------------------------
 
-def bit_table(keys: DataFrame, key: str) -> np.ndarray:
-    """A table of 2**TABLE_BITS bits with the places of all keys (long) set; its size is fixed."""
-    place = F.shiftrightunsigned(F.col(key), 64 - TABLE_BITS) + 1  # the first bits of a 64-bit hash
+def bit_table(keys: DataFrame, key: str, width: int) -> np.ndarray:
+    """A table of 2**width bits with the places of all keys (long) set; its size is fixed."""
+    place = F.shiftrightunsigned(F.col(key), 64 - width) + 1  # the first bits of a 64-bit hash
     pages = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("page")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
-    bits = np.zeros(1 << (TABLE_BITS - 3), np.uint8)
+    bits = np.zeros(1 << (width - 3), np.uint8)
     for row in pages.toLocalIterator():  # pages of 4096 bytes, numbered from 1
         bits[(row.page - 1) * 4096:row.page * 4096] = np.frombuffer(row.bits, np.uint8)
     return bits
 
 
 def hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys.view(np.uint64) >> np.uint64(64 - TABLE_BITS)
+    place = keys.view(np.uint64) >> np.uint64(62 - len(bits).bit_length())
     return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
 
@@ -115,7 +115,7 @@ def training_marks(labels: DataFrame, fit_rows: int) -> DataFrame:
 
 def training_rows(docs: DataFrame, marks: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(text, toxic) of the marked rows; a bit table keeps all other texts out of the shuffle."""
-    bits = docs.sparkSession.sparkContext.broadcast(bit_table(marks, "place"))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_table(marks, "place", MARK_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,7 +306,7 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
     rest = saved(words.filter(F.col("n") < from_word).select(F.shiftleft("word", 16).alias("h"), "e", F.lit(False).alias("is_pair")).unionByName(
         pairs.filter(F.col("n") < from_pair).select(F.col("pair").alias("h"), "e", F.lit(True).alias("is_pair"))), "toxic-rest")
     given = spark.sparkContext.broadcast((*collected(words, "word", from_word), *collected(pairs, "pair", from_pair),
-                                          None if rest.isEmpty() else bit_table(rest, "h")))
+                                          None if rest.isEmpty() else bit_table(rest, "h", REST_BITS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_keys, word_e, pair_keys, pair_e, bits = given.value
