@@ -10,12 +10,12 @@ different sets agree with a probability of about 2**-64, as do two shingles).
    once per task.  Signatures travel packed, in buckets by hash.
 2. A signature met twice gives a group.  Neighbours within a group are compared
    exactly on their sets; similar ones are linked, links give components.
-3. Groups whose members lie in several components are compared further: cells of
-   member blocks name the pairs of different components that sizes and parity
-   sketches (exact bounds) allow, at most so many per member and cell.  They are
-   compared exactly; rounds go on, with a higher number, until no member had
-   further pairs.  So no link between components is lost, and members already
-   connected are never paired.
+3. Groups whose members lie in several components are compared further, groups
+   with the same members once: cells of member blocks name the pairs of different
+   components that sizes and parity sketches (exact bounds) allow, at most so many
+   per member and cell.  They are compared exactly; rounds go on, with a higher
+   number, in the groups where a member had further pairs.  So no link between
+   components is lost, and members already connected are never paired.
 
 Sizes and sketches also sort out neighbours before sets are fetched.
 
@@ -50,6 +50,10 @@ NUM, DEN, WIDTH = 75, 100, 5
 BUCKET_BYTES, FLUSH = 8_000_000, 1_000_000
 #: Members of one block in step 3, and pairs that a member asks for per block and round.
 CELL_ROWS, ASKS = 512, 64
+#: Pairs that a task of step 3 remembers, so as not to name them again.
+PAIRS_HELD = 500_000
+#: Copies of a component's name that its classes are dealt to.
+SALTS = 16
 
 _PACKED = ("bucket long, kind int, sigs binary, keys binary, counts binary, ids array<long>, sizes array<long>, "
            "sketches array<binary>")
@@ -274,18 +278,26 @@ def _compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _open_groups(groups: DataFrame) -> DataFrame:
-    """(sig, key) of groups of three and more classes; in smaller ones all pairs are neighbours."""
-    whole = groups.filter((F.col("kind") == WHOLE) & (F.size("keys") > 2)).dropDuplicates(["keys"])
+    """(sig, key) of groups of three and more classes; in smaller ones all pairs are neighbours.
+
+    Groups with the same members count once, whatever signatures they come from:
+    two hashes over the members and their number tell them apart.
+    """
+    whole = groups.filter((F.col("kind") == WHOLE) & (F.size("keys") > 2)).select("sig", F.explode("keys").alias("key"))
     parts = groups.filter(F.col("kind") != WHOLE)  # what single tasks met, and what they sent of it
-    rows = parts.select("sig", F.explode("keys").alias("key")).distinct()
-    several = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").select("sig")
-    return saved(whole.select("sig", F.explode("keys").alias("key")).unionAll(rows.join(several, "sig")), "open")
+    rows = whole.unionAll(parts.select("sig", F.explode("keys").alias("key")).distinct())
+    named = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), *[
+        F.expr(f"bit_xor(xxhash64(key, {i}))").alias(f"x{i}") for i in (1, 2)])
+    once = named.filter("n > 2").groupBy("n", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
+    return saved(rows.join(once, "sig", "left_semi"), "open")
 
 
 def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int, num: int, den: int) -> DataFrame:
-    """(a, b, more): pairs of different components within a group that sizes and sketches allow.
+    """(a, b): pairs of different components within a group that sizes and sketches allow, written once.
 
-    A member names ``asks`` of them per cell at most; ``more`` tells that it had further ones.
+    A member names ``asks`` of them per cell at most; rows (sig) without a pair
+    tell the groups in which a member had further ones.  All pairs of any other
+    group have been named, so only those groups need to be asked again.
     """
     rows = (groups.join(labels.withColumnRenamed("node", "key"), "key", "left")
                   .withColumn("component", F.coalesce("component", "key")))
@@ -302,9 +314,11 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
     full = spread.select("sig", "cell", "key", "component", "n", "sketch", (F.col("home") == F.col("cell")).alias("here"),
                          "asks")
 
-    def pairs_of(cell: list[tuple]) -> Iterator[tuple[int, int, bool]]:
+    def pairs_of(cell: list[tuple], named: set[tuple[int, int]]) -> bool:
+        """Adds the cell's pairs to ``named``; tells whether a member had more than ``asks``."""
         here = sorted((r for r in cell if r[4]), key=lambda r: r[2])
         sizes = [r[2] for r in here]
+        more = False
         for key, component, n, sketch, _, asking in cell:
             if not asking:
                 continue
@@ -313,21 +327,31 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
                                                                       bisect_right(sizes, n * den // num)]:
                 if component != other_component and (
                         sketch.difference(other_sketch) <= (den - num) * (n + m) // (den + num)):
-                    yield min(key, other), max(key, other), found == asks
                     if found == asks:
+                        more = True
                         break
+                    named.add((min(key, other), max(key, other)))
                     found += 1
+        return more
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, cell = None, []
         known: dict[int, Sketch] = {}  # a class lies in many groups
+        named: set[tuple[int, int]] = set()  # and a pair too: a task names it once, as long as the set holds it
+        sent: set[tuple[int, int]] = set()
+
+        def rows_of(pairs, sigs) -> pa.RecordBatch:
+            a, b = ([p[i] for p in pairs] + [None] * len(sigs) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, [None] * len(pairs) + sigs)], ["a", "b", "sig"])
+
         for batch in batches:
-            out: set[tuple[int, int, bool]] = set()
+            again: list[int] = []
             sketches = batch.column(5)
             for row, (sig, where, key, component, n, here, asking) in enumerate(
                     zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7)), strict=True)):
                 if (sig, where) != at:
-                    out.update(pairs_of(cell))
+                    if at and pairs_of(cell, named):
+                        again.append(at[0])
                     at, cell = (sig, where), []
                 sketch = known.get(key)
                 if sketch is None:
@@ -335,14 +359,19 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
                         known.clear()
                     sketch = known[key] = Sketch(sketches[row].as_py())
                 cell.append((key, component, n, sketch, here, asking))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["a", "b", "more"])
-        if last := list(pairs_of(cell)):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*last, strict=True)], ["a", "b", "more"])
+            new = list(named - sent)
+            if new or again:
+                yield rows_of(new, again)
+            sent |= named
+            named = set()
+            if len(sent) > PAIRS_HELD:
+                sent = set()
+        again = [at[0]] if at and pairs_of(cell, named) else []
+        if named or again:
+            yield rows_of(list(named - sent), again)
 
-    return (full.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "key")
-                .mapInArrow(run, "a long, b long, more boolean")
-                .groupBy("a", "b").agg(F.max("more").alias("more")))
+    return saved(full.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "key")
+                     .mapInArrow(run, "a long, b long, sig long"), "asked")
 
 
 def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -386,15 +415,19 @@ def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
                 labels = components(labels.toDF("a", "b").unionAll(found))
         if met is None:
             break  # every allowed pair of different components was named and compared
-        asked = saved(_further(larger, labels, shapes, limit, num, den), "asked")
-        new = saved(asked.select("a", "b").join(met, ["a", "b"], "left_anti"), "pairs")
-        met, limit = (None if asked.filter("more").isEmpty() else met.unionAll(new)), limit * 4
+        asked = _further(larger, labels, shapes, limit, num, den)
+        new = saved(asked.filter("a is not null").select("a", "b").distinct().join(met, ["a", "b"], "left_anti"), "pairs")
+        again = asked.filter("sig is not null").select("sig").distinct()
+        met = None if again.isEmpty() else met.unionAll(new)
+        larger, limit = larger.join(again, "sig", "left_semi"), limit * 4
 
     classes = members.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key"))
-    firsts = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = named.join(firsts, "component").select("key", "component_id")
+    named = saved(classes.join(labels.withColumnRenamed("node", "key"), "key", "left"), "named")
+    linked = named.filter("component is not null").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+    firsts = linked.groupBy("component").agg(F.min("least").alias("component_id")).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    classes = linked.join(firsts, ["component", "salt"]).select("key", "component_id").unionAll(
+        named.filter("component is null").select("key", F.col("least").alias("component_id")))
     found = members.filter("n_shingles > 0").join(classes, "key").select("doc_id", "n_shingles", "component_id")
     empty = members.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return found.unionAll(empty)
