@@ -303,18 +303,20 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
                   .withColumn("component", F.coalesce("component", "key")))
     # a group is open if its members lie in several components; whatever lies outside the largest one asks the others,
     # so each pair of different components has an asking side and the bulk of a group that is linked already is quiet
-    counted = rows.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"))
-    state = counted.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"))
-    open_ = state.filter("main.n < members").select(
-        "sig", F.col("main.component").alias("main"), F.ceil(F.col("members") / CELL_ROWS).cast("int").alias("cells"))
+    counted = rows.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("key")).alias("lead"))
+    state = counted.groupBy("sig").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("members"), F.min("lead").alias("lead"))
+    # groups that overlap mostly have the same least member (by hash) and so meet in a task, which names a pair once;
+    # cells are powers of two, for their classes to be dealt alike in groups of about one size
+    cells = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("members") / CELL_ROWS)))).cast("int")
+    open_ = state.filter("main.n < members").select("sig", "lead", F.col("main.component").alias("main"), cells.alias("cells"))
     placed = rows.join(open_, "sig").join(classes, "key").withColumns({
         "home": F.pmod(F.xxhash64("key"), "cells").cast("int"), "asks": F.col("component") != F.col("main")})
     spread = placed.withColumn("cell", F.explode(
         F.when(F.col("asks"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array("home"))))
     full = spread.select("sig", "cell", "key", "component", "n", "sketch", (F.col("home") == F.col("cell")).alias("here"),
-                         "asks")
+                         "asks", "lead")
 
-    def pairs_of(cell: list[tuple], named: set[tuple[int, int]]) -> bool:
+    def pairs_of(cell: list[tuple], named: set[tuple[int, int]], sent: set[tuple[int, int]]) -> bool:
         """Adds the cell's pairs to ``named``; tells whether a member had more than ``asks``."""
         here = sorted((r for r in cell if r[4]), key=lambda r: r[2])
         sizes = [r[2] for r in here]
@@ -325,12 +327,16 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
             found = 0
             for other, other_component, m, other_sketch, _, _ in here[bisect_left(sizes, -(-num * n // den)):
                                                                       bisect_right(sizes, n * den // num)]:
-                if component != other_component and (
-                        sketch.difference(other_sketch) <= (den - num) * (n + m) // (den + num)):
+                if component == other_component:
+                    continue
+                pair = (key, other) if key < other else (other, key)
+                if pair in named or pair in sent:
+                    continue
+                if sketch.difference(other_sketch) <= (den - num) * (n + m) // (den + num):
                     if found == asks:
                         more = True
                         break
-                    named.add((min(key, other), max(key, other)))
+                    named.add(pair)
                     found += 1
         return more
 
@@ -350,7 +356,7 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
             for row, (sig, where, key, component, n, here, asking) in enumerate(
                     zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 6, 7)), strict=True)):
                 if (sig, where) != at:
-                    if at and pairs_of(cell, named):
+                    if at and pairs_of(cell, named, sent):
                         again.append(at[0])
                     at, cell = (sig, where), []
                 sketch = known.get(key)
@@ -359,18 +365,17 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
                         known.clear()
                     sketch = known[key] = Sketch(sketches[row].as_py())
                 cell.append((key, component, n, sketch, here, asking))
-            new = list(named - sent)
-            if new or again:
-                yield rows_of(new, again)
+            if named or again:
+                yield rows_of(list(named), again)
             sent |= named
             named = set()
             if len(sent) > PAIRS_HELD:
                 sent = set()
-        again = [at[0]] if at and pairs_of(cell, named) else []
+        again = [at[0]] if at and pairs_of(cell, named, sent) else []
         if named or again:
-            yield rows_of(list(named - sent), again)
+            yield rows_of(list(named), again)
 
-    return saved(full.repartition("sig", "cell").sortWithinPartitions("sig", "cell", "key")
+    return saved(full.repartition("lead", "cell").sortWithinPartitions("lead", "cell", "sig", "key").drop("lead")
                      .mapInArrow(run, "a long, b long, sig long"), "asked")
 
 
