@@ -6,10 +6,12 @@ the weight has it set.  Votes of 4096 words at a time are counted in 16-bit
 lanes packed four to a long, so a word costs 16 additions inside the partial
 aggregate and only one row per 4096 words is shuffled.
 
-:func:`near_pairs` finds all fingerprints within a Hamming radius with permuted
+:func:`near_links` finds all fingerprints within a Hamming radius with permuted
 block tables: the 64 bits are cut into ``radius + 2`` blocks; two fingerprints
 within the radius agree on at least two whole blocks, so a table for each pair
-of blocks, keyed by their bits, holds them together.
+of blocks, keyed by their bits, holds them together.  Large buckets are split by
+chunks of the bits outside their key.  The query reports, for every document,
+the number of other fingerprints within 3 bits and the least id within them.
 
 Defined cases: a null text is an empty text; a text without words has
 fingerprint 0; equal texts have equal fingerprints, whatever their rows; rows
@@ -34,6 +36,8 @@ BITS, LANES, LANE_BITS = 64, 16, 16
 PART_WORDS, MOST_WEIGHT = 4096, 7
 #: Documents of one stretch of the id order.
 STRETCH_ROWS = 2000
+#: Fingerprints of one bucket of a block table that are compared with each other; larger buckets are split.
+BUCKET_ROWS = 64
 
 
 def _words(text: Column) -> Column:
@@ -80,23 +84,109 @@ def as_hex(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def near_pairs(df: DataFrame, fingerprint: str = "fingerprint", radius: int = 3) -> DataFrame:
+def _chunks(width: int, parts: int) -> list[tuple[int, int]]:
+    """(low bit, bits) of ``parts`` chunks of about one length, from the lowest on."""
+    edges = [width * i // parts for i in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def _bits(value: Column, low: int, n: int) -> Column:
+    return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << n) - 1))
+
+
+def _without(value: Column, width: int, taken: list[tuple[int, int]]) -> Column:
+    """The bits of ``value`` outside the chunks ``taken``, moved together."""
+    out, at, low = F.lit(0).cast("long"), 0, 0
+    for start, n in [*sorted(taken), (width, 0)]:
+        if start > low:
+            out = out.bitwiseOR(F.shiftleft(_bits(value, low, start - low), at))
+            at += start - low
+        low = start + n
+    return out
+
+
+def _tables(value: Column, key: list[Column], width: int, parts: int, together: int) -> tuple[Column, int]:
+    """A row for every choice of ``together`` of the ``parts`` chunks: (t, key, rest), and the bits of the longest rest."""
+    chunks, structs, longest = _chunks(width, parts), [], 0
+    for t, some in enumerate(combinations(range(parts), together)):
+        taken = [chunks[i] for i in some]
+        longest = max(longest, width - sum(n for _, n in taken))
+        structs.append(F.struct(F.lit(t).alias("t"), F.xxhash64(*key, F.lit(t), *[_bits(value, *c) for c in taken]).alias("key"),
+                                _without(value, width, taken).alias("rest")))
+    return F.explode(F.array(*structs)), longest
+
+
+def _first_choice(x: Column, t: Column, width: int, parts: int, together: int) -> Column:
+    """Whether table ``t`` is the first one in which two values with the difference ``x`` meet."""
+    chunks, equal = _chunks(width, parts), []
+    for some in combinations(range(parts), together):
+        mask = 0
+        for i in some:
+            mask |= ((1 << chunks[i][1]) - 1) << chunks[i][0]
+        equal.append(x.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)) == 0)
+    first = F.lit(-1)
+    for number in reversed(range(len(equal))):
+        first = F.when(equal[number], number).otherwise(first)
+    return first == t
+
+
+def near_links(df: DataFrame, fingerprint: str = "fingerprint", least: str = "least", radius: int = 3,
+               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(f, other, other_least): every two different fingerprints (long) within ``radius`` bits, in both directions.
+
+    ``df`` has one row for each fingerprint, ``least`` goes with it.  The rows of a
+    block table are met in their buckets only up to ``bucket_rows``; a larger bucket
+    is split: the bits outside its key are cut into ``radius + 1`` chunks, of which
+    any two fingerprints within the radius share one, and this is repeated until no
+    bucket is larger, or all bits are used.  Two fingerprints meet once: in the
+    first table, and the first chunk of each split, that they share.
+    """
+    rows = df.select(F.col(fingerprint).alias("f"), F.col(least).alias("least")).filter("f is not null")
+    parts, together, width, out = radius + 2, 2, BITS, None
+    now = rows.withColumns({"v0": F.col("f"), "key": F.lit(0).cast("long")})
+    cuts: list[tuple[int, int, int]] = []  # how each level cut the bits v<level>, of which it took choice t<level>
+    while True:
+        level = len(cuts)
+        cuts.append((width, parts, together))
+        path = [f"{c}{i}" for i in range(level) for c in "vt"]
+        tables, left = _tables(F.col(f"v{level}"), [F.col("key")], width, parts, together)
+        dealt = now.select("f", "least", *path, f"v{level}", tables.alias("k")).select(
+            "f", "least", *path, f"v{level}", F.col("k.t").alias(f"t{level}"), "k.key", "k.rest")
+        counts = saved(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "block-counts")  # most are alone
+        last = left <= parts
+        small = dealt.join(counts.filter(F.lit(last) | (F.col("n") <= bucket_rows)).select("key"), "key", "left_semi")
+        a = small.select("key", "f", *path, f"v{level}", f"t{level}")
+        b = small.select("key", F.col("f").alias("other"), F.col("least").alias("other_least"),
+                         *[F.col(f"v{i}").alias(f"w{i}") for i in range(level + 1)])
+        met = a.join(b, "key").filter((F.col("f") != F.col("other")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("other"))) <= radius))
+        for i, cut in enumerate(cuts):
+            met = met.filter(_first_choice(F.col(f"v{i}").bitwiseXOR(F.col(f"w{i}")), F.col(f"t{i}"), *cut))
+        met = met.select("f", "other", "other_least")
+        out = met if out is None else out.unionAll(met)
+        large = counts.filter(F.col("n") > bucket_rows)
+        if last or large.isEmpty():
+            return out
+        now = saved(dealt.join(large.select("key"), "key", "left_semi").withColumnRenamed("rest", f"v{level + 1}"), "blocks")
+        parts, together, width = radius + 1, 1, left
+
+
+def near_pairs(df: DataFrame, fingerprint: str = "fingerprint", radius: int = 3, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(a, b, distance): all pairs a < b of different fingerprints (long) within ``radius`` bits.
 
     Equal fingerprints count once; their rows are found by joining back.
     """
-    distinct = df.select(F.col(fingerprint).alias("f")).filter("f is not null").distinct()
-    n = radius + 2
-    edges = [BITS * i // n for i in range(n + 1)]
-    masks = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(n)]
-    signed = lambda m: m - (1 << 64) if m >= 1 << 63 else m
-    tables = [F.struct(F.lit(t).alias("t"), F.col("f").bitwiseAND(F.lit(signed(masks[i] | masks[j]))).alias("key"))
-              for t, (i, j) in enumerate(combinations(range(n), 2))]
-    keyed = distinct.select("f", F.explode(F.array(*tables)).alias("k")).select("f", "k.t", "k.key")
-    left, right = keyed.withColumnRenamed("f", "a"), keyed.withColumnRenamed("f", "b")
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return (left.join(right, ["t", "key"]).filter((F.col("a") < F.col("b")) & (distance <= radius))
-                .select("a", "b", distance.alias("distance")).distinct())
+    distinct = df.select(F.col(fingerprint).alias("f")).distinct().withColumn("least", F.lit(0))
+    return near_links(distinct, "f", "least", radius, bucket_rows).filter("f < other").select(
+        F.col("f").alias("a"), F.col("other").alias("b"), F.bit_count(F.col("f").bitwiseXOR(F.col("other"))).alias("distance"))
+
+
+def neighbours(df: DataFrame, fingerprint: str, doc_id: str, radius: int = 3) -> DataFrame:
+    """(f, n_near, near_least) of every fingerprint: how many others lie within ``radius`` bits, and the least id of a
+    document within it, its own ones included.  Links are added up as they are met, never kept."""
+    own = saved(df.groupBy(F.col(fingerprint).alias("f")).agg(F.min(doc_id).alias("least")), "fingerprints")
+    near = near_links(own, "f", "least", radius).groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("other_least").alias("m"))
+    return own.join(near, "f", "left").select("f", F.coalesce("n", F.lit(0)).cast("long").alias("n_near"),
+                                              F.least("least", "m").alias("near_least"))
 
 
 def with_next(df: DataFrame, doc_id: str, text: str, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
@@ -144,7 +234,7 @@ def with_next(df: DataFrame, doc_id: str, text: str, stretch_rows: int = STRETCH
 
 
 def op8_simhash(spark, sf_dir):
-    """Fingerprints of every document and of its edited text, and their likeness."""
+    """Fingerprints of every document and of its edited text, their likeness, and the fingerprints near its own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
@@ -162,7 +252,8 @@ def op8_simhash(spark, sf_dir):
                                            F.max(F.when(F.col("which") == 1, F.col("f"))).alias("e")), "prints")
     nexts = wide.select(F.col("row").alias("next_row"), F.col("f").alias("g"))
     sha = F.concat(*[as_hex(f"sha{i}") for i in range(4)])
-    return wide.join(nexts, "next_row").select(
+    near = saved(neighbours(wide, "f", "doc_id"), "near")
+    return wide.join(nexts, "next_row").join(near, "f").select(
         "doc_id", "n_chars", sha.alias("edited_sha256"), as_hex("f").alias("fingerprint"),
         as_hex("e").alias("edited_fingerprint"), likeness("f", "e").alias("near_edited"),
-        likeness("f", "g").alias("near_next"))
+        likeness("f", "g").alias("near_next"), "n_near", "near_least")

@@ -329,6 +329,26 @@ def test_fingerprints(spark, rows):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_large_buckets_are_split(spark):
+    rng = random.Random(12)
+    base, values = rng.getrandbits(63), set()
+    for _ in range(150):  # many fingerprints around one: every bucket is larger than 4
+        v = base
+        for _ in range(rng.randint(0, 4)):
+            v ^= 1 << rng.randrange(63)
+        values.add(v)
+    data = [(v, i) for i, v in enumerate(sorted(values))]
+    df = spark.createDataFrame([*data, data[0]], "f long, doc_id long")
+    near = {v: [w for w in values if w != v and (v ^ w).bit_count() <= 3] for v in values}
+    for bucket_rows in (4, 1000):
+        got = simhash.near_links(df.distinct().withColumnRenamed("doc_id", "least"), "f", "least", bucket_rows=bucket_rows).collect()
+        assert Counter((r["f"], r["other"]) for r in got) == Counter((v, w) for v in near for w in near[v])
+    ids = dict(data)
+    got = simhash.neighbours(df, "f", "doc_id").collect()
+    assert {tuple(r) for r in got} == {(v, len(near[v]), min([ids[v], *(ids[w] for w in near[v])])) for v in near}
+    assert simhash.neighbours(df.limit(0), "f", "doc_id").count() == 0
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     words = [f"{a}{b}" for a in ("bel", "tor", "min", "sal") for b in range(60)]
