@@ -33,8 +33,9 @@ from keyflow.streaming.ending import end_input, until_end
 from keyflow.streaming.fanout import read_output, start_page_analysis
 from keyflow.streaming.resume import (additive_batches, latest_rows, pinned, resumable_stream, sum_batches,
                                       upsert_batches)
+from keyflow.streaming.running import carried_totals, read_running, running_batches
 from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCounter, ItemHistory, PairDeltas,
-                                        RetractChangelog, RunningCounter, RunningMean, carried_counts)
+                                        RetractChangelog, RunningMean, carried_counts)
 from keyflow.streaming.timed import TIME, EventTimePairMatcher, TimedWindows, fired_windows, read_fired, timed, windowed
 
 N_SLICES = 3
@@ -77,16 +78,11 @@ def _counter_stream(spark: SparkSession, sf_dir: str, name: str, key: str, cols:
         stream = stream_table(spark, landing, schema=events.schema)
         if key_expr is not None:
             stream = stream.withColumn(key, key_expr)
-        out_cols = [c for c in stream.columns if c != "ts"]
-        out_schema = T.StructType([stream.schema[c] for c in out_cols]
-                                  + [T.StructField("cnt", T.LongType())])
-        counted = stream.groupBy(key).transformWithState(
-            statefulProcessor=RunningCounter(["ts", "event_id"], out_cols),
-            outputStructType=out_schema, outputMode="Append", timeMode="None")
-        return resumable_stream(counted, sink, ckpt)
+        finish(running_batches(stream, [key], ["ts", "event_id"], sink, ckpt))
+        return carried_totals(spark, [stream.schema[key]], sink, f"{ckpt}-carried")
 
     run_in_slices(spark, events, "ts", N_SLICES, landing, start)
-    return spark.read.parquet(sink)
+    return read_running(spark, [key], sink).drop("ts")
 
 
 def q_stream_running_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,7 +321,7 @@ def q_stream_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sum_batches(spark, sink, ["item_a", "item_b"], "cnt")
 
 
-_PAIR_COLS = ["event_id", "ts", "user_id", "event_type", "item_a", "item_b", "inc"]
+_PAIR = ["item_a", "item_b"]
 
 
 def q_stream_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,15 +336,11 @@ def q_stream_rolling_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame
             outputStructType="event_id long, ts timestamp, user_id long, event_type string, "
                              "item_a string, item_b string, inc long",
             outputMode="Append", timeMode="None")
-        totals = incs.groupBy("item_a", "item_b").transformWithState(
-            statefulProcessor=RunningCounter(["ts", "event_id"], _PAIR_COLS, weight="inc"),
-            outputStructType="event_id long, ts timestamp, user_id long, event_type string, "
-                             "item_a string, item_b string, inc long, cnt long",
-            outputMode="Append", timeMode="None")
-        return resumable_stream(totals, sink, ckpt)
+        finish(running_batches(incs, _PAIR, ["ts", "event_id"], sink, ckpt, weight="inc"))
+        return carried_totals(spark, [incs.schema[c] for c in _PAIR], sink, f"{ckpt}-carried")
 
     run_in_slices(spark, events, "ts", N_SLICES, landing, start)
-    return _ntz(spark.read.parquet(sink), "ts")
+    return _ntz(read_running(spark, _PAIR, sink), "ts")
 
 
 def q_resumed_events(spark: SparkSession, sf_dir: str, n_slices: int = 2) -> DataFrame:
