@@ -34,12 +34,12 @@ from keyflow.streaming.fanout import read_output, start_page_analysis
 from keyflow.streaming.resume import (additive_batches, latest_rows, pinned, resumable_stream, sum_batches,
                                       upsert_batches)
 from keyflow.streaming.running import carried_totals, read_running, running_batches
-from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedRunningCounter, ItemHistory, PairDeltas,
+from keyflow.streaming.stateful import (AdjacentPairMatcher, BucketedPairDeltas, BucketedRunningCounter, ItemHistory,
                                         RetractChangelog, RunningMean, carried_counts)
 from keyflow.streaming.timed import TIME, EventTimePairMatcher, TimedWindows, fired_windows, read_fired, timed, windowed
 
 N_SLICES = 3
-# Hash buckets per shuffle partition for keyed state with very many small keys, at a stream's first start.
+# Hash buckets per shuffle partition for keyed state with very many small keys (words, customers), at a stream's first start.
 WORD_BUCKETS_PER_PARTITION = 16
 
 
@@ -296,11 +296,14 @@ def q_stream_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand co-occurrence totals from streamed order lines.
 
     Order lines stream in and join the static part and orders tables; per
-    customer, keyed state holds the brand counts and emits the batch's pair
-    deltas (n'_a n'_b - n_a n_b) as arrays; the JVM explodes and sums them per
-    pair per micro-batch (``additive_batches``); the co-occurrence is the sum.
+    customer, keyed state (grouped by a hash bucket of the customer) holds the brand
+    counts; a bucket emits the batch's pair deltas (n'_a n'_b - n_a n_b) summed over
+    its customers; the JVM sums them per pair per micro-batch (``additive_batches``);
+    the co-occurrence is the sum.
     """
     landing, sink, ckpt = _paths(spark, "item_cooccurrence")
+    buckets = pinned(spark, f"{ckpt}-buckets",
+                     int(spark.conf.get("spark.sql.shuffle.partitions")) * WORD_BUCKETS_PER_PARTITION)
     lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
@@ -308,14 +311,12 @@ def q_stream_item_cooccurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start():
         stream = stream_table(spark, landing, schema=lineitem.schema)
         views = stream.join(part, "l_partkey").join(orders, "l_orderkey")
-        deltas = views.groupBy("o_custkey").transformWithState(
-            statefulProcessor=PairDeltas("p_brand"),
-            outputStructType="item_a array<string>, item_b array<string>, inc array<long>",
-            outputMode="Append", timeMode="None")
-        cells = deltas.select(F.explode(F.arrays_zip("item_a", "item_b", "inc")).alias("d")).select(
-            F.col("d.item_a").alias("item_a"), F.col("d.item_b").alias("item_b"),
-            F.col("d.inc").alias("cnt"))
-        return additive_batches(cells, ["item_a", "item_b"], "cnt", sink, ckpt)
+        deltas = (views.select(F.pmod(F.xxhash64("o_custkey"), F.lit(buckets)).alias("_bucket"),
+                               F.col("o_custkey").cast("string").alias("user"), "p_brand")
+                  .groupBy("_bucket").transformWithStateInPandas(
+                      statefulProcessor=BucketedPairDeltas("user", "p_brand"),
+                      outputStructType="item_a string, item_b string, inc long", outputMode="Append", timeMode="None"))
+        return additive_batches(deltas.withColumnRenamed("inc", "cnt"), ["item_a", "item_b"], "cnt", sink, ckpt)
 
     run_in_slices(spark, lineitem, "l_orderkey", N_SLICES, landing, start)
     return sum_batches(spark, sink, ["item_a", "item_b"], "cnt")

@@ -340,6 +340,113 @@ class PairDeltas(StatefulProcessor):
         pass
 
 
+class BucketedPairDeltas(StatefulProcessor):
+    """:class:`PairDeltas` of very many users, with state grouped by a hash bucket of the user.
+
+    Keyed by ``pmod(xxhash64(user), buckets)``; one value state per bucket holds its
+    users' item counts, so a micro-batch costs a state read and write per bucket, and a
+    bucket's deltas leave summed: one row per pair and block of users instead of all
+    pairs of every user.  ``user`` is a text column (null: one user); rows without an
+    item are ignored.
+
+    A block's counts (users x items) or its users' pairs have at most ``CELLS`` cells,
+    whatever the number of users or items; a user with more pairs is worked off in slices.
+    """
+
+    CELLS, HELD = 1 << 20, 1 << 20
+
+    def __init__(self, user: str, item: str):
+        self.user, self.item = user, item
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        # cells: (user's place, item's place, count), three longs each, by user and item
+        self.counts = handle.getValueState("counts", "users array<string>, items array<string>, cells binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        current = self.counts.get()
+        users, items = ({v: i for i, v in enumerate(current[k])} if current is not None else {} for k in (0, 1))
+        known = np.frombuffer(bytes(current[2]), np.int64).reshape(-1, 3) if current is not None else np.zeros((0, 3), np.int64)
+        held, n = [], 0
+        for pdf in rows:
+            pdf = pdf[pdf[self.item].notna()]
+            if pdf.empty:
+                continue
+            places = []
+            for column, seen in ((self.user, users), (self.item, items)):
+                codes, names = pd.factorize(pdf[column], use_na_sentinel=False)
+                places.append(np.array([seen.setdefault(v if isinstance(v, str) else None, len(seen)) for v in names], np.int64)[codes])
+            held.append(_summed(*places, np.ones((len(pdf), 1), np.int64)))
+            n += len(pdf)
+            if n >= self.HELD:
+                held, n = [_summed(*_stacked(held))], 0
+        if not held:
+            return
+        added = _summed(*_stacked(held))
+        both = [(known[:, 0], known[:, 1], known[:, 2:] * [[1, 1]]), (added[0], added[1], added[2] * [[0, 1]])]
+        u, i, counts = _summed(*_stacked(both))
+        self.counts.update((list(users), list(items), np.column_stack([u, i, counts[:, 1]]).astype(np.int64).tobytes()))
+        touched = np.isin(u, added[0])
+        names = np.array(list(items), object)
+        rank = np.empty(len(names), np.int64)
+        rank[np.argsort(names)] = np.arange(len(names))
+        names = np.sort(names)
+        u, i, counts = u[touched], rank[i[touched]], counts[touched]
+        order = np.lexsort((i, u))
+        yield from self._deltas(u[order], i[order], counts[order], names)
+
+    def _deltas(self, u: np.ndarray, i: np.ndarray, counts: np.ndarray, names: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Summed deltas from the touched users' cells, by user and item, with their counts before and after."""
+        first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+        size = np.diff(np.append(first, len(u)))
+        dense = len(names) ** 2 <= self.CELLS and len(size) * len(names) ** 2 <= 8 * int((size ** 2).sum())
+        cost = np.full(len(size), len(names)) if dense else size ** 2
+        block = (np.cumsum(cost) - cost) // self.CELLS
+        for a, b in zip(*(lambda at: (at, np.append(at[1:], len(size))))(np.flatnonzero(np.diff(block, prepend=-1))), strict=True):
+            lo, hi = int(first[a]), int(first[b]) if b < len(first) else len(u)
+            if dense:
+                row = np.repeat(np.arange(b - a), size[a:b])
+                delta = np.zeros((len(names), len(names)), np.int64)
+                for k, sign in ((0, -1), (1, 1)):
+                    matrix = np.zeros((b - a, len(names)), np.int64)
+                    matrix[row, i[lo:hi]] = counts[lo:hi, k]
+                    delta += sign * (matrix.T @ matrix)
+                x, y = np.nonzero(np.triu(delta, k=1))
+                yield from self._rows(names, x, y, delta[x, y])
+                continue
+            # each cell with the later ones of its user, a slice of cells at a time
+            later = np.repeat(first[a:b] + size[a:b], size[a:b]) - np.arange(lo, hi) - 1
+            cut = (np.cumsum(later) - later) // self.CELLS
+            for s, t in zip(*(lambda at: (at, np.append(at[1:], len(later))))(np.flatnonzero(np.diff(cut, prepend=-1))), strict=True):
+                left = np.repeat(np.arange(lo + s, lo + t), later[s:t])
+                start = np.cumsum(later[s:t]) - later[s:t]
+                right = left + 1 + np.arange(len(left)) - np.repeat(start, later[s:t])
+                gain = counts[left, 1] * counts[right, 1] - counts[left, 0] * counts[right, 0]
+                x, y, inc = _summed(i[left], i[right], gain[:, None])
+                yield from self._rows(names, x, y, inc[:, 0])
+
+    def _rows(self, names: np.ndarray, x: np.ndarray, y: np.ndarray, inc: np.ndarray) -> Iterator[pd.DataFrame]:
+        some = inc != 0
+        if some.any():
+            yield pd.DataFrame({"item_a": names[x[some]], "item_b": names[y[some]], "inc": inc[some]})
+
+    def close(self) -> None:
+        pass
+
+
+def _stacked(parts: list) -> tuple:
+    return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def _summed(a: np.ndarray, b: np.ndarray, counts: np.ndarray) -> tuple:
+    """Different (a, b) in order, and the sums of their counts (a row each)."""
+    if not len(a):
+        return a, b, counts
+    order = np.lexsort((b, a))
+    a, b, counts = a[order], b[order], counts[order]
+    start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[start], b[start], np.add.reduceat(counts, start)
+
+
 class BucketedRunningCounter(StatefulProcessor):
     """Running count per key with state grouped by a hash bucket of the key.
 
