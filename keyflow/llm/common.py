@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -79,6 +80,44 @@ def with_columns(df: DataFrame, source: list[str], added: T.StructType,
     return feed.mapInArrow(run, T.StructType(fields))
 
 
+def bit_table(keys: DataFrame, key: str, width: int) -> np.ndarray:
+    """A table of 2**width bits with the places of all keys (long) set; its size is fixed."""
+    place = F.shiftrightunsigned(F.col(key), 64 - width) + 1  # the first bits of a 64-bit hash
+    pages = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("page")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
+    bits = np.zeros(1 << (width - 3), np.uint8)
+    for row in pages.toLocalIterator():  # pages of 4096 bytes, numbered from 1
+        bits[(row.page - 1) * 4096:row.page * 4096] = np.frombuffer(row.bits, np.uint8)
+    return bits
+
+
+def hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys.view(np.uint64) >> np.uint64(62 - len(bits).bit_length())
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+
+#: Most bits of a table in :func:`marked_in` (8 MB): 2 to this power.
+MOST_BITS = 26
+
+
+def marked_in(df: DataFrame, key: str, sets: list[DataFrame], most_bits: int = MOST_BITS) -> DataFrame:
+    """Append ``_kf_marks``: bit i tells whether the row's key (a 64-bit hash) may be in ``sets[i]``.
+
+    A key of a set is marked for sure, another one seldom (a bit table of bounded size), so rows
+    without a mark are decided where they lie and only marked ones need an exact join.
+    """
+    widths = [min(most_bits, max(16, (16 * s.count()).bit_length())) for s in sets]
+    tables = df.sparkSession.sparkContext.broadcast([bit_table(s, s.columns[0], w) for s, w in zip(sets, widths, strict=True)])
+
+    @F.arrow_udf("int")
+    def marks(keys: pa.Array) -> pa.Array:
+        keys = keys.to_numpy(zero_copy_only=False)
+        return pa.array(sum(hit(t, keys).astype(np.int32) << i for i, t in enumerate(tables.value)), pa.int32())
+
+    # nondeterministic: neither doubled nor moved by the optimizer
+    return df.withColumn("_kf_marks", marks.asNondeterministic()(F.col(key)))
+
+
 #: Rows of one chunk in :func:`numbered`: 2 to this power.
 CHUNK_BITS = 16
 

@@ -33,8 +33,9 @@ How it runs:
    continuations are complete in one partition, and only pairs seen twice leave it.
 2. Evidence is stored per word and, for pairs, as what the pair adds to its word.  The
    most frequent entries, at most ``HOT_WORDS`` and ``HOT_PAIRS``, go to every task.
-   All others, however many, are met by an exact join: a bit table tells which words
-   and pairs of a text are among them, and a task gathers these by hash.
+   All others, however many, are asked for: a bit table tells which words and pairs
+   of a text are among them, a task gathers these by hash, and requests and entries
+   meet exactly, packed by ranges of the hash.
 3. One pass over all texts sums the evidence of the frequent entries and sends the
    others; nothing is sampled, and no task holds the vocabulary.
 
@@ -61,7 +62,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import saved, table, utf8
+from keyflow.llm.common import bit_table, hit, marked_in, saved, table, utf8
 from keyflow.llm.wordhash import LETTERS, M1, hashed_words, mix, pieces
 
 #: Most words and pairs whose evidence goes to every task; the others are joined.
@@ -84,24 +85,6 @@ def fold(doc_id: str = "doc_id") -> Column:
     return (F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4).cast("int")
 
 
-# -- tables of bits -----------------------------------------------------------
-
-def bit_table(keys: DataFrame, key: str, width: int) -> np.ndarray:
-    """A table of 2**width bits with the places of all keys (long) set; its size is fixed."""
-    place = F.shiftrightunsigned(F.col(key), 64 - width) + 1  # the first bits of a 64-bit hash
-    pages = keys.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("page")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
-    bits = np.zeros(1 << (width - 3), np.uint8)
-    for row in pages.toLocalIterator():  # pages of 4096 bytes, numbered from 1
-        bits[(row.page - 1) * 4096:row.page * 4096] = np.frombuffer(row.bits, np.uint8)
-    return bits
-
-
-def hit(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys.view(np.uint64) >> np.uint64(62 - len(bits).bit_length())
-    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-
-
 # -- training -----------------------------------------------------------------
 
 def training_marks(labels: DataFrame, fit_rows: int) -> DataFrame:
@@ -153,8 +136,8 @@ def summed(v: np.ndarray, w: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> tupl
 def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
     """Counts of the rows (text, toxic), written once.
 
-    Rows with ``v`` are pairs with two occurrences in a class: (v, w, n0, n1).  Rows
-    without are words: (w, n0, n1, c0, c1), occurrences and continuation counts.
+    Rows with ``v`` are pairs with two occurrences in a class: (v, w, n0, n1), and c0, c1
+    of w.  Rows without are words: (w, n0, n1, c0, c1), occurrences and continuation counts.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -198,10 +181,10 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
             start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
             words = [w[start], *(np.add.reduceat(x, start) for x in (n0, n1, (n0 > 0).astype(np.int64), (n1 > 0).astype(np.int64)))]
             kept_ = ((n0 > 1) | (n1 > 1)) & (v > 0)
-            none = pa.nulls(int(kept_.sum()), pa.int64())
+            runs = np.diff(np.append(start, len(w)))
             columns = [pa.chunked_array([x, y]).combine_chunks() for x, y in zip(
                 [pa.nulls(len(start), pa.int64()), *(pa.array(x.astype(np.int64)) for x in words)],
-                [*(pa.array(x[kept_].astype(np.int64)) for x in (v, w, n0, n1)), none, none], strict=True)]
+                [pa.array(x[kept_].astype(np.int64)) for x in (v, w, n0, n1, *(np.repeat(c, runs) for c in words[3:]))], strict=True)]
             return pa.RecordBatch.from_arrays(columns, ["v", "w", "n0", "n1", "c0", "c1"])
 
         for batch in batches:
@@ -247,15 +230,15 @@ def evidence(counts: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
     total = words.agg(F.sum("c0"), F.sum("c1"), F.sum(kept("c0", e[0])), F.sum(kept("c1", e[1])), F.sum(F.col("both") + 0.5)).first()
     lent = max(1 - total[2 + c] / total[c] for c in (0, 1))
     shared = F.lit(lent) * (F.col("both") + 0.5) / F.lit(total[4])
-    p = [F.lit((1 - lent) / max(total[2 + c], 1e-12)) * kept(f"c{c}", e[c]) + shared for c in (0, 1)]
-    words = words.select("w", "n0", "n1", p[0].alias("p0"), p[1].alias("p1"))
+    p = [(F.lit((1 - lent) / max(total[2 + c], 1e-12)) * kept(f"c{c}", e[c]) + shared).alias(f"p{c}") for c in (0, 1)]
+    words = words.select("w", "n0", "n1", *p)
     log = lambda ratio: F.log(F.lit(1 - alpha) + F.lit(alpha) * ratio)
-    pairs = counts.filter("v is not null").select("v", "w", "n0", "n1")
+    pairs = counts.filter("v is not null").withColumn("both", F.least("c0", "c1")).select("v", "w", "n0", "n1", *p)
     contexts = (pairs.groupBy("v").agg(*[F.sum(kept(f"n{c}", 1.0)).alias(f"k{c}") for c in (0, 1)]).filter("k0 > 0 and k1 > 0")
                      .join(words.select(F.col("w").alias("v"), F.col("n0").alias("m0"), F.col("n1").alias("m1")), "v")
                      .select("v", "k0", "k1", F.greatest(1 - F.col("k0") / F.col("m0"), 1 - F.col("k1") / F.col("m1")).alias("lent")))
     q = [(1 - F.col("lent")) * kept(f"n{c}", 1.0) / F.col(f"k{c}") + F.col("lent") * F.col(f"p{c}") for c in (0, 1)]
-    met = pairs.join(contexts, "v").join(words.select("w", "p0", "p1"), "w")
+    met = pairs.join(contexts, "v")
     hashed = met.select("v", "w", (F.col("n0") + F.col("n1")).alias("n"), (log(q[1] / q[0]) - log(F.col("p1") / F.col("p0"))).alias("e"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,36 +279,91 @@ def looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.nda
     return np.where(keys[at] == asked, values[at], 0.0)
 
 
-_SCORED = "h long, key long, n long, words double, pairs double, keys array<long>, times array<long>"
+#: What travels by parts of the hashes: entries of words and pairs, requests for them, and the texts' own sums.
+WORDS, PAIRS, TEXTS = 0, 1, 4
+_PACKED = "part int, kind int, h binary, runs binary, keys binary, x binary, y binary"
+_NAMES = ["part", "kind", "h", "runs", "keys", "x", "y"]
+
+
+def to_planes(h: np.ndarray) -> bytes:
+    """Hashes in order as differences, whose bytes of one rank lie together: leading zeros shrink to nothing."""
+    return np.ascontiguousarray(np.diff(h, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(key, of_words, of_pairs) of every different text with words (``key``: its hash): the parts of its evidence."""
+def from_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64), dtype=np.uint64)
+
+
+def part_cuts(h: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part, a range of the hashes, begins and ends among hashes in order."""
+    part = (h >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)
+    return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+
+
+def packed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], _NAMES)
+
+
+def dealt_entries(entries: DataFrame, key: str, kind: int, parts: int) -> DataFrame:
+    """Entries (key, e) packed by parts of the hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def sent() -> pa.RecordBatch:
+            h, e = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(h)
+            h, e = h[order], e[order]
+            cuts = part_cuts(h, parts).tolist()
+            return packed([(p, kind, to_planes(h[a:b]), b"", b"", e[a:b].tobytes(), b"")
+                           for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a])
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), batch.column(1).to_numpy(zero_copy_only=False)))
+            n += batch.num_rows
+            if n >= CHUNK_PAIRS:
+                yield sent()
+                held, n = [], 0
+        if n:
+            yield sent()
+
+    return entries.select(key, F.col("e").cast("double")).mapInArrow(run, _PACKED)
+
+
+def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame, parts: int = 8) -> DataFrame:
+    """(key, of_words, of_pairs) of every different text with words (``key``: its hash): the parts of its evidence.
+
+    What is not in the tables that go to every task is asked for: requests and entries
+    meet by ``parts`` of the hash, and what a text gets there is added to its own sums.
+    """
     spark = docs.sparkSession
     from_word, from_pair = hot_from(words, HOT_WORDS), hot_from(pairs, HOT_PAIRS)
-    rest = saved(words.filter(F.col("n") < from_word).select(F.shiftleft("word", 16).alias("h"), "e", F.lit(False).alias("is_pair")).unionByName(
-        pairs.filter(F.col("n") < from_pair).select(F.col("pair").alias("h"), "e", F.lit(True).alias("is_pair"))), "toxic-rest")
+    rare_words = words.filter(F.col("n") < from_word).select(F.shiftleft("word", 16).alias("h"), "e")
+    rare_pairs = pairs.filter(F.col("n") < from_pair).select(F.col("pair").alias("h"), "e")
+    rest = rare_words.unionByName(rare_pairs)
     given = spark.sparkContext.broadcast((*collected(words, "word", from_word), *collected(pairs, "pair", from_pair),
                                           None if rest.isEmpty() else bit_table(rest, "h", REST_BITS)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_keys, word_e, pair_keys, pair_e, bits = given.value
-        names = ["h", "key", "n", "words", "pairs", "keys", "times"]
-        lists = pa.list_(pa.int64())
-        asked, held = [], 0
+        asked, held, number = {WORDS: [], PAIRS: []}, 0, 0
 
-        def sent() -> pa.RecordBatch:
-            h, key = (np.concatenate(x) for x in zip(*asked, strict=True))
-            order = np.lexsort((key, h))
-            h, key = h[order], key[order]
-            new = np.concatenate([[True], h[1:] != h[:-1]])
-            start = np.flatnonzero(new | np.concatenate([[True], key[1:] != key[:-1]]))
-            times, group = np.diff(np.append(start, len(h))), np.flatnonzero(new[start])
-            ends = pa.array(np.append(group, len(start)).astype(np.int32))
-            none, part = pa.nulls(len(group), pa.int64()), pa.nulls(len(group), pa.float64())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(h[start[group]].view(np.int64)), none, none, part, part,
-                 pa.ListArray.from_arrays(ends, pa.array(key[start])), pa.ListArray.from_arrays(ends, pa.array(times))], names)
+        def sent() -> Iterator[pa.RecordBatch]:
+            for kind, some in asked.items():
+                if not some:
+                    continue
+                h, key = (np.concatenate(x) for x in zip(*some, strict=True))
+                order = np.lexsort((key, h))
+                h, key = h[order], key[order]
+                new = np.concatenate([[True], h[1:] != h[:-1]])  # a hash once, then its texts, each once with its times
+                start = np.flatnonzero(new | np.concatenate([[True], key[1:] != key[:-1]]))
+                times, group = np.diff(np.append(start, len(h))), np.flatnonzero(new[start])
+                key, h, ends = key[start], h[start[group]], np.append(group, len(start))
+                cuts = part_cuts(h, parts).tolist()
+                yield packed([(p, kind + 2, to_planes(h[a:b]), np.diff(ends[a:b + 1]).astype("<u4").tobytes(), key[ends[a]:ends[b]].tobytes(),
+                               times[ends[a]:ends[b]].astype("<u4").tobytes(), b"")
+                              for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a])
 
         for batch in batches:
             keys = batch.column(1).to_numpy(zero_copy_only=False)
@@ -335,31 +373,85 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
                 if not len(found):
                     continue
                 some, sums = np.flatnonzero(n), []
-                for h, k, e in ((found << np.uint64(16), word_keys << np.uint64(16), word_e), (pair_hash(context, found), pair_keys, pair_e)):
+                for kind, h, k, e in ((WORDS, found << np.uint64(16), word_keys << np.uint64(16), word_e),
+                                      (PAIRS, pair_hash(context, found), pair_keys, pair_e)):
                     different, back = np.unique(h, return_inverse=True)
-                    sums.append(pa.array(np.add.reduceat(looked_up(k, e, different)[back], first[:-1][some])))
+                    sums.append(np.add.reduceat(looked_up(k, e, different)[back], first[:-1][some]).tobytes())
                     if bits is not None:
                         there = hit(bits, different)[back]
-                        asked.append((h[there], np.repeat(keys[a:b], n)[there]))
-                        held += int(there.sum())
-                none = pa.nulls(len(some), lists)
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.array(keys[a:b][some]), pa.array(n[some]),
-                                                  *sums, none, none], names)
+                        if there.any():
+                            asked[kind].append((h[there], np.repeat(keys[a:b], n)[there]))
+                            held += int(there.sum())
+                number += 1  # the texts' own sums lie in any part
+                yield packed([(number % parts, TEXTS, b"", n[some].astype("<u4").tobytes(), keys[a:b][some].tobytes(), *sums)])
                 if held >= CHUNK_PAIRS:
+                    yield from sent()
+                    asked, held = {WORDS: [], PAIRS: []}, 0
+        if held:
+            yield from sent()
+
+    def summed_up(held: list[tuple]) -> list[np.ndarray]:
+        key, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
+        different, back = np.unique(key, return_inverse=True)
+        return [different, *(np.bincount(back, x, len(different)) for x in columns)]
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, entries, tables, held, n_held = None, {}, {}, [], 0
+
+        def sent() -> pa.RecordBatch:
+            key, n, of_words, of_pairs = summed_up(held)
+            cuts = part_cuts(key, parts).tolist()
+            return packed([(p, TEXTS, to_planes(key[a:b]), n[a:b].tobytes(), b"", of_words[a:b].tobytes(), of_pairs[a:b].tobytes())
+                           for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a])
+
+        for batch in batches:
+            for p, kind, h, runs, keys, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if p != part:  # a part's entries come first
+                    part, entries, tables = p, {WORDS: [], PAIRS: []}, {}
+                keys, n = np.frombuffer(keys, np.uint64), np.frombuffer(runs, "<u4")
+                if kind == TEXTS:
+                    held.append((keys, n.astype(float), np.frombuffer(x), np.frombuffer(y)))
+                elif kind in entries:
+                    entries[kind].append((from_planes(h), np.frombuffer(x)))
+                    continue
+                elif entries[kind - 2]:
+                    if kind not in tables:
+                        at, e = (np.concatenate(c) for c in zip(*entries[kind - 2], strict=True))
+                        order = np.argsort(at)
+                        tables[kind] = at[order], e[order]
+                    value, none = np.repeat(looked_up(*tables[kind], from_planes(h)), n) * np.frombuffer(x, "<u4"), np.zeros(len(keys))
+                    held.append((keys, none, value, none) if kind == WORDS + 2 else (keys, none, none, value))
+                n_held += len(keys)
+                if held and n_held >= CHUNK_PAIRS // 2:
                     yield sent()
-                    asked, held = [], 0
+                    held, n_held = [], 0
         if held:
             yield sent()
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+
+        def total() -> pa.RecordBatch:
+            key, n, of_words, of_pairs = summed_up(held)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(of_words / n), pa.array(of_pairs / n)],
+                                              ["key", "of_words", "of_pairs"])
+
+        for batch in batches:
+            for p, h, n, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 5, 6)), strict=True):
+                if p != part:
+                    if held:
+                        yield total()
+                    part, held = p, []
+                held.append((from_planes(h), *(np.frombuffer(c) for c in (n, x, y))))
+        if held:
+            yield total()
+
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    rows = saved(texts.mapInArrow(run, _SCORED), "toxic-evidence")
-    entries = rows.filter("h is not null").join(rest, "h").select("e", "is_pair", F.explode(F.arrays_zip("keys", "times")).alias("d"))
-    value = F.col("e") * F.col("d.times")
-    more = entries.select(F.col("d.keys").alias("key"), F.lit(0).cast("long").alias("n"), F.when(~F.col("is_pair"), value).otherwise(0.0).alias("words"),
-                          F.when(F.col("is_pair"), value).otherwise(0.0).alias("pairs"))
-    sums = rows.filter("h is null").select("key", "n", "words", "pairs").unionByName(more)
+    rows = texts.mapInArrow(ask, _PACKED).unionAll(dealt_entries(rare_words, "h", WORDS, parts)).unionAll(
+        dealt_entries(rare_pairs, "h", PAIRS, parts))
+    answers = rows.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(answer, _PACKED)
     # equal texts have equal evidence: their sums and their words grow alike
-    return sums.groupBy("key").agg(*[(F.sum(c) / F.sum("n")).alias(f"of_{c}") for c in ("words", "pairs")])
+    return answers.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, "key long, of_words double, of_pairs double")
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -391,7 +483,8 @@ def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     marks = training_marks(labels, fit_rows)
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
     counted = training_rows(docs, marks.filter("not fit"), doc_id, text)
-    counts = pair_counts(counted, max(8, -(-size // PART_BYTES)))
+    parts = max(8, -(-size // PART_BYTES))
+    counts = pair_counts(counted, parts)
     spoken = counts.filter("v is null").agg(F.sum("n0"), F.sum("n1")).first()
     ids = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("key"))
     marked = ids.join(marks, "id")
@@ -402,8 +495,7 @@ def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         return constant.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
     alpha = min(0.5, rows[1] / spoken[1])
     tables = evidence(counts, alpha)
-    means = text_evidence(docs, text, *(saved(x, "toxic-tables") for x in tables))
-    means = saved(means, "toxic-means")
+    means = saved(text_evidence(docs, text, *(saved(x, "toxic-tables") for x in tables), parts), "toxic-means")
     parts = ["of_words", "of_pairs"]
     points = (marked.filter("fit").select("key", "toxic").join(means, "key", "left")
               .select(*[spread(F.coalesce(c, F.lit(0.0)), alpha).alias(c) for c in parts], "toxic").limit(2 * fit_rows).toPandas())
@@ -420,6 +512,22 @@ def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return out.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
 
 
+def accepted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             threshold: float = THRESHOLD, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose score lies below ``threshold``.
+
+    Every row is scored, by id and text alone.  A bit table of the rejected texts passes most
+    others where they lie; the rows that it marks meet the rejected texts in an exact join.
+    """
+    key = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), key.alias("_kf_text"))
+    marked = scored(rows, labels, score="_kf_score", predicted="_kf_predicted", threshold=threshold, fit_rows=fit_rows)
+    rejected = saved(marked.filter("_kf_predicted = 1").select("_kf_text").distinct(), "rejected")
+    rows = marked_in(docs.withColumn("_kf_text", key), "_kf_text", [rejected])
+    kept = rows.filter("_kf_marks = 0").unionByName(rows.filter("_kf_marks > 0").join(rejected, "_kf_text", "left_anti"))
+    return kept.select(*[f"`{c}`" for c in docs.columns])
+
+
 def op10_toxicity(spark, sf_dir):
     """Toxicity of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

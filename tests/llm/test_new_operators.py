@@ -383,3 +383,13 @@ def test_shards_and_simhash_digests_equal_plain_ones(spark, folders, rows):
     for a, b in zip(ids[:-1], ids[1:], strict=True):
         t, half = unique[a], len(unique[a]) // 2
         assert edited[a] == hashlib.sha256((t[:len(t) - half] + unique[b][:half]).encode()).hexdigest()
+
+
+# -- packed requests of op10 ----------------------------------------------------
+
+def test_planes_hold_hashes():
+    h = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
+    for some in (h, h[:1], h[:0]):
+        assert (toxicity.from_planes(toxicity.to_planes(some)) == some).all()
+    cuts = toxicity.part_cuts(h, 7)
+    assert cuts[0] == 0 and cuts[-1] == len(h) and (np.diff(cuts) > 0).all()
