@@ -19,8 +19,7 @@ from keyflow.llm.common import prepare, saved, table
 def toxic_documents(spark, docs, sf_dir):
     """Documents that the toxicity model rejects go; labels are learned as in query op10."""
     labels = table(spark, sf_dir, "labels")
-    marked = toxicity.scored(docs, labels, score="_kf_score", predicted="_kf_predicted")
-    return marked.filter("_kf_predicted = 0").select(*docs.columns)
+    return toxicity.accepted(docs, labels)
 
 
 def near_duplicates(spark, docs, sf_dir):

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import saved, table, utf8
+from keyflow.llm.common import marked_in, saved, table, utf8
 from keyflow.llm.components import components
 from keyflow.llm.partenum import signatures
 from keyflow.llm.shingles import Sketch, parity_sketch, set_key, shingle_sets, sketch_difference
@@ -442,11 +442,18 @@ def first_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """The rows of ``df`` whose id names their component.
 
     Rows without an id stay.  Where ids repeat, rows equal in id and text count once.
+    A bit table of the ids that go lets most others stay where they lie; only the rows
+    that it marks meet the ids in an exact join.
     """
     classes = saved(jaccard_classes(df, doc_id, text, **options), "classes")
     names = classes.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_kf_id")).agg(
         F.count(F.lit(1)).alias("_kf_n"))
-    kept = df.join(names.select("_kf_id"), F.col(f"`{doc_id}`").cast("long") == F.col("_kf_id"), "left_semi")
+    gone = saved(classes.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+                        .filter("not first").select(F.xxhash64("doc_id").alias("key")), "gone")
+    number = F.col(f"`{doc_id}`").cast("long")
+    rows = marked_in(df.filter(number.isNotNull()).withColumn("_kf_key", F.xxhash64(number)), "_kf_key", [gone])
+    some = rows.filter("_kf_marks > 0").join(names.select("_kf_id"), number == F.col("_kf_id"), "left_semi")
+    kept = rows.filter("_kf_marks = 0").unionByName(some).select(*[f"`{c}`" for c in df.columns])
     if not names.filter("_kf_n > 1").isEmpty():
         kept = kept.dropDuplicates([doc_id, text])
     return kept.unionAll(df.filter(F.col(f"`{doc_id}`").isNull()))

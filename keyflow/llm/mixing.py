@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyflow.llm.common import numbered, saved, table
+from keyflow.llm.common import marked_in, numbered, saved, table
 
 # Fixed values of the contract: weights in the order of sources, and the budget.
 WEIGHTS = (3, 1, 2)
@@ -198,21 +198,38 @@ def plan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The rows of ``df`` that the mix takes, each as often as it takes it; columns as in ``df``."""
+    """The rows of ``df`` that the mix takes, each as often as it takes it; columns as in ``df``.
+
+    A bit table for each number of copies tells most rows theirs where they lie: each row is
+    in one of them for sure, so a single mark decides.  Rows with several marks, and rows that
+    equal others, meet the plan in an exact join.
+    """
     of = saved(plan(df, doc_id, text, source, **options), "plan").select(
         F.col("doc_id").alias("_kf_id"), F.col("source").alias("_kf_source"), F.col("size").alias("_kf_size"),
         F.col("rows").alias("_kf_rows"), F.col("base").alias("_kf_base"), F.col("extras").alias("_kf_extras"))
-    rows = df.alias("d").join(of.alias("p"), F.col(f"d.`{doc_id}`").cast("long").eqNullSafe(F.col("p._kf_id"))
-                              & F.col(f"d.`{source}`").cast("string").eqNullSafe(F.col("p._kf_source"))
-                              & (word_count(F.col(f"d.`{text}`")) == F.col("p._kf_size")))
+    key = F.xxhash64("_kf_id", "_kf_source", "_kf_size")
+    alone = F.when(F.col("_kf_rows") == 1, F.col("_kf_base") + F.col("_kf_extras"))  # the copies of a row without equals
+    times = range(options.get("most", MOST) + 1)
+    hashed = df.withColumn("_kf_hash", F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{source}`").cast("string"),
+                                                  word_count(F.col(f"`{text}`"))))
+    marked = marked_in(hashed, "_kf_hash", [of.filter(alone.isNull() | (alone == n)).select(key.alias("key")) for n in times])
+    sure = F.element_at(F.create_map(*[F.lit(x) for n in times for x in (1 << n, n)]), F.col("_kf_marks"))
+    marked = marked.withColumn("_kf_sure", sure).drop("_kf_hash", "_kf_marks")
+    rows = marked.filter("_kf_sure is null").alias("d").join(
+        of.alias("p"), F.col(f"d.`{doc_id}`").cast("long").eqNullSafe(F.col("p._kf_id"))
+        & F.col(f"d.`{source}`").cast("string").eqNullSafe(F.col("p._kf_source"))
+        & (word_count(F.col(f"d.`{text}`")) == F.col("p._kf_size")))
     single = rows.filter(F.col("_kf_rows") == 1).withColumn("_kf_nth", F.lit(0).cast("long"))
     if not of.filter(F.col("_kf_rows") > 1).isEmpty():
         several = numbered(rows.filter(F.col("_kf_rows") > 1), ["_kf_id", "_kf_source", "_kf_size"], "_kf_nth")
         single = single.unionByName(several)
     copies = F.col("_kf_base") + (F.col("_kf_nth") < F.col("_kf_extras")).cast("int")
-    taken = single.withColumn("_kf_copies", copies).filter(F.col("_kf_copies") > 0)
+    names = [f"`{c}`" for c in df.columns]
+    taken = (single.withColumn("_kf_copies", copies.cast("int")).select(*names, "_kf_copies")
+                   .unionAll(marked.select(*names, F.col("_kf_sure").alias("_kf_copies")))  # null: not sure
+                   .filter(F.col("_kf_copies") > 0))
     return (taken.withColumn("_kf_copy", F.explode(F.sequence(F.lit(1), F.col("_kf_copies"))))
-                 .select(*[f"`{c}`" for c in df.columns]))
+                 .select(*names))
 
 
 def op6_mixing(spark, sf_dir):

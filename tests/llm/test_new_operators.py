@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from keyflow.llm import idfiles, importance, phrases, toxicity
+from keyflow.llm import common, idfiles, importance, jaccard, mixing, phrases, toxicity
 from keyflow.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -385,7 +385,7 @@ def test_shards_and_simhash_digests_equal_plain_ones(spark, folders, rows):
         assert edited[a] == hashlib.sha256((t[:len(t) - half] + unique[b][:half]).encode()).hexdigest()
 
 
-# -- packed requests of op10 ----------------------------------------------------
+# -- rows decided where they lie ------------------------------------------------
 
 def test_planes_hold_hashes():
     h = np.sort(np.random.default_rng(2).integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2))
@@ -393,3 +393,69 @@ def test_planes_hold_hashes():
         assert (toxicity.from_planes(toxicity.to_planes(some)) == some).all()
     cuts = toxicity.part_cuts(h, 7)
     assert cuts[0] == 0 and cuts[-1] == len(h) and (np.diff(cuts) > 0).all()
+
+
+def narrow(df, key, sets):
+    return common.marked_in(df, key, sets, 15)
+
+
+def moved(df):
+    """Most rows with a text in one exchange of a plan, which is run."""
+    df.collect()
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        for step in ("executedPlan", "plan") if node.nodeName().startswith(("AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage")) else ():
+            try:
+                todo.append(getattr(node, step)())
+            except Exception:  # noqa: BLE001, S112 - not this kind of node
+                continue
+        if node.nodeName() == "Exchange" and "text#" in node.output().mkString(","):
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return max(out, default=0)
+
+
+def test_marked_rows_are_few_and_hold_all_keys(spark):
+    df = spark.range(3000).withColumn("key", F.xxhash64("id"))
+    sets = [df.filter("id < 300").select("key"), df.filter("id >= 300").select("key"), df.limit(0).select("key")]
+    rows = narrow(df, "key", sets).collect()
+    assert all(r["_kf_marks"] >> (r["id"] >= 300) & 1 for r in rows)
+    assert 0 < sum(r["_kf_marks"] == 3 for r in rows) < 600 and max(r["_kf_marks"] for r in rows) == 3
+
+
+@pytest.mark.parametrize("marked", [common.marked_in, narrow])
+def test_stages_keep_what_the_plain_joins_keep(spark, monkeypatch, marked):
+    for module in (toxicity, jaccard, mixing):
+        monkeypatch.setattr(module, "marked_in", marked)
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(2500):
+        text = " ".join(rng.choice(words + ["vile", "foe"] * 60 * (i % 8 == 0)) for _ in range(rng.randint(0, 14)))
+        rows.append((i, rows[-1][1] if i % 9 == 4 else text, rng.choice(["a", "b", "c", None])))
+    rows += [rows[7], rows[7], (None, "no id", "a"), (9000, None, "b"), (9001, "", None), (5, "another text", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    # toxicity
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(2500)], "doc_id long, toxic int")
+    scored = toxicity.scored(df, labels)
+    kept = toxicity.accepted(df, labels)
+    want = Counter((r[0], r[1], r[2]) for r in scored.filter("predicted = 0").collect())
+    assert kept.columns == df.columns and Counter(map(tuple, kept.collect())) == want and 0 < sum(want.values()) < len(rows) - 50
+    # first rows of components
+    classes = {(r.doc_id, r.component_id) for r in jaccard.jaccard_classes(df).collect()}
+    firsts = {d for d, c in classes if d == c and d is not None}
+    kept = jaccard.first_of_each(df)
+    want = Counter({r for r in rows if r[0] in firsts} | {r for r in rows if r[0] is None})
+    assert Counter(map(tuple, kept.collect())) == want and sum(want.values()) < len(rows) - 50
+    # the mix
+    want = Counter()
+    for r in mixing.plan(df).collect():
+        want[r.doc_id, r.source, r.size] += r.rows * r.base + r.extras
+    got = mixing.mixed(df)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    assert got.columns == df.columns and Counter((r[0], r[2], size(r[1])) for r in got.collect()) == +want
+    if marked is common.marked_in:  # most texts stay where they lie
+        alone = df.filter("doc_id < 2500 and doc_id not in (5, 7)")
+        assert all(moved(x) < len(rows) / 2 for x in (toxicity.accepted(alone, labels), jaccard.first_of_each(alone), mixing.mixed(alone)))
