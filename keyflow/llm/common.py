@@ -54,6 +54,11 @@ def utf8(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+def release() -> None:
+    """At a task's end: what Arrow keeps for later batches goes back, since idle workers stay beside the next step's."""
+    pa.default_memory_pool().release_unused()
+
+
 def with_columns(df: DataFrame, source: list[str], added: T.StructType,
                  make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]]) -> DataFrame:
     """Append columns that a Python worker computes from Arrow batches.
@@ -76,6 +81,7 @@ def with_columns(df: DataFrame, source: list[str], added: T.StructType,
                 [batch.column(len(kept) + i) for i in range(len(source))], list(source))
             columns = [batch.column(i) for i in range(len(kept))] + step(inputs)
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
+        release()
 
     return feed.mapInArrow(run, T.StructType(fields))
 

@@ -62,15 +62,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import bit_table, hit, marked_in, saved, table, utf8
+from keyflow.llm.common import bit_table, hit, marked_in, release, saved, table, utf8
 from keyflow.llm.wordhash import LETTERS, M1, hashed_words, mix, pieces
 
 #: Most words and pairs whose evidence goes to every task; the others are joined.
 HOT_WORDS, HOT_PAIRS = 1 << 18, 1 << 20
 #: Bits of the tables of training ids (2 MB) and of joined entries (16 MB).
 MARK_BITS, REST_BITS = 24, 27
-#: Word pairs, and bytes of text, that a task works on at once.
-CHUNK_PAIRS, CHUNK_BYTES = 1 << 21, 4 << 20
+#: Word pairs, and bytes of text, that a task works on at once.  A byte of text takes tens of bytes while its words are
+#: hashed, a pair while it is sorted and packed, and a worker keeps much of what it once took.
+CHUNK_PAIRS, CHUNK_BYTES = 1 << 20, 1 << 20
 #: Bytes of all texts for one partition of counts.
 PART_BYTES = 24_000_000
 #: Most rows that the logistic curve is fitted on.
@@ -125,12 +126,20 @@ def pair_hash(context: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(context * M1 + words)
 
 
-def summed(v: np.ndarray, w: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> tuple:
-    """Different pairs in order of (w, v), and the sums of their counts."""
+def joined(held: list[tuple]) -> list[np.ndarray]:
+    """The columns of all pieces; ``held`` is emptied, so that only one copy stays."""
+    columns = [list(x) for x in zip(*held, strict=True)]
+    held.clear()
+    return [np.concatenate(columns.pop(0)) for _ in range(len(columns))]
+
+
+def summed(held: list[tuple]) -> tuple:
+    """Different pairs of the pieces (v, w, n0, n1) in order of (w, v), and the sums of their counts; ``held`` is emptied."""
+    v, w, *n = joined(held)
     order = np.lexsort((v, w))
-    v, w, n0, n1 = v[order], w[order], n0[order], n1[order]
+    v, w = v[order], w[order]
     start = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])]))
-    return v[start], w[start], np.add.reduceat(n0, start), np.add.reduceat(n1, start)
+    return v[start], w[start], *(np.add.reduceat(x[order], start, dtype=np.int64) for x in n)
 
 
 def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
@@ -143,7 +152,7 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
         held, n = [], 0
 
         def packed() -> pa.RecordBatch:
-            v, w, n0, n1 = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            v, w, n0, n1 = summed(held)
             part = (w % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             v, w, n0, n1 = v[order], w[order], n0[order], n1[order]
@@ -160,7 +169,7 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
                                               ["part", "words", "runs", "contexts", "n0", "n1"])
 
         for batch in batches:
-            toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32)
             for a, b, data, offsets in pieces(utf8(batch.column(0)), CHUNK_BYTES):
                 words, first, context = text_words(data, offsets)
                 if len(words):
@@ -169,15 +178,16 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
                     n += len(words)
                 if n >= CHUNK_PAIRS:
                     yield packed()
-                    held, n = [], 0
+                    n = 0
         if n:
             yield packed()
+        release()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
 
         def total() -> pa.RecordBatch:
-            v, w, n0, n1 = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            v, w, n0, n1 = summed(held)
             start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
             words = [w[start], *(np.add.reduceat(x, start) for x in (n0, n1, (n0 > 0).astype(np.int64), (n1 > 0).astype(np.int64)))]
             kept_ = ((n0 > 1) | (n1 > 1)) & (v > 0)
@@ -192,11 +202,11 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
                 if p != part:
                     if held:
                         yield total()
-                    part, held = p, []
+                    part = p
                 v = np.zeros((len(contexts) // 6, 8), np.uint8)
                 v[:, :6] = np.frombuffer(contexts, np.uint8).reshape(-1, 6)
                 held.append((v.reshape(-1).view(np.uint64), np.repeat(np.frombuffer(words, np.uint64), np.frombuffer(runs, "<u4")),
-                             np.frombuffer(n0, "<u4").astype(np.int64), np.frombuffer(n1, "<u4").astype(np.int64)))
+                             np.frombuffer(n0, "<u4"), np.frombuffer(n1, "<u4")))
         if held:
             yield total()
 
@@ -353,9 +363,10 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
             for kind, some in asked.items():
                 if not some:
                     continue
-                h, key = (np.concatenate(x) for x in zip(*some, strict=True))
+                h, key = joined(some)
                 order = np.lexsort((key, h))
                 h, key = h[order], key[order]
+                del order
                 new = np.concatenate([[True], h[1:] != h[:-1]])  # a hash once, then its texts, each once with its times
                 start = np.flatnonzero(new | np.concatenate([[True], key[1:] != key[:-1]]))
                 times, group = np.diff(np.append(start, len(h))), np.flatnonzero(new[start])
@@ -386,12 +397,13 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
                 yield packed([(number % parts, TEXTS, b"", n[some].astype("<u4").tobytes(), keys[a:b][some].tobytes(), *sums)])
                 if held >= CHUNK_PAIRS:
                     yield from sent()
-                    asked, held = {WORDS: [], PAIRS: []}, 0
+                    held = 0
         if held:
             yield from sent()
+        release()
 
     def summed_up(held: list[tuple]) -> list[np.ndarray]:
-        key, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, *columns = joined(held)
         different, back = np.unique(key, return_inverse=True)
         return [different, *(np.bincount(back, x, len(different)) for x in columns)]
 
@@ -424,7 +436,7 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
                 n_held += len(keys)
                 if held and n_held >= CHUNK_PAIRS // 2:
                     yield sent()
-                    held, n_held = [], 0
+                    n_held = 0
         if held:
             yield sent()
 

@@ -5,6 +5,7 @@ import io
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -327,6 +328,48 @@ def test_evidence_equals_the_plain_model(spark, monkeypatch, hot):
             assert got[key] == pytest.approx(want, rel=1e-9, abs=1e-12)
 
 
+class Captured:
+    """Stands for a DataFrame of texts; keeps the functions that workers would run."""
+
+    def __init__(self, spark=None):
+        self.sparkSession, self.steps = spark, []
+
+    def mapInArrow(self, step, schema):
+        self.steps.append(step)
+        return self
+
+    def __getattr__(self, name):
+        return lambda *_: self
+
+
+def test_workers_of_toxicity_take_bounded_memory(spark, monkeypatch):
+    """What a worker holds while it counts pairs or asks for entries: two of them share an executor with its JVM."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"word{i}" for i in range(300_000)])
+    texts = [" ".join(words[rng.integers(0, len(words), 900)]) for _ in range(3000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a:a + 1000]), pa.array(range(a, a + 1000), pa.int64())], ["text", "x"])
+               for a in range(0, 3000, 1000)]
+    labelled = [b.set_column(1, "toxic", pa.array([i % 9 == 0 for i in range(b.num_rows)]).cast(pa.int32())) for b in batches]
+    monkeypatch.setattr(toxicity, "saved", lambda df, name: df)
+    counting, asking = Captured(), Captured(spark)
+    toxicity.pair_counts(counting, 8)
+    monkeypatch.setattr(toxicity, "HOT_WORDS", 1)  # all others are asked for
+    h = np.unique(toxicity.text_words(*next(toxicity.pieces(pa.array(texts[:400], pa.large_string()), 1 << 24))[2:])[0])
+    entries = spark.createDataFrame([(int(x), 2, 0.5) for x in h[:2000]], "word long, n long, e double")
+    none = entries.limit(0).withColumnRenamed("word", "pair")
+    monkeypatch.setattr(toxicity, "dealt_entries", lambda *_: None)
+    toxicity.text_evidence(asking, "text", entries, none)
+    monkeypatch.setattr(toxicity, "hit", lambda bits, keys: np.ones(len(keys), bool))  # the worst case
+    for step, rows in ((counting.steps[0], labelled), (asking.steps[0], batches)):
+        tracemalloc.start()
+        try:
+            sent = sum(b.num_rows for b in step(iter(rows)))
+            most = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert sent >= 8 and most < 120e6
+
+
 # -- the registered queries on small folders ----------------------------------
 
 COLUMNS = {
