@@ -189,7 +189,9 @@ def encode(df: DataFrame, vocabulary_path: str, text: str = "text", ids: str = "
     With ``digest`` also append the SHA-256 (lower-case hex) of the ids as
     little-endian unsigned 32-bit integers.
     """
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
+    vocabulary = Vocabulary(vocabulary_path)
+    vocabulary.strings = {}  # only decode needs them
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def make():
         encoder = Encoder(shared.value)

@@ -8,6 +8,7 @@ bounded size.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,9 +19,9 @@ from pyspark.sql import types as T
 
 from keyflow.session import shared_path
 
-#: Bounds of one Arrow batch sent to a Python worker (rows, bytes).
+#: Bounds of one Arrow batch sent to a Python worker (rows, bytes).  Both sides hold several copies of a batch.
 BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-              "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+              "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def prepare(spark: SparkSession) -> None:
@@ -54,9 +55,30 @@ def utf8(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library than glibc
+    _trim = None
+
+
 def release() -> None:
-    """At a task's end: what Arrow keeps for later batches goes back, since idle workers stay beside the next step's."""
+    """What Arrow and the C library keep for later goes back to the system."""
     pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, by a worker that gives free memory back before and after.
+
+    Spark uses a worker again for other steps, and idle ones stay beside them, so what one step
+    no longer needs would add to what the next one takes.
+    """
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        yield from run(batches)
+        release()
+    return tidied
 
 
 def with_columns(df: DataFrame, source: list[str], added: T.StructType,
@@ -70,20 +92,22 @@ def with_columns(df: DataFrame, source: list[str], added: T.StructType,
     names = [f.name for f in added.fields]
     kept = [c for c in df.columns if c not in names]
     fields = [df.schema[c] for c in kept] + list(added.fields)
-    # source columns travel under private names, so that they may be replaced
+    # source columns that are replaced travel under private names, the others once
+    private = [c for c in source if c not in kept]
     feed = df.select(*[F.col(f"`{c}`") for c in kept],
-                     *[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(source)])
+                     *[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(private)])
+    places = [([*kept, *private]).index(c) for c in source]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            inputs = pa.RecordBatch.from_arrays(
-                [batch.column(len(kept) + i) for i in range(len(source))], list(source))
+            inputs = pa.RecordBatch.from_arrays([batch.column(i) for i in places], list(source))
             columns = [batch.column(i) for i in range(len(kept))] + step(inputs)
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
-        release()
+            del batch, inputs, columns  # not held while the next one is read
+            release()
 
-    return feed.mapInArrow(run, T.StructType(fields))
+    return feed.mapInArrow(tidy(run), T.StructType(fields))
 
 
 def bit_table(keys: DataFrame, key: str, width: int) -> np.ndarray:

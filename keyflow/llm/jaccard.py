@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import marked_in, saved, table, utf8
+from keyflow.llm.common import marked_in, saved, table, tidy, utf8
 from keyflow.llm.components import components
 from keyflow.llm.partenum import signatures
 from keyflow.llm.shingles import Sketch, parity_sketch, set_key, shingle_sets, sketch_difference
@@ -200,7 +200,7 @@ def _collected(docs: DataFrame, buckets: int, width: int, num: int, den: int) ->
     def grouped(key, rows):
         return _grouped(key, rows, buckets)
 
-    packed = docs.mapInArrow(_signed(buckets, width, num, den), _PACKED)
+    packed = docs.mapInArrow(tidy(_signed(buckets, width, num, den)), _PACKED)
     return saved(packed.groupBy("bucket").applyInArrow(grouped, _GROUPS), "groups")
 
 
@@ -234,7 +234,7 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, width: int, num_bits: int =
                     [pa.array([set_key(s) for s in sets_], pa.int64()),
                      pa.array([s.tobytes() for s in sets_], pa.binary())], ["key", "elements"])
 
-    sets = docs.select("text", place("doc_id").alias("at")).mapInArrow(run, "key long, elements binary")
+    sets = docs.select("text", place("doc_id").alias("at")).mapInArrow(tidy(run), "key long, elements binary")
     return saved(sets.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "class-sets")
 
 
@@ -254,7 +254,7 @@ def _allowed(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -274,7 +274,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
                 pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(tidy(run), "a long, b long")
 
 
 def _open_groups(groups: DataFrame) -> DataFrame:
@@ -376,7 +376,7 @@ def _further(groups: DataFrame, labels: DataFrame, classes: DataFrame, asks: int
             yield rows_of(list(named), again)
 
     return saved(full.repartition("lead", "cell").sortWithinPartitions("lead", "cell", "sig", "key").drop("lead")
-                     .mapInArrow(run, "a long, b long, sig long"), "asked")
+                     .mapInArrow(tidy(run), "a long, b long, sig long"), "asked")
 
 
 def jaccard_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,

@@ -62,7 +62,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import bit_table, hit, marked_in, release, saved, table, utf8
+from keyflow.llm.common import bit_table, hit, marked_in, saved, table, tidy, utf8
 from keyflow.llm.wordhash import LETTERS, M1, hashed_words, mix, pieces
 
 #: Most words and pairs whose evidence goes to every task; the others are joined.
@@ -110,7 +110,7 @@ def training_rows(docs: DataFrame, marks: DataFrame, doc_id: str, text: str) ->
         F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{doc_id}`").cast("long")).alias("place"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     # the texts are streamed past the marks of their partition
-    return texts.mapInArrow(run, "id long, text string").join(marks.select("id", "toxic").hint("shuffle_hash"), "id").select("text", "toxic")
+    return texts.mapInArrow(tidy(run), "id long, text string").join(marks.select("id", "toxic").hint("shuffle_hash"), "id").select("text", "toxic")
 
 
 def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,7 +181,6 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
                     n = 0
         if n:
             yield packed()
-        release()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
@@ -210,9 +209,8 @@ def pair_counts(rows: DataFrame, parts: int) -> DataFrame:
         if held:
             yield total()
 
-    sent = rows.select("text", "toxic").mapInArrow(count, "part int, words binary, runs binary, contexts binary, n0 binary, n1 binary")
-    added = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
-        add, "v long, w long, n0 long, n1 long, c0 long, c1 long")
+    sent = rows.select("text", "toxic").mapInArrow(tidy(count), "part int, words binary, runs binary, contexts binary, n0 binary, n1 binary")
+    added = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidy(add), "v long, w long, n0 long, n1 long, c0 long, c1 long")
     return saved(added, "toxic-counts")
 
 
@@ -257,7 +255,7 @@ def evidence(counts: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([pa.array(pair_hash(v, w).view(np.int64)), batch.column(2), batch.column(3)], ["pair", "n", "e"])
 
     return (words.select(F.col("w").alias("word"), (F.col("n0") + F.col("n1")).alias("n"), log(F.col("p1") / F.col("p0")).alias("e")),
-            hashed.mapInArrow(run, "pair long, n long, e double"))
+            hashed.mapInArrow(tidy(run), "pair long, n long, e double"))
 
 
 # -- scoring ------------------------------------------------------------------
@@ -338,7 +336,7 @@ def dealt_entries(entries: DataFrame, key: str, kind: int, parts: int) -> DataFr
         if n:
             yield sent()
 
-    return entries.select(key, F.col("e").cast("double")).mapInArrow(run, _PACKED)
+    return entries.select(key, F.col("e").cast("double")).mapInArrow(tidy(run), _PACKED)
 
 
 def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame, parts: int = 8) -> DataFrame:
@@ -400,7 +398,6 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
                     held = 0
         if held:
             yield from sent()
-        release()
 
     def summed_up(held: list[tuple]) -> list[np.ndarray]:
         key, *columns = joined(held)
@@ -459,11 +456,11 @@ def text_evidence(docs: DataFrame, text: str, words: DataFrame, pairs: DataFrame
             yield total()
 
     texts = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    rows = texts.mapInArrow(ask, _PACKED).unionAll(dealt_entries(rare_words, "h", WORDS, parts)).unionAll(
+    rows = texts.mapInArrow(tidy(ask), _PACKED).unionAll(dealt_entries(rare_words, "h", WORDS, parts)).unionAll(
         dealt_entries(rare_pairs, "h", PAIRS, parts))
-    answers = rows.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(answer, _PACKED)
+    answers = rows.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(tidy(answer), _PACKED)
     # equal texts have equal evidence: their sums and their words grow alike
-    return answers.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(add, "key long, of_words double, of_pairs double")
+    return answers.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tidy(add), "key long, of_words double, of_pairs double")
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:

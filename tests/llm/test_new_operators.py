@@ -8,6 +8,7 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -370,6 +371,58 @@ def test_workers_of_toxicity_take_bounded_memory(spark, monkeypatch):
         assert sent >= 8 and most < 120e6
 
 
+def private_mb():
+    return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+
+def test_worker_gives_back_what_a_step_took(spark):
+    """Workers are used again for other steps: what one took must not stay beside what the next one takes."""
+    stay = []
+
+    def make():
+        held = []
+
+        def step(batch):
+            for _ in range(6000):  # small blocks that stay between larger ones that do not
+                held.append(np.ones(2500))
+                if len(held) % 50 == 0:
+                    stay.append(np.ones(8))
+            return [pa.array([len(held)] * batch.num_rows, pa.int64())]
+        return step
+
+    class Frame(Captured):
+        columns, schema = ["doc_id"], spark.createDataFrame([], "doc_id long").schema
+
+    frame_ = Frame(spark)
+    common.with_columns(frame_, ["doc_id"], common.T.StructType([common.T.StructField("n", common.T.LongType())]), make)
+    common.release()
+    before = private_mb()
+    out = list(frame_.steps[0](iter([pa.RecordBatch.from_arrays([pa.array([1], pa.int64())] * 2, ["doc_id", "_in_0"])])))
+    assert out[0].column(1).to_pylist() == [6000] and len(stay) == 120
+    assert private_mb() - before < 30  # the step took 115 MB
+
+
+def test_source_column_travels_once_in_small_batches(spark):
+    rows = [(i, chr(97 + i) * 500_000) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    common.prepare(spark)
+
+    def sizes(name):
+        def step(batch):
+            assert batch.schema.names == ["text"]
+            return [pa.array([f"{t[0]}{batch.nbytes}" for t in batch.column(0).to_pylist()])]
+        kind = common.T.StructType([common.T.StructField(name, common.T.StringType())])
+        return common.with_columns(docs, ["text"], kind, lambda: step)
+
+    beside, instead = sizes("seen"), sizes("text")  # the source passes through; the source is replaced
+    assert beside.columns == ["doc_id", "text", "seen"] and instead.columns == ["doc_id", "text"]
+    assert "_in_0" not in beside._jdf.queryExecution().optimizedPlan().toString()
+    for got, column in ((beside, "seen"), (instead, "text")):
+        got = {r["doc_id"]: r[column] for r in got.select("doc_id", column).collect()}
+        assert [got[i][0] for i in range(24)] == [t[0] for _, t in rows]
+        assert max(int(v[1:]) for v in got.values()) < 6e6
+
+
 # -- the registered queries on small folders ----------------------------------
 
 COLUMNS = {
