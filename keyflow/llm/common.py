@@ -46,6 +46,12 @@ def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def added(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` beside what lies in the folder ``path`` and read the whole folder: one scan, however often it was added to."""
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def utf8(column: pa.Array) -> pa.Array:
     """An Arrow text column with nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):

@@ -23,13 +23,16 @@ empty result; added columns replace columns of the same name.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import saved, table
+from keyflow.llm.common import added, saved, table
+from keyflow.session import shared_path
 
 BITS, LANES, LANE_BITS = 64, 16, 16
 #: Words counted in one set of lanes; at weight 7 a lane stays below 2**15.
@@ -134,15 +137,22 @@ def near_links(df: DataFrame, fingerprint: str = "fingerprint", least: str = "le
                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(f, other, other_least): every two different fingerprints (long) within ``radius`` bits, in both directions.
 
-    ``df`` has one row for each fingerprint, ``least`` goes with it.  The rows of a
-    block table are met in their buckets only up to ``bucket_rows``; a larger bucket
-    is split: the bits outside its key are cut into ``radius + 1`` chunks, of which
+    ``df`` has one row for each fingerprint, ``least`` goes with it.
+    """
+    return reduce(DataFrame.unionAll, _links_by_level(df, fingerprint, least, radius, bucket_rows))
+
+
+def _links_by_level(df: DataFrame, fingerprint: str, least: str, radius: int, bucket_rows: int) -> Iterator[DataFrame]:
+    """The links of :func:`near_links`, those of one level of splitting at a time.
+
+    The rows of a block table are met in their buckets only up to ``bucket_rows``; a
+    larger bucket is split: the bits outside its key are cut into ``radius + 1`` chunks, of which
     any two fingerprints within the radius share one, and this is repeated until no
     bucket is larger, or all bits are used.  Two fingerprints meet once: in the
     first table, and the first chunk of each split, that they share.
     """
     rows = df.select(F.col(fingerprint).alias("f"), F.col(least).alias("least")).filter("f is not null")
-    parts, together, width, out = radius + 2, 2, BITS, None
+    parts, together, width = radius + 2, 2, BITS
     now = rows.withColumns({"v0": F.col("f"), "key": F.lit(0).cast("long")})
     cuts: list[tuple[int, int, int]] = []  # how each level cut the bits v<level>, of which it took choice t<level>
     while True:
@@ -161,11 +171,10 @@ def near_links(df: DataFrame, fingerprint: str = "fingerprint", least: str = "le
         met = a.join(b, "key").filter((F.col("f") != F.col("other")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("other"))) <= radius))
         for i, cut in enumerate(cuts):
             met = met.filter(_first_choice(F.col(f"v{i}").bitwiseXOR(F.col(f"w{i}")), F.col(f"t{i}"), *cut))
-        met = met.select("f", "other", "other_least")
-        out = met if out is None else out.unionAll(met)
+        yield met.select("f", "other", "other_least")
         large = counts.filter(F.col("n") > bucket_rows)
         if last or large.isEmpty():
-            return out
+            return
         now = saved(dealt.join(large.select("key"), "key", "left_semi").withColumnRenamed("rest", f"v{level + 1}"), "blocks")
         parts, together, width = radius + 1, 1, left
 
@@ -182,9 +191,13 @@ def near_pairs(df: DataFrame, fingerprint: str = "fingerprint", radius: int = 3,
 
 def neighbours(df: DataFrame, fingerprint: str, doc_id: str, radius: int = 3) -> DataFrame:
     """(f, n_near, near_least) of every fingerprint: how many others lie within ``radius`` bits, and the least id of a
-    document within it, its own ones included.  Links are added up as they are met, never kept."""
+    document within it, its own ones included.  Links are added up as they are met, never kept, each level of splitting
+    by a query of its own: the driver holds the stages of one level at a time, however many levels the buckets need."""
     own = saved(df.groupBy(F.col(fingerprint).alias("f")).agg(F.min(doc_id).alias("least")), "fingerprints")
-    near = near_links(own, "f", "least", radius).groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("other_least").alias("m"))
+    path = shared_path(df.sparkSession, "llm", "near-sums", fresh=True)
+    for met in _links_by_level(own, "f", "least", radius, BUCKET_ROWS):
+        sums = added(met.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("other_least").alias("m")), path)
+    near = sums.groupBy("f").agg(F.sum("n").alias("n"), F.min("m").alias("m"))
     return own.join(near, "f", "left").select("f", F.coalesce("n", F.lit(0)).cast("long").alias("n_near"),
                                               F.least("least", "m").alias("near_least"))
 

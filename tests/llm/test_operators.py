@@ -349,6 +349,37 @@ def test_large_buckets_are_split(spark):
     assert simhash.neighbours(df.limit(0), "f", "doc_id").count() == 0
 
 
+def test_levels_of_buckets_are_met_one_at_a_time(spark, monkeypatch):
+    rng, values, planned, names = random.Random(5), {0}, [], []
+    while len(values) < 400:  # buckets of more than 64 in every table, split several times
+        v = 0
+        for _ in range(rng.randint(1, 2)):
+            v |= 1 << rng.randrange(63)
+        values.add(v)
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(sorted(values))], "f long, doc_id long")
+
+    def note(df):
+        planned.append(df._jdf.queryExecution().optimizedPlan().toString())
+
+    def watched(write):
+        def run(df, to):
+            note(df)
+            names.append(to)
+            return write(df, to)
+        return run
+
+    for write in ("saved", "added"):
+        if hasattr(simhash, write):
+            monkeypatch.setattr(simhash, write, watched(getattr(simhash, write)))
+    got = simhash.neighbours(df, "f", "doc_id")
+    note(got)
+    assert names.count("blocks") >= 2  # three levels at least
+    assert max(p.count("Join") for p in planned) <= 3  # as many joins in a query as one level has
+    assert max(p.count("Relation") for p in planned) <= 4  # nor does the last one read each level by itself
+    near = {v: [w for w in values if w != v and (v ^ w).bit_count() <= 3] for v in values}
+    assert {(r["f"], r["n_near"]) for r in got.collect()} == {(v, len(near[v])) for v in near}
+
+
 def test_toxicity(spark):
     rng = random.Random(8)
     words = [f"{a}{b}" for a in ("bel", "tor", "min", "sal") for b in range(60)]
